@@ -113,6 +113,8 @@ def cell_of(lat: Column | str, lon: Column | str, res: int) -> Column:
     once per row. For several resolutions over a big frame use
     :func:`with_cells`, which stages the work as plain projections.
     """
+    if isinstance(lat, str) and isinstance(lon, str):
+        return F.expr(cell_sql(lat, lon, res))  # one JVM call for the whole formula
     lat_c = F.col(lat) if isinstance(lat, str) else lat
     lon_c = F.col(lon) if isinstance(lon, str) else lon
     return _formula(lat_c, lon_c, res, _inline)
@@ -127,22 +129,12 @@ def with_cells(
 ) -> DataFrame:
     """Add a BIGINT cell-id column ``{prefix}{res}`` per resolution.
 
-    One projection per formula stage: every intermediate is a plain column,
-    so expression trees stay small however many resolutions are asked.
+    One projection, sent as SQL text in one call: building the formula
+    operator by operator costs one driver-JVM round trip per operator.
+    Codegen's common-subexpression elimination evaluates the repeated
+    parts of the formula once per row.
     """
-    helpers: list[str] = []
-    for r in resolutions:
-        holder = {"df": df}
-
-        def bind(d, r=r):
-            names = [f"__{prefix}{r}_{k}" for k in d]
-            holder["df"] = holder["df"].select("*", *[e.alias(n) for n, e in zip(names, d.values())])
-            helpers.extend(names)
-            return tuple(F.col(n) for n in names)
-
-        out = _formula(F.col(lat), F.col(lon), r, bind)
-        df = holder["df"].withColumn(f"{prefix}{r}", out)
-    return df.drop(*helpers)
+    return df.selectExpr("*", *[f"{cell_sql(lat, lon, r)} AS {prefix}{r}" for r in resolutions])
 
 
 # ---------------------------------------------------------------------------
@@ -154,28 +146,32 @@ def _arr(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def cell_res(cell: Column | str) -> Column:
-    """Resolution stored in bits 52..55 of the id (also where H3 keeps it)."""
-    c = F.col(cell) if isinstance(cell, str) else cell
-    return (F.shiftrightunsigned(c, RES_SHIFT).bitwiseAND(F.lit(15))).cast("int")
+def _name(cell) -> str:
+    if not isinstance(cell, str):
+        raise TypeError("pass the cell column by name")
+    return cell
+
+
+def _shr(cell: str, k: int, spark: bool) -> str:
+    # Spark's parser can mistake ">>" for a type bracket after array(...)
+    return f"shiftright({cell}, {k})" if spark else f"({cell} >> {k})"
 
 
-def cell_row(cell: Column | str) -> Column:
-    c = F.col(cell) if isinstance(cell, str) else cell
-    return F.shiftrightunsigned(c, ROW_SHIFT).bitwiseAND(F.lit(FIELD_MASK))
+def _res_sql(cell: str, spark: bool = True) -> str:
+    return f"CAST(({_shr(cell, RES_SHIFT, spark)} & 15) AS INT)"
 
 
-def cell_col(cell: Column | str) -> Column:
-    c = F.col(cell) if isinstance(cell, str) else cell
-    return c.bitwiseAND(F.lit(FIELD_MASK))
+def _row_sql(cell: str, spark: bool = True) -> str:
+    return f"({_shr(cell, ROW_SHIFT, spark)} & {FIELD_MASK})"
 
 
-def _n_of(res: Column) -> Column:
-    return F.element_at(_arr([float(s.n) for s in SPECS]), res + 1)
+def _col_sql(cell: str) -> str:
+    return f"({cell} & {FIELD_MASK})"
 
 
-def _m_of(res: Column) -> Column:
-    return F.element_at(_arr([float(s.m) for s in SPECS]), res + 1)
+def _per_res_sql(cell: str, values) -> str:
+    arr = ", ".join(D._lit_sql(float(v)) for v in values)
+    return f"element_at(array({arr}), {_res_sql(cell)} + 1)"
 
 
 def _lat_formula(r, m):
@@ -186,52 +182,81 @@ def _lon_formula(r, c, n, parity):
     return (c + parity / 2.0) / n * 360.0 - 180.0
 
 
-def cell_lat(cell: Column | str) -> Column:
+def cell_res_sql(cell: str) -> str:
+    return _res_sql(cell)
+
+
+def cell_lat_any_sql(cell: str) -> str:
+    """Centre latitude for ids of any resolution (Spark SQL text)."""
+    return _lat_formula(D.Sql(_row_sql(cell)), D.Sql(_per_res_sql(cell, [s.m for s in SPECS]))).t
+
+
+def cell_lon_any_sql(cell: str) -> str:
+    r = D.Sql(_row_sql(cell))
+    n = D.Sql(_per_res_sql(cell, [s.n for s in SPECS]))
+    return _lon_formula(r, D.Sql(_col_sql(cell)), n, D.Sql(f"({r.t} % 2)")).t
+
+
+def cell_area_any_sql(cell: str) -> str:
+    return _per_res_sql(cell, [s.area_km2 for s in SPECS])
+
+
+def cell_res(cell: str) -> Column:
+    """Resolution stored in bits 52..55 of the id (also where H3 keeps it)."""
+    return F.expr(_res_sql(_name(cell)))
+
+
+def cell_row(cell: str) -> Column:
+    return F.expr(_row_sql(_name(cell)))
+
+
+def cell_col(cell: str) -> Column:
+    return F.expr(_col_sql(_name(cell)))
+
+
+def cell_lat(cell: str) -> Column:
     """Latitude of the cell centre (degrees, DOUBLE)."""
-    res = cell_res(cell)
-    return _lat_formula(cell_row(cell), _m_of(res))
+    return F.expr(cell_lat_any_sql(_name(cell)))
 
 
-def cell_lon(cell: Column | str) -> Column:
+def cell_lon(cell: str) -> Column:
     """Longitude of the cell centre in [-180, 180) (degrees, DOUBLE)."""
-    res = cell_res(cell)
-    r = cell_row(cell)
-    return _lon_formula(r, cell_col(cell), _n_of(res), r % 2)
+    return F.expr(cell_lon_any_sql(_name(cell)))
 
 
-def cell_area_km2(cell: Column | str) -> Column:
+def cell_area_km2(cell: str) -> Column:
     """Area of the cell; one constant per resolution (equal-area grid)."""
-    return F.element_at(_arr([s.area_km2 for s in SPECS]), cell_res(cell) + 1)
+    return F.expr(cell_area_any_sql(_name(cell)))
 
 
-def cell_to_hex(cell: Column | str) -> Column:
-    c = F.col(cell) if isinstance(cell, str) else cell
-    return F.lower(F.hex(c))
+def cell_to_hex(cell: str) -> Column:
+    return F.expr(f"lower(hex({_name(cell)}))")
 
 
-def hex_to_cell(s: Column | str) -> Column:
-    c = F.col(s) if isinstance(s, str) else s
-    return F.conv(c, 16, 10).cast("long")
+def hex_to_cell(s: str) -> Column:
+    return F.expr(f"CAST(conv({s}, 16, 10) AS BIGINT)")
 
 
-def cell_boundary(cell: Column | str) -> Column:
+def cell_boundary(cell: str) -> Column:
     """Six boundary vertices as ``array<struct<lon:double, lat:double>>``.
 
     In (u, v) units a cell is the hexagon around (col + parity/2, row) with
     vertices at v +- 2/3 and (u +- 1/2, v +- 1/3); rows are clipped to the
-    poles.
+    poles, longitudes wrapped to [-180, 180).
     """
-    res = cell_res(cell)
-    n, m = _n_of(res), _m_of(res)
-    r = cell_row(cell)
-    uc = cell_col(cell) + (r % 2) / 2.0
+    c = _name(cell)
+    n = _per_res_sql(c, [s.n for s in SPECS])
+    m = _per_res_sql(c, [s.m for s in SPECS])
+    r = _row_sql(c)
+    uc = f"({_col_sql(c)} + ({r} % 2) / 2.0e0)"
     pts = []
     for du, dv in ((0.0, 2 / 3), (0.5, 1 / 3), (0.5, -1 / 3), (0.0, -2 / 3), (-0.5, -1 / 3), (-0.5, 1 / 3)):
-        v = F.least(F.greatest(r + dv, F.lit(0.0)), m)
-        lon = (uc + du) / n * 360.0 - 180.0
-        lon = F.when(lon >= 180.0, lon - 360.0).when(lon < -180.0, lon + 360.0).otherwise(lon)
-        pts.append(F.struct(lon.alias("lon"), (F.asin(2.0 * v / m - 1.0) * RAD2DEG).alias("lat")))
-    return F.array(*pts)
+        v = f"least(greatest({r} + {D._lit_sql(dv)}, 0.0e0), {m})"
+        lon = f"(({uc} + {D._lit_sql(du)}) / {n} * 360.0e0 - 180.0e0)"
+        lon = f"(CASE WHEN {lon} >= 180.0e0 THEN {lon} - 360.0e0 WHEN {lon} < -180.0e0 THEN {lon} + 360.0e0 ELSE {lon} END)"
+        lat = f"(asin(2.0e0 * {v} / {m} - 1.0e0) * {D._lit_sql(RAD2DEG)})"
+        pts.append(f"named_struct('lon', {lon}, 'lat', {lat})")
+    return F.expr("array(" + ", ".join(pts) + ")")
 
 
 def lat_band_id_range(res: int, lat_lo: float, lat_hi: float) -> tuple[int, int]:
@@ -255,13 +280,12 @@ def lat_band_id_range(res: int, lat_lo: float, lat_hi: float) -> tuple[int, int]
 
 
 def cell_lat_sql(cell: str, res: int) -> str:
+    """Centre latitude for ids of a known resolution (both engines)."""
     s = SPECS[res]
-    r = D.Sql(f"(({cell} >> {ROW_SHIFT}) & {FIELD_MASK})")
-    return _lat_formula(r, float(s.m)).t
+    return _lat_formula(D.Sql(_row_sql(cell, spark=False)), float(s.m)).t
 
 
 def cell_lon_sql(cell: str, res: int) -> str:
     s = SPECS[res]
-    r = D.Sql(f"(({cell} >> {ROW_SHIFT}) & {FIELD_MASK})")
-    c = D.Sql(f"({cell} & {FIELD_MASK})")
-    return _lon_formula(r, c, float(s.n), D.Sql(f"({r.t} % 2)")).t
+    r = D.Sql(_row_sql(cell, spark=False))
+    return _lon_formula(r, D.Sql(_col_sql(cell)), float(s.n), D.Sql(f"({r.t} % 2)")).t

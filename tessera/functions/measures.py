@@ -307,20 +307,22 @@ def volume_m3(m2: Column, h: Column) -> Column:
     return m2 * h
 
 
-def geometry_type(wkb: Column | str) -> Column:
-    """Geometry type name read from the WKB header (no parsing).
+def geometry_type_sql(w: str) -> str:
+    """Geometry type name read from the WKB header (no parsing), SQL text.
 
-    Byte 1 is the byte order; bytes 2..5 the type code, EWKB flags masked,
-    ISO Z/M variants folded (code % 1000).
+    Byte 1 is the byte order; bytes 2..5 the type code, EWKB flag bits
+    masked, ISO Z/M variants folded (code % 1000).
     """
-    w = F.col(wkb) if isinstance(wkb, str) else wkb
-    be = F.hex(F.substring(w, 2, 4))
-    le = F.hex(
-        F.concat(F.substring(w, 5, 1), F.substring(w, 4, 1), F.substring(w, 3, 1), F.substring(w, 2, 1))
+    le = f"hex(concat(substring({w}, 5, 1), substring({w}, 4, 1), substring({w}, 3, 1), substring({w}, 2, 1)))"
+    be = f"hex(substring({w}, 2, 4))"
+    code = f"CAST(conv(CASE WHEN substring({w}, 1, 1) = X'01' THEN {le} ELSE {be} END, 16, 10) AS BIGINT)"
+    base = f"(({code} & {0x0FFFFFFF}) % 1000)"
+    names = " ".join(f"WHEN {k} THEN '{v}'" for k, v in GEOMETRY_TYPE_NAMES.items())
+    return (
+        f"CASE WHEN {w} IS NULL OR length({w}) < 5 THEN NULL "
+        f"ELSE (CASE {base} {names} ELSE 'UNKNOWN' END) END"
     )
-    code = F.conv(F.when(F.substring(w, 1, 1) == F.unhex(F.lit("01")), le).otherwise(be), 16, 10).cast("long")
-    base = code.bitwiseAND(F.lit(0x0FFFFFFF)) % 1000
-    out = None
-    for k, name in GEOMETRY_TYPE_NAMES.items():
-        out = F.when(base == k, F.lit(name)) if out is None else out.when(base == k, F.lit(name))
-    return F.when(w.isNull() | (F.length(w) < 5), F.lit(None).cast("string")).otherwise(out.otherwise(F.lit("UNKNOWN")))
+
+
+def geometry_type(wkb: str) -> Column:
+    return F.expr(geometry_type_sql(wkb))

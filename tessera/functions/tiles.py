@@ -29,7 +29,12 @@ def snap_coord(x, z: int):
 
 
 def snap_cell(lon, lat, z: int):
-    """(snap_x, snap_y) grid indices of a point at zoom ``z``."""
+    """(snap_x, snap_y) grid indices of a point at zoom ``z``.
+
+    Column names (str) give Columns built from SQL text in one call each.
+    """
+    if isinstance(lon, str):
+        return F.expr(snap_coord(D.Sql(lon), z).t), F.expr(snap_coord(D.Sql(lat), z).t)
     return snap_coord(lon, z), snap_coord(lat, z)
 
 
@@ -56,28 +61,38 @@ _SPREAD = (
 )
 
 
-def _spread_bits(v: Column) -> Column:
-    """Insert a zero bit between the bits of a value below 2^31."""
+def _spread_sql(v: str) -> str:
+    """Insert a zero bit between the bits of a value below 2^31 (SQL text)."""
     for shift, mask in _SPREAD:
-        v = F.shiftleft(v, shift).bitwiseOR(v).bitwiseAND(F.lit(mask))
+        v = f"((shiftleft({v}, {shift}) | {v}) & {mask})"
     return v
 
 
-def quadkey(lon: Column | str, lat: Column | str, z: int) -> Column:
-    """Quadkey string of a point at zoom ``z`` (digit = 2*ybit + xbit).
-
-    Bit-interleave x and y into one base-4 number, then ``conv`` to base 4
-    and left-pad to ``z`` digits: a handful of codegen'd integer ops.
-    """
+def quadkey_spark_sql(lon: str, lat: str, z: int) -> str:
+    """Quadkey as Spark SQL text: bit-interleave x and y into one base-4
+    number, ``conv`` it to base 4 and left-pad to ``z`` digits."""
     if not 0 <= z <= 30:
         raise ValueError("zoom must be in 0..30")
-    lon_c = F.col(lon) if isinstance(lon, str) else lon
-    lat_c = F.col(lat) if isinstance(lat, str) else lat
-    x, y = tile_xy(lon_c, lat_c, z)
-    code = _spread_bits(y.cast("long")) * 2 + _spread_bits(x.cast("long"))
     if z == 0:
-        return F.lit("")
-    return F.lpad(F.conv(code.cast("string"), 10, 4), z, "0")
+        return "''"
+    x, y = tile_xy(D.Sql(lon), D.Sql(lat), z)
+    code = f"({_spread_sql(f'CAST({y.t} AS BIGINT)')} * 2 + {_spread_sql(f'CAST({x.t} AS BIGINT)')})"
+    return f"lpad(conv(CAST({code} AS STRING), 10, 4), {z}, '0')"
+
+
+def quadkey(lon: str, lat: str, z: int) -> Column:
+    """Quadkey string of a point at zoom ``z`` (digit = 2*ybit + xbit)."""
+    return F.expr(quadkey_spark_sql(lon, lat, z))
+
+
+def with_quadkey(df: DataFrame, lon: str, lat: str, z: int, name: str = "quadkey") -> DataFrame:
+    """Add the quadkey column; tile x/y are materialised first so the bit
+    interleave refers to two plain columns."""
+    x, y = tile_xy(D.Sql(lon), D.Sql(lat), z)
+    t = df.selectExpr("*", f"CAST({x.t} AS BIGINT) AS __qk_x", f"CAST({y.t} AS BIGINT) AS __qk_y")
+    code = f"({_spread_sql('__qk_y')} * 2 + {_spread_sql('__qk_x')})"
+    expr = f"lpad(conv(CAST({code} AS STRING), 10, 4), {z}, '0')" if z else "''"
+    return t.selectExpr("*", f"{expr} AS {name}").drop("__qk_x", "__qk_y")
 
 
 def quadkey_sql(lon: str, lat: str, z: int) -> str:
@@ -95,6 +110,11 @@ def in_quad(df: DataFrame, prefix: str, col: str = "quadkey") -> DataFrame:
     return df.where(F.col(col).startswith(prefix))
 
 
+def continent_col(lat_sql: str, lon_sql: str) -> Column:
+    """:func:`continent` over SQL text inputs, as one Column."""
+    return F.expr(continent(D.Sql(lat_sql), D.Sql(lon_sql)).t)
+
+
 def continent(lat, lon):
     """Continent by ordered bounding boxes (boxes overlap: first match wins)."""
     branches = []
@@ -110,7 +130,7 @@ def continent(lat, lon):
 
 
 def bbox(idx: DataFrame, lat0: float, lat1: float, lon0: float, lon1: float, res: int | None = None,
-         lat: Column | None = None, lon: Column | None = None) -> DataFrame:
+         lat: str | None = None, lon: str | None = None) -> DataFrame:
     """Cells whose centre lies in the box.
 
     Centre lat/lon are derived from the id, which Parquet cannot filter on;
@@ -118,12 +138,12 @@ def bbox(idx: DataFrame, lat0: float, lat1: float, lon0: float, lon1: float, res
     latitude band's id range) is added, which *is* pushed to the scan and
     skips row groups of an index sorted by id.
     """
-    from tessera.functions.grid import cell_lat, cell_lon
+    from tessera.functions.grid import cell_lat_any_sql, cell_lon_any_sql
 
-    la = lat if lat is not None else cell_lat("h3_index")
-    lo = lon if lon is not None else cell_lon("h3_index")
+    la = lat or cell_lat_any_sql("h3_index")
+    lo = lon or cell_lon_any_sql("h3_index")
     out = idx
     if res is not None:
         a, b = lat_band_id_range(res, lat0, lat1)
-        out = out.where(F.col("h3_index").between(a, b))
-    return out.where(la.between(lat0, lat1) & lo.between(lon0, lon1))
+        out = out.where(f"h3_index BETWEEN {a} AND {b}")
+    return out.where(f"({la}) BETWEEN {lat0} AND {lat1} AND ({lo}) BETWEEN {lon0} AND {lon1}")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tessera.constants import DEFAULT_RESOLUTIONS, INDEX_COLUMNS
 from tessera.functions import dual as D
 from tessera.functions.grid import SPECS, with_cells
-from tessera.functions.measures import footprint_m2, valid_height
+from tessera.functions.measures import footprint_m2
 
 PARTIAL_COLUMNS = (
     "h3_res",
@@ -39,41 +39,43 @@ PARTIAL_COLUMNS = (
 )
 
 
-def with_building_metrics(df: DataFrame, lat="lat", area="area_deg2", height="height") -> DataFrame:
-    """Add per-building ``fp_m2``, ``h`` (valid height or NULL) and ``vol``."""
+def valid_height_sql(height: str) -> str:
+    """Height as DOUBLE with the -999 sentinel (and NaN, NULL) as NULL."""
     return (
-        df.withColumn("fp_m2", footprint_m2(F.col(area), F.col(lat)))
-        .withColumn("h", valid_height(height))
-        .withColumn("vol", F.col("fp_m2") * F.col("h"))
+        f"CASE WHEN {height} IS NULL OR isnan({height}) OR {height} = -999.0e0 "
+        f"THEN NULL ELSE CAST({height} AS DOUBLE) END"
     )
 
 
+def with_building_metrics(df: DataFrame, lat="lat", area="area_deg2", height="height", keep=None) -> DataFrame:
+    """Add per-building ``fp_m2``, ``h`` (valid height or NULL) and ``vol``."""
+    keep = list(keep) if keep is not None else ["*"]
+    fp = footprint_m2(D.Sql(area), D.Sql(lat)).t
+    x = df.selectExpr(*keep, f"{fp} AS fp_m2", f"{valid_height_sql(height)} AS h")
+    return x.selectExpr("*", "fp_m2 * h AS vol")
+
+
 def _exploded_cells(df: DataFrame, resolutions, lat: str, lon: str, keep=()) -> DataFrame:
+    """One row per (building, resolution): ``h3_res, h3_index`` + measures."""
     resolutions = list(resolutions)
     x = with_cells(df, resolutions, lat=lat, lon=lon, prefix="__cell_")
-    pairs = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(r).alias("h3_res"), F.col(f"__cell_{r}").alias("h3_index"))
-                for r in resolutions
-            ]
-        )
-    ).alias("__rc")
-    return x.select(*keep, "fp_m2", "h", "vol", pairs).select(
-        *keep, F.col("__rc.h3_res").alias("h3_res"), F.col("__rc.h3_index").alias("h3_index"), "fp_m2", "h", "vol"
-    )
+    pairs = ", ".join(f"named_struct('h3_res', {r}, 'h3_index', __cell_{r})" for r in resolutions)
+    return x.selectExpr(*keep, f"inline(array({pairs}))", "fp_m2", "h", "vol")
+
+
+SUMS_SQL = (
+    "count(1) AS n",
+    "sum(fp_m2) AS fp",
+    "coalesce(sum(h), 0.0e0) AS hsum",
+    "count(h) AS hn",
+    "coalesce(sum(h * h), 0.0e0) AS hsq",
+    "max(h) AS hmax",
+    "coalesce(sum(vol), 0.0e0) AS vol",
+)
 
 
 def _sums() -> list:
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.sum("fp_m2").alias("fp"),
-        F.coalesce(F.sum("h"), F.lit(0.0)).alias("hsum"),
-        F.count("h").alias("hn"),
-        F.coalesce(F.sum(F.col("h") * F.col("h")), F.lit(0.0)).alias("hsq"),
-        F.max("h").alias("hmax"),
-        F.coalesce(F.sum("vol"), F.lit(0.0)).alias("vol"),
-    ]
+    return [F.expr(e) for e in SUMS_SQL]
 
 
 def _ratio(a, b):
@@ -111,21 +113,23 @@ def derive_metrics(n, fp, hsum, hn, hsq, hmax, vol, area, compat_std: bool = Fal
     }
 
 
-def _area_of_res(res_col: str = "h3_res"):
-    return F.element_at(F.array(*[F.lit(s.area_km2) for s in SPECS]), F.col(res_col) + 1)
+def _area_of_res_sql(res_col: str = "h3_res") -> str:
+    arr = ", ".join(D._lit_sql(float(sp.area_km2)) for sp in SPECS)
+    return f"element_at(array({arr}), {res_col} + 1)"
 
 
-def _finish(agg: DataFrame, compat_std: bool) -> DataFrame:
+def metrics_sql(compat_std: bool = False, area: str | None = None) -> list[str]:
+    """``expr AS name`` texts of the 10 derived metrics over the sum columns."""
     m = derive_metrics(
-        *[F.col(c) for c in ("n", "fp", "hsum", "hn", "hsq", "hmax", "vol")],
-        _area_of_res(),
+        *[D.Sql(c) for c in ("n", "fp", "hsum", "hn", "hsq", "hmax", "vol")],
+        D.Sql(area or _area_of_res_sql()),
         compat_std=compat_std,
     )
-    return agg.select(
-        F.col("h3_res").cast("int").alias("h3_res"),
-        "h3_index",
-        *[m[c].alias(c) for c in INDEX_COLUMNS[1:]],
-    )
+    return [f"{m[c].t} AS {c}" for c in INDEX_COLUMNS[1:]]
+
+
+def _finish(agg: DataFrame, compat_std: bool) -> DataFrame:
+    return agg.selectExpr("CAST(h3_res AS INT) AS h3_res", "h3_index", *metrics_sql(compat_std))
 
 
 def build_index(
@@ -142,7 +146,7 @@ def build_index(
     Input needs centroid ``lat``/``lon``, planar ``area_deg2`` and ``height``
     (sentinel -999 = none); see :func:`tessera.functions.measures.with_measures`.
     """
-    x = with_building_metrics(df.select(lat, lon, area, height), lat=lat, area=area, height=height)
+    x = with_building_metrics(df, lat=lat, area=area, height=height, keep=[lat, lon])
     cells = _exploded_cells(x, resolutions, lat, lon)
     return _finish(cells.groupBy("h3_res", "h3_index").agg(*_sums()), compat_std)
 
@@ -161,21 +165,22 @@ def partials(
     Cells without a valid height get height sums 0 and a NULL maximum
     (never NaN: NaN would win every later MAX).
     """
-    x = df.select(F.col(tile_col).cast("string").alias("tile_id"), lat, lon, area, height)
-    x = with_building_metrics(x, lat=lat, area=area, height=height)
+    x = with_building_metrics(
+        df, lat=lat, area=area, height=height, keep=[f"CAST({tile_col} AS STRING) AS tile_id", lat, lon]
+    )
     cells = _exploded_cells(x, resolutions, lat, lon, keep=("tile_id",))
     agg = cells.groupBy("h3_res", "tile_id", "h3_index").agg(*_sums())
-    return agg.select(
-        F.col("h3_res").cast("int").alias("h3_res"),
+    return agg.selectExpr(
+        "CAST(h3_res AS INT) AS h3_res",
         "tile_id",
         "h3_index",
-        F.col("n").cast("int").alias("building_count"),
-        F.col("fp").alias("total_footprint_m2"),
-        F.col("hsum").alias("height_sum"),
-        F.col("hsq").alias("height_sq_sum"),
-        F.col("hmax").alias("max_height_m"),
-        F.col("vol").alias("total_volume_m3"),
-        F.col("hn").cast("int").alias("height_count"),
+        "CAST(n AS INT) AS building_count",
+        "fp AS total_footprint_m2",
+        "hsum AS height_sum",
+        "hsq AS height_sq_sum",
+        "hmax AS max_height_m",
+        "vol AS total_volume_m3",
+        "CAST(hn AS INT) AS height_count",
     )
 
 
@@ -188,13 +193,18 @@ def merge_partials(part: DataFrame, compat_std: bool = False, dedup: bool = Fals
     if dedup:
         part = part.dropDuplicates(["h3_res", "tile_id", "h3_index"])
     agg = part.groupBy("h3_res", "h3_index").agg(
-        F.sum("building_count").alias("n"),
-        F.sum("total_footprint_m2").alias("fp"),
-        F.sum("height_sum").alias("hsum"),
-        F.sum("height_count").alias("hn"),
-        F.sum("height_sq_sum").alias("hsq"),
-        F.max("max_height_m").alias("hmax"),
-        F.sum("total_volume_m3").alias("vol"),
+        *[
+            F.expr(e)
+            for e in (
+                "sum(building_count) AS n",
+                "sum(total_footprint_m2) AS fp",
+                "sum(height_sum) AS hsum",
+                "sum(height_count) AS hn",
+                "sum(height_sq_sum) AS hsq",
+                "max(max_height_m) AS hmax",
+                "sum(total_volume_m3) AS vol",
+            )
+        ]
     )
     return _finish(agg, compat_std)
 
@@ -207,4 +217,4 @@ def cell_counts(idx: DataFrame, exact: bool = True) -> DataFrame:
 
 def index_res(idx: DataFrame, res: int) -> DataFrame:
     """The 11-column v2 table of one resolution."""
-    return idx.where(F.col("h3_res") == res).select(*INDEX_COLUMNS)
+    return idx.where(f"h3_res = {res}").select(*INDEX_COLUMNS)

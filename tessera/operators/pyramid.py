@@ -27,7 +27,7 @@ from tessera.constants import (
     PYRAMID_ROW_GROUP,
 )
 from tessera.functions.measures import with_measures
-from tessera.functions.tiles import quadkey
+from tessera.functions.tiles import with_quadkey
 from tessera.operators.thinning import DEFAULT_BROADCAST_ROWS, attach_zoom, scratch_dir, zoom_picks
 from tessera.sources.writers import write_metadata, write_pyramid
 
@@ -46,8 +46,7 @@ def pyramid_frame(
     cent = with_measures(src.select(key, geometry), geometry).select(key, "lon", "lat")
     picks = zoom_picks(cent, minzoom, maxzoom, key, workdir=workdir, broadcast_rows=broadcast_rows)
     out = attach_zoom(src, picks, maxzoom, key, broadcast_rows)
-    out = with_measures(out, geometry, prefix="__c_")
-    out = out.withColumn("quadkey", quadkey("__c_lon", "__c_lat", maxzoom))
+    out = with_quadkey(with_measures(out, geometry, prefix="__c_"), "__c_lon", "__c_lat", maxzoom)
     rest = [c for c in src.columns if c != key]
     return out.select("zoomlevel", "quadkey", key, *rest)
 

@@ -10,17 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.grid import cell_area_km2, cell_lat, cell_lon, cell_to_hex
-from tessera.functions.tiles import bbox, continent
+from tessera.functions.grid import cell_area_km2, cell_lat_any_sql, cell_lon_any_sql, cell_to_hex
+from tessera.functions.tiles import bbox, continent_col
 
 
 def with_centre(idx: DataFrame, lat: str = "lat", lng: str = "lng", as_float: bool = True) -> DataFrame:
     """Add the cell centre. Reported as FLOAT by default, like the v1 layout:
     ``asin`` differs in the last bit between math libraries, FLOAT does not."""
-    la, lo = cell_lat("h3_index"), cell_lon("h3_index")
+    la, lo = cell_lat_any_sql("h3_index"), cell_lon_any_sql("h3_index")
     if as_float:
-        la, lo = la.cast("float"), lo.cast("float")
-    return idx.withColumn(lat, la).withColumn(lng, lo)
+        la, lo = f"CAST({la} AS FLOAT)", f"CAST({lo} AS FLOAT)"
+    return idx.selectExpr("*", f"{la} AS {lat}", f"{lo} AS {lng}")
 
 
 def top_cells(idx: DataFrame, by: str = "building_count", n: int = 20, columns=None) -> DataFrame:
@@ -60,7 +60,7 @@ def tallest(idx: DataFrame, n: int = 10, min_height: float | None = None, column
 def continent_totals(idx: DataFrame) -> DataFrame:
     """Buildings, footprint km2 and volume (1e9 m3) per continent box."""
     c = idx.select(
-        continent(cell_lat("h3_index"), cell_lon("h3_index")).alias("continent"),
+        continent_col(cell_lat_any_sql("h3_index"), cell_lon_any_sql("h3_index")).alias("continent"),
         "building_count",
         "total_footprint_m2",
         "total_volume_m3",
@@ -112,13 +112,15 @@ def to_v1(idx: DataFrame, with_geometry: bool = True) -> DataFrame:
 
     cols = [
         cell_to_hex("h3_index").alias("h3_index"),
-        cell_lat("h3_index").cast("float").alias("lat"),
-        cell_lon("h3_index").cast("float").alias("lon"),
+        F.expr(f"CAST({cell_lat_any_sql('h3_index')} AS FLOAT)").alias("lat"),
+        F.expr(f"CAST({cell_lon_any_sql('h3_index')} AS FLOAT)").alias("lon"),
         cell_area_km2("h3_index").cast("float").alias("area_km2"),
         *INDEX_COLUMNS[1:],
     ]
     if with_geometry:
         from tessera.functions.measures import point_wkb
 
-        cols.insert(1, point_wkb(cell_lon("h3_index"), cell_lat("h3_index")).alias("geometry"))
+        cols.insert(
+            1, point_wkb(F.expr(cell_lon_any_sql("h3_index")), F.expr(cell_lat_any_sql("h3_index"))).alias("geometry")
+        )
     return idx.select(*cols)

@@ -71,11 +71,12 @@ def zoom_picks(
             if done:
                 prev = spark.read.parquet(*done).select(key)
                 rem = pts.join(_maybe_broadcast(prev, n_done, broadcast_rows), key, "left_anti")
-            sx, sy = snap_cell(F.col(lon), F.col(lat), z)
+            sx, sy = snap_cell(lon, lat, z)
             picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(F.min(key).alias(key)).select(key)
-            materialize(picks, out)
+            n_done += materialize(picks, out, count=True)
+        else:
+            n_done += spark.read.parquet(out).count()  # footer metadata only
         done.append(out)
-        n_done += spark.read.parquet(out).count()
     if not done:
         return spark.createDataFrame([], f"{key} string, zoomlevel int").select(key, "zoomlevel")
     # Hive-style zoomlevel=z folders: the zoom comes back as a partition column.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.grid import cell_area_km2, cell_lat, cell_lon
+from tessera.functions.grid import cell_area_any_sql, cell_lat_any_sql, cell_lon_any_sql
 from tessera.functions.measures import geometry_type
 
 
@@ -41,12 +41,12 @@ def consistency(idx: DataFrame) -> DataFrame:
 
 def resolution_stats(idx: DataFrame) -> DataFrame:
     """Per resolution: cells, buildings, centre lat/lon extent, mean cell area."""
-    x = idx.select(
+    x = idx.selectExpr(
         "h3_res",
         "building_count",
-        cell_lat("h3_index").alias("lat"),
-        cell_lon("h3_index").alias("lon"),
-        cell_area_km2("h3_index").alias("area_km2"),
+        f"{cell_lat_any_sql('h3_index')} AS lat",
+        f"{cell_lon_any_sql('h3_index')} AS lon",
+        f"{cell_area_any_sql('h3_index')} AS area_km2",
     )
     return (
         x.groupBy("h3_res")

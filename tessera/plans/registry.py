@@ -290,9 +290,9 @@ def cell_properties_res8(spark, sf):
         "h3_index",
         grid.cell_res("h3_index").alias("res"),
         grid.cell_to_hex("h3_index").alias("h3_hex"),
-        grid.hex_to_cell(grid.cell_to_hex("h3_index")).alias("from_hex"),
-        grid.cell_lat("h3_index").cast("float").alias("lat"),
-        grid.cell_lon("h3_index").cast("float").alias("lng"),
+        grid.hex_to_cell("lower(hex(h3_index))").alias("from_hex"),
+        F.expr(f"CAST({grid.cell_lat_any_sql('h3_index')} AS FLOAT)").alias("lat"),
+        F.expr(f"CAST({grid.cell_lon_any_sql('h3_index')} AS FLOAT)").alias("lng"),
         grid.cell_area_km2("h3_index").alias("area_km2"),
     )
 
@@ -434,9 +434,9 @@ def snap_cells_per_zoom(spark, sf):
     fp = _fp(spark, sf).select("lon", "lat")
     cells = []
     for z in ZOOMS:
-        sx, sy = snap_cell(F.col("lon"), F.col("lat"), z)
-        cells.append(F.struct(F.lit(z).alias("zoomlevel"), sx.alias("sx"), sy.alias("sy")))
-    x = fp.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        sx, sy = snap_cell(S.D.Sql("lon"), S.D.Sql("lat"), z)
+        cells.append(f"named_struct('zoomlevel', {z}, 'sx', {sx.t}, 'sy', {sy.t})")
+    x = fp.selectExpr(f"inline(array({', '.join(cells)}))")
     return x.groupBy("zoomlevel").agg(F.count_distinct("sx", "sy").alias("n_cells"))
 
 

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.readers import spread
+
 # --- fixed values: fixture formulas ----------------------------------------
 BASE_COLUMNS = {
     "id": "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_partkey AS STRING), "
@@ -69,6 +71,8 @@ def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
         "l_returnflag",
         "l_linestatus",
     )
+    # one row group cannot be split: spread small inputs over the cores
+    li = spread(li)
     su = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey")
     na = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_name")
     return li, su, na
@@ -80,13 +84,13 @@ def footprint_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     # supplier and nation are dimension tables; the planner broadcasts them
     # when their (file-size) statistics are under the broadcast threshold.
     j = li.join(su, li.l_suppkey == su.s_suppkey).join(na, su.s_nationkey == na.n_nationkey)
-    return j.select(*[F.expr(e).alias(k) for k, e in BASE_COLUMNS.items()])
+    return j.selectExpr(*[f"{e} AS {k}" for k, e in BASE_COLUMNS.items()])
 
 
 def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measured footprints: id, tile_id, source, region, lon, lat, area_deg2, height, var."""
     b = footprint_base(spark, sf_dir)
-    return b.select("*", *[F.expr(e).alias(k) for k, e in DERIVED_COLUMNS.items()]).select(*FOOTPRINT_COLUMNS)
+    return b.selectExpr("*", *[f"{e} AS {k}" for k, e in DERIVED_COLUMNS.items()]).select(*FOOTPRINT_COLUMNS)
 
 
 # ---------------------------------------------------------------------------

@@ -34,9 +34,20 @@ def has_success(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def materialize(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a stage to the shared folder (cuts lineage; restartable)."""
+def materialize(df: DataFrame, path: str, mode: str = "overwrite", count: bool = False) -> int | None:
+    """Write a stage to the shared folder (cuts lineage; restartable).
+
+    ``count=True`` returns the rows written, observed during the write
+    itself (no second job over the data).
+    """
+    obs = None
+    if count:
+        from pyspark.sql import Observation
+
+        obs = Observation()
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     df.write.mode(mode).option("compression", COMPRESSION).parquet(path)
+    return int(obs.get["rows"]) if obs is not None else None
 
 
 def checkpointed(df: DataFrame, path: str) -> DataFrame:
