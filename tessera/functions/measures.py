@@ -167,14 +167,107 @@ def measure_one(b: bytes | None) -> tuple[float, float, float] | None:
 # ---------------------------------------------------------------------------
 
 
+def _u32(data: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Little-endian uint32 at byte positions ``pos`` (vectorised)."""
+    b = data[pos[:, None] + np.arange(4)].astype(np.int64)
+    return b[:, 0] | (b[:, 1] << 8) | (b[:, 2] << 16) | (b[:, 3] << 24)
+
+
+def _f64_at(data: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Little-endian doubles at arbitrary byte positions, via eight float64
+    views of the buffer shifted by 0..7 bytes (no per-byte gather)."""
+    out = np.empty(len(pos))
+    rem = pos & 7
+    for k in range(8):
+        m = rem == k
+        if m.any():
+            view = np.frombuffer(data, dtype="<f8", offset=k, count=(len(data) - k) // 8)
+            out[m] = view[(pos[m] - k) >> 3]
+    return out
+
+
+def _polygons_le(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, out) -> np.ndarray:
+    """Measure little-endian POLYGON rows (any number of rings) at once.
+
+    Ring headers are walked one ring index at a time across all rows;
+    vertices of all rings are then gathered into one (V, 2) block and the
+    shoelace sums reduced per ring with ``bincount``. Returns a mask of
+    rows measured here; the rest go to the per-geometry walk.
+    """
+    lon, lat, area = out
+    k = len(starts)
+    ends = starts + lens
+    nr = _u32(data, starts + 5)
+    ok = (nr >= 1) & (nr <= 1 << 20)
+    pos = starts + 9
+    ring_row, ring_k, ring_start, ring_n = [], [], [], []
+    for ring in range(int(nr[ok].max()) if ok.any() else 0):
+        act = np.nonzero(ok & (nr > ring))[0]
+        if not len(act):
+            break
+        short = pos[act] + 4 > ends[act]
+        ok[act[short]] = False
+        act = act[~short]
+        n = _u32(data, pos[act])
+        nxt = pos[act] + 4 + 16 * n
+        bad = nxt > ends[act]
+        ok[act[bad]] = False
+        act, n, nxt = act[~bad], n[~bad], nxt[~bad]
+        ring_row.append(act)
+        ring_k.append(np.full(len(act), ring))
+        ring_start.append(pos[act] + 4)
+        ring_n.append(n)
+        pos[act] = nxt
+    ok &= pos == ends
+    if not ring_row:
+        return np.zeros(k, dtype=bool)
+    rr = np.concatenate(ring_row)
+    rk = np.concatenate(ring_k)
+    rs = np.concatenate(ring_start)
+    rn = np.concatenate(ring_n)
+    keep = ok[rr] & (rn > 0)
+    rr, rk, rs, rn = rr[keep], rk[keep], rs[keep], rn[keep]
+    if not len(rr):
+        return np.zeros(k, dtype=bool)
+    # one (V, 2) block of all vertices
+    v_ring = np.repeat(np.arange(len(rr)), rn)
+    first = np.repeat(np.cumsum(rn) - rn, rn)
+    voff = np.repeat(rs, rn) + 16 * (np.arange(len(v_ring)) - first)
+    xy = np.stack([_f64_at(data, voff), _f64_at(data, voff + 8)], axis=1)
+    # origin: first vertex of each row's shell
+    shell = rk == 0
+    ox = np.zeros(k)
+    oy = np.zeros(k)
+    ox[rr[shell]] = xy[first[np.searchsorted(v_ring, np.nonzero(shell)[0])], 0]
+    oy[rr[shell]] = xy[first[np.searchsorted(v_ring, np.nonzero(shell)[0])], 1]
+    x = xy[:, 0] - ox[rr[v_ring]]
+    y = xy[:, 1] - oy[rr[v_ring]]
+    same = v_ring[:-1] == v_ring[1:]
+    x0, x1, y0, y1 = x[:-1][same], x[1:][same], y[:-1][same], y[1:][same]
+    cross = x0 * y1 - x1 * y0
+    seg_ring = v_ring[:-1][same]
+    nring = len(rr)
+    a2 = np.bincount(seg_ring, weights=cross, minlength=nring)
+    sx = np.bincount(seg_ring, weights=(x0 + x1) * cross, minlength=nring)
+    sy = np.bincount(seg_ring, weights=(y0 + y1) * cross, minlength=nring)
+    w = np.where(rk == 0, 1.0, -1.0)  # shell adds, holes subtract
+    sgn = np.where(a2 >= 0, 1.0, -1.0)
+    area2 = np.bincount(rr, weights=w * np.abs(a2), minlength=k)
+    msx = np.bincount(rr, weights=w * sgn * sx, minlength=k)
+    msy = np.bincount(rr, weights=w * sgn * sy, minlength=k)
+    done = ok & (area2 > 0)
+    idx = np.nonzero(done)[0]
+    lon[idx] = ox[idx] + msx[idx] / (3.0 * area2[idx])
+    lat[idx] = oy[idx] + msy[idx] / (3.0 * area2[idx])
+    area[idx] = area2[idx] / 2.0
+    return done
+
+
 def measure_arrays(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Measure a whole Arrow binary array; returns lon, lat, area, valid."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
-    if pa.types.is_large_binary(arr.type):
-        off_dtype = np.int64
-    else:
-        off_dtype = np.int32
+    off_dtype = np.int64 if pa.types.is_large_binary(arr.type) else np.int32
     n = len(arr)
     lon = np.full(n, np.nan)
     lat = np.full(n, np.nan)
@@ -189,55 +282,25 @@ def measure_arrays(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     starts = offsets[:-1].astype(np.int64)
     lens = (offsets[1:] - offsets[:-1]).astype(np.int64)
 
-    # Fast path: little-endian, plain POLYGON (type 3), one ring, length
-    # consistent with the ring's point count.
-    hdr_ok = valid & (lens >= 13 + 16 * 4)
-    idx = np.nonzero(hdr_ok)[0]
-    fast = np.zeros(n, dtype=bool)
-    if len(idx):
-        s = starts[idx]
-        head = data[s[:, None] + np.arange(13)]
-        bo = head[:, 0]
-        typ = head[:, 1:5].copy().view("<u4").ravel()
-        nring = head[:, 5:9].copy().view("<u4").ravel()
-        npts = head[:, 9:13].copy().view("<u4").ravel().astype(np.int64)
-        good = (bo == 1) & (typ == WKB_POLYGON) & (nring == 1) & (lens[idx] == 13 + 16 * npts)
-        fast[idx[good]] = True
-    fidx = np.nonzero(fast)[0]
-    if len(fidx):
-        flen = lens[fidx]
-        for L in np.unique(flen):
-            rows = fidx[flen == L]
-            k = int((L - 13) // 16)
-            block = data[starts[rows][:, None] + 13 + np.arange(16 * k)]
-            xy = np.ascontiguousarray(block).view("<f8").reshape(len(rows), k, 2)
-            ox = xy[:, 0, 0].copy()
-            oy = xy[:, 0, 1].copy()
-            x = xy[:, :, 0] - ox[:, None]
-            y = xy[:, :, 1] - oy[:, None]
-            x0, x1, y0, y1 = x[:, :-1], x[:, 1:], y[:, :-1], y[:, 1:]
-            cross = x0 * y1 - x1 * y0
-            a2 = cross.sum(axis=1)
-            sx = ((x0 + x1) * cross).sum(axis=1)
-            sy = ((y0 + y1) * cross).sum(axis=1)
-            nz = a2 != 0
-            with np.errstate(invalid="ignore", divide="ignore"):
-                cx = ox + sx / (3.0 * a2)
-                cy = oy + sy / (3.0 * a2)
-            lon[rows[nz]] = cx[nz]
-            lat[rows[nz]] = cy[nz]
-            area[rows[nz]] = np.abs(a2[nz]) / 2.0
-            ok[rows[nz]] = True
-            # zero-area rings fall through to the slow path (vertex mean)
-            fast[rows[~nz]] = False
+    # Vectorised path: little-endian plain POLYGON (type 3), any rings.
+    cand = np.nonzero(valid & (lens >= 13))[0]
+    if len(cand):
+        s = starts[cand]
+        is_poly = (data[s] == 1) & (_u32(data, s + 1) == WKB_POLYGON)
+        rows = cand[is_poly]
+        if len(rows):
+            sub = (np.full(len(rows), np.nan), np.full(len(rows), np.nan), np.full(len(rows), np.nan))
+            done = _polygons_le(data, starts[rows], lens[rows], sub)
+            hit = rows[done]
+            lon[hit], lat[hit], area[hit] = sub[0][done], sub[1][done], sub[2][done]
+            ok[hit] = True
+    # Everything else (multi-part, big-endian, points, degenerate): walk.
     slow = np.nonzero(valid & ~ok)[0]
-    if len(slow):
-        raw = data
-        for i in slow:
-            m = measure_one(raw[starts[i] : starts[i] + lens[i]].tobytes())
-            if m is not None:
-                lon[i], lat[i], area[i] = m
-                ok[i] = True
+    for i in slow:
+        m = measure_one(data[starts[i] : starts[i] + lens[i]].tobytes())
+        if m is not None:
+            lon[i], lat[i], area[i] = m
+            ok[i] = True
     return lon, lat, area, ok
 
 
