@@ -117,7 +117,10 @@ def cell_of(lat: Column | str, lon: Column | str, res: int) -> Column:
         return F.expr(cell_sql(lat, lon, res))  # one JVM call for the whole formula
     lat_c = F.col(lat) if isinstance(lat, str) else lat
     lon_c = F.col(lon) if isinstance(lon, str) else lon
-    return _formula(lat_c, lon_c, res, _inline)
+    # Expression inputs are bound once (a lambda variable) instead of being
+    # copied into every use inside the formula, which would blow up the plan.
+    arr = F.array(F.struct(lat_c.cast("double").alias("lat"), lon_c.cast("double").alias("lon")))
+    return F.element_at(F.transform(arr, lambda x: _formula(x["lat"], x["lon"], res, _inline)), 1)
 
 
 def with_cells(

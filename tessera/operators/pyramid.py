@@ -84,5 +84,9 @@ def build_pyramid(
 
 
 def read_pyramid(spark, root: str) -> DataFrame:
-    """Hive-partitioned scan; ``zoomlevel`` filters prune folders."""
-    return spark.read.parquet(root)
+    """Hive-partitioned scan; ``zoomlevel`` filters prune folders.
+
+    Only ``*.parquet`` files: Spark would otherwise take ``_metadata.json``
+    for a Parquet summary file.
+    """
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(root)

@@ -89,7 +89,8 @@ def read_index(spark: SparkSession, root: str, layout: str = "hive") -> DataFram
     """Index written by :func:`write_index` (``h3_res=N/``) or a foreign
     ``**/data.parquet`` layout whose resolution is in the folder name."""
     if layout == "hive":
-        return spark.read.parquet(root)
+        # *.parquet only: ``_metadata.json`` would pass for a summary file
+        return spark.read.option("pathGlobFilter", "*.parquet").parquet(root)
     df = (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "data.parquet")

@@ -92,7 +92,6 @@ def write_index(idx: DataFrame, path: str, files_per_res: int | None = None) ->
     df = df.repartitionByRange(files_per_res, "h3_res", "h3_index") if files_per_res else df.repartitionByRange(
         "h3_res", "h3_index"
     )
-    spark.conf.set("parquet.block.row.count.limit", str(INDEX_ROW_GROUP))
     (
         df.sortWithinPartitions("h3_res", "h3_index")
         .write.mode("overwrite")
@@ -111,16 +110,17 @@ def write_pyramid(df: DataFrame, path: str, observe_name: str | None = None) ->
     hand), each file sorted by quadkey with 131,072-row groups.
     Returns the observed frame so the row count comes without a re-read.
     """
-    out = df
+    # observe after the exchange: the range-bounds sampling pass would
+    # otherwise be counted as well
+    out = df.repartitionByRange("zoomlevel", "quadkey")
     if observe_name:
         from pyspark.sql import Observation
 
         obs = Observation(observe_name)
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
         write_pyramid.last_observation = obs
     (
-        out.repartitionByRange("zoomlevel", "quadkey")
-        .sortWithinPartitions("zoomlevel", "quadkey")
+        out.sortWithinPartitions("zoomlevel", "quadkey")
         .write.mode("overwrite")
         .option("compression", COMPRESSION)
         .option("parquet.block.row.count.limit", PYRAMID_ROW_GROUP)
@@ -144,4 +144,11 @@ def write_metadata(spark: SparkSession, path: str, meta: dict) -> None:
 
 
 def read_metadata(spark: SparkSession, path: str) -> dict:
-    return json.loads("\n".join(r.value for r in spark.read.text(path).collect()))
+    """Read the small JSON document back (file readers skip ``_``-names)."""
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        raw = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return json.loads(bytes(raw).decode("utf-8"))
