@@ -15,7 +15,8 @@ Plan per pass (no window, no per-group collection)::
 
 Earlier picks are small relative to the points; they are broadcast only
 when their counted row number is under ``broadcast_rows``, otherwise the
-anti join is a sort-merge join on the unique key (uniform, cannot skew).
+anti join is a sort-merge join on a unique LONG surrogate key (uniform,
+cannot skew).
 Every pass writes its picks to the shared checkpoint folder, which cuts
 lineage and lets a rerun resume after the last finished zoom.
 """
@@ -33,7 +34,7 @@ from tessera.functions.tiles import snap_cell
 from tessera.session import checkpoint_root
 from tessera.sources.writers import has_success, materialize
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 4_000_000  # ~32 MB of LONG keys
 
 
 def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
@@ -59,7 +60,10 @@ def zoom_picks(
     workdir = workdir or f"{checkpoint_root(spark)}/thin-{uuid.uuid4().hex}"
     pts_path = f"{workdir}/points"
     if not has_success(spark, pts_path):
-        materialize(points.select(key, lon, lat), pts_path)
+        # A LONG surrogate, fixed once written, carries the anti joins (8-byte
+        # keys broadcast and shuffle far cheaper than string ids); the user's
+        # key still decides which point of a cell wins.
+        materialize(points.select(key, lon, lat, F.monotonically_increasing_id().alias("__sk")), pts_path)
     pts = spark.read.parquet(pts_path)
     picks_root = f"{workdir}/picks"
     done: list[str] = []
@@ -69,10 +73,13 @@ def zoom_picks(
         if not has_success(spark, out):
             rem = pts
             if done:
-                prev = spark.read.parquet(*done).select(key)
-                rem = pts.join(_maybe_broadcast(prev, n_done, broadcast_rows), key, "left_anti")
+                prev = spark.read.parquet(*done).select("__sk")
+                rem = pts.join(_maybe_broadcast(prev, n_done, broadcast_rows), "__sk", "left_anti")
             sx, sy = snap_cell(lon, lat, z)
-            picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(F.min(key).alias(key)).select(key)
+            win = F.min(F.struct(F.col(key).alias("k"), F.col("__sk").alias("sk"))).alias("w")
+            picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(win).select(
+                F.col("w.k").alias(key), F.col("w.sk").alias("__sk")
+            )
             n_done += materialize(picks, out, count=True)
         else:
             n_done += spark.read.parquet(out).count()  # footer metadata only
