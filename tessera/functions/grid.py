@@ -240,6 +240,19 @@ def hex_to_cell(s: str) -> Column:
     return F.expr(f"CAST(conv({s}, 16, 10) AS BIGINT)")
 
 
+# vertex offsets of a cell in (u, v) units, clockwise from the top
+BOUNDARY_OFFSETS = ((0.0, 2 / 3), (0.5, 1 / 3), (0.5, -1 / 3), (0.0, -2 / 3), (-0.5, -1 / 3), (-0.5, 1 / 3))
+
+
+def _vertex_sql(r: str, c: str, n: str, m: str, du: float, dv: float) -> tuple[str, str]:
+    uc = f"({c} + ({r} % 2) / 2.0e0)"
+    v = f"least(greatest({r} + {D._lit_sql(dv)}, 0.0e0), {m})"
+    lon = f"(({uc} + {D._lit_sql(du)}) / {n} * 360.0e0 - 180.0e0)"
+    lon = f"(CASE WHEN {lon} >= 180.0e0 THEN {lon} - 360.0e0 WHEN {lon} < -180.0e0 THEN {lon} + 360.0e0 ELSE {lon} END)"
+    lat = f"(asin(2.0e0 * {v} / {m} - 1.0e0) * {D._lit_sql(RAD2DEG)})"
+    return lon, lat
+
+
 def cell_boundary(cell: str) -> Column:
     """Six boundary vertices as ``array<struct<lon:double, lat:double>>``.
 
@@ -250,18 +263,20 @@ def cell_boundary(cell: str) -> Column:
     c = _name(cell)
     n = _per_res_sql(c, [s.n for s in SPECS])
     m = _per_res_sql(c, [s.m for s in SPECS])
-    r = _row_sql(c)
-    uc = f"({_col_sql(c)} + ({r} % 2) / 2.0e0)"
     pts = []
-    for du, dv in ((0.0, 2 / 3), (0.5, 1 / 3), (0.5, -1 / 3), (0.0, -2 / 3), (-0.5, -1 / 3), (-0.5, 1 / 3)):
-        v = f"least(greatest({r} + {D._lit_sql(dv)}, 0.0e0), {m})"
-        lon = f"(({uc} + {D._lit_sql(du)}) / {n} * 360.0e0 - 180.0e0)"
-        lon = f"(CASE WHEN {lon} >= 180.0e0 THEN {lon} - 360.0e0 WHEN {lon} < -180.0e0 THEN {lon} + 360.0e0 ELSE {lon} END)"
-        lat = f"(asin(2.0e0 * {v} / {m} - 1.0e0) * {D._lit_sql(RAD2DEG)})"
+    for du, dv in BOUNDARY_OFFSETS:
+        lon, lat = _vertex_sql(_row_sql(c), _col_sql(c), n, m, du, dv)
         pts.append(f"named_struct('lon', {lon}, 'lat', {lat})")
     return F.expr("array(" + ", ".join(pts) + ")")
 
 
+def cell_boundary_sql(cell: str, res: int, k: int) -> tuple[str, str]:
+    """(lon, lat) SQL of vertex ``k`` for ids of a known resolution (oracles)."""
+    s = SPECS[res]
+    du, dv = BOUNDARY_OFFSETS[k]
+    return _vertex_sql(_row_sql(cell, spark=False), _col_sql(cell), D._lit_sql(float(s.n)), D._lit_sql(float(s.m)), du, dv)
+
+
 def lat_band_id_range(res: int, lat_lo: float, lat_hi: float) -> tuple[int, int]:
     """Smallest id range holding every cell whose centre lies in the band.
 

@@ -119,6 +119,6 @@ def validate_pyramid(pyr: DataFrame, source_rows: int | None = None) -> DataFram
     spark = pyr.sparkSession
     total = pyr.agg(F.count(F.lit(1)).alias("v")).collect()[0]["v"]
     rows = [("total_rows", int(total), source_rows is None or int(total) == int(source_rows))]
-    for r in zoom_distribution(pyr).collect():
+    for r in zoom_distribution(pyr).collect():  # one row per zoom
         rows.append((f"zoom_{r['zoomlevel']}_rows", int(r["n"]), True))
-    return spark.createDataFrame(rows, "check string, value long, ok boolean")
+    return spark.createDataFrame(rows, "check_name string, value long, ok boolean")

@@ -526,6 +526,165 @@ def pyramid_geometry_types(spark, sf):
     return va.geometry_types(_pyramid(spark, sf))
 
 
+# ---------------------------------------------------------------------------
+# file-based operators: tiles, sinks read back, ledger job, stream (A*, B*, E4, J1)
+# ---------------------------------------------------------------------------
+
+
+def _scratch(spark, name):
+    return th.scratch_dir(spark, name)
+
+
+def _write_tiles(spark, sf, root, where=None):
+    """Fixture buildings as source tiles under ``tile_id=`` folders.
+
+    Range partitioning on (tile_id, id) keeps few files per tile and splits
+    a huge tile over several tasks.
+    """
+    b = fx.buildings(spark, sf).drop("half")
+    if where:
+        b = b.where(where)
+    b.repartitionByRange("tile_id", "id").write.mode("append").partitionBy("tile_id").parquet(root)
+
+
+@register(
+    "source_tiles",
+    lambda: S.with_(S.cte_base(), "SELECT tile_id, count(*) AS rows, 'done' AS status FROM fp GROUP BY tile_id"),
+)
+def source_tiles(spark, sf):
+    """Tiles listed from files, rows per tile, tile status."""
+    from tessera.sources.readers import list_tiles, read_footprints, tile_status
+
+    root = _scratch(spark, "tiles")
+    _write_tiles(spark, sf, root)
+    return tile_status(list_tiles(spark, root), read_footprints(spark, root, ["geometry", "height"]))
+
+
+@register(
+    "index_written_res5",
+    lambda: S.index_query([5], "SELECT " + ", ".join(INDEX_COLUMNS) + " FROM idx"),
+)
+def index_written_res5(spark, sf):
+    """Index written sorted under h3_res=N, read back with pruning."""
+    from tessera.sources.readers import read_index
+    from tessera.sources.writers import write_index
+
+    out = _scratch(spark, "index")
+    write_index(ix.build_index(_fp(spark, sf)), out)
+    return ix.index_res(read_index(spark, out), 5)
+
+
+@register(
+    "incremental_index_job",
+    lambda: S.index_query([3, 5], "SELECT h3_res, " + ", ".join(INDEX_COLUMNS) + " FROM idx"),
+)
+def incremental_index_job(spark, sf):
+    """Tiles arrive in two drops; the ledger job processes only new ones."""
+    from tessera.plans.index_job import run_index_job
+    from tessera.sources.readers import read_index
+
+    root, work, out = _scratch(spark, "tiles"), _scratch(spark, "job"), _scratch(spark, "index")
+    _write_tiles(spark, sf, root, "lon < 0")
+    run_index_job(spark, root, work, out, [3, 5])
+    _write_tiles(spark, sf, root, "lon >= 0")
+    run_index_job(spark, root, work, out, [3, 5])
+    return read_index(spark, out).select("h3_res", *INDEX_COLUMNS)
+
+
+@register("streamed_index_res5", lambda: S.index_query([5]))
+def streamed_index_res5(spark, sf):
+    """Tiles dropped in two batches, streamed (availableNow) into partials, merged."""
+    from tessera.streaming.incremental import merge_stream_partials, start_partials_stream
+
+    root, part, ckpt = _scratch(spark, "incoming"), _scratch(spark, "partials"), _scratch(spark, "stream")
+    schema = fx.buildings(spark, sf).drop("half", "tile_id").schema
+    _write_tiles(spark, sf, root, "lon < 0")
+    start_partials_stream(spark, root, schema, part, ckpt, [5]).awaitTermination()
+    _write_tiles(spark, sf, root, "lon >= 0")
+    start_partials_stream(spark, root, schema, part, ckpt, [5]).awaitTermination()
+    return merge_stream_partials(spark, part)
+
+
+@register(
+    "pyramid_validation",
+    lambda: S.thinning_query(
+        "SELECT 'total_rows' AS check_name, count(*) AS value, TRUE AS ok FROM assign UNION ALL "
+        "SELECT 'zoom_' || CAST(zoomlevel AS VARCHAR) || '_rows' AS check_name, count(*) AS value, TRUE AS ok "
+        "FROM assign GROUP BY zoomlevel"
+    ),
+)
+def pyramid_validation(spark, sf):
+    """Pyramid written per zoom, read back and checked."""
+    from tessera.operators.pyramid import build_pyramid, read_pyramid
+
+    b = fx.buildings(spark, sf).drop("tile_id", "half")
+    out = _scratch(spark, "pyramid")
+    meta = build_pyramid(b, out, DEFAULT_MINZOOM, DEFAULT_MAXZOOM, key="id")
+    return va.validate_pyramid(read_pyramid(spark, out), meta["rows_written"])
+
+
+def _boundary_sql():
+    parts = []
+    for k in range(6):
+        lon, lat = grid.cell_boundary_sql("h3_index", 5, k)
+        parts.append(f"SELECT h3_index, {k} AS vertex, CAST({lon} AS FLOAT) AS lon, CAST({lat} AS FLOAT) AS lat FROM idx")
+    return S.index_query([5], " UNION ALL ".join(parts))
+
+
+@register("cell_boundaries_res5", _boundary_sql)
+def cell_boundaries_res5(spark, sf):
+    """The six boundary vertices of every occupied res-5 cell."""
+    idx = _idx(spark, sf, 5).select("h3_index")
+    v = idx.select("h3_index", F.posexplode(grid.cell_boundary("h3_index")).alias("vertex", "p"))
+    return v.select("h3_index", "vertex", F.col("p.lon").cast("float").alias("lon"), F.col("p.lat").cast("float").alias("lat"))
+
+
+@register(
+    "geoparquet_footer",
+    lambda: S.with_(
+        S.cte_base(),
+        "SELECT '1.1.0' AS version, 'geometry' AS primary_column, 'WKB' AS encoding, count(*) AS rows FROM fp",
+    ),
+)
+def geoparquet_footer(spark, sf):
+    """Pyramid rows written as GeoParquet; footers read in tasks."""
+    from tessera.sources.geoparquet import geo_footer, write_geoparquet
+
+    p = _pyramid(spark, sf)
+    out = _scratch(spark, "geoparquet")
+    write_geoparquet(
+        p.repartitionByRange("zoomlevel", "quadkey").sortWithinPartitions("zoomlevel", "quadkey"),
+        out,
+        partition_by="zoomlevel",
+    )
+    f = geo_footer(spark, out)
+    return f.groupBy("version", "primary_column", "encoding").agg(F.sum("num_rows").alias("rows"))
+
+
+@register(
+    "per_capita_from_files",
+    lambda: S.index_query(
+        [5],
+        f"SELECT b.h3_index, CAST({S.lat_sql(5, 'b.h3_index')} AS FLOAT) AS lat, "
+        f"CAST({S.lon_sql(5, 'b.h3_index')} AS FLOAT) AS lng, "
+        f"b.building_count, p.pop_2025, TRY_CAST(CAST(b.building_count AS FLOAT) / NULLIF(p.pop_2025, 0) "
+        f"AS DECIMAL(6,3)) AS buildings_per_person FROM idx5 b JOIN pop p ON b.h3_index = p.h3_index "
+        f"WHERE p.pop_2025 > 10000 ORDER BY buildings_per_person DESC NULLS LAST, b.h3_index LIMIT 20",
+        name="idx5",
+        extra=[S.POPULATION_CTE],
+    ),
+)
+def per_capita_from_files(spark, sf):
+    """Population side table under scenario=/h3_res= folders, partition-pruned read."""
+    from tessera.sources.readers import read_population
+
+    idx = _idx(spark, sf, 5)
+    root = _scratch(spark, "population")
+    pop = fx.population(idx).withColumn("scenario", F.lit("SSP2")).withColumn("h3_res", F.lit(5))
+    pop.write.partitionBy("scenario", "h3_res").parquet(root)
+    return qx.per_capita(idx, read_population(spark, root, "SSP2", 5), 10000, 20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -221,11 +221,13 @@ def geo_footer(spark: SparkSession, path: str) -> DataFrame:
 
         _register_wkb_type()
         for b in batches:
-            out = {k: [] for k in ("path", "version", "primary_column", "encoding", "geometry_type")}
+            out = {k: [] for k in ("path", "version", "primary_column", "encoding", "geometry_type", "num_rows")}
             for p in b.column("path").to_pylist():
                 fs, local = _fs(p)
                 with fs.open_input_file(local) as fh:
-                    sch = pq.ParquetFile(fh).schema_arrow
+                    pf = pq.ParquetFile(fh)
+                    sch = pf.schema_arrow
+                    nrows = pf.metadata.num_rows
                 geo = json.loads((sch.metadata or {}).get(b"geo", b"{}"))
                 prim = geo.get("primary_column")
                 col = geo.get("columns", {}).get(prim or "", {})
@@ -234,7 +236,8 @@ def geo_footer(spark: SparkSession, path: str) -> DataFrame:
                 out["primary_column"].append(prim)
                 out["encoding"].append(col.get("encoding"))
                 out["geometry_type"].append(str(sch.field(prim).type) if prim and prim in sch.names else None)
+                out["num_rows"].append(nrows)
             yield pa.RecordBatch.from_pydict(out)
 
-    schema = "path string, version string, primary_column string, encoding string, geometry_type string"
+    schema = "path string, version string, primary_column string, encoding string, geometry_type string, num_rows long"
     return files.mapInArrow(read_footers, schema)

@@ -113,7 +113,8 @@ def read_population(spark: SparkSession, root: str, scenario: str = "SSP2", res:
 def tile_status(tiles: DataFrame, df: DataFrame) -> DataFrame:
     """Per listed tile: row count and ``done`` / ``skipped_empty``."""
     counts = df.groupBy("tile_id").agg(F.count(F.lit(1)).alias("rows"))
-    j = tiles.select("tile_id").join(counts, "tile_id", "left")
+    # a tile may span several files (e.g. a Spark-written tile_id= folder)
+    j = tiles.select("tile_id").distinct().join(counts, "tile_id", "left")
     return j.select(
         "tile_id",
         F.coalesce("rows", F.lit(0)).alias("rows"),

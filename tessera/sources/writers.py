@@ -69,7 +69,8 @@ def write_partials(part: DataFrame, path: str) -> None:
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         (
-            part.repartition("h3_res", "tile_id")
+            # range partitioning splits a huge tile over several tasks
+            part.repartitionByRange("h3_res", "tile_id", "h3_index")
             .write.mode("overwrite")
             .option("compression", COMPRESSION)
             .partitionBy("h3_res", "tile_id")

@@ -47,7 +47,7 @@ def test_pyramid_write_validate_metadata(spark, tmpdir_path):
     meta = build_pyramid(b, out, 2, 10, key="id", workdir=f"{tmpdir_path}/work")
     p = read_pyramid(spark, out)
     assert meta["rows_written"] == b.count() == p.count()
-    v = {r["check"]: r for r in validate_pyramid(p, b.count()).collect()}
+    v = {r["check_name"]: r for r in validate_pyramid(p, b.count()).collect()}
     assert v["total_rows"]["ok"]
     assert json.loads(json.dumps(read_metadata(spark, f"{out}/_metadata.json")))["maxzoom"] == 10
     assert p.where("length(quadkey) <> 10").count() == 0
