@@ -145,10 +145,6 @@ def with_cells(
 # ---------------------------------------------------------------------------
 
 
-def _arr(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def _name(cell) -> str:
     if not isinstance(cell, str):
         raise TypeError("pass the cell column by name")

@@ -17,7 +17,6 @@ CPU, a join of two full-size tables costs a shuffle of all the data.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.constants import (
     COMPRESSION,

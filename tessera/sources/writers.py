@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.constants import COMPRESSION, INDEX_COLUMNS, INDEX_ROW_GROUP, PYRAMID_ROW_GROUP
+from tessera.constants import COMPRESSION, INDEX_COLUMNS, INDEX_ROW_GROUP, LARGE_ZOOM_ROWS, PYRAMID_ROW_GROUP
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -125,6 +125,8 @@ def write_pyramid(df: DataFrame, path: str, observe_name: str | None = None) ->
         .write.mode("overwrite")
         .option("compression", COMPRESSION)
         .option("parquet.block.row.count.limit", PYRAMID_ROW_GROUP)
+        # a zoom above the large-zoom threshold is spread over >= 16 files
+        .option("maxRecordsPerFile", LARGE_ZOOM_ROWS // 16)
         .partitionBy("zoomlevel")
         .parquet(path)
     )

@@ -12,7 +12,6 @@ lives in the shared folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.constants import DEFAULT_RESOLUTIONS
 from tessera.functions.measures import with_measures

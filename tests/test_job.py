@@ -52,3 +52,34 @@ def test_tile_listing_and_status(spark, tmpdir_path):
     df = read_footprints(spark, src, ["geometry", "height"])
     st = tile_status(t, df)
     assert st.where("status = 'done'").count() == t.count()
+
+
+def test_row_identity_and_file_counts(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.profile import file_row_counts
+    from tessera.sources.readers import with_row_identity
+
+    src = f"{tmpdir_path}/src"
+    b = _write_tiles(spark, src)
+    df = with_row_identity(spark.read.option("recursiveFileLookup", "true").parquet(src))
+    assert df.select("file_path", "row_index").distinct().count() == b.count()
+    counts = file_row_counts(spark.read.option("recursiveFileLookup", "true").parquet(src))
+    assert counts.agg(F.sum("row_count")).collect()[0][0] == b.count()
+
+
+def test_population_partition_pruning(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from tessera.sources.readers import read_population
+
+    root = f"{tmpdir_path}/pop"
+    rows = [(i, float(i), s, r) for i in range(10) for s in ("SSP1", "SSP2") for r in (4, 5)]
+    spark.createDataFrame(rows, "h3_index long, pop_2025 double, scenario string, h3_res int").write.partitionBy(
+        "scenario", "h3_res"
+    ).parquet(root)
+    p = read_population(spark, root, "SSP2", 5)
+    assert p.count() == 10
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "SSP2" in plan
+    assert p.agg(F.sum("pop_2025")).collect()[0][0] == 45.0
