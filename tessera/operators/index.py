@@ -6,7 +6,7 @@ Plan shape of :func:`build_index` (one scan, one shuffle)::
       -> project measures and per-resolution cell ids (codegen)
       -> explode one row per resolution         (the Expand shape)
       -> partial HashAggregate (map-side combine per task)
-      -> shuffle on (h3_res, h3_index)
+      -> shuffle on h3_index (the id carries the resolution)
       -> final HashAggregate -> derived metrics -> FLOAT at the sink
 
 Partial aggregation makes hot cells harmless: a cell holding a third of all
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tessera.constants import DEFAULT_RESOLUTIONS, INDEX_COLUMNS
 from tessera.functions import dual as D
-from tessera.functions.grid import SPECS, with_cells
+from tessera.functions.grid import SPECS, cell_res_sql, with_cells
 from tessera.functions.measures import footprint_m2
 
 PARTIAL_COLUMNS = (
@@ -56,11 +56,11 @@ def with_building_metrics(df: DataFrame, lat="lat", area="area_deg2", height="he
 
 
 def _exploded_cells(df: DataFrame, resolutions, lat: str, lon: str, keep=()) -> DataFrame:
-    """One row per (building, resolution): ``h3_res, h3_index`` + measures."""
+    """One row per (building, resolution): ``h3_index`` + measures."""
     resolutions = list(resolutions)
     x = with_cells(df, resolutions, lat=lat, lon=lon, prefix="__cell_")
-    pairs = ", ".join(f"named_struct('h3_res', {r}, 'h3_index', __cell_{r})" for r in resolutions)
-    return x.selectExpr(*keep, f"inline(array({pairs}))", "fp_m2", "h", "vol")
+    ids = ", ".join(f"__cell_{r}" for r in resolutions)
+    return x.selectExpr(*keep, f"explode(array({ids})) AS h3_index", "fp_m2", "h", "vol")
 
 
 SUMS_SQL = (
@@ -129,7 +129,9 @@ def metrics_sql(compat_std: bool = False, area: str | None = None) -> list[str]:
 
 
 def _finish(agg: DataFrame, compat_std: bool) -> DataFrame:
-    return agg.selectExpr("CAST(h3_res AS INT) AS h3_res", "h3_index", *metrics_sql(compat_std))
+    """Derived metrics; the resolution is read back from the id."""
+    x = agg.selectExpr(f"{cell_res_sql('h3_index')} AS h3_res", "*")
+    return x.selectExpr("h3_res", "h3_index", *metrics_sql(compat_std))
 
 
 def build_index(
@@ -148,7 +150,10 @@ def build_index(
     """
     x = with_building_metrics(df, lat=lat, area=area, height=height, keep=[lat, lon])
     cells = _exploded_cells(x, resolutions, lat, lon)
-    return _finish(cells.groupBy("h3_res", "h3_index").agg(*_sums()), compat_std)
+    # The id carries the resolution, so the cell id alone is the key: the
+    # output is hash-partitioned on h3_index and a later join or aggregate
+    # on the cell reuses that partitioning instead of shuffling again.
+    return _finish(cells.groupBy("h3_index").agg(*_sums()), compat_std)
 
 
 def partials(
@@ -169,9 +174,9 @@ def partials(
         df, lat=lat, area=area, height=height, keep=[f"CAST({tile_col} AS STRING) AS tile_id", lat, lon]
     )
     cells = _exploded_cells(x, resolutions, lat, lon, keep=("tile_id",))
-    agg = cells.groupBy("h3_res", "tile_id", "h3_index").agg(*_sums())
+    agg = cells.groupBy("tile_id", "h3_index").agg(*_sums())
     return agg.selectExpr(
-        "CAST(h3_res AS INT) AS h3_res",
+        f"{cell_res_sql('h3_index')} AS h3_res",
         "tile_id",
         "h3_index",
         "CAST(n AS INT) AS building_count",
@@ -191,8 +196,8 @@ def merge_partials(part: DataFrame, compat_std: bool = False, dedup: bool = Fals
     for the same (res, tile, cell), e.g. a tile written twice.
     """
     if dedup:
-        part = part.dropDuplicates(["h3_res", "tile_id", "h3_index"])
-    agg = part.groupBy("h3_res", "h3_index").agg(
+        part = part.dropDuplicates(["tile_id", "h3_index"])
+    agg = part.groupBy("h3_index").agg(
         *[
             F.expr(e)
             for e in (
