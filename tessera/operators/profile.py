@@ -98,15 +98,17 @@ SUMMARY_COLUMNS = (
 
 
 def source_distribution(df: DataFrame, by: str = "source") -> DataFrame:
-    """Rows per source with their share of all rows (percent, FLOAT)."""
+    """Rows per source with their share of all rows (percent, FLOAT).
+
+    The share uses ``sum(n) OVER ()`` on the grouped frame, which has one
+    row per source (a handful), never on the rows themselves.
+    """
+    from pyspark.sql import Window
+
     per = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    # The grouped frame has one row per source; the total is a one-row
-    # aggregate of it, joined as a broadcast of exactly one row.
-    total = per.agg(F.sum("n").alias("__total"))
-    return (
-        per.crossJoin(F.broadcast(total))
-        .select(by, "n", (F.col("n") * 100.0 / F.col("__total")).cast("float").alias("pct"))
-        .orderBy(F.col("n").desc(), by)
+    total = F.sum("n").over(Window.partitionBy())
+    return per.select(by, "n", (F.col("n") * 100.0 / total).cast("float").alias("pct")).orderBy(
+        F.col("n").desc(), by
     )
 
 

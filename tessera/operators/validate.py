@@ -33,10 +33,13 @@ def quarantine_counts(measured: DataFrame, cols=("lon", "lat", "area_deg2")) ->
 
 def consistency(idx: DataFrame) -> DataFrame:
     """Buildings per resolution and the max - min spread (should be 0)."""
+    from pyspark.sql import Window
+
     per = idx.groupBy("h3_res").agg(F.sum("building_count").cast("long").alias("total_buildings"))
-    spread = per.agg((F.max("total_buildings") - F.min("total_buildings")).alias("max_diff"))
-    # ``spread`` is one row by construction.
-    return per.crossJoin(F.broadcast(spread)).orderBy("h3_res")
+    # ``per`` has one row per resolution (at most 16): a global window is fine
+    w = Window.partitionBy()
+    spread = F.max("total_buildings").over(w) - F.min("total_buildings").over(w)
+    return per.select("h3_res", "total_buildings", spread.alias("max_diff")).orderBy("h3_res")
 
 
 def resolution_stats(idx: DataFrame) -> DataFrame:

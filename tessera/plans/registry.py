@@ -332,8 +332,8 @@ def height_summary(spark, sf):
     "source_distribution",
     lambda: S.with_(
         S.cte_base(),
-        "SELECT source, n, CAST(n * 100.0e0 / total AS FLOAT) AS pct FROM "
-        "(SELECT source, count(*) AS n FROM fp GROUP BY source) CROSS JOIN (SELECT count(*) AS total FROM fp)",
+        "SELECT source, count(*) AS n, CAST(count(*) * 100.0e0 / sum(count(*)) OVER () AS FLOAT) AS pct "
+        "FROM fp GROUP BY source",
     ),
 )
 def source_distribution(spark, sf):

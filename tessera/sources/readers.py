@@ -55,8 +55,8 @@ def list_tiles(spark: SparkSession, path: str, recursive: bool = True) -> DataFr
 def dry_run(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
     """Count of tiles plus the first ``n`` paths (the preview of a run)."""
     t = list_tiles(spark, path)
-    total = t.agg(F.count(F.lit(1)).alias("n_tiles"))
-    return t.limit(n).crossJoin(F.broadcast(total))
+    n_tiles = t.count()  # file metadata only
+    return t.limit(n).withColumn("n_tiles", F.lit(n_tiles))
 
 
 def read_footprints(spark: SparkSession, path: str, columns=None, hive: bool = False) -> DataFrame:
