@@ -27,7 +27,13 @@ from tessera.constants import (
 )
 from tessera.functions.measures import with_measures
 from tessera.functions.tiles import with_quadkey
-from tessera.operators.thinning import DEFAULT_BROADCAST_ROWS, attach_zoom, scratch_dir, zoom_picks
+from tessera.operators.thinning import (
+    ATTACH_BROADCAST_ROWS,
+    DEFAULT_BROADCAST_ROWS,
+    attach_zoom,
+    scratch_dir,
+    zoom_picks,
+)
 from tessera.sources.writers import write_metadata, write_pyramid
 
 
@@ -44,7 +50,7 @@ def pyramid_frame(
     workdir = workdir or scratch_dir(src.sparkSession, "pyramid")
     cent = with_measures(src.select(key, geometry), geometry).select(key, "lon", "lat")
     picks = zoom_picks(cent, minzoom, maxzoom, key, workdir=workdir, broadcast_rows=broadcast_rows)
-    out = attach_zoom(src, picks, maxzoom, key, broadcast_rows)
+    out = attach_zoom(src, picks, maxzoom, key, min(broadcast_rows, ATTACH_BROADCAST_ROWS))
     out = with_quadkey(with_measures(out, geometry, prefix="__c_"), "__c_lon", "__c_lat", maxzoom)
     rest = [c for c in src.columns if c != key]
     return out.select("zoomlevel", "quadkey", key, *rest)

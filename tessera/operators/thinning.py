@@ -34,7 +34,8 @@ from tessera.functions.tiles import snap_cell
 from tessera.session import checkpoint_root
 from tessera.sources.writers import has_success, materialize
 
-DEFAULT_BROADCAST_ROWS = 4_000_000  # ~32 MB of LONG keys
+DEFAULT_BROADCAST_ROWS = 4_000_000  # ~32 MB of LONG surrogate keys
+ATTACH_BROADCAST_ROWS = 1_000_000  # picks carry the caller's (string) key here
 
 
 def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
@@ -97,13 +98,15 @@ def attach_zoom(
     picks: DataFrame,
     maxzoom: int = DEFAULT_MAXZOOM,
     key: str = "id",
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_rows: int = ATTACH_BROADCAST_ROWS,
     picks_rows: int | None = None,
 ) -> DataFrame:
     """Source rows with their ``zoomlevel``: picked zoom, else maxzoom.
 
     A left join against the picks only (a small fraction of the rows)
-    instead of an inner join against a full assignment table.
+    instead of an inner join against a full assignment table. The picks
+    are broadcast while their counted rows are under ``broadcast_rows``;
+    beyond that it is a sort-merge join on the unique key.
     """
     n = picks.count() if picks_rows is None else picks_rows
     j = df.join(_maybe_broadcast(picks, n, broadcast_rows), key, "left")
@@ -122,7 +125,7 @@ def assign_zoom(
 ) -> DataFrame:
     """``(key, zoomlevel)`` for every point (T1 as a whole)."""
     picks = zoom_picks(points, minzoom, maxzoom, key, lon, lat, workdir, broadcast_rows)
-    return attach_zoom(points.select(key), picks, maxzoom, key, broadcast_rows)
+    return attach_zoom(points.select(key), picks, maxzoom, key, min(broadcast_rows, ATTACH_BROADCAST_ROWS))
 
 
 def zoom_assignment_counters(assign: DataFrame) -> DataFrame:
