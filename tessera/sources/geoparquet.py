@@ -25,7 +25,14 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 GEO_VERSION = "1.1.0"
 
@@ -172,15 +179,115 @@ class GeoParquetWriter(DataSourceArrowWriter):
         fs.delete_dir_contents(f"{base}/_temporary/{self.job}", missing_dir_ok=True)
 
 
+def _list_parquet(path: str) -> list[str]:
+    """Parquet files under ``path`` (file metadata only), sorted."""
+    from pyarrow import fs as pafs
+
+    fs, base = _fs(path)
+    info = fs.get_file_info(base)
+    if info.type == pafs.FileType.File:
+        return [base]
+    sel = pafs.FileSelector(base, recursive=True)
+    return sorted(
+        i.path for i in fs.get_file_info(sel)
+        if i.type == pafs.FileType.File and i.base_name.endswith(".parquet") and "/_" not in i.path[len(base):]
+    )
+
+
+def _hive_keys(base: str, file: str) -> dict[str, str]:
+    rel = file[len(base):].strip("/").split("/")[:-1]
+    return dict(part.split("=", 1) for part in rel if "=" in part)
+
+
+_DDL = {"int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float": "float",
+        "double": "double", "string": "string", "large_string": "string", "bool": "boolean",
+        "binary": "binary", "large_binary": "binary"}
+
+
+def _ddl(t: pa.DataType) -> str:
+    if isinstance(t, pa.ExtensionType):
+        return "binary"
+    return _DDL.get(str(t), "string")
+
+
+class _FilePartition(InputPartition):
+    def __init__(self, file: str):
+        super().__init__(file)
+        self.file = file
+
+
+class GeoParquetReader(DataSourceReader):
+    """One partition per file; PyArrow reads it inside the task."""
+
+    def __init__(self, options: dict, schema):
+        self.path = options.get("path")
+        self.schema = schema
+
+    def partitions(self):
+        return [_FilePartition(f) for f in _list_parquet(self.path)]
+
+    def read(self, partition):
+        import pyarrow.parquet as pq
+
+        _register_wkb_type()
+        fs, base = _fs(self.path)
+        keys = _hive_keys(base, partition.file)
+        names = [f.name for f in self.schema.fields]
+        with fs.open_input_file(partition.file) as fh:
+            pf = pq.ParquetFile(fh)
+            file_cols = [n for n in names if n in pf.schema_arrow.names]
+            for batch in pf.iter_batches(columns=file_cols):
+                cols = []
+                for n, f in zip(names, self.schema.fields):
+                    if n in file_cols:
+                        c = batch.column(n)
+                        if isinstance(c.type, pa.ExtensionType):
+                            c = c.storage
+                        cols.append(c)
+                    else:
+                        raw = keys.get(n)
+                        typ = pa.int32() if f.dataType.simpleString() == "int" else pa.string()
+                        cols.append(pa.array([None if raw is None else (int(raw) if typ == pa.int32() else raw)] * batch.num_rows, typ))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+
 class GeoParquetDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
         return "geoparquet"
 
+    def schema(self):
+        """From the first file's footer (geometry as binary) plus folder keys."""
+        import pyarrow.parquet as pq
+
+        _register_wkb_type()
+        path = self.options.get("path")
+        files = _list_parquet(path)
+        if not files:
+            raise FileNotFoundError(path)
+        fs, base = _fs(path)
+        with fs.open_input_file(files[0]) as fh:
+            sch = pq.ParquetFile(fh).schema_arrow
+        cols = [f"`{f.name}` {_ddl(f.type)}" for f in sch]
+        for k, v in _hive_keys(base, files[0]).items():
+            if k not in sch.names:
+                cols.append(f"`{k}` {'int' if v.lstrip('-').isdigit() else 'string'}")
+        return ", ".join(cols)
+
+    def reader(self, schema):
+        return GeoParquetReader(self.options, schema)
+
     def writer(self, schema, overwrite: bool):
         return GeoParquetWriter(self.options, overwrite)
 
 
+def read_geoparquet(spark: SparkSession, path: str) -> DataFrame:
+    """Read GeoParquet (GEOMETRY logical type or WKB) as a DataFrame; the
+    geometry comes back as WKB ``binary``, folder keys as columns."""
+    register(spark)
+    return spark.read.format("geoparquet").load(path)
+
+
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(GeoParquetDataSource)
 
@@ -241,3 +348,13 @@ def geo_footer(spark: SparkSession, path: str) -> DataFrame:
 
     schema = "path string, version string, primary_column string, encoding string, geometry_type string, num_rows long"
     return files.mapInArrow(read_footers, schema)
+
+
+def write_index_v1(idx: DataFrame, path: str) -> None:
+    """v1 layout per resolution: hex id, centre POINT (native GEOMETRY), lat,
+    lon, area and the metrics, range partitioned and sorted by cell."""
+    from tessera.operators.queries import to_v1
+
+    v1 = to_v1(idx.repartitionByRange("h3_res", "h3_index").sortWithinPartitions("h3_res", "h3_index"))
+    v1 = v1.withColumn("h3_res", (F.expr("CAST(conv(h3_index, 16, 10) AS BIGINT)") / (1 << 52)).cast("int"))
+    write_geoparquet(v1, path, partition_by="h3_res", row_group_size=1_000_000, geometry_types=("Point",))

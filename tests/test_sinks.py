@@ -9,7 +9,7 @@ from tessera.operators import index as ix
 from tessera.operators.pyramid import build_pyramid, read_pyramid
 from tessera.operators.validate import validate_pyramid
 from tessera.sources import fixtures as fx
-from tessera.sources.geoparquet import geo_footer, write_geoparquet
+from tessera.sources.geoparquet import geo_footer, read_geoparquet, write_geoparquet
 from tessera.sources.readers import read_index
 from tessera.sources.writers import read_metadata, write_index, write_partials
 
@@ -71,3 +71,33 @@ def test_geoparquet_sink_and_footer(spark, tmpdir_path):
     assert n == b.count()
     f = geo_footer(spark, out).collect()
     assert f and all(r["version"] == "1.1.0" and r["encoding"] == "WKB" and r["primary_column"] == "geometry" for r in f)
+
+
+def test_geoparquet_read_back(spark, tmpdir_path):
+    from tessera.functions.measures import with_measures
+
+    b = fx.buildings(spark, SF_SMALL).drop("tile_id").withColumnRenamed("half", "zoomlevel")
+    out = f"{tmpdir_path}/geo2"
+    write_geoparquet(b.repartition(3), out, partition_by="zoomlevel")
+    back = read_geoparquet(spark, out)
+    assert dict(back.dtypes)["geometry"] == "binary" and dict(back.dtypes)["zoomlevel"] == "int"
+    assert back.count() == b.count()
+    got = sorted(map(tuple, with_measures(back).select("id", "zoomlevel", "lon", "lat").collect()))
+    exp = sorted(map(tuple, with_measures(b).select("id", "zoomlevel", "lon", "lat").collect()))
+    assert got == exp
+
+
+def test_index_v1_geoparquet(spark, tmpdir_path):
+    import duckdb
+
+    from tessera.sources.geoparquet import write_index_v1
+
+    idx = ix.build_index(fx.footprints(spark, SF_SMALL), [3, 5])
+    out = f"{tmpdir_path}/v1"
+    write_index_v1(idx, out)
+    types = dict((r[0], r[1]) for r in duckdb.sql(
+        f"describe select * from read_parquet('{out}/**/*.parquet', hive_partitioning=true)").fetchall())
+    assert types["geometry"] == "GEOMETRY" and types["h3_index"] == "VARCHAR" and types["lat"] == "FLOAT"
+    back = read_geoparquet(spark, out)
+    assert back.count() == idx.count()
+    assert {r[0] for r in back.select("h3_res").distinct().collect()} == {3, 5}
