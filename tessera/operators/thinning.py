@@ -61,11 +61,14 @@ def zoom_picks(
     workdir = workdir or f"{checkpoint_root(spark)}/thin-{uuid.uuid4().hex}"
     pts_path = f"{workdir}/points"
     if not has_success(spark, pts_path):
-        # A LONG surrogate, fixed once written, carries the anti joins (8-byte
-        # keys broadcast and shuffle far cheaper than string ids); the user's
-        # key still decides which point of a cell wins.
-        materialize(points.select(key, lon, lat, F.monotonically_increasing_id().alias("__sk")), pts_path)
-    pts = spark.read.parquet(pts_path)
+        # Range-partition and sort by the key once, then number the rows:
+        # monotonically_increasing_id() grows with the key, so min(__sk) per
+        # cell is the smallest key, and every pass works on 8-byte LONGs
+        # (hash aggregate, cheap broadcast/shuffle) instead of the key.
+        ordered = points.select(key, lon, lat).repartitionByRange(key).sortWithinPartitions(key)
+        materialize(ordered.withColumn("__sk", F.monotonically_increasing_id()), pts_path)
+    pts_all = spark.read.parquet(pts_path)
+    pts = pts_all.select("__sk", lon, lat)
     picks_root = f"{workdir}/picks"
     done: list[str] = []
     n_done = 0
@@ -77,10 +80,7 @@ def zoom_picks(
                 prev = spark.read.parquet(*done).select("__sk")
                 rem = pts.join(_maybe_broadcast(prev, n_done, broadcast_rows), "__sk", "left_anti")
             sx, sy = snap_cell(lon, lat, z)
-            win = F.min(F.struct(F.col(key).alias("k"), F.col("__sk").alias("sk"))).alias("w")
-            picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(win).select(
-                F.col("w.k").alias(key), F.col("w.sk").alias("__sk")
-            )
+            picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(F.min("__sk").alias("__sk")).select("__sk")
             n_done += materialize(picks, out, count=True)
         else:
             n_done += spark.read.parquet(out).count()  # footer metadata only
@@ -88,8 +88,12 @@ def zoom_picks(
     if not done:
         return spark.createDataFrame([], f"{key} string, zoomlevel int").select(key, "zoomlevel")
     # Hive-style zoomlevel=z folders: the zoom comes back as a partition column.
-    return spark.read.option("basePath", picks_root).parquet(*done).select(
-        key, F.col("zoomlevel").cast("int").alias("zoomlevel")
+    picked = spark.read.option("basePath", picks_root).parquet(*done).select(
+        "__sk", F.col("zoomlevel").cast("int").alias("zoomlevel")
+    )
+    # back to the caller's key: picks are few, LONG-keyed, broadcast when counted small
+    return pts_all.select("__sk", key).join(_maybe_broadcast(picked, n_done, broadcast_rows), "__sk").select(
+        key, "zoomlevel"
     )
 
 
