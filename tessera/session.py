@@ -20,11 +20,13 @@ def get_spark(master: str = "local[8]", app: str = "tessera", **extra: str) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
     )
+    if master.startswith("local"):
+        # local runs: one shuffle partition per core; clusters keep their own
+        b = b.config("spark.sql.shuffle.partitions", master[6:-1] if master[6:-1].isdigit() else "8")
     for k, v in extra.items():
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()
