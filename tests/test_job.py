@@ -83,3 +83,26 @@ def test_population_partition_pruning(spark, tmpdir_path):
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "SSP2" in plan
     assert p.agg(F.sum("pop_2025")).collect()[0][0] == 45.0
+
+
+def test_empty_tile_and_bad_geometry(spark, tmpdir_path):
+    import pytest
+
+    from tessera.plans.index_job import read_ledger
+
+    src, work, out = f"{tmpdir_path}/src", f"{tmpdir_path}/work", f"{tmpdir_path}/out"
+    b = fx.buildings(spark, SF_SMALL).drop("half")
+    one = b.where("tile_id = '-35_-11'")
+    one.write.partitionBy("tile_id").parquet(src)
+    schema = b.drop("tile_id").schema
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{src}/tile_id=empty")
+    bad = spark.createDataFrame([("bad", "x", "y", 5.0, 0.0, bytearray(b"\x01\x03\x00"))], schema)
+    bad.coalesce(1).write.parquet(f"{src}/tile_id=broken")
+    with pytest.raises(ValueError):
+        run_index_job(spark, src, f"{tmpdir_path}/strict", out, resolutions=[5], strict=True)
+    run_index_job(spark, src, work, out, resolutions=[5])
+    led = {r["tile_id"]: r for r in read_ledger(spark, f"{work}/ledger").collect()}
+    assert led["empty"]["status"] == "skipped_empty"
+    assert led["broken"]["status"] == "done" and led["broken"]["rejected"] == 1
+    got = read_index(spark, out).agg({"building_count": "sum"}).collect()[0][0]
+    assert got == one.count()
