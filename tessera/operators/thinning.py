@@ -113,6 +113,8 @@ def attach_zoom(
     beyond that it is a sort-merge join on the unique key.
     """
     n = picks.count() if picks_rows is None else picks_rows
+    if dict(picks.dtypes).get(key) in ("bigint", "int"):
+        broadcast_rows = max(broadcast_rows, DEFAULT_BROADCAST_ROWS)  # 8-byte keys
     j = df.join(_maybe_broadcast(picks, n, broadcast_rows), key, "left")
     return j.withColumn("zoomlevel", F.coalesce(F.col("zoomlevel"), F.lit(maxzoom)).cast("int"))
 

@@ -85,6 +85,26 @@ def with_row_identity(df: DataFrame) -> DataFrame:
     )
 
 
+def with_row_key(df: DataFrame, name: str = "row_key", max_files: int = 1_000_000) -> DataFrame:
+    """LONG row identity ordered like (file path, row in file): the ordinal
+    of the file in sorted path order << 32 | row index.
+
+    Use directly on a file scan. The file table has one row per file
+    (metadata scale, counted before it is broadcast); numbering it is a
+    window over that small table only.
+    """
+    from pyspark.sql import Window
+
+    x = df.withColumn("__fp", F.col("_metadata.file_path")).withColumn("__ri", F.col("_metadata.row_index"))
+    files = x.select("__fp").distinct()
+    n = files.count()
+    if n > max_files:
+        raise ValueError(f"{n} files: too many to number on one task")
+    ordinals = files.select("__fp", (F.row_number().over(Window.orderBy("__fp")) - 1).cast("long").alias("__fo"))
+    j = x.join(F.broadcast(ordinals), "__fp")
+    return j.withColumn(name, F.shiftleft(F.col("__fo"), 32) + F.col("__ri")).drop("__fp", "__ri", "__fo")
+
+
 def read_index(spark: SparkSession, root: str, layout: str = "hive") -> DataFrame:
     """Index written by :func:`write_index` (``h3_res=N/``) or a foreign
     ``**/data.parquet`` layout whose resolution is in the folder name."""
