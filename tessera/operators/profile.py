@@ -119,11 +119,13 @@ def top_regions(df: DataFrame, n: int = 20, by: str = "region") -> DataFrame:
 def sample_rows(df: DataFrame, n: int = 5, seed: int = 42, key: str = "id", drop=("geometry",)) -> DataFrame:
     """Exactly ``n`` pseudo-random rows, repeatable for a seed, no geometry.
 
-    Ordering by a seeded hash of the key is a top-n (bounded heap per
+    Rows are ranked by ``md5(key || ':' || seed)`` (the same digest in any
+    SQL engine) and the first ``n`` kept: a top-n (a bounded heap per
     task), not a global sort.
     """
     cols = [c for c in df.columns if c not in set(drop)]
-    return df.select(*cols).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    rank = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    return df.select(*cols).orderBy(rank, key).limit(n)
 
 
 def describe_schema(df: DataFrame) -> DataFrame:
