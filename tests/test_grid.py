@@ -57,3 +57,27 @@ def test_lat_band_range_covers_band(spark):
     lo, hi = grid.lat_band_id_range(6, 20.0, 35.0)
     c = pts.select(grid.cell_of("lat", "lon", 6).alias("c"))
     assert c.where(f"c < {lo} OR c > {hi}").count() == 0
+
+
+def test_boundary_surrounds_centre_and_tiles(spark):
+    pts = spark.range(0, 3000).selectExpr(
+        "((id * 7919) % 34000) / 100.0e0 - 170.0e0 AS lon", "((id * 104729) % 14000) / 100.0e0 - 70.0e0 AS lat"
+    )
+    cells = pts.select(grid.cell_of("lat", "lon", 6).alias("c")).distinct()
+    rows = cells.select(
+        "c", grid.cell_lat("c").alias("clat"), grid.cell_lon("c").alias("clon"), grid.cell_boundary("c").alias("b")
+    ).collect()
+    for r in rows:
+        lats = [v["lat"] for v in r["b"]]
+        lons = [v["lon"] for v in r["b"]]
+        assert min(lats) < r["clat"] < max(lats)
+        assert min(lons) < r["clon"] < max(lons)
+    # every point lies in the cell whose boundary box contains it
+    check = pts.select("lat", "lon", grid.cell_of("lat", "lon", 6).alias("c")).select(
+        "lat", "lon", grid.cell_boundary("c").alias("b")
+    ).collect()
+    for r in check:
+        lats = [v["lat"] for v in r["b"]]
+        lons = [v["lon"] for v in r["b"]]
+        assert min(lats) - 1e-9 <= r["lat"] <= max(lats) + 1e-9
+        assert min(lons) - 1e-9 <= r["lon"] <= max(lons) + 1e-9
