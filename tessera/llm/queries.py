@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, packing
+from tessera.llm import bpe, exact_dedup, ngram_join, packing
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", packing.ids_crc32().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "cost")
 
 
+@register("op5_ngram_join")
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near copies of every document."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again from its ids."""
@@ -49,6 +55,20 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register(
+    "op10_exact_dedup",
+    r"""
+    WITH normal AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+    FROM normal WINDOW same AS (PARTITION BY t)
+    """,
+)
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document."""
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

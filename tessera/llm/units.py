@@ -17,7 +17,7 @@ import numpy as np
 from tessera.llm.common import ranges
 
 #: Unicode white space (fixed values of the White_Space property).
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = rf"[{SPACE}]*[^\W\d_]+(?=[.,{SPACE}]|\Z)|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 CUT = rf"(?<=[^{SPACE}])(?=[{SPACE}])"
 #: Distinct units kept in a task before the table starts afresh, and characters cut at a time.
