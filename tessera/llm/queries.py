@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, ngram_join, packing
-from tessera.llm.common import table
+from tessera.llm import bpe, exact_dedup, ngram_join, packing, quality, secrets, toxicity
+from tessera.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, learnt outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), fold() != 2)
+    out = toxicity.severity(docs, model)
+    return out.select("doc_id", (fold() == 2).alias("held_out"), "score", "expected_severity", "grade", (F.col("score") >= 0.5).alias("toxic"))
+
+
 @register("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, packed into sequences of 2048 ids."""
@@ -43,6 +52,25 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt outside the held-out fold."""
+    out = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold() != 2)
+    return out.select("doc_id", (fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@register("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    rows = secrets.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
+    return rows.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), count(3).alias("n_random"),
+    )
+
+
 @register("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and decoded again from its ids."""
