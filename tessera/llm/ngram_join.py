@@ -331,9 +331,8 @@ def _links(sets: DataFrame, num: int, den: int, stars: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component, with all
-    their columns; rows that share an id and a text are one row."""
+    """The rows of ``docs`` with the first id of their component, with all
+    their columns. Rows that share an id stay if one of them does."""
     found = near_duplicates(docs, doc_id, text, **options)
     kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    joined = docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["__id"]), "left_semi")
-    return joined
+    return docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["__id"]), "left_semi")

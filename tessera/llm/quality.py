@@ -167,3 +167,22 @@ def quality_scores(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str
     """
     stats = stored(with_statistics(docs, doc_id, text), "statistics")
     return score(stats, fit(labelled(stats, labels, keep, label=label))).select("doc_id", "score")
+
+
+def learnt(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Discriminant | None:
+    """The discriminant of the labelled rows of ``docs`` that ``keep`` lets in."""
+    return fit(labelled(with_statistics(docs, doc_id, text), labels, keep, label=label))
+
+
+def accepted(docs: DataFrame, model: Discriminant | None, threshold: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores ``threshold`` or more, with all
+    their columns and in place: nothing is shuffled. Without a model all stay."""
+    if model is None:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            odds = model.log_odds(np.array([statistics(t) for t in texts_of(batch, text)]))
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, exact_dedup, ngram_join, packing, quality, secrets, toxicity
+from tessera.llm import bpe, chat_trees, exact_dedup, line_rules, ngram_join, packing, quality, secrets, toxicity, url_lists
 from tessera.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def packed_pieces(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", packing.ids_crc32().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "cost")
+
+
 @register("op1_toxicity")
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document, learnt outside the held-out fold."""
@@ -39,11 +43,99 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold() == 2).alias("held_out"), "score", "expected_severity", "grade", (F.col("score") >= 0.5).alias("toxic"))
 
 
+#: Fetch days and the list's history, from the pages: the tables have neither. A page is
+#: fetched on a day that its id gives; every host, the domain above it and every URL are added,
+#: removed and, where that falls in, added again on days that their first page's id gives.
+PAGES_SQL = r"""
+    WITH links AS (
+      SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 7919 % 730 AS INTEGER) AS fetched_on,
+             regexp_replace(lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@|:[0-9]*$', '')), '[.]$', '') AS host,
+             regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path
+      FROM pages),
+    keys AS (
+      SELECT 'host' AS kind, host AS key, min(page_id) AS first FROM links WHERE host <> '' GROUP BY host
+      UNION ALL
+      SELECT 'domain', regexp_replace(host, '^[^.]*[.]', ''), min(page_id) FROM links WHERE host LIKE '%.%.%.%' GROUP BY 2
+      UNION ALL
+      SELECT 'url', host || CASE WHEN path = '' THEN '/' ELSE path END, min(page_id) FROM links WHERE host <> '' GROUP BY 2),
+    days AS (
+      SELECT kind, key, first * 37 % 600 AS a, first * 37 % 600 + 20 + first % 90 AS b, first * 37 % 600 + 150 + first % 300 AS c FROM keys),
+    entries AS (
+      SELECT kind, key, DATE '2024-01-01' + CAST(a AS INTEGER) AS day, TRUE AS added FROM days
+      UNION ALL SELECT kind, key, DATE '2024-01-01' + CAST(b AS INTEGER), FALSE FROM days
+      UNION ALL SELECT kind, key, DATE '2024-01-01' + CAST(c AS INTEGER), TRUE FROM days WHERE c < 730)
+"""
+OP2_SQL = (
+    PAGES_SQL
+    + r""",
+    spells AS (
+      SELECT kind, key, day AS since, added,
+             coalesce(lead(day) OVER (PARTITION BY kind, key ORDER BY day), DATE '9999-12-31') AS until FROM entries),
+    asked AS (
+      SELECT page_id, fetched_on, 'url' AS kind, host || CASE WHEN path = '' THEN '/' ELSE path END AS key FROM links WHERE host <> ''
+      UNION ALL SELECT page_id, fetched_on, 'host', host FROM links WHERE host <> ''
+      UNION ALL
+      SELECT page_id, fetched_on, 'domain', array_to_string(string_split(host, '.')[k:], '.')
+      FROM (SELECT *, unnest(range(1, len(string_split(host, '.')))) AS k FROM links WHERE host <> '')),
+    hits AS (
+      SELECT a.page_id, s.kind, s.key, s.since,
+             row_number() OVER (PARTITION BY a.page_id ORDER BY list_position(['domain', 'host', 'url'], s.kind) DESC, length(s.key) DESC) AS n
+      FROM asked a JOIN spells s ON a.kind = s.kind AND a.key = s.key AND s.added AND s.since <= a.fetched_on AND a.fetched_on < s.until)
+    SELECT l.page_id, CAST(l.fetched_on AS VARCHAR) AS fetched_on, h.page_id IS NOT NULL AS blocked, coalesce(c.n, 0) AS n_active,
+           h.kind AS matched_kind, h.key AS matched_key, CAST(h.since AS VARCHAR) AS active_since
+    FROM links l LEFT JOIN hits h ON l.page_id = h.page_id AND h.n = 1
+    LEFT JOIN (SELECT page_id, count(*) AS n FROM hits GROUP BY page_id) c ON l.page_id = c.page_id
+    """
+)
+
+
+def list_entries(links: DataFrame) -> DataFrame:
+    """The list's history, see PAGES_SQL."""
+    host, url = F.col("host"), F.col("url")
+    first = F.min("page_id").alias("first")
+    hosts = links.where("host <> ''").groupBy(F.lit("host").alias("kind"), host.alias("key")).agg(first)
+    above = links.where("host like '%.%.%.%'").groupBy(F.lit("domain").alias("kind"), F.regexp_replace(host, "^[^.]*[.]", "").alias("key")).agg(first)
+    urls = links.where("host <> ''").groupBy(F.lit("url").alias("kind"), url_lists.url_key(url).alias("key")).agg(first)
+    at = F.expr("array(first * 37 % 600, first * 37 % 600 + 20 + first % 90, first * 37 % 600 + 150 + first % 300)")
+    dated = hosts.unionByName(above).unionByName(urls).select("kind", "key", F.posexplode(at).alias("i", "at")).where("i < 2 or at < 730")
+    return dated.select("kind", "key", F.expr("date_add(date'2024-01-01', cast(at as int))").alias("day"), F.expr("i <> 1").alias("added"))
+
+
+@register("op2_url_lists", OP2_SQL)
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries active on its fetch day."""
+    day = F.expr("date_add(date'2024-01-01', cast(page_id * 7919 % 730 as int))")
+    links = table(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetched_on"), url_lists.host_of(F.col("url")).alias("host"))
+    out = url_lists.evaluated(links, url_lists.intervals(list_entries(links)))
+    return out.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "active_since")})
+
+
 @register("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, packed into sequences of 2048 ids."""
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
-    return pieces.select("doc_id", "start", "length", packing.ids_crc32().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "cost")
+    return packed_pieces(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@register(
+    "op4_chat_trees",
+    r"""
+    WITH m AS (
+      SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+      UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
+           CAST(sum(CASE WHEN r = 'assistant' THEN length(x) ELSE 0 END) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(x, '' ORDER BY turn, r, x) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length('[TURN ]</s>') + 1 + length(regexp_replace(r, '[\\\[\]<]', '..', 'g')) + length(regexp_replace(x, '[\\\[\]<]', '..', 'g'))) AS BIGINT) AS formatted_chars
+    FROM m GROUP BY conv_id
+    """,
+)
+def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and conversation -7 formatted, and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    return chat_trees.digests(chat_trees.conversations(rows.unionByName(more)), "conv_id")
 
 
 @register("op5_ngram_join")
@@ -59,6 +151,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold() == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@register("op7_line_rules")
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the line field's verdict on every document."""
+    docs = table(spark, sf_dir, "documents")
+    return line_rules.line_rules(docs, line_rules.learn(docs, table(spark, sf_dir, "labels"), fold() != 2))
+
+
 @register("op8_secrets")
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document."""
