@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +61,19 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def worker_value(key: str, make: Callable[[], object]):
+    """A value that a Python worker keeps from task to task, one at a time.
+
+    Functions travel to the workers by value, so a module's own globals start
+    afresh in every task; a module of the worker's process does not.
+    """
+    own = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if own.get("key") != key:
+        own["value"] = None
+        own["value"], own["key"] = make(), key
+    return own["value"]
+
+
 def fold(doc_id: str = "doc_id") -> F.Column:
     """crc32 of the id as text, modulo 4 (0 for a null id)."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)), F.lit(0))

@@ -4,7 +4,7 @@ A unit is a run of white space with the run of other characters after it, or
 a run of letters that white space, a full stop, a comma or the end follows.
 No pre-token of the byte-level pattern reaches across such a cut, so the ids
 of a text are the ids of its units, one after the other. Each distinct unit
-of a task is encoded once and looked up afterwards.
+is encoded once and looked up afterwards.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from tessera.llm.common import ranges
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = rf"[{SPACE}]*[^\W\d_]+(?=[.,{SPACE}]|\Z)|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"
 CUT = rf"(?<=[^{SPACE}])(?=[{SPACE}])"
-#: Distinct units kept in a task before the table starts afresh, and characters cut at a time.
-MAX_UNITS, SEGMENT = 400_000, 1 << 20
+#: Distinct units kept before the table starts afresh, and characters cut at a time.
+MAX_UNITS, SEGMENT = 600_000, 1 << 20
 
 Encoder = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
 
