@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tessera.constants import DEFAULT_RESOLUTIONS, INDEX_COLUMNS
 from tessera.functions import dual as D
 from tessera.functions.grid import SPECS, cell_res_sql, with_cells
-from tessera.functions.measures import footprint_m2
+from tessera.functions.measures import footprint_m2, with_measures
 
 PARTIAL_COLUMNS = (
     "h3_res",
@@ -47,6 +47,11 @@ def valid_height_sql(height: str) -> str:
     )
 
 
+def measurable(df: DataFrame, lat: str = "lat", lon: str = "lon", area: str = "area_deg2") -> DataFrame:
+    """Rows with a centroid and an area (``validate.quarantine_counts`` counts the others)."""
+    return df.where(" AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in (lat, lon, area)))
+
+
 def with_building_metrics(df: DataFrame, lat="lat", area="area_deg2", height="height", keep=None) -> DataFrame:
     """Add per-building ``fp_m2``, ``h`` (valid height or NULL) and ``vol``."""
     keep = list(keep) if keep is not None else ["*"]
@@ -148,7 +153,8 @@ def build_index(
     Input needs centroid ``lat``/``lon``, planar ``area_deg2`` and ``height``
     (sentinel -999 = none); see :func:`tessera.functions.measures.with_measures`.
     """
-    x = with_building_metrics(df, lat=lat, area=area, height=height, keep=[lat, lon])
+    # a row whose geometry could not be measured belongs to no cell
+    x = with_building_metrics(measurable(df, lat, lon, area), lat=lat, area=area, height=height, keep=[lat, lon])
     cells = _exploded_cells(x, resolutions, lat, lon)
     # The id carries the resolution, so the cell id alone is the key: the
     # output is hash-partitioned on h3_index and a later join or aggregate
@@ -171,7 +177,7 @@ def partials(
     (never NaN: NaN would win every later MAX).
     """
     x = with_building_metrics(
-        df, lat=lat, area=area, height=height, keep=[f"CAST({tile_col} AS STRING) AS tile_id", lat, lon]
+        measurable(df, lat, lon, area), lat=lat, area=area, height=height, keep=[f"CAST({tile_col} AS STRING) AS tile_id", lat, lon]
     )
     cells = _exploded_cells(x, resolutions, lat, lon, keep=("tile_id",))
     agg = cells.groupBy("tile_id", "h3_index").agg(*_sums())
@@ -189,14 +195,61 @@ def partials(
     )
 
 
-def merge_partials(part: DataFrame, compat_std: bool = False, dedup: bool = False) -> DataFrame:
-    """Merge partial rows of any tile split into final index rows.
+#: What names one version of a source file.
+FILE_KEY = ("file_path", "file_size", "file_time")
+
 
-    ``SUM`` is right for disjoint tiles. ``dedup=True`` drops rows repeated
-    for the same (res, tile, cell), e.g. a tile written twice.
+def file_partials(scan: DataFrame, resolutions=DEFAULT_RESOLUTIONS, todo: str | None = None) -> DataFrame:
+    """Partial rows of source files, with the count of rejected rows.
+
+    ``scan`` has FILE_KEY, geometry and height; ``todo`` may name a column
+    with the resolutions wanted of the row's file. Rows whose geometry cannot be
+    measured have no cell: they make one row for each file and resolution with a
+    NULL h3_index, whose building_count is the number rejected. So one pass over
+    the geometry gives both the sums and the counts.
     """
-    if dedup:
-        part = part.dropDuplicates(["tile_id", "h3_index"])
+    m = with_measures(scan)
+    keep = [*FILE_KEY, *([todo] if todo else []), "lat", "lon"]
+    ok = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in ("lat", "lon", "area_deg2"))
+    x = with_building_metrics(m.withColumn("ok", F.expr(ok)), keep=[*keep, "ok"])
+    resolutions = list(resolutions)
+    x = with_cells(x, resolutions, prefix="__cell_")
+    ids = ", ".join(f"named_struct('h3_res', {r}, 'h3_index', CASE WHEN ok THEN __cell_{r} END)" for r in resolutions)
+    wanted = f"array({ids})" if todo is None else f"filter(array({ids}), c -> array_contains({todo}, c.h3_res))"
+    cells = x.selectExpr(*FILE_KEY, f"inline({wanted})", "fp_m2", "CASE WHEN ok THEN h END AS h", "CASE WHEN ok THEN vol END AS vol")
+    agg = cells.groupBy(*FILE_KEY, "h3_res", "h3_index").agg(*_sums())
+    return agg.selectExpr(
+        "h3_res",
+        *FILE_KEY,
+        "h3_index",
+        "n AS building_count",
+        "fp AS total_footprint_m2",
+        "hsum AS height_sum",
+        "hsq AS height_sq_sum",
+        "hmax AS max_height_m",
+        "vol AS total_volume_m3",
+        "hn AS height_count",
+    )
+
+
+FILE_PARTIALS_SCHEMA = (
+    "h3_res int, file_path string, file_size long, file_time timestamp, h3_index long, building_count long, "
+    "total_footprint_m2 double, height_sum double, height_sq_sum double, max_height_m double, "
+    "total_volume_m3 double, height_count long"
+)
+
+
+def with_file_key(scan: DataFrame) -> DataFrame:
+    """A file scan with FILE_KEY from its ``_metadata``."""
+    return scan.withColumns({
+        "file_path": F.col("_metadata.file_path"),
+        "file_size": F.col("_metadata.file_size"),
+        "file_time": F.col("_metadata.file_modification_time"),
+    })
+
+
+def merge_partials(part: DataFrame, compat_std: bool = False) -> DataFrame:
+    """Merge partial rows of any disjoint split of the buildings into final index rows."""
     agg = part.groupBy("h3_index").agg(
         *[
             F.expr(e)

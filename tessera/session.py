@@ -38,13 +38,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialised stages.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared, fault-tolerant folder there). Only when it is unset -- local
-    tests -- a scratch folder is created and registered.
+    shared, fault-tolerant folder there). Where it is unset, a local
+    session (tests) gets a scratch folder; a cluster session raises, as a
+    machine-local folder would lose its files with the machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

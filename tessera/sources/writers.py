@@ -58,36 +58,30 @@ def checkpointed(df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_partials(part: DataFrame, path: str) -> None:
-    """Persist partial rows under ``h3_res=/tile_id=`` folders.
+def write_partials(part: DataFrame, path: str, run: str) -> None:
+    """Persist the partial rows of one run under ``run=/h3_res=`` folders.
 
-    Dynamic partition overwrite replaces only the tiles present in
-    ``part``: re-running a tile is idempotent, other tiles are untouched.
+    A rerun of the same run replaces its own folder; other runs stay. Range
+    partitioning splits a huge file's cells over several tasks.
     """
-    spark = part.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (
-            # range partitioning splits a huge tile over several tasks
-            part.repartitionByRange("h3_res", "tile_id", "h3_index")
-            .write.mode("overwrite")
-            .option("compression", COMPRESSION)
-            .partitionBy("h3_res", "tile_id")
-            .parquet(path)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (
+        part.repartitionByRange("h3_res", "h3_index")
+        .write.mode("overwrite")
+        .option("compression", COMPRESSION)
+        .partitionBy("h3_res")
+        .parquet(f"{path}/run={run}")
+    )
 
 
 def write_index(idx: DataFrame, path: str, files_per_res: int | None = None) -> None:
     """Index rows under ``h3_res=N/``, globally sorted by cell, ZSTD.
 
+    Only the resolutions in ``idx`` are replaced; folders of others stay.
+
     Range partitioning on (h3_res, h3_index) gives sorted, similarly sized
     files; with the sort inside each file, Parquet min/max statistics on
     ``h3_index`` let readers skip row groups (bbox, cell lookups).
     """
-    spark = idx.sparkSession
     cols = ["h3_res", *INDEX_COLUMNS]
     df = idx.select(*cols)
     df = df.repartitionByRange(files_per_res, "h3_res", "h3_index") if files_per_res else df.repartitionByRange(
@@ -96,6 +90,7 @@ def write_index(idx: DataFrame, path: str, files_per_res: int | None = None) ->
     (
         df.sortWithinPartitions("h3_res", "h3_index")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", COMPRESSION)
         .option("parquet.block.row.count.limit", INDEX_ROW_GROUP)
         .partitionBy("h3_res")
@@ -103,23 +98,20 @@ def write_index(idx: DataFrame, path: str, files_per_res: int | None = None) ->
     )
 
 
-def write_pyramid(df: DataFrame, path: str, observe_name: str | None = None) -> DataFrame:
-    """Pyramid rows under ``zoomlevel=z/``, sorted by quadkey, ZSTD.
+def write_pyramid(df: DataFrame, path: str) -> int:
+    """Pyramid rows under ``zoomlevel=z/``, sorted by quadkey, ZSTD; returns
+    the rows written, observed during the write.
 
     One pass: range partitioning on (zoomlevel, quadkey) splits big zooms
     into many quadkey ranges by size (what fixed 16-way prefix splits do by
     hand), each file sorted by quadkey with 131,072-row groups.
-    Returns the observed frame so the row count comes without a re-read.
     """
+    from pyspark.sql import Observation
+
     # observe after the exchange: the range-bounds sampling pass would
     # otherwise be counted as well
-    out = df.repartitionByRange("zoomlevel", "quadkey")
-    if observe_name:
-        from pyspark.sql import Observation
-
-        obs = Observation(observe_name)
-        out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-        write_pyramid.last_observation = obs
+    obs = Observation()
+    out = df.repartitionByRange("zoomlevel", "quadkey").observe(obs, F.count(F.lit(1)).alias("rows"))
     (
         out.sortWithinPartitions("zoomlevel", "quadkey")
         .write.mode("overwrite")
@@ -130,7 +122,7 @@ def write_pyramid(df: DataFrame, path: str, observe_name: str | None = None) ->
         .partitionBy("zoomlevel")
         .parquet(path)
     )
-    return out
+    return int(obs.get["rows"])
 
 
 def write_metadata(spark: SparkSession, path: str, meta: dict) -> None:

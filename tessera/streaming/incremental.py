@@ -1,23 +1,26 @@
 """Incremental partials from a folder that receives new tile files.
 
-A file-source stream picks up new tiles; each micro-batch is measured and
-aggregated to partial sums per (resolution, tile, cell) and written under
-``partials/batch=<id>/``. Partials are additive, so there is no state store
-and no watermark: the index is the merge of all batch folders, rebuilt on
-demand (:func:`merge_stream_partials`). Re-running a batch after a failure
-overwrites its own folder, so the sink is idempotent; the stream checkpoint
-lives in the shared folder.
+A file-source stream picks up new files; each micro-batch is measured once
+and aggregated to partial sums per (file version, resolution, cell), rejected rows
+included as rows without a cell, and written under
+``partials/query=<stream id>/batch=<id>/``. Partials are additive, so there is no
+state store and no watermark: the index is the merge of all batch folders,
+rebuilt on demand (:func:`merge_stream_partials`).
+
+Re-running a batch after a failure overwrites its own folder. A stream with a new
+checkpoint has a new id, so it never writes into an older one's folders; what it
+reads again is merged once, since a file always lies in one batch as a whole and its
+version names its rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.constants import DEFAULT_RESOLUTIONS
-from tessera.functions.measures import with_measures
-from tessera.operators.index import merge_partials, partials
-from tessera.operators.validate import split_valid
-from tessera.sources.readers import tile_id
+from tessera.operators.index import FILE_KEY, FILE_PARTIALS_SCHEMA, file_partials, merge_partials, with_file_key
+from tessera.sources.writers import read_metadata
 
 
 def start_partials_stream(
@@ -34,16 +37,17 @@ def start_partials_stream(
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source).select("geometry", "height").withColumn("tile_id", tile_id())
+    stream = with_file_key(reader.parquet(source).select("geometry", "height", "_metadata")).drop("_metadata")
     res = list(resolutions)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        valid, _ = split_valid(with_measures(batch))
+        # the id that Spark writes when a checkpoint is made
+        query = read_metadata(spark, f"{checkpoint}/metadata")["id"]
         (
-            partials(valid, res, tile_col="tile_id")
+            file_partials(batch, res)
             .write.mode("overwrite")
             .option("compression", "zstd")
-            .parquet(f"{partials_path}/batch={batch_id}")
+            .parquet(f"{partials_path}/query={query}/batch={batch_id}")
         )
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
@@ -51,7 +55,18 @@ def start_partials_stream(
     return w.start()
 
 
+def read_stream_partials(spark: SparkSession, partials_path: str) -> DataFrame:
+    """Partial rows of every committed batch, each file version once."""
+    part = spark.read.schema(FILE_PARTIALS_SCHEMA).option("recursiveFileLookup", "true").parquet(partials_path)
+    return part.dropDuplicates([*FILE_KEY, "h3_res", "h3_index"])
+
+
 def merge_stream_partials(spark: SparkSession, partials_path: str) -> DataFrame:
     """Index rows from every committed batch so far."""
-    part = spark.read.parquet(partials_path).drop("batch")
-    return merge_partials(part)
+    return merge_partials(read_stream_partials(spark, partials_path).where("h3_index IS NOT NULL"))
+
+
+def stream_rejects(spark: SparkSession, partials_path: str) -> DataFrame:
+    """Rows set aside per file because their geometry could not be measured."""
+    bad = read_stream_partials(spark, partials_path).where("h3_index IS NULL")
+    return bad.groupBy("file_path").agg(F.max("building_count").alias("rejected"))

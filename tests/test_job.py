@@ -37,12 +37,35 @@ def test_incremental_job_with_ledger(spark, tmpdir_path):
     m4 = run_index_job(spark, src, work, out, resolutions=[3, 5, 8])  # new resolution: all tiles again, res 8 only
     led = read_ledger(spark, f"{work}/ledger")
     assert led.where("h3_res = 8").count() == list_tiles(spark, src).count()
+    run_index_job(spark, src, work, out, resolutions=[8])  # a run of one resolution leaves the others
     got = read_index(spark, out)
     direct = ix.build_index(fx.footprints(spark, SF_SMALL), [3, 5, 8])
     _close(got.select(*direct.columns), direct)
     assert set(m4["cells_per_resolution"]) == {"3", "5", "8"}
 
 
+def test_late_and_changed_files_of_a_done_tile(spark, tmpdir_path):
+    src, work, out = f"{tmpdir_path}/src", f"{tmpdir_path}/work", f"{tmpdir_path}/out"
+    b = fx.buildings(spark, SF_SMALL).drop("half")
+    for where in ("CAST(height AS INT) % 2 = 0", "CAST(height AS INT) % 2 <> 0"):
+        b.where(where).repartition("tile_id").write.mode("append").partitionBy("tile_id").parquet(src)
+        run_index_job(spark, src, work, out, resolutions=[5])
+    direct = ix.build_index(fx.footprints(spark, SF_SMALL), [5])
+    _close(read_index(spark, out).select(*direct.columns), direct)
+    time.sleep(1.1)
+    b.limit(100).repartition("tile_id").write.mode("overwrite").partitionBy("tile_id").parquet(f"{src}/more")
+    n = run_index_job(spark, src, work, out, resolutions=[5])["tiles_processed"]
+    assert n > 0 and read_index(spark, out).agg({"building_count": "sum"}).first()[0] == b.count() + 100
+
+
+def test_a_source_of_empty_tiles_gives_an_empty_index(spark, tmpdir_path):
+    src, work, out = f"{tmpdir_path}/src", f"{tmpdir_path}/work", f"{tmpdir_path}/out"
+    fx.buildings(spark, SF_SMALL).drop("half", "tile_id").limit(0).coalesce(1).write.parquet(f"{src}/tile_id=none")
+    meta = run_index_job(spark, src, work, out, resolutions=[5])
+    assert meta["tiles_processed"] == 1 and meta["cells_per_resolution"] == {}
+    assert [r["status"] for r in read_ledger(spark, f"{work}/ledger").collect()] == ["skipped_empty"]
+
+
 def test_tile_listing_and_status(spark, tmpdir_path):
     src = f"{tmpdir_path}/src"
     b = _write_tiles(spark, src)
