@@ -30,7 +30,7 @@ from tessera.llm.common import slices, stored, texts_of
 from tessera.llm.components import connected_components
 
 #: Sets and tokens of a chunk, the unit in which tokens travel.
-CHUNK_SETS, CHUNK_TOKENS = 65_000, 2_000_000
+CHUNK_SETS, CHUNK_TOKENS = 65_000, 1_000_000
 U = np.uint64
 
 
@@ -67,7 +67,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -165,40 +165,47 @@ def _meet(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], ["key", "info", "docs", "tokens", "counts"])
 
 
-def _gather(group: pa.Table) -> pa.Table:
-    """Of a chunk: a row for each of its rows; the first row of a set has the
-    set's shared tokens in ascending order, and how many sets hold each."""
-    infos, docs, tokens, counts = (group.column(c).to_pylist() for c in ("info", "docs", "tokens", "counts"))
-    chunk = group.column("key")[0].as_py()
-    info = next(i for i in infos if i is not None)
-    ids, none, sizes, own = (unpack(x) for x in info[:4])
-    at = [j for j, i in enumerate(infos) if i is None]
-    d = np.concatenate([np.empty(0, U), *(unpack(docs[j]) for j in at)])
-    t = np.concatenate([np.empty(0, U), *(np.cumsum(unpack(tokens[j]), dtype=U) for j in at)])
-    c = np.concatenate([np.empty(0, U), *(unpack(counts[j]) for j in at)])
-    order = np.lexsort((t, d))
-    t, c = t[order], c[order]
-    cut = np.searchsorted(d[order], np.arange(len(info[4]) // 16 + 1).astype(U))
-    first = np.zeros(len(own), bool)
-    first[np.unique(own, return_index=True)[1]] = True
-    rows = []
-    for i, (doc, null, n, s, new) in enumerate(zip(ids.astype(np.int64).tolist(), none.tolist(), sizes.tolist(), own.tolist(), first.tolist())):
-        a, b = int(cut[s]), int(cut[s + 1])
-        rows.append(((chunk << 16) + i, None if null else doc, n, b - a, info[4][16 * s : 16 * s + 16], pack(t[a:b]) if new else None, pack(c[a:b]) if new else None))
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["row", "id", "n", "shared", "digest", "tokens", "counts"])
-
-
-def shared_tokens(source: DataFrame, read: Reader) -> DataFrame:
+def _gather(num: int, den: int):
+    """Of a chunk: a row for each of its rows; the first row of a set that may
+    have a partner has the set's shared tokens in ascending order, and how
+    many sets hold each."""
+
+    def run(group: pa.Table) -> pa.Table:
+        infos, docs, tokens, counts = (group.column(c).to_pylist() for c in ("info", "docs", "tokens", "counts"))
+        chunk = group.column("key")[0].as_py()
+        info = next(i for i in infos if i is not None)
+        ids, none, sizes, own = (unpack(x) for x in info[:4])
+        at = [j for j, i in enumerate(infos) if i is None]
+        d = np.concatenate([np.empty(0, U), *(unpack(docs[j]) for j in at)])
+        t = np.concatenate([np.empty(0, U), *(np.cumsum(unpack(tokens[j]), dtype=U) for j in at)])
+        c = np.concatenate([np.empty(0, U), *(unpack(counts[j]) for j in at)])
+        order = np.lexsort((t, d))
+        t, c = t[order], c[order]
+        cut = np.searchsorted(d[order], np.arange(len(info[4]) // 16 + 1).astype(U))
+        first = np.zeros(len(own), bool)
+        first[np.unique(own, return_index=True)[1]] = True
+        rows = []
+        for i, (doc, null, n, s, new) in enumerate(zip(ids.astype(np.int64).tolist(), none.tolist(), sizes.tolist(), own.tolist(), first.tolist())):
+            a, b = int(cut[s]), int(cut[s + 1])
+            new = new and n > 0 and den * (b - a) >= num * n
+            rows.append(((chunk << 16) + i, None if null else doc, n, b - a, info[4][16 * s : 16 * s + 16], pack(t[a:b]) if new else None, pack(c[a:b]) if new else None))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        return pa.table([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["row", "id", "n", "shared", "digest", "tokens", "counts"])
+
+    return run
+
+
+def shared_tokens(source: DataFrame, read: Reader, num: int, den: int) -> DataFrame:
     """Stored rows (row, id, n, shared, digest, tokens, counts) of all sets.
 
-    There are as many buckets as the source has partitions, so a bucket's
-    tokens are about those of one partition at any size of input.
+    There are twice as many buckets as the source has partitions, so a bucket's
+    tokens are about half of one partition's at any size of input. Tokens are
+    kept only of sets that may have a partner: at least ``num / den`` of theirs are shared.
     """
-    buckets = max(8, source.rdd.getNumPartitions())
+    buckets = max(8, 2 * source.rdd.getNumPartitions())
     dealt = source.mapInArrow(_deal(read, buckets), "key long, chunk long, info array<binary>, docs binary, tokens binary")
     met = dealt.groupBy("key").applyInArrow(_meet, "key long, info array<binary>, docs binary, tokens binary, counts binary")
-    rows = met.groupBy("key").applyInArrow(_gather, "row long, id long, n long, shared long, digest binary, tokens binary, counts binary")
+    rows = met.groupBy("key").applyInArrow(_gather(num, den), "row long, id long, n long, shared long, digest binary, tokens binary, counts binary")
     return stored(rows, "shared-tokens")
 
 
@@ -258,11 +265,11 @@ def near_duplicates(
     """
     num, den = threshold
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    every = shared_tokens(narrow, lambda batches: shingle_sets(batches, words))
-    hopeful = F.expr(f"n > 0 and {den} * shared >= {num} * n")
-    first = every.where("tokens is not null").where(hopeful).groupBy("digest").agg(F.min("row").alias("row"))
-    left = stored(every.where("tokens is not null").where(hopeful).join(first.select("row"), "row", "left_semi").select("row", "n", "tokens"), "classes")
-    again = shared_tokens(left, stored_sets).where("tokens is not null").where(hopeful)
+    every = shared_tokens(narrow, lambda batches: shingle_sets(batches, words), num, den)
+    hopeful = every.where("tokens is not null")
+    first = hopeful.groupBy("digest").agg(F.min("row").alias("row")).select("row")
+    left = stored(hopeful.join(first, "row", "left_semi").select("row", "n", "tokens"), "classes")
+    again = shared_tokens(left, stored_sets, num, den).where("tokens is not null")
     again = again.select(F.col("id").alias("row"), "n", "shared", "tokens", "counts")
     sets = again.mapInArrow(_prefixes(num, den), "row long, n long, shared long, tokens binary, first array<long>, second binary, third binary")
     sets = stored(sets, "prefixes")
