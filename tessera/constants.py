@@ -42,3 +42,34 @@ INDEX_COLUMNS = (
 )
 # Pyramid columns carried from the source, in output order.
 PYRAMID_COLUMNS = ("source", "id", "height", "var", "region", "geometry")
+# What the pyramid's columns hold, for its metadata.
+PYRAMID_COLUMN_TEXTS = {
+    "zoomlevel": "zoom at which the row first appears",
+    "quadkey": "quadkey of the centroid at the largest zoom",
+    "source": "data source of the building",
+    "id": "identifier in the source",
+    "height": "height in metres, -999 where unknown",
+    "var": "variance of the height",
+    "region": "region name",
+    "geometry": "footprint polygon, WKB, longitude and latitude in degrees",
+}
+# Coordinate reference system of all geometry columns.
+CRS = "EPSG:4326"
+CRS_PROJJSON = {
+    "$schema": "https://proj.org/schemas/v0.7/projjson.schema.json",
+    "type": "GeographicCRS",
+    "name": "WGS 84",
+    "datum": {
+        "type": "GeodeticReferenceFrame",
+        "name": "World Geodetic System 1984",
+        "ellipsoid": {"name": "WGS 84", "semi_major_axis": 6378137, "inverse_flattening": 298.257223563},
+    },
+    "coordinate_system": {
+        "subtype": "ellipsoidal",
+        "axis": [
+            {"name": "Geodetic latitude", "abbreviation": "Lat", "direction": "north", "unit": "degree"},
+            {"name": "Geodetic longitude", "abbreviation": "Lon", "direction": "east", "unit": "degree"},
+        ],
+    },
+    "id": {"authority": "EPSG", "code": 4326},
+}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.constants import HEIGHT_NODATA
+from tessera.operators.index import valid_height_sql
 
 
 def tile_row_counts(df: DataFrame, by: str = "tile_id", with_total: bool = False) -> DataFrame:
@@ -25,76 +25,25 @@ def file_row_counts(df: DataFrame) -> DataFrame:
     return tile_row_counts(df.select(F.col("_metadata.file_path").alias("file_path")), "file_path")
 
 
-def height_summary(df: DataFrame, height: str = "height", exact_median: str = "bounded") -> DataFrame:
+def height_summary(df: DataFrame, height: str = "height") -> DataFrame:
     """count, with/without height, avg, exact median, max, min (valid heights).
 
-    ``exact_median="bounded"`` (default) finds the median by histogram
-    refinement (:mod:`tessera.operators.quantiles`): every pass is a grouped
-    aggregate of at most 65,536 buckets, so no task ever holds all distinct
-    heights. ``"percentile"`` uses Spark's ``median`` aggregate instead, whose
-    single final buffer grows with the number of distinct heights.
+    The sentinel, NULL and NaN are no height. Rows are counted per height first, so
+    what meets in the last aggregate is one row for each distinct height, and the
+    median is Spark's exact one over (height, count).
     """
-    h = F.col(height).cast("double")
-    valid = F.when(h != HEIGHT_NODATA, h)
-    aggs = [
-        F.count(F.lit(1)).alias("total_buildings"),
-        F.count_if(h != HEIGHT_NODATA).alias("with_height"),
-        F.count_if(h == HEIGHT_NODATA).alias("no_height"),
-        F.avg(valid).cast("float").alias("avg_height"),
-        F.max(valid).cast("float").alias("max_height"),
-        F.min(valid).cast("float").alias("min_height"),
-    ]
-    if exact_median == "percentile":
-        return df.agg(*aggs, F.median(valid).cast("float").alias("median_height")).select(*SUMMARY_COLUMNS)
-    from tessera.operators.quantiles import bucket_sql, histogram_aggs, quantiles_from_histogram
-
-    # One pass: GROUPING SETS ((), (bucket)) gives the plain aggregates (the
-    # empty set) and the median's bounded histogram (one row per bucket).
-    x = df.select(h.alias("__raw"), F.when((h != HEIGHT_NODATA) & ~F.isnan(h), h).alias("__h"))
-    rows = (
-        x.withColumn("__b", F.expr(bucket_sql("__h")))
-        .groupingSets([[], ["__b"]], "__b")
-        .agg(
-            F.grouping_id().alias("__g"),
-            F.count(F.lit(1)).alias("total_buildings"),
-            F.count_if(F.col("__raw") != HEIGHT_NODATA).alias("with_height"),
-            F.count_if(F.col("__raw") == HEIGHT_NODATA).alias("no_height"),
-            F.avg(F.when(F.col("__raw") != HEIGHT_NODATA, F.col("__raw"))).cast("float").alias("avg_height"),
-            F.max(F.when(F.col("__raw") != HEIGHT_NODATA, F.col("__raw"))).cast("float").alias("max_height"),
-            F.min(F.when(F.col("__raw") != HEIGHT_NODATA, F.col("__raw"))).cast("float").alias("min_height"),
-            *histogram_aggs("__h"),
-        )
-        .collect()  # one total row + at most one row per bucket
+    h = F.expr(valid_height_sql(height))
+    per = df.groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    n = F.when(F.col("h").isNotNull(), F.col("n"))
+    return per.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_buildings"),
+        F.coalesce(F.sum(n), F.lit(0)).alias("with_height"),
+        F.coalesce(F.sum(F.when(F.col("h").isNull(), F.col("n"))), F.lit(0)).alias("no_height"),
+        F.try_divide(F.sum(F.col("h") * F.col("n")), F.sum(n)).cast("float").alias("avg_height"),
+        F.percentile("h", F.lit(0.5), F.col("n")).cast("float").alias("median_height"),
+        F.max("h").cast("float").alias("max_height"),
+        F.min("h").cast("float").alias("min_height"),
     )
-    total = next(r for r in rows if r["__g"] == 1)
-    hist = [r for r in rows if r["__g"] == 0 and r["__b"] is not None]
-    med = quantiles_from_histogram(x.where(F.col("__h").isNotNull()).select("__h"), "__h", hist, [0.5])[0]
-    schema = (
-        "total_buildings bigint, with_height bigint, no_height bigint, avg_height float, "
-        "median_height float, max_height float, min_height float"
-    )
-    vals = (
-        total["total_buildings"],
-        total["with_height"],
-        total["no_height"],
-        total["avg_height"],
-        None if med is None else float(med),
-        total["max_height"],
-        total["min_height"],
-    )
-    out = df.sparkSession.createDataFrame([vals], schema)
-    return out.withColumn("median_height", F.col("median_height").cast("float")).select(*SUMMARY_COLUMNS)
-
-
-SUMMARY_COLUMNS = (
-    "total_buildings",
-    "with_height",
-    "no_height",
-    "avg_height",
-    "median_height",
-    "max_height",
-    "min_height",
-)
 
 
 def source_distribution(df: DataFrame, by: str = "source") -> DataFrame:

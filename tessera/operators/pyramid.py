@@ -2,58 +2,77 @@
 
 Phases (each a Spark job, each restartable from its committed output):
 
-A. centroids: ``(key, lon, lat)`` of every row, materialised once;
+A. measures: ``(key, lon, lat, quadkey)`` of every row, materialised once;
+   the only pass that sends geometry to Python;
 B. thinning: picks per zoom (:mod:`tessera.operators.thinning`);
-C. layout: source rows left-joined to the picks (everything unpicked is
-   maxzoom), quadkey of the centroid at maxzoom, range-partitioned on
-   (zoomlevel, quadkey), sorted, written under ``zoomlevel=z/``;
+C. layout: the narrow table gets its zooms (everything unpicked is maxzoom)
+   and joins the source rows on the key; rows go to the range of
+   (zoomlevel, quadkey) that the narrow table alone has fixed, sorted, written
+   as GeoParquet under ``zoomlevel=z/``;
 D. metadata JSON from counts observed during the write.
-
-Phase C recomputes the centroid with the Arrow measure rather than joining
-the centroid table back: a second vectorised pass over the geometry costs
-CPU, a join of two full-size tables costs a shuffle of all the data.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.constants import (
     COMPRESSION,
     DEFAULT_MAXZOOM,
     DEFAULT_MINZOOM,
+    PYRAMID_COLUMN_TEXTS,
     PYRAMID_COLUMNS,
     PYRAMID_ROW_GROUP,
 )
 from tessera.functions.measures import with_measures
 from tessera.functions.tiles import with_quadkey
-from tessera.operators.thinning import (
-    ATTACH_BROADCAST_ROWS,
-    DEFAULT_BROADCAST_ROWS,
-    attach_zoom,
-    scratch_dir,
-    zoom_picks,
-)
-from tessera.sources.writers import write_metadata, write_pyramid
+from tessera.operators.thinning import Key, attach_zoom, fingerprint, key_columns, scratch_dir, zoom_picks
+from tessera.sources.geoparquet import write_geoparquet
+from tessera.sources.readers import with_row_identity
+from tessera.sources.writers import checkpointed, write_metadata
+
+#: Row identity of a file scan, unique whatever the ids are.
+ROW_IDENTITY = ("file_path", "row_index")
+
+
+def _work(src: DataFrame, keys: list[str], geometry: str, workdir: str | None) -> str:
+    """A folder for this source: a given ``workdir`` gets one for each content."""
+    if workdir is None:
+        return scratch_dir(src.sparkSession, "pyramid")
+    return f"{workdir}/{'-'.join(keys)}-{fingerprint(src, [*keys, geometry])}"
+
+
+def zoomed_keys(src: DataFrame, minzoom: int, maxzoom: int, key: Key, geometry: str, workdir: str) -> DataFrame:
+    """``(key, quadkey, zoomlevel)`` of every row of ``src``."""
+    keys = key_columns(key)
+    m = with_measures(src.select(*keys, geometry), geometry)
+    m = with_quadkey(m, "lon", "lat", maxzoom).select(*keys, "lon", "lat", "quadkey")
+    m = checkpointed(m, f"{workdir}/measured")
+    picks = zoom_picks(m, minzoom, maxzoom, keys, workdir=f"{workdir}/thinning")
+    return attach_zoom(m.select(*keys, "quadkey"), picks, maxzoom, keys)
 
 
 def pyramid_frame(
     src: DataFrame,
     minzoom: int = DEFAULT_MINZOOM,
     maxzoom: int = DEFAULT_MAXZOOM,
-    key: str = "id",
+    key: Key | None = None,
     geometry: str = "geometry",
     workdir: str | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Source rows with ``zoomlevel`` and ``quadkey`` (not yet written)."""
-    workdir = workdir or scratch_dir(src.sparkSession, "pyramid")
-    cent = with_measures(src.select(key, geometry), geometry).select(key, "lon", "lat")
-    picks = zoom_picks(cent, minzoom, maxzoom, key, workdir=workdir, broadcast_rows=broadcast_rows)
-    out = attach_zoom(src, picks, maxzoom, key, min(broadcast_rows, ATTACH_BROADCAST_ROWS))
-    out = with_quadkey(with_measures(out, geometry, prefix="__c_"), "__c_lon", "__c_lat", maxzoom)
-    rest = [c for c in src.columns if c != key]
-    return out.select("zoomlevel", "quadkey", key, *rest)
+    """Source rows with ``zoomlevel`` and ``quadkey`` (not yet written).
+
+    Without ``key`` rows are known by file and row number, for which ``src``
+    must be a scan of files; a ``key`` must be unique. A given ``workdir`` lets a
+    rerun over the same rows resume.
+    """
+    if key is None:
+        src, key = with_row_identity(src), ROW_IDENTITY
+    keys = key_columns(key)
+    workdir = _work(src, keys, geometry, workdir)
+    out = src.join(zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir), keys)
+    return out.select("zoomlevel", "quadkey", *src.columns)
 
 
 def build_pyramid(
@@ -61,16 +80,35 @@ def build_pyramid(
     output: str,
     minzoom: int = DEFAULT_MINZOOM,
     maxzoom: int = DEFAULT_MAXZOOM,
-    key: str = "id",
+    key: Key | None = None,
+    geometry: str = "geometry",
     workdir: str | None = None,
 ) -> dict:
-    """Write the pyramid and its metadata; returns the metadata dict."""
+    """Write the pyramid and its metadata; returns the metadata dict.
+
+    Raises if the rows written are not as many as the source's, as when a
+    ``key`` repeats.
+    """
     spark = src.sparkSession
-    frame = pyramid_frame(src, minzoom, maxzoom, key, workdir=workdir)
-    cols = ["zoomlevel", "quadkey", *[c for c in PYRAMID_COLUMNS if c in frame.columns]]
-    write_pyramid(frame.select(*cols), output, observe_name="pyramid_rows")
-    obs = write_pyramid.last_observation
-    written = int(obs.get["rows"])
+    if key is None:
+        src, key = with_row_identity(src), ROW_IDENTITY
+    keys = key_columns(key)
+    workdir = _work(src, keys, geometry, workdir)
+    zoomed = zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir)
+    # the ranges come from the narrow table; rows then go straight to theirs
+    ranged = zoomed.repartitionByRange("zoomlevel", "quadkey").withColumn("__range", F.spark_partition_id())
+    ranged = checkpointed(ranged, f"{workdir}/ranged-{minzoom}-{maxzoom}")
+    parts = (ranged.agg(F.max("__range")).first()[0] or 0) + 1
+    columns = [c for c in PYRAMID_COLUMNS if c in src.columns and c != geometry]
+    frame = src.select(*dict.fromkeys([*keys, *columns, geometry])).join(ranged, keys)
+    frame = frame.repartitionById(parts, "__range").sortWithinPartitions("zoomlevel", "quadkey")
+    written = write_geoparquet(
+        frame.select("zoomlevel", "quadkey", *columns, geometry), output, partition_by="zoomlevel",
+        row_group_size=PYRAMID_ROW_GROUP, geometry=geometry,
+    )
+    rows = ranged.count()  # footer metadata only
+    if written != rows:
+        raise ValueError(f"{written} rows written of {rows}: the key repeats")
     meta = {
         "type": "pyramid_geoparquet",
         "algorithm": "spatial_thinning",
@@ -82,16 +120,31 @@ def build_pyramid(
         "compression": COMPRESSION,
         "row_group_size": PYRAMID_ROW_GROUP,
         "crs": "EPSG:4326",
+        "columns": {c: PYRAMID_COLUMN_TEXTS[c] for c in ("zoomlevel", "quadkey", *columns, "geometry")},
         "rows_written": written,
     }
     write_metadata(spark, f"{output}/_metadata.json", meta)
     return meta
 
 
-def read_pyramid(spark, root: str) -> DataFrame:
-    """Hive-partitioned scan; ``zoomlevel`` filters prune folders.
+def read_pyramid(spark, root: str, zoom: int | None = None) -> DataFrame:
+    """Scan of the pyramid; geometry comes back as WKB.
+
+    With ``zoom`` only that zoom's folder is read.
+    """
+    from tessera.sources.geoparquet import read_geoparquet
+
+    if zoom is None:
+        return read_geoparquet(spark, root)
+    return read_geoparquet(spark, f"{root}/zoomlevel={zoom}").withColumn("zoomlevel", F.lit(zoom))
+
+
+def read_pyramid_attributes(spark, root: str) -> DataFrame:
+    """The pyramid without its geometry, by Spark's own Parquet reader: folders are
+    pruned by zoom, row groups by quadkey.
 
     Only ``*.parquet`` files: Spark would otherwise take ``_metadata.json``
     for a Parquet summary file.
     """
-    return spark.read.option("pathGlobFilter", "*.parquet").parquet(root)
+    schema = "quadkey string, source string, id string, height float, var float, region string, zoomlevel int"
+    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(root)

@@ -6,116 +6,117 @@ zoom z. Everything left gets maxzoom. Snap grids of successive zooms are
 centred on multiples of their spacing, so they do not nest and the loop
 cannot be replaced by one closed-form pass.
 
-Plan per pass (no window, no per-group collection)::
+Plan::
 
-    points (materialised once)  --left_anti-->  picks of earlier zooms
+    points (materialised once, numbered in key order)
+        -> candidates: the first 4 * (maxzoom - 1 - minzoom) + 1 points of
+           each base cell, a limit that Spark applies per task before it shuffles
+    per zoom: candidates --left_anti--> picks of earlier zooms
         -> partial min(key) per snap cell (map-side; a hot cell costs one
            row per task, never one task for the whole cell)
         -> shuffle of the partial mins -> final min -> write picks(z)
 
-Earlier picks are small relative to the points; they are broadcast only
-when their counted row number is under ``broadcast_rows``, otherwise the
-anti join is a sort-merge join on a unique LONG surrogate key (uniform,
-cannot skew).
+A snap cell of zoom z meets at most four of each earlier zoom, so at most
+4 * (z - minzoom) of its points are taken before its turn, and its pick is
+one of its first 4 * (z - minzoom) + 1 points. All cell borders lie on
+multiples of the spacing of maxzoom: a base cell of that spacing lies whole in
+one snap cell of each zoom, and the first points of a snap cell are among the
+first points of its base cells. So the passes read a number of points bounded by
+the area covered, however dense the points are.
+
 Every pass writes its picks to the shared checkpoint folder, which cuts
-lineage and lets a rerun resume after the last finished zoom.
+lineage and lets a rerun resume after the last finished zoom. How picks are
+joined is left to the optimizer, by their size at run time.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.constants import DEFAULT_MAXZOOM, DEFAULT_MINZOOM
 from tessera.functions.tiles import snap_cell
 from tessera.session import checkpoint_root
-from tessera.sources.writers import has_success, materialize
+from tessera.sources.writers import checkpointed
+
+Key = str | Sequence[str]
+
+
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
 
-DEFAULT_BROADCAST_ROWS = 4_000_000  # ~32 MB of LONG surrogate keys
-ATTACH_BROADCAST_ROWS = 1_000_000  # picks carry the caller's (string) key here
+def fingerprint(points: DataFrame, columns: list[str]) -> str:
+    """Names the content of a frame, whatever the order of its rows."""
+    h = F.xxhash64(*columns)
+    r = points.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.pmod(h, F.lit(1 << 31))).alias("s")).first()
+    return f"{r['n']}-{(r['x'] or 0) & (2**64 - 1):016x}-{r['s'] or 0}"
 
 
-def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
+def _candidates(pts: DataFrame, minzoom: int, maxzoom: int, lon: str, lat: str) -> DataFrame:
+    """The first points of each base cell: no other can be picked."""
+    step = 360.0 / (1 << maxzoom)
+    # all snap cells go into the group: a point that rounding puts just over a border is its own group
+    cells = [c for z in range(minzoom, maxzoom) for c in snap_cell(lon, lat, z)]
+    base = [F.floor(F.col(lon) / step), F.floor(F.col(lat) / step), F.xxhash64(*cells)]
+    w = Window.partitionBy(*base).orderBy("__sk")
+    most = 4 * (maxzoom - 1 - minzoom) + 1
+    return pts.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
 
 
 def zoom_picks(
     points: DataFrame,
     minzoom: int = DEFAULT_MINZOOM,
     maxzoom: int = DEFAULT_MAXZOOM,
-    key: str = "id",
+    key: Key = "id",
     lon: str = "lon",
     lat: str = "lat",
     workdir: str | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows picked below maxzoom: ``(key, zoomlevel)``, read back from files.
 
-    ``key`` must be unique; it fixes which point of a cell wins (the
-    smallest), so results do not depend on scan order.
+    ``key`` (one column or several) must be unique; its order fixes which point
+    of a cell wins, so results do not depend on scan order. In a given
+    ``workdir`` each input, key and zoom range has a folder of its own, and a
+    rerun over the same ones resumes there.
     """
     spark: SparkSession = points.sparkSession
-    workdir = workdir or f"{checkpoint_root(spark)}/thin-{uuid.uuid4().hex}"
-    pts_path = f"{workdir}/points"
-    if not has_success(spark, pts_path):
-        # Range-partition and sort by the key once, then number the rows:
-        # monotonically_increasing_id() grows with the key, so min(__sk) per
-        # cell is the smallest key, and every pass works on 8-byte LONGs
-        # (hash aggregate, cheap broadcast/shuffle) instead of the key.
-        ordered = points.select(key, lon, lat).repartitionByRange(key).sortWithinPartitions(key)
-        materialize(ordered.withColumn("__sk", F.monotonically_increasing_id()), pts_path)
-    pts_all = spark.read.parquet(pts_path)
-    pts = pts_all.select("__sk", lon, lat)
-    picks_root = f"{workdir}/picks"
-    done: list[str] = []
-    n_done = 0
+    keys = key_columns(key)
+    points = points.select(*keys, lon, lat)
+    if workdir:
+        work = f"{workdir}/{'-'.join(keys)}-{minzoom}-{maxzoom}-{fingerprint(points, points.columns)}"
+    else:
+        work = f"{checkpoint_root(spark)}/thin-{uuid.uuid4().hex}"
+    # Range-partition and sort by the key once, then number the rows:
+    # monotonically_increasing_id() grows with the key, so min(__sk) per
+    # cell is the smallest key, and every pass works on 8-byte LONGs
+    # (hash aggregate, cheap shuffle) instead of the key.
+    ordered = points.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    pts = checkpointed(ordered.withColumn("__sk", F.monotonically_increasing_id()), f"{work}/points")
+    if maxzoom <= minzoom:
+        return pts.select(*keys, F.lit(None).cast("int").alias("zoomlevel")).limit(0)
+    left = checkpointed(_candidates(pts.select("__sk", lon, lat), minzoom, maxzoom, lon, lat), f"{work}/candidates")
+    done: DataFrame | None = None
     for z in range(minzoom, maxzoom):
-        out = f"{picks_root}/zoomlevel={z}"
-        if not has_success(spark, out):
-            rem = pts
-            if done:
-                prev = spark.read.parquet(*done).select("__sk")
-                rem = pts.join(_maybe_broadcast(prev, n_done, broadcast_rows), "__sk", "left_anti")
-            sx, sy = snap_cell(lon, lat, z)
-            picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(F.min("__sk").alias("__sk")).select("__sk")
-            n_done += materialize(picks, out, count=True)
-        else:
-            n_done += spark.read.parquet(out).count()  # footer metadata only
-        done.append(out)
-    if not done:
-        return spark.createDataFrame([], f"{key} string, zoomlevel int").select(key, "zoomlevel")
-    # Hive-style zoomlevel=z folders: the zoom comes back as a partition column.
-    picked = spark.read.option("basePath", picks_root).parquet(*done).select(
-        "__sk", F.col("zoomlevel").cast("int").alias("zoomlevel")
-    )
-    # back to the caller's key: picks are few, LONG-keyed, broadcast when counted small
-    return pts_all.select("__sk", key).join(_maybe_broadcast(picked, n_done, broadcast_rows), "__sk").select(
-        key, "zoomlevel"
-    )
-
-
-def attach_zoom(
-    df: DataFrame,
-    picks: DataFrame,
-    maxzoom: int = DEFAULT_MAXZOOM,
-    key: str = "id",
-    broadcast_rows: int = ATTACH_BROADCAST_ROWS,
-    picks_rows: int | None = None,
-) -> DataFrame:
+        rem = left if done is None else left.join(done.select("__sk"), "__sk", "left_anti")
+        sx, sy = snap_cell(lon, lat, z)
+        picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(F.min("__sk").alias("__sk"))
+        picks = checkpointed(picks.select("__sk", F.lit(z).alias("zoomlevel")), f"{work}/picks-{z}")
+        done = picks if done is None else done.unionByName(picks)
+    return pts.select("__sk", *keys).join(done, "__sk").select(*keys, "zoomlevel")
+
+
+def attach_zoom(df: DataFrame, picks: DataFrame, maxzoom: int = DEFAULT_MAXZOOM, key: Key = "id") -> DataFrame:
     """Source rows with their ``zoomlevel``: picked zoom, else maxzoom.
 
     A left join against the picks only (a small fraction of the rows)
-    instead of an inner join against a full assignment table. The picks
-    are broadcast while their counted rows are under ``broadcast_rows``;
-    beyond that it is a sort-merge join on the unique key.
+    instead of an inner join against a full assignment table.
     """
-    n = picks.count() if picks_rows is None else picks_rows
-    if dict(picks.dtypes).get(key) in ("bigint", "int"):
-        broadcast_rows = max(broadcast_rows, DEFAULT_BROADCAST_ROWS)  # 8-byte keys
-    j = df.join(_maybe_broadcast(picks, n, broadcast_rows), key, "left")
+    j = df.join(picks, key_columns(key), "left")
     return j.withColumn("zoomlevel", F.coalesce(F.col("zoomlevel"), F.lit(maxzoom)).cast("int"))
 
 
@@ -123,28 +124,33 @@ def assign_zoom(
     points: DataFrame,
     minzoom: int = DEFAULT_MINZOOM,
     maxzoom: int = DEFAULT_MAXZOOM,
-    key: str = "id",
+    key: Key = "id",
     lon: str = "lon",
     lat: str = "lat",
     workdir: str | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """``(key, zoomlevel)`` for every point (T1 as a whole)."""
-    picks = zoom_picks(points, minzoom, maxzoom, key, lon, lat, workdir, broadcast_rows)
-    return attach_zoom(points.select(key), picks, maxzoom, key, min(broadcast_rows, ATTACH_BROADCAST_ROWS))
+    picks = zoom_picks(points, minzoom, maxzoom, key, lon, lat, workdir)
+    return attach_zoom(points.select(*key_columns(key)), picks, maxzoom, key)
+
 
+def zoom_counts(points: DataFrame, picks: DataFrame, maxzoom: int = DEFAULT_MAXZOOM) -> DataFrame:
+    """Rows per zoom, ``(zoomlevel, n)``: the picks of each, and at maxzoom
+    what is left of all points. Nothing is joined."""
+    one = F.count(F.lit(1))
+    per = picks.groupBy("zoomlevel").agg(one.alias("n"))
+    rest = points.agg(one.alias("n")).unionByName(picks.agg((-one).alias("n"))).agg(F.sum("n").alias("n"))
+    rest = rest.where("n > 0").select(F.lit(maxzoom).alias("zoomlevel"), "n")
+    return per.unionByName(rest)
 
-def zoom_assignment_counters(assign: DataFrame) -> DataFrame:
-    """Per zoom: assigned rows and rows still unassigned after that zoom."""
-    from pyspark.sql import Window
 
-    per = assign.groupBy("zoomlevel").agg(F.count(F.lit(1)).alias("assigned"))
-    # ``per`` has one row per zoom (a dozen rows), so one ordered window is fine.
+def zoom_counters(counts: DataFrame) -> DataFrame:
+    """Per zoom of :func:`zoom_counts`: assigned rows and rows still
+    unassigned after that zoom."""
+    # one row per zoom (a dozen rows), so one ordered window is fine
     w = Window.orderBy("zoomlevel").rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("assigned").over(Window.partitionBy())
-    return per.select(
-        "zoomlevel", "assigned", (total - F.sum("assigned").over(w)).alias("remaining")
-    )
+    total = F.sum("n").over(Window.partitionBy())
+    return counts.select("zoomlevel", F.col("n").alias("assigned"), (total - F.sum("n").over(w)).alias("remaining"))
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

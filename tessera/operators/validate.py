@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.grid import cell_area_any_sql, cell_lat_any_sql, cell_lon_any_sql
-from tessera.functions.measures import geometry_type
+from tessera.functions.measures import geometry_type, with_measures
 
 
 def split_valid(measured: DataFrame, cols=("lon", "lat", "area_deg2")) -> tuple[DataFrame, DataFrame]:
@@ -33,8 +33,6 @@ def quarantine_counts(measured: DataFrame, cols=("lon", "lat", "area_deg2")) ->
 
 def consistency(idx: DataFrame) -> DataFrame:
     """Buildings per resolution and the max - min spread (should be 0)."""
-    from pyspark.sql import Window
-
     per = idx.groupBy("h3_res").agg(F.sum("building_count").cast("long").alias("total_buildings"))
     # ``per`` has one row per resolution (at most 16): a global window is fine
     w = Window.partitionBy()
@@ -100,28 +98,74 @@ def validate_index(idx: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def index_checks(idx: DataFrame) -> DataFrame:
+    """(check_name, value, ok) of an index: repeated and missing cells, negative
+    metrics, and buildings that differ between resolutions."""
+    bad = "building_count <= 0 OR building_density < 0 OR total_footprint_m2 < 0 OR coverage_ratio < 0 OR total_volume_m3 < 0"
+    flat = idx.agg(
+        F.count_if(F.col("h3_index").isNull()).alias("null_cells"),
+        F.count_if(F.expr(bad)).alias("negative_metrics"),
+        F.count_if(F.expr("max_height_m < avg_height_m - 0.001")).alias("mean_above_max"),
+    )
+    repeated = idx.groupBy("h3_index").count().agg(F.count_if(F.col("count") > 1).alias("repeated_cells"))
+    spread = consistency(idx).agg(F.coalesce(F.max("max_diff"), F.lit(0)).alias("buildings_max_diff"))
+    rows = [f.select(F.lit(c).alias("check_name"), F.col(c).cast("long").alias("value")) for f, cs in ((flat, flat.columns), (repeated, ["repeated_cells"]), (spread, ["buildings_max_diff"])) for c in cs]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.withColumn("ok", F.col("value") == 0)
+
+
 def zoom_distribution(pyr: DataFrame) -> DataFrame:
     return pyr.groupBy("zoomlevel").agg(F.count(F.lit(1)).alias("n")).orderBy("zoomlevel")
 
 
-def geometry_types(df: DataFrame, geometry: str = "geometry", n: int = 5) -> DataFrame:
-    return (
+def geometry_types(df: DataFrame, geometry: str = "geometry", n: int | None = None) -> DataFrame:
+    """Rows per geometry type, most frequent first; ``n`` keeps so many types."""
+    per = (
         df.groupBy(geometry_type(geometry).alias("geometry_type"))
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.col("n").desc(), "geometry_type")
-        .limit(n)
     )
+    return per if n is None else per.limit(n)
+
+
+def crowded_cells(points: DataFrame, maxzoom: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """``(zoomlevel, crowded)``: snap cells below maxzoom that hold more than
+    one row of their zoom."""
+    step = "360.0e0 / power(2.0e0, zoomlevel)"
+    cell = [F.expr(f"floor({c} / ({step}) + 0.5e0)").alias(n) for c, n in ((lon, "sx"), (lat, "sy"))]
+    per = points.where(F.col("zoomlevel") < maxzoom).groupBy("zoomlevel", *cell).agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("zoomlevel").agg(F.count_if(F.col("n") > 1).alias("crowded"))
+
+
+def unsorted_rows(scan: DataFrame) -> DataFrame:
+    """One row, ``n``: rows of a pyramid's file scan that come before the row
+    ahead of them in (zoomlevel, quadkey). Files have a bounded number of rows."""
+    w = Window.partitionBy("file_path").orderBy("row_index")
+    at = F.struct("zoomlevel", "quadkey")
+    x = scan.select("zoomlevel", "quadkey", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+    return x.select((at < F.lag(at).over(w)).alias("bad")).agg(F.count_if("bad").alias("n"))
 
 
-def validate_pyramid(pyr: DataFrame, source_rows: int | None = None) -> DataFrame:
-    """(check, value, ok) rows: totals, rows per zoom, one pick per snap cell.
+def validate_pyramid(pyr: DataFrame, source_rows: int, maxzoom: int, scan: DataFrame | None = None, geometry: str = "geometry") -> DataFrame:
+    """(check_name, value, ok) of a pyramid.
 
-    Computed as one aggregate over the pyramid; the zoom histogram is a
-    second small aggregate.
+    * total_rows: as many as the source has;
+    * zoom_<z>_rows: the rows of a zoom, ok if no snap cell holds two of them
+      (every row counts at maxzoom);
+    * unknown_zoom_rows: rows without a zoom up to maxzoom;
+    * unsorted_rows: with ``scan``, a file scan of the written rows.
     """
-    spark = pyr.sparkSession
-    total = pyr.agg(F.count(F.lit(1)).alias("v")).collect()[0]["v"]
-    rows = [("total_rows", int(total), source_rows is None or int(total) == int(source_rows))]
-    for r in zoom_distribution(pyr).collect():  # one row per zoom
-        rows.append((f"zoom_{r['zoomlevel']}_rows", int(r["n"]), True))
-    return spark.createDataFrame(rows, "check_name string, value long, ok boolean")
+    points = with_measures(pyr.select("zoomlevel", geometry), geometry).select("zoomlevel", "lon", "lat")
+    one = F.count(F.lit(1)).alias("value")
+    total = points.agg(F.lit("total_rows").alias("check_name"), one).withColumn("ok", F.col("value") == source_rows)
+    known = F.coalesce(F.col("zoomlevel").between(0, maxzoom), F.lit(False))
+    per = points.where(known).groupBy("zoomlevel").agg(one).join(crowded_cells(points, maxzoom), "zoomlevel", "left")
+    per = per.select(F.concat(F.lit("zoom_"), "zoomlevel", F.lit("_rows")).alias("check_name"), "value", (F.coalesce("crowded", F.lit(0)) == 0).alias("ok"))
+    lost = points.agg(F.lit("unknown_zoom_rows").alias("check_name"), F.count_if(~known).alias("value")).withColumn("ok", F.col("value") == 0)
+    out = total.unionByName(per).unionByName(lost)
+    if scan is not None:
+        order = unsorted_rows(scan).select(F.lit("unsorted_rows").alias("check_name"), F.col("n").alias("value"), (F.col("n") == 0).alias("ok"))
+        out = out.unionByName(order)
+    return out

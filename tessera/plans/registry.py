@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.constants import DEFAULT_MAXZOOM, DEFAULT_MINZOOM, DEFAULT_RESOLUTIONS, INDEX_COLUMNS
+from tessera.constants import DEFAULT_MAXZOOM, DEFAULT_MINZOOM, DEFAULT_RESOLUTIONS, INDEX_COLUMNS, PYRAMID_ROW_GROUP
 from tessera.functions import grid
 from tessera.functions.measures import footprint_m2, geometry_type, with_measures
 from tessera.functions.tiles import in_quad, quadkey, snap_cell
@@ -141,16 +141,28 @@ def resolution_stats(spark, sf):
     return va.resolution_stats(ix.build_index(_fp(spark, sf)))
 
 
-@register(
-    "metric_summary",
-    lambda: S.index_query(
-        body="SELECT h3_res, CAST(avg(building_density) AS FLOAT) AS avg_density, "
-        "CAST(max(building_density) AS FLOAT) AS max_density, CAST(avg(coverage_ratio) AS FLOAT) AS avg_coverage, "
-        "CAST(max(coverage_ratio) AS FLOAT) AS max_coverage, CAST(avg(avg_height_m) AS FLOAT) AS avg_height, "
-        "CAST(max(max_height_m) AS FLOAT) AS tallest, CAST(sum(total_volume_m3) AS FLOAT) AS total_volume, "
-        "CAST(avg(avg_footprint_m2) AS FLOAT) AS avg_footprint FROM idx GROUP BY h3_res"
-    ),
-)
+def _metric_summary_sql():
+    area = S._per_res_case("h3_res", {r: S.lit(grid.SPECS[r].area_km2) for r in DEFAULT_RESOLUTIONS})
+    per_cell = (
+        f"SELECT h3_res, CAST(n / ({area}) AS FLOAT) AS per_km2, CAST(fp / (1e6 * ({area})) AS FLOAT) AS covered, "
+        "CAST(hsum / nullif(hn, 0) AS FLOAT) AS h_mean, CAST(hmax AS FLOAT) AS h_max, CAST(vol AS FLOAT) AS v, "
+        "CAST(fp / n AS FLOAT) AS f_mean FROM idx_a"
+    )
+    return S.index_query(
+        body="SELECT CAST(h3_res AS INT) AS h3_res, "
+        + ", ".join(
+            f"CAST({fn}({c}) AS FLOAT) AS {name}"
+            for fn, c, name in (
+                ("sum", "v", "total_volume"), ("max", "h_max", "tallest"), ("avg", "h_mean", "avg_height"),
+                ("avg", "f_mean", "avg_footprint"), ("avg", "per_km2", "avg_density"), ("max", "per_km2", "max_density"),
+                ("avg", "covered", "avg_coverage"), ("max", "covered", "max_coverage"),
+            )
+        )
+        + f" FROM ({per_cell}) GROUP BY h3_res"
+    )
+
+
+@register("metric_summary", _metric_summary_sql)
 def metric_summary(spark, sf):
     """per-resolution metric summary."""
     return va.metric_summary(ix.build_index(_fp(spark, sf)))
@@ -311,18 +323,16 @@ def tile_row_counts(spark, sf):
     return pf.tile_row_counts(_fp(spark, sf), "tile_id")
 
 
-@register(
-    "height_summary",
-    lambda: S.with_(
+def _heights_sql(src: str = "bm") -> str:
+    return S.with_(
         S.cte_base(),
-        "SELECT count(*) AS total_buildings, CAST(count_if(height <> -999) AS BIGINT) AS with_height, "
-        "CAST(count_if(height = -999) AS BIGINT) AS no_height, "
-        "CAST(avg(CASE WHEN height <> -999 THEN height END) AS FLOAT) AS avg_height, "
-        "CAST(median(CASE WHEN height <> -999 THEN height END) AS FLOAT) AS median_height, "
-        "CAST(max(CASE WHEN height <> -999 THEN height END) AS FLOAT) AS max_height, "
-        "CAST(min(CASE WHEN height <> -999 THEN height END) AS FLOAT) AS min_height FROM fp",
-    ),
-)
+        f"SELECT count(*) AS total_buildings, count(h) AS with_height, count(*) - count(h) AS no_height, "
+        f"CAST(avg(h) AS FLOAT) AS avg_height, CAST(quantile_cont(h, 0.5) AS FLOAT) AS median_height, "
+        f"CAST(max(h) AS FLOAT) AS max_height, CAST(min(h) AS FLOAT) AS min_height FROM {src}",
+    )
+
+
+@register("height_summary", _heights_sql)
 def height_summary(spark, sf):
     """building count, with/without height, avg, exact median, max, min."""
     return pf.height_summary(_fp(spark, sf))
@@ -467,14 +477,18 @@ def quadkeys_z14(spark, sf):
     return _fp(spark, sf).select("id", quadkey("lon", "lat", 14).alias("quadkey"))
 
 
-def _picks(spark, sf, minzoom=DEFAULT_MINZOOM, maxzoom=DEFAULT_MAXZOOM):
-    pts = _fp(spark, sf).select("id", "lon", "lat")
-    return th.zoom_picks(pts, minzoom, maxzoom, key="id")
+def _points(spark, sf):
+    return _fp(spark, sf).select("id", "lon", "lat")
 
 
 def _assign(spark, sf):
-    picks = _picks(spark, sf)
-    return th.attach_zoom(_fp(spark, sf).select("id"), picks, DEFAULT_MAXZOOM, key="id")
+    pts = _points(spark, sf)
+    return th.attach_zoom(pts.select("id"), th.zoom_picks(pts, key="id"), key="id")
+
+
+def _zoom_counts(spark, sf):
+    pts = _points(spark, sf)
+    return th.zoom_counts(pts, th.zoom_picks(pts, key="id"))
 
 
 @register("zoom_assignments", lambda: S.thinning_query("SELECT id, zoomlevel FROM assign"))
@@ -489,7 +503,7 @@ def zoom_assignments(spark, sf):
 )
 def zoom_histogram(spark, sf):
     """buildings per zoom level after thinning."""
-    return va.zoom_distribution(_assign(spark, sf))
+    return _zoom_counts(spark, sf)
 
 
 @register(
@@ -502,7 +516,7 @@ def zoom_histogram(spark, sf):
 )
 def zoom_counters(spark, sf):
     """F16: assigned and still-unassigned rows after each zoom."""
-    return th.zoom_assignment_counters(_assign(spark, sf))
+    return th.zoom_counters(_zoom_counts(spark, sf))
 
 
 def _pyramid(spark, sf):
@@ -623,22 +637,339 @@ def streamed_index_res5(spark, sf):
     return merge_stream_partials(spark, part)
 
 
+@register("stream_new_checkpoint", lambda: S.index_query([5]))
+def stream_new_checkpoint(spark, sf):
+    """The second drop is streamed with a new checkpoint over the same partials."""
+    from tessera.streaming.incremental import merge_stream_partials, start_partials_stream
+
+    root, part = _scratch(spark, "incoming"), _scratch(spark, "partials")
+    schema = fx.buildings(spark, sf).drop("half", "tile_id").schema
+    for where in ("lon < 0", "lon >= 0"):
+        _write_tiles(spark, sf, root, where)
+        start_partials_stream(spark, root, schema, part, _scratch(spark, "stream"), [5]).awaitTermination()
+    return merge_stream_partials(spark, part)
+
+
 @register(
-    "pyramid_validation",
-    lambda: S.thinning_query(
-        "SELECT 'total_rows' AS check_name, count(*) AS value, TRUE AS ok FROM assign UNION ALL "
-        "SELECT 'zoom_' || CAST(zoomlevel AS VARCHAR) || '_rows' AS check_name, count(*) AS value, TRUE AS ok "
-        "FROM assign GROUP BY zoomlevel"
+    "index_second_resolution",
+    lambda: S.index_query([3, 5, 8], "SELECT h3_res, " + ", ".join(INDEX_COLUMNS) + " FROM idx"),
+)
+def index_second_resolution(spark, sf):
+    """A run of resolutions 3 and 5, then one of 8 into the same index; all three read."""
+    from tessera.plans.index_job import run_index_job
+    from tessera.sources.readers import read_index
+
+    root, work, out = _scratch(spark, "tiles"), _scratch(spark, "job"), _scratch(spark, "index")
+    _write_tiles(spark, sf, root)
+    run_index_job(spark, root, work, out, [3, 5])
+    run_index_job(spark, root, work, out, [8])
+    return read_index(spark, out).select("h3_res", *INDEX_COLUMNS)
+
+
+@register("late_file_of_done_tile", lambda: S.index_query([5]))
+def late_file_of_done_tile(spark, sf):
+    """Every tile gets a second file after the job has finished it."""
+    from tessera.plans.index_job import run_index_job
+    from tessera.sources.readers import read_index
+
+    root, work, out = _scratch(spark, "tiles"), _scratch(spark, "job"), _scratch(spark, "index")
+    for where in ("half = 0", "half = 1"):
+        _write_tiles(spark, sf, root, where)
+        run_index_job(spark, root, work, out, [5])
+    return read_index(spark, out).select("h3_res", *INDEX_COLUMNS)
+
+
+# buildings without a usable geometry, by region: missing, cut short, no polygon at all
+BAD_REGIONS = {"NATION_3": "CAST(NULL AS BINARY)", "NATION_7": "substring(geometry, 1, 11)", "NATION_11": "unhex('0103000000FFFFFFFF')"}
+BAD_SQL = "region IN (" + ", ".join(f"'{r}'" for r in BAD_REGIONS) + ")"
+
+
+def _with_bad_rows(spark, sf):
+    cases = " ".join(f"WHEN region = '{r}' THEN {e}" for r, e in BAD_REGIONS.items())
+    return fx.buildings(spark, sf).withColumn("geometry", F.expr(f"CASE {cases} ELSE geometry END"))
+
+
+@register(
+    "index_with_bad_rows",
+    lambda: S.with_(
+        [*S.cte_base(), f"good AS (SELECT * FROM bmv WHERE NOT ({BAD_SQL}))", *S.cte_index("idx", [5], src="good")],
+        "SELECT * FROM idx",
     ),
 )
-def pyramid_validation(spark, sf):
-    """Pyramid written per zoom, read back and checked."""
-    from tessera.operators.pyramid import build_pyramid, read_pyramid
+def index_with_bad_rows(spark, sf):
+    """Rows whose geometry cannot be read belong to no cell."""
+    return ix.build_index(with_measures(_with_bad_rows(spark, sf)), [5])
+
+
+@register(
+    "quarantine_counts_bad_rows",
+    lambda: S.with_(
+        S.cte_base(), f"SELECT CASE WHEN {BAD_SQL} THEN 'rejected' ELSE 'valid' END AS status, count(*) AS n FROM fp GROUP BY 1"
+    ),
+)
+def quarantine_counts_bad_rows(spark, sf):
+    """V4: both branches of the quarantine."""
+    return va.quarantine_counts(with_measures(_with_bad_rows(spark, sf)))
+
+
+@register(
+    "job_counts_with_bad_rows",
+    lambda: S.with_(
+        S.cte_base(),
+        f"SELECT tile_id, 'done' AS status, count(*) AS rows, CAST(count_if({BAD_SQL}) AS BIGINT) AS rejected FROM fp GROUP BY tile_id "
+        "UNION ALL SELECT 'none', 'skipped_empty', 0, 0",
+    ),
+)
+def job_counts_with_bad_rows(spark, sf):
+    """The ledger of a job over tiles with unreadable rows and an empty tile."""
+    from tessera.plans.index_job import read_ledger, run_index_job
+
+    root, work = _scratch(spark, "tiles"), _scratch(spark, "job")
+    b = _with_bad_rows(spark, sf).drop("half")
+    b.repartitionByRange("tile_id", "id").write.partitionBy("tile_id").parquet(root)
+    b.drop("tile_id").limit(0).coalesce(1).write.parquet(f"{root}/tile_id=none")
+    run_index_job(spark, root, work, _scratch(spark, "index"), [5])
+    led = read_ledger(spark, f"{work}/ledger").groupBy("tile_id", "status")
+    return led.agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"))
+
+
+@register(
+    "source_tiles_with_empty",
+    lambda: S.with_(
+        S.cte_base(),
+        "SELECT tile_id, count(*) AS rows, 'done' AS status FROM fp GROUP BY tile_id UNION ALL SELECT 'none', 0, 'skipped_empty'",
+    ),
+)
+def source_tiles_with_empty(spark, sf):
+    """An empty tile is listed and skipped."""
+    from tessera.sources.readers import list_tiles, read_footprints, tile_status
+
+    root = _scratch(spark, "tiles")
+    _write_tiles(spark, sf, root)
+    fx.buildings(spark, sf).drop("half", "tile_id").limit(0).coalesce(1).write.parquet(f"{root}/tile_id=none")
+    return tile_status(list_tiles(spark, root), read_footprints(spark, root, ["geometry", "height"]))
+
+
+# heights that are no numbers to average: NaN, NULL, and an infinite one
+ODD_HEIGHT = (
+    "CASE WHEN region = 'NATION_3' THEN CAST('NaN' AS DOUBLE) WHEN region = 'NATION_7' THEN CAST(NULL AS DOUBLE) "
+    "WHEN region = 'NATION_11' THEN 3 * height WHEN region = 'NATION_15' THEN CAST('Infinity' AS DOUBLE) ELSE height END"
+)
+
+
+def _odd_heights_sql():
+    odd = f"SELECT * EXCLUDE (height), {ODD_HEIGHT} AS height FROM fp"
+    valid = "CASE WHEN height IS NULL OR isnan(height) OR height = -999 THEN NULL ELSE height END"
+    return _heights_sql(f"(SELECT {valid} AS h FROM ({odd}))")
+
+
+@register("height_summary_odd_values", _odd_heights_sql)
+def height_summary_odd_values(spark, sf):
+    """NaN and NULL are no height, an infinite height is the largest."""
+    return pf.height_summary(_fp(spark, sf).withColumn("height", F.expr(ODD_HEIGHT)))
+
+
+# every third height tripled: some above 100 m
+TALL_HEIGHT = "CASE WHEN height > 0 AND region IN ('NATION_3', 'NATION_11', 'NATION_15') THEN height * 8 ELSE height END"
+
+
+@register(
+    "tall_buildings_res8_over_100m",
+    lambda: S.with_(
+        [
+            f"fp0 AS ({S.footprints_sql()})",
+            f"fp AS (SELECT * EXCLUDE (height), {TALL_HEIGHT} AS height FROM fp0)",
+            *S.cte_base()[1:],
+            *S.cte_index("idx", [8]),
+        ],
+        f"SELECT {TALL_COLS.format(lat=S.lat_sql(8), lon=S.lon_sql(8))} FROM idx WHERE max_height_m > 100 "
+        "ORDER BY max_height_m DESC, h3_index LIMIT 20",
+    ),
+)
+def tall_buildings_res8_over_100m(spark, sf):
+    """H5/C21 on heights that reach the threshold."""
+    cols = ["h3_index", "lat", "lng", "building_count", "max_height_m", "avg_height_m", "total_volume_m3"]
+    idx = ix.build_index(_fp(spark, sf).withColumn("height", F.expr(TALL_HEIGHT)), [8])
+    return qx.tallest(ix.index_res(idx, 8), 20, min_height=100.0, columns=cols)
+
+
+@register("dense_cells_res5_over_100", lambda: _top_sql(5, "building_density", 20, where="building_count > 100"))
+def dense_cells_res5_over_100(spark, sf):
+    """H4/C21 with a threshold that cells of the test tables reach."""
+    return qx.densest(_idx(spark, sf, 5), 20, min_count=100)
+
+
+@register(
+    "stored_bbox_res5",
+    lambda: S.index_query(
+        [5],
+        f"SELECT h3_index, building_count, CAST({S.lat_sql(5)} AS FLOAT) AS lat, CAST({S.lon_sql(5)} AS FLOAT) AS lng FROM idx "
+        f"WHERE {S.lat_sql(5)} BETWEEN -20 AND 40 AND {S.lon_sql(5)} BETWEEN 0 AND 90",
+    ),
+)
+def stored_bbox_res5(spark, sf):
+    """C19 on a stored index: the id range of the box reaches the scan."""
+    from tessera.sources.readers import read_index
+    from tessera.sources.writers import write_index
+
+    out = _scratch(spark, "index")
+    write_index(ix.build_index(_fp(spark, sf)), out)
+    b = qx.bbox(ix.index_res(read_index(spark, out), 5), -20, 40, 0, 90, res=5)
+    return qx.with_centre(b).select("h3_index", "building_count", "lat", "lng")
+
+
+@register(
+    "foreign_layout_index",
+    lambda: S.index_query([3, 5], "SELECT h3_res, h3_index, building_count FROM idx"),
+)
+def foreign_layout_index(spark, sf):
+    """An index whose files are all called data.parquet, below folders h3_res=N."""
+    from tessera.sources.readers import read_index
+    from tessera.sources.writers import _fs_path
+
+    out = _scratch(spark, "foreign")
+    idx = ix.build_index(_fp(spark, sf), [3, 5])
+    for res in (3, 5):
+        ix.index_res(idx, res).coalesce(1).write.parquet(f"{out}/h3_res={res}")
+        fs, p = _fs_path(spark, f"{out}/h3_res={res}")
+        (part,) = [f.getPath() for f in fs.listStatus(p) if f.getPath().getName().startswith("part-")]
+        fs.rename(part, _fs_path(spark, f"{out}/h3_res={res}/data.parquet")[1])
+    return read_index(spark, out, layout="foreign").select("h3_res", "h3_index", "building_count")
+
+
+@register(
+    "index_checks",
+    lambda: "SELECT unnest(['null_cells', 'negative_metrics', 'mean_above_max', 'repeated_cells', 'buildings_max_diff']) "
+    "AS check_name, 0::BIGINT AS value, TRUE AS ok FROM (SELECT count(*) AS n FROM lineitem) WHERE n > 0",
+)
+def index_checks(spark, sf):
+    """V2: checks of a whole index."""
+    return va.index_checks(ix.build_index(_fp(spark, sf)))
+
+
+@register(
+    "index_checks_broken",
+    lambda: S.index_query(
+        [3, 5],
+        "SELECT 'null_cells' AS check_name, 0::BIGINT AS value, TRUE AS ok "
+        "UNION ALL SELECT 'negative_metrics', count(*), FALSE FROM idx WHERE h3_res = 3 "
+        "UNION ALL SELECT 'mean_above_max', 0, TRUE "
+        "UNION ALL SELECT 'repeated_cells', count(*), FALSE FROM idx WHERE h3_res = 5 "
+        "UNION ALL SELECT 'buildings_max_diff', sum(building_count)::BIGINT, FALSE FROM idx WHERE h3_res = 5",
+    ),
+)
+def index_checks_broken(spark, sf):
+    """V2: the checks of an index with cells repeated and metrics turned negative."""
+    idx = ix.build_index(_fp(spark, sf), [3, 5])
+    idx = idx.withColumn("building_density", F.when(F.col("h3_res") == 3, -F.col("building_density")).otherwise(F.col("building_density")))
+    return va.index_checks(idx.unionByName(idx.where("h3_res = 5")))
+
+
+@register(
+    "file_row_identity",
+    lambda: S.with_(
+        S.cte_base(),
+        "SELECT id, tile_id, row_number() OVER (PARTITION BY tile_id ORDER BY id) - 1 AS row_index FROM fp",
+    ),
+)
+def file_row_identity(spark, sf):
+    """A5: each row's place in its file (one sorted file for each tile)."""
+    from tessera.sources.readers import tile_id, with_row_identity
+
+    root = _scratch(spark, "tiles")
+    b = fx.buildings(spark, sf).select("id", "tile_id")
+    b.repartition("tile_id").sortWithinPartitions("tile_id", "id").write.partitionBy("tile_id").parquet(root)
+    rows = with_row_identity(spark.read.option("recursiveFileLookup", "true").parquet(root))
+    return rows.select("id", tile_id("file_path").alias("tile_id"), F.col("row_index").cast("long").alias("row_index"))
+
+
+def _built(spark, sf):
+    from tessera.operators.pyramid import build_pyramid
 
-    b = fx.buildings(spark, sf).drop("tile_id", "half")
     out = _scratch(spark, "pyramid")
-    meta = build_pyramid(b, out, DEFAULT_MINZOOM, DEFAULT_MAXZOOM, key="id")
-    return va.validate_pyramid(read_pyramid(spark, out), meta["rows_written"])
+    build_pyramid(fx.buildings(spark, sf).drop("tile_id", "half"), out, key="id")
+    return out
+
+
+# rows in a snap cell of their own zoom, counted apart from the engine's snap functions
+CROWDED = (
+    "SELECT zoomlevel, count(*) AS crowded FROM (SELECT zoomlevel FROM {src} a JOIN fp ON fp.id = a.id WHERE zoomlevel < 14 "
+    "GROUP BY zoomlevel, floor(lon / (360 / 2 ** zoomlevel) + 0.5), floor(lat / (360 / 2 ** zoomlevel) + 0.5) HAVING count(*) > 1) "
+    "GROUP BY zoomlevel"
+)
+
+
+def _checks_sql(src: str, unsorted: bool) -> str:
+    crowded = CROWDED.format(src=src)
+    return S.thinning_query(
+        f"SELECT 'total_rows' AS check_name, count(*) AS value, count(*) = (SELECT count(*) FROM fp) AS ok FROM {src} a UNION ALL "
+        f"SELECT 'zoom_' || CAST(a.zoomlevel AS VARCHAR) || '_rows', count(*), coalesce(max(c.crowded), 0) = 0 "
+        f"FROM {src} a LEFT JOIN ({crowded}) c ON c.zoomlevel = a.zoomlevel GROUP BY a.zoomlevel UNION ALL "
+        "SELECT 'unknown_zoom_rows', 0, TRUE" + (" UNION ALL SELECT 'unsorted_rows', 0, TRUE" if unsorted else "")
+    )
+
+
+@register("pyramid_validation", lambda: _checks_sql("assign", True))
+def pyramid_validation(spark, sf):
+    """The pyramid written as GeoParquet, read back and checked."""
+    from tessera.operators.pyramid import read_pyramid, read_pyramid_attributes
+
+    out = _built(spark, sf)
+    rows = _fp(spark, sf).count()
+    return va.validate_pyramid(read_pyramid(spark, out), rows, DEFAULT_MAXZOOM, read_pyramid_attributes(spark, out))
+
+
+@register(
+    "pyramid_validation_broken",
+    lambda: _checks_sql("(SELECT * FROM assign UNION ALL SELECT * FROM assign WHERE zoomlevel = 5)", False),
+)
+def pyramid_validation_broken(spark, sf):
+    """V1: the checks of a pyramid that has one zoom's rows twice."""
+    p = _pyramid(spark, sf)
+    return va.validate_pyramid(p.unionByName(p.where("zoomlevel = 5")), _fp(spark, sf).count(), DEFAULT_MAXZOOM)
+
+
+@register("pyramid_zoom_rows", lambda: S.pyramid_rows_sql(where="a.zoomlevel = 9", cols="quadkey, id, geom_bytes"))
+def pyramid_zoom_rows(spark, sf):
+    """One zoom of a written pyramid, read from its folder alone."""
+    from tessera.operators.pyramid import read_pyramid
+
+    p = read_pyramid(spark, _built(spark, sf), zoom=9)
+    return p.select("quadkey", "id", F.octet_length("geometry").alias("geom_bytes"))
+
+
+@register(
+    "stored_quadrant_rows",
+    lambda: S.pyramid_rows_sql(where=f"{S.quadkey_sql('f.lon', 'f.lat', 14)} LIKE '12%'", cols="zoomlevel, quadkey, id"),
+)
+def stored_quadrant_rows(spark, sf):
+    """C13 on a stored pyramid: the prefix reaches the Parquet scan."""
+    from tessera.operators.pyramid import read_pyramid_attributes
+
+    return in_quad(read_pyramid_attributes(spark, _built(spark, sf)), "12").select("zoomlevel", "quadkey", "id")
+
+
+def _by_row_sql():
+    # tiles in path order, rows in file order: what file and row number order by
+    base = f"SELECT * EXCLUDE (id), id AS own_id, tile_id || '/' || id AS id FROM ({S.footprints_sql()})"
+    qk = S.quadkey_sql("f.lon", "f.lat", DEFAULT_MAXZOOM)
+    return S.with_(
+        [f"fp AS ({base})", *S.cte_thinning()],
+        f"SELECT a.zoomlevel, {qk} AS quadkey, substring(f.own_id, 1, 3) AS id, f.source, CAST(f.height AS FLOAT) AS height "
+        "FROM fp f JOIN assign a ON f.id = a.id",
+    )
+
+
+@register("pyramid_rows_by_row_identity", _by_row_sql)
+def pyramid_rows_by_row_identity(spark, sf):
+    """Tiles whose ids repeat many times; rows are known by file and row number."""
+    from tessera.operators.pyramid import pyramid_frame
+
+    root = _scratch(spark, "tiles")
+    b = fx.buildings(spark, sf).drop("half").withColumn("own", F.col("id")).withColumn("id", F.substring("id", 1, 3))
+    b.repartition("tile_id").sortWithinPartitions("tile_id", "own").drop("own").write.partitionBy("tile_id").parquet(root)
+    p = pyramid_frame(spark.read.option("recursiveFileLookup", "true").parquet(root))
+    return p.select("zoomlevel", "quadkey", "id", "source", "height")
 
 
 def _boundary_sql():
@@ -659,24 +990,19 @@ def cell_boundaries_res5(spark, sf):
 
 @register(
     "geoparquet_footer",
-    lambda: S.with_(
-        S.cte_base(),
-        "SELECT '1.1.0' AS version, 'geometry' AS primary_column, 'WKB' AS encoding, count(*) AS rows FROM fp",
+    lambda: S.thinning_query(
+        "SELECT '1.1.0' AS version, 'geometry' AS primary_column, 'WKB' AS encoding, 'EPSG:4326' AS crs, count(*) AS rows, "
+        "TRUE AS groups_fit FROM assign",
     ),
 )
 def geoparquet_footer(spark, sf):
-    """Pyramid rows written as GeoParquet; footers read in tasks."""
-    from tessera.sources.geoparquet import geo_footer, write_geoparquet
+    """Footers of the pyramid that ``build_pyramid`` writes, read in tasks."""
+    from tessera.sources.geoparquet import geo_footer
 
-    p = _pyramid(spark, sf)
-    out = _scratch(spark, "geoparquet")
-    write_geoparquet(
-        p.repartitionByRange("zoomlevel", "quadkey").sortWithinPartitions("zoomlevel", "quadkey"),
-        out,
-        partition_by="zoomlevel",
+    f = geo_footer(spark, _built(spark, sf))
+    return f.groupBy("version", "primary_column", "encoding", "crs").agg(
+        F.sum("num_rows").alias("rows"), (F.max("largest_group") == F.least(F.lit(PYRAMID_ROW_GROUP), F.max("num_rows"))).alias("groups_fit")
     )
-    f = geo_footer(spark, out)
-    return f.groupBy("version", "primary_column", "encoding").agg(F.sum("num_rows").alias("rows"))
 
 
 @register(

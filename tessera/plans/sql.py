@@ -106,13 +106,13 @@ def thinning_query(body: str, minzoom: int = DEFAULT_MINZOOM, maxzoom: int = DEF
     return with_([f"fp AS ({footprints_sql()})"] + cte_thinning(minzoom, maxzoom), body)
 
 
-def pyramid_rows_sql(maxzoom: int = DEFAULT_MAXZOOM, where: str = "TRUE") -> str:
+def pyramid_rows_sql(maxzoom: int = DEFAULT_MAXZOOM, where: str = "TRUE", cols: str = "*") -> str:
     qk = quadkey_sql("f.lon", "f.lat", maxzoom)
     return thinning_query(
-        f"SELECT a.zoomlevel, {qk} AS quadkey, f.source, f.id, CAST(f.height AS FLOAT) AS height, "
+        f"SELECT {cols} FROM (SELECT a.zoomlevel, {qk} AS quadkey, f.source, f.id, CAST(f.height AS FLOAT) AS height, "
         f"CAST(f.var AS FLOAT) AS var, f.region, "
         f"CAST(CASE WHEN f.has_hole THEN 177 ELSE 93 END AS INT) AS geom_bytes "
-        f"FROM fp f JOIN assign a ON f.id = a.id WHERE {where}"
+        f"FROM fp f JOIN assign a ON f.id = a.id WHERE {where})"
     )
 
 

@@ -1,12 +1,14 @@
 """GeoParquet sink (native GEOMETRY logical type + ``geo`` footer) and check.
 
 Spark's own Parquet writer cannot emit the GEOMETRY logical type, so this is
-a Python Data Source with an Arrow writer: every task writes its rows with
-PyArrow to a temporary file name, and the job commit on the driver renames
-the committed tasks' files into place (aborted or retried attempts leave no
-file behind). The geometry column is tagged with the ``geoarrow.wkb``
-extension type, which PyArrow maps to Parquet's GEOMETRY type, and the
-GeoParquet ``geo`` key is written into the file footer.
+a Python Data Source with an Arrow writer. Each task writes its rows with
+PyArrow under a name of its attempt and, when done, renames its files to names
+that only its partition gives, so a repeated attempt replaces them. All of that
+happens in a staging folder next to the output; the job commit removes the
+old output and renames the folder, one call each. The geometry column is tagged
+with the ``geoarrow.wkb`` extension type, which PyArrow maps to Parquet's
+GEOMETRY type, and the GeoParquet ``geo`` key with the CRS is written into the
+file footer.
 
 Usage::
 
@@ -20,8 +22,9 @@ Usage::
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,13 +37,15 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from tessera.constants import CRS_PROJJSON
+
 GEO_VERSION = "1.1.0"
 
 
 class WkbType(pa.ExtensionType):
     """Arrow ``geoarrow.wkb`` extension over binary storage."""
 
-    def __init__(self, crs: str | None = None):
+    def __init__(self, crs: dict | str | None = None):
         self.crs = crs
         super().__init__(pa.binary(), "geoarrow.wkb")
 
@@ -60,8 +65,19 @@ def _register_wkb_type() -> None:
         pass  # already registered in this process
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme, as Spark's own readers would take it. A file
+    system of one machine is refused on a cluster."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = fs.makeQualified(hpath).toString()
+    if full.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{full} lies on one machine only")
+    return full
+
+
 def _fs(path: str):
-    """(filesystem, path inside it) for local paths, ``file:`` and other URIs."""
+    """(filesystem, path inside it) for ``file:`` and other URIs."""
     from pyarrow import fs as pafs
 
     if path.startswith("file:"):
@@ -69,114 +85,129 @@ def _fs(path: str):
         while local.startswith("//"):
             local = local[1:]
         return pafs.LocalFileSystem(), local
-    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+    if "://" not in path:
+        return pafs.LocalFileSystem(), path
+    # one store, whatever connector Spark's name for it means
+    return pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
 
 
 @dataclass
 class _Commit(WriterCommitMessage):
-    files: list = field(default_factory=list)  # (tmp, final)
     rows: int = 0
 
 
+class _Part:
+    """One file of a task: batches are gathered into row groups of the size asked."""
+
+    def __init__(self, fs, name: str, schema: pa.Schema, size: int, level: int):
+        import pyarrow.parquet as pq
+
+        self.schema, self.size, self.held, self.rows = schema, size, [], 0
+        self.writer = pq.ParquetWriter(fs.open_output_stream(name), schema, compression="zstd", compression_level=level)
+
+    def add(self, table: pa.Table) -> None:
+        self.held.append(table)
+        self.rows += table.num_rows
+        while self.rows >= self.size:
+            whole = pa.concat_tables(self.held)
+            self.writer.write_table(whole.slice(0, self.size), row_group_size=self.size)
+            self.held, self.rows = [whole.slice(self.size)], self.rows - self.size
+
+    def close(self) -> None:
+        if self.rows:
+            self.writer.write_table(pa.concat_tables(self.held), row_group_size=self.size)
+        self.writer.close()
+
+
 class GeoParquetWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
-        self.path = options.get("path")
+        self.path = (options.get("path") or "").rstrip("/")
         if not self.path:
             raise ValueError("geoparquet sink needs a path")
+        if not overwrite:
+            raise ValueError("geoparquet sink writes whole outputs: use mode overwrite")
         self.geometry = options.get("geometry_column", "geometry")
         self.partition_by = options.get("partition_by")
         self.row_group_size = int(options.get("row_group_size", 131072))
         self.level = int(options.get("compression_level", 3))
         self.geometry_types = json.loads(options.get("geometry_types", "[]"))
-        self.overwrite = overwrite
         self.job = options.get("job_id") or uuid.uuid4().hex
+        root, _, name = self.path.rpartition("/")
+        self.staging = f"{root}/.{name}-{self.job}"
 
     def _schema(self, schema: pa.Schema) -> pa.Schema:
         fields = []
         for f in schema:
             if f.name == self.partition_by:
                 continue
-            fields.append(pa.field(f.name, WkbType(), f.nullable) if f.name == self.geometry else f)
+            fields.append(pa.field(f.name, WkbType(CRS_PROJJSON), f.nullable) if f.name == self.geometry else f)
         geo = {
             "version": GEO_VERSION,
             "primary_column": self.geometry,
-            "columns": {self.geometry: {"encoding": "WKB", "geometry_types": self.geometry_types}},
+            "columns": {self.geometry: {"encoding": "WKB", "geometry_types": self.geometry_types, "crs": CRS_PROJJSON}},
         }
         return pa.schema(fields, metadata={b"geo": json.dumps(geo).encode()})
 
+    def _tables(self, batch: pa.RecordBatch):
+        """(folder key, table with the geometry tagged) of a batch."""
+        groups = [(None, batch)]
+        if self.partition_by:
+            keys = batch.column(self.partition_by)
+            groups = []
+            for k in pa.compute.unique(keys).to_pylist():
+                mask = pa.compute.equal(keys, pa.scalar(k, keys.type)) if k is not None else pa.compute.is_null(keys)
+                groups.append((k, batch.filter(mask)))
+        for k, b in groups:
+            schema = self._schema(b.schema)
+            cols = [
+                pa.ExtensionArray.from_storage(WkbType(CRS_PROJJSON), b.column(f.name).cast(pa.binary())) if f.name == self.geometry else b.column(f.name)
+                for f in schema
+            ]
+            yield k, pa.Table.from_arrays(cols, schema=schema)
+
     def write(self, iterator):
-        import pyarrow.parquet as pq
         from pyspark import TaskContext
 
         _register_wkb_type()
         ctx = TaskContext.get()
-        part = ctx.partitionId() if ctx else 0
-        attempt = ctx.attemptNumber() if ctx else 0
-        fs, base = _fs(self.path)
-        writers: dict = {}
-        files = []
+        part, attempt = (ctx.partitionId(), ctx.taskAttemptId()) if ctx else (0, 0)
+        fs, base = _fs(self.staging)
+        parts: dict = {}
         rows = 0
         for batch in iterator:
             if batch.num_rows == 0:
                 continue
             rows += batch.num_rows
-            groups = [(None, batch)]
-            if self.partition_by:
-                keys = batch.column(self.partition_by)
-                groups = []
-                for k in pa.compute.unique(keys).to_pylist():
-                    mask = pa.compute.equal(keys, pa.scalar(k, keys.type)) if k is not None else pa.compute.is_null(keys)
-                    groups.append((k, batch.filter(mask)))
-            for k, b in groups:
-                if k not in writers:
-                    sub = f"{self.partition_by}={k}/" if self.partition_by else ""
-                    name = f"part-{part:05d}-{self.job}.parquet"
-                    tmp = f"{base}/_temporary/{self.job}/{attempt}/{sub}{name}"
-                    final = f"{base}/{sub}{name}"
-                    fs.create_dir(tmp.rsplit("/", 1)[0], recursive=True)
-                    schema = self._schema(b.schema)
-                    writers[k] = (
-                        pq.ParquetWriter(
-                            fs.open_output_stream(tmp),
-                            schema,
-                            compression="zstd",
-                            compression_level=self.level,
-                        ),
-                        schema,
-                    )
-                    files.append((tmp, final))
-                w, schema = writers[k]
-                cols = []
-                for f in schema:
-                    c = b.column(f.name)
-                    cols.append(pa.ExtensionArray.from_storage(WkbType(), c.cast(pa.binary())) if f.name == self.geometry else c)
-                w.write_table(pa.Table.from_arrays(cols, schema=schema), row_group_size=self.row_group_size)
-        for w, _ in writers.values():
-            w.close()
-        return _Commit(files=files, rows=rows)
+            for k, table in self._tables(batch):
+                if k not in parts:
+                    folder = f"{base}/{self.partition_by}={k}" if self.partition_by else base
+                    fs.create_dir(folder, recursive=True)
+                    name = f"{folder}/.part-{part:05d}-{attempt}"
+                    final = f"{folder}/part-{part:05d}-{self.job}.parquet"
+                    parts[k] = _Part(fs, name, table.schema, self.row_group_size, self.level), name, final
+                parts[k][0].add(table)
+        for p, name, final in parts.values():
+            p.close()
+            fs.move(name, final)
+        return _Commit(rows=rows)
 
     def commit(self, messages) -> None:
-        fs, base = _fs(self.path)
-        if self.overwrite:
-            from pyarrow import fs as pafs
+        from pyarrow import fs as pafs
 
-            for info in fs.get_file_info(pafs.FileSelector(base, allow_not_found=True)):
-                if info.base_name != "_temporary":
-                    if info.type == pafs.FileType.Directory:
-                        fs.delete_dir(info.path)
-                    else:
-                        fs.delete_file(info.path)
-        for m in messages:
-            for tmp, final in m.files:
-                fs.create_dir(final.rsplit("/", 1)[0], recursive=True)
-                fs.move(tmp, final)
-        fs.delete_dir_contents(f"{base}/_temporary", missing_dir_ok=True)
-        with fs.open_output_stream(f"{base}/_SUCCESS"):
+        fs, staging = _fs(self.staging)
+        _, base = _fs(self.path)
+        fs.create_dir(staging, recursive=True)
+        with fs.open_output_stream(f"{staging}/_SUCCESS"):
             pass
+        with fs.open_output_stream(f"{staging}/_rows") as out:
+            out.write(str(sum(m.rows for m in messages if m)).encode())
+        if fs.get_file_info(base).type != pafs.FileType.NotFound:
+            fs.delete_dir(base)
+        fs.move(staging, base)
 
     def abort(self, messages) -> None:
-        fs, base = _fs(self.path)
-        fs.delete_dir_contents(f"{base}/_temporary/{self.job}", missing_dir_ok=True)
+        fs, staging = _fs(self.staging)
+        fs.delete_dir_contents(staging, missing_dir_ok=True)
 
 
 def _list_parquet(path: str) -> list[str]:
@@ -285,7 +316,7 @@ def read_geoparquet(spark: SparkSession, path: str) -> DataFrame:
     """Read GeoParquet (GEOMETRY logical type or WKB) as a DataFrame; the
     geometry comes back as WKB ``binary``, folder keys as columns."""
     register(spark)
-    return spark.read.format("geoparquet").load(path)
+    return spark.read.format("geoparquet").load(qualified(spark, path))
 
 
 def register(spark: SparkSession) -> None:
@@ -293,9 +324,12 @@ def register(spark: SparkSession) -> None:
 
 
 def write_geoparquet(df: DataFrame, path: str, partition_by: str | None = None, row_group_size: int = 131072,
-                     geometry: str = "geometry", geometry_types=("Polygon", "MultiPolygon")) -> None:
-    """Write ``df`` (already partitioned/sorted as wanted) as GeoParquet."""
-    register(df.sparkSession)
+                     geometry: str = "geometry", geometry_types=("Polygon", "MultiPolygon")) -> int:
+    """Write ``df`` (already partitioned/sorted as wanted) as GeoParquet;
+    returns the rows written."""
+    spark = df.sparkSession
+    register(spark)
+    path = qualified(spark, path)
     w = (
         df.write.format("geoparquet")
         .mode("overwrite")
@@ -307,10 +341,14 @@ def write_geoparquet(df: DataFrame, path: str, partition_by: str | None = None,
     if partition_by:
         w = w.option("partition_by", partition_by)
     w.save(path)
+    fs, base = _fs(path)
+    with fs.open_input_stream(f"{base}/_rows") as done:
+        return int(done.read())
 
 
 def geo_footer(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: GeoParquet version, primary column, encoding, Arrow type.
+    """Per file: GeoParquet version, primary column, encoding, Arrow type, CRS,
+    rows and the rows of its largest row group.
 
     Files are listed by Spark and footers read inside tasks (mapInArrow),
     so the driver never opens a data file.
@@ -328,13 +366,14 @@ def geo_footer(spark: SparkSession, path: str) -> DataFrame:
 
         _register_wkb_type()
         for b in batches:
-            out = {k: [] for k in ("path", "version", "primary_column", "encoding", "geometry_type", "num_rows")}
+            out = {k: [] for k in ("path", "version", "primary_column", "encoding", "geometry_type", "crs", "num_rows", "largest_group")}
             for p in b.column("path").to_pylist():
                 fs, local = _fs(p)
                 with fs.open_input_file(local) as fh:
                     pf = pq.ParquetFile(fh)
                     sch = pf.schema_arrow
                     nrows = pf.metadata.num_rows
+                    largest = max((pf.metadata.row_group(i).num_rows for i in range(pf.metadata.num_row_groups)), default=0)
                 geo = json.loads((sch.metadata or {}).get(b"geo", b"{}"))
                 prim = geo.get("primary_column")
                 col = geo.get("columns", {}).get(prim or "", {})
@@ -343,10 +382,16 @@ def geo_footer(spark: SparkSession, path: str) -> DataFrame:
                 out["primary_column"].append(prim)
                 out["encoding"].append(col.get("encoding"))
                 out["geometry_type"].append(str(sch.field(prim).type) if prim and prim in sch.names else None)
+                crs = (col.get("crs") or {}).get("id") or {}
+                out["crs"].append(f"{crs['authority']}:{crs['code']}" if crs else None)
                 out["num_rows"].append(nrows)
+                out["largest_group"].append(largest)
             yield pa.RecordBatch.from_pydict(out)
 
-    schema = "path string, version string, primary_column string, encoding string, geometry_type string, num_rows long"
+    schema = (
+        "path string, version string, primary_column string, encoding string, geometry_type string, crs string, "
+        "num_rows long, largest_group long"
+    )
     return files.mapInArrow(read_footers, schema)
 
 

@@ -14,17 +14,16 @@ HIVE_TILE_PATTERN = r"tile_id=([^/]+)/"
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition when a scan yields fewer splits than cores.
+    """Round-robin repartition of a source that is one split.
 
     A Parquet file with a single row group cannot be split, so a small
     source can land in one task; CPU-heavy per-row work (cells, WKB)
-    then runs on one core. Big inputs already have many splits and are
-    returned untouched (no extra shuffle at scale).
+    then runs on one core. What is shuffled is never more than one split;
+    sources of several are returned untouched.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+    if df.rdd.getNumPartitions() == 1:
+        return df.repartition(min_partitions or spark.sparkContext.defaultParallelism)
     return df
 
 
@@ -78,33 +77,15 @@ def read_footprints(spark: SparkSession, path: str, columns=None, hive: bool = F
 def with_row_identity(df: DataFrame) -> DataFrame:
     """Add ``file_path`` and ``row_index`` (position in its Parquet file).
 
-    A deterministic identity without any global window or sort.
+    A deterministic identity without any global window or sort; the pair is
+    unique whatever the ids in the rows are, and orders like a row number over
+    the files in path order. Use directly on a file scan.
     """
     return df.withColumn("file_path", F.col("_metadata.file_path")).withColumn(
         "row_index", F.col("_metadata.row_index")
     )
 
 
-def with_row_key(df: DataFrame, name: str = "row_key", max_files: int = 1_000_000) -> DataFrame:
-    """LONG row identity ordered like (file path, row in file): the ordinal
-    of the file in sorted path order << 32 | row index.
-
-    Use directly on a file scan. The file table has one row per file
-    (metadata scale, counted before it is broadcast); numbering it is a
-    window over that small table only.
-    """
-    from pyspark.sql import Window
-
-    x = df.withColumn("__fp", F.col("_metadata.file_path")).withColumn("__ri", F.col("_metadata.row_index"))
-    files = x.select("__fp").distinct()
-    n = files.count()
-    if n > max_files:
-        raise ValueError(f"{n} files: too many to number on one task")
-    ordinals = files.select("__fp", (F.row_number().over(Window.orderBy("__fp")) - 1).cast("long").alias("__fo"))
-    j = x.join(F.broadcast(ordinals), "__fp")
-    return j.withColumn(name, F.shiftleft(F.col("__fo"), 32) + F.col("__ri")).drop("__fp", "__ri", "__fo")
-
-
 def read_index(spark: SparkSession, root: str, layout: str = "hive") -> DataFrame:
     """Index written by :func:`write_index` (``h3_res=N/``) or a foreign
     ``**/data.parquet`` layout whose resolution is in the folder name."""

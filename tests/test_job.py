@@ -129,24 +129,3 @@ def test_empty_tile_and_bad_geometry(spark, tmpdir_path):
     assert led["broken"]["status"] == "done" and led["broken"]["rejected"] == 1
     got = read_index(spark, out).agg({"building_count": "sum"}).collect()[0][0]
     assert got == one.count()
-
-
-def test_row_key_orders_like_file_and_row(spark, tmpdir_path):
-    from pyspark.sql import functions as F
-
-    from tessera.operators.pyramid import pyramid_frame
-    from tessera.sources.readers import with_row_identity, with_row_key
-
-    src = f"{tmpdir_path}/src"
-    _write_tiles(spark, src)
-    scan = spark.read.option("recursiveFileLookup", "true").parquet(src)
-    k = with_row_key(with_row_identity(scan)).select(
-        "row_key", F.col("file_path").alias("fp"), F.col("row_index").alias("ri")
-    )
-    rows = k.collect()
-    assert len({r["row_key"] for r in rows}) == len(rows) == scan.count()
-    by_key = [(r["fp"], r["ri"]) for r in sorted(rows, key=lambda r: r["row_key"])]
-    assert by_key == sorted(by_key)
-    # the pyramid can be keyed by it (LONG picks broadcast with a larger bound)
-    p = pyramid_frame(with_row_key(scan), 2, 8, key="row_key", workdir=f"{tmpdir_path}/w")
-    assert p.count() == scan.count() and p.select("row_key").distinct().count() == scan.count()

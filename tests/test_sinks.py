@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tessera.operators import index as ix
-from tessera.operators.pyramid import build_pyramid, read_pyramid
+from tessera.operators.pyramid import build_pyramid, pyramid_frame, read_pyramid, read_pyramid_attributes
 from tessera.operators.validate import validate_pyramid
 from tessera.sources import fixtures as fx
 from tessera.sources.geoparquet import geo_footer, read_geoparquet, write_geoparquet
 from tessera.sources.readers import read_index
-from tessera.sources.writers import read_metadata, write_index, write_partials
+from tessera.sources.writers import read_metadata, write_index, write_partials, write_pyramid
 
 
 def test_index_write_read_back_sorted(spark, tmpdir_path):
@@ -30,32 +30,79 @@ def test_index_write_read_back_sorted(spark, tmpdir_path):
     assert "PartitionFilters" in plan and "h3_index" in plan
 
 
-def test_partials_rewrite_is_idempotent(spark, tmpdir_path):
-    fp = fx.footprints(spark, SF_SMALL)
-    part = ix.partials(fp, [5], tile_col="tile_id")
+def test_partials_rewrite_of_a_run_is_idempotent(spark, tmpdir_path):
+    part = ix.partials(fx.footprints(spark, SF_SMALL), [3, 5], tile_col="tile_id")
     out = f"{tmpdir_path}/partials"
-    write_partials(part, out)
-    one_tile = part.where(F.col("tile_id") == part.select("tile_id").first()[0])
-    write_partials(one_tile, out)  # re-run of one tile replaces only that tile
+    for run in ("a", "b", "a"):
+        write_partials(part, out, run)
     back = spark.read.parquet(out)
-    assert back.count() == part.count()
+    assert back.where("run = 'a'").count() == back.where("run = 'b'").count() == part.count()
+
+
+def test_index_of_other_resolutions_stays(spark, tmpdir_path):
+    idx = ix.build_index(fx.footprints(spark, SF_SMALL), [3, 5])
+    out = f"{tmpdir_path}/index"
+    for res in (3, 5, 3):
+        write_index(idx.where(f"h3_res = {res}"), out)
+    assert read_index(spark, out).count() == idx.count()
 
 
 def test_pyramid_write_validate_metadata(spark, tmpdir_path):
     b = fx.buildings(spark, SF_SMALL).drop("tile_id", "half")
     out = f"{tmpdir_path}/pyramid"
     meta = build_pyramid(b, out, 2, 10, key="id", workdir=f"{tmpdir_path}/work")
-    p = read_pyramid(spark, out)
-    assert meta["rows_written"] == b.count() == p.count()
-    v = {r["check_name"]: r for r in validate_pyramid(p, b.count()).collect()}
-    assert v["total_rows"]["ok"]
-    assert json.loads(json.dumps(read_metadata(spark, f"{out}/_metadata.json")))["maxzoom"] == 10
+    p, scan = read_pyramid(spark, out), read_pyramid_attributes(spark, out)
+    assert meta["rows_written"] == b.count() == p.count() == scan.count()
+    checks = validate_pyramid(p, b.count(), 10, scan).collect()
+    assert all(r["ok"] for r in checks) and {"total_rows", "zoom_10_rows", "unsorted_rows", "unknown_zoom_rows"} <= {r["check_name"] for r in checks}
+    m = json.loads(json.dumps(read_metadata(spark, f"{out}/_metadata.json")))
+    assert m["maxzoom"] == 10 and set(m["columns"]) == {*p.columns}
     assert p.where("length(quadkey) <> 10").count() == 0
+    assert read_pyramid(spark, out, zoom=5).count() == p.where("zoomlevel = 5").count() > 0
     for z in (2, 5, 10):
         f = [os.path.join(r, x) for r, _, fs in os.walk(f"{out}/zoomlevel={z}") for x in fs if x.endswith(".parquet")]
         for path in f:
             q = pq.read_table(path, columns=["quadkey"]).column(0).to_pylist()
             assert q == sorted(q)
+    # a second build replaces the first one whole
+    build_pyramid(b.where("source < 'N'"), out, 2, 10, key="id")
+    assert read_pyramid(spark, out).count() == b.where("source < 'N'").count()
+
+
+def test_broken_pyramids_fail_their_checks(spark, tmpdir_path):
+    b = fx.buildings(spark, SF_SMALL).drop("tile_id", "half")
+    p = pyramid_frame(b, 2, 8, key="id").cache()
+    n = p.count()
+    bad = lambda df, scan=None: {r["check_name"] for r in validate_pyramid(df, n, 8, scan).collect() if not r["ok"]}
+    assert bad(p) == set()
+    assert bad(p.where("zoomlevel <> 3")) == {"total_rows"}
+    assert bad(p.unionByName(p.where("zoomlevel = 3"))) == {"total_rows", "zoom_3_rows"}
+    assert "zoom_2_rows" in bad(p.withColumn("zoomlevel", F.lit(2)))
+    assert bad(p.withColumn("zoomlevel", F.when(F.col("zoomlevel") < 8, F.col("zoomlevel")))) == {"unknown_zoom_rows"}
+    out = f"{tmpdir_path}/unsorted"
+    p.drop("geometry").coalesce(1).orderBy(F.desc("quadkey")).write.parquet(out)
+    assert bad(p, spark.read.parquet(out)) == {"unsorted_rows"}
+
+
+def test_repeated_ids_keep_their_rows(spark, tmpdir_path):
+    src = f"{tmpdir_path}/src"
+    b = fx.buildings(spark, SF_SMALL).drop("half", "tile_id").withColumn("id", F.substring("id", 1, 2))
+    b.repartition(5).write.parquet(src)
+    scan = spark.read.parquet(src)
+    p = pyramid_frame(scan, 2, 8)
+    assert p.count() == scan.count()
+    out = f"{tmpdir_path}/out"
+    assert build_pyramid(scan, out, 2, 8)["rows_written"] == scan.count()
+    import pytest
+
+    with pytest.raises(ValueError):
+        build_pyramid(scan, out, 2, 8, key="id")
+
+
+def test_plain_parquet_pyramid(spark, tmpdir_path):
+    p = pyramid_frame(fx.buildings(spark, SF_SMALL).drop("tile_id", "half"), 2, 8, key="id")
+    out = f"{tmpdir_path}/plain"
+    assert write_pyramid(p, out) == spark.read.parquet(out).count() == p.count()
 
 
 def test_geoparquet_sink_and_footer(spark, tmpdir_path):
@@ -71,6 +118,15 @@ def test_geoparquet_sink_and_footer(spark, tmpdir_path):
     assert n == b.count()
     f = geo_footer(spark, out).collect()
     assert f and all(r["version"] == "1.1.0" and r["encoding"] == "WKB" and r["primary_column"] == "geometry" for r in f)
+    assert all(r["crs"] == "EPSG:4326" for r in f)
+
+
+def test_row_groups_are_full(spark, tmpdir_path):
+    b = fx.buildings(spark, "/root/testdata/sf0.01").drop("tile_id", "half").coalesce(1)
+    out = f"{tmpdir_path}/groups"
+    assert write_geoparquet(b, out, row_group_size=25_000) == b.count()
+    (r,) = geo_footer(spark, out).collect()
+    assert r["largest_group"] == 25_000 and r["num_rows"] == b.count()
 
 
 def test_geoparquet_read_back(spark, tmpdir_path):

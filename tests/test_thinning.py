@@ -1,3 +1,8 @@
+import math
+import os
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
@@ -32,12 +37,51 @@ def test_one_pick_per_snap_cell_and_rows_preserved(spark, tmpdir_path):
 def test_resume_reuses_committed_passes(spark, tmpdir_path):
     pts = fx.footprints(spark, SF_SMALL).select("id", "lon", "lat")
     first = sorted(th.zoom_picks(pts, 2, 6, key="id", workdir=tmpdir_path).collect())
+    folders = set(os.listdir(tmpdir_path))
     second = sorted(th.zoom_picks(pts, 2, 6, key="id", workdir=tmpdir_path).collect())
-    assert first == second
+    assert first == second and set(os.listdir(tmpdir_path)) == folders
+    # other input and another zoom range get folders of their own
+    other = pts.withColumn("lon", F.col("lon") * 0.5)
+    assert sorted(th.zoom_picks(other, 2, 6, key="id", workdir=tmpdir_path).collect()) == sorted(th.zoom_picks(other, 2, 6, key="id").collect())
+    th.zoom_picks(pts, 2, 7, key="id", workdir=tmpdir_path)
+    assert len(os.listdir(tmpdir_path)) == 3
+
+
+def plain(points, minzoom, maxzoom):
+    left, out = sorted(points), {}
+    for z in range(minzoom, maxzoom):
+        p, seen = 360.0 / 2**z, set()
+        for key, lon, lat in left:
+            cell = math.floor(lon / p + 0.5), math.floor(lat / p + 0.5)
+            if cell not in seen:
+                seen.add(cell)
+                out[key] = z
+        left = [x for x in left if x[0] not in out]
+    return out
+
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_candidates_lose_no_pick_on_dense_points(spark, seed):
+    """Far more points to a base cell than the limit, many on cell borders."""
+    r = random.Random(seed)
+    step = 360.0 / 2**6
+    points = [(i, r.choice([r.uniform(-9, 9), step * r.randrange(-3, 3), step / 2 * r.randrange(-6, 6)]), r.choice([r.uniform(-4, 4), 0.0, step])) for i in range(3000)]
+    r.shuffle(points)
+    df = spark.createDataFrame(points, "id long, lon double, lat double")
+    got = {x["id"]: x["zoomlevel"] for x in th.zoom_picks(df, 2, 6, key="id").collect()}
+    assert got == plain(points, 2, 6)
+    kept = th._candidates(df.withColumnRenamed("id", "__sk"), 2, 6, "lon", "lat").count()
+    assert kept < len(points)
 
-def test_sort_merge_path_equals_broadcast_path(spark):
+
+def test_counts_without_a_join(spark):
     pts = fx.footprints(spark, SF_SMALL).select("id", "lon", "lat")
-    a = sorted(th.assign_zoom(pts, 2, 10, key="id").collect())
-    b = sorted(th.assign_zoom(pts, 2, 10, key="id", broadcast_rows=0).collect())
-    assert a == b
+    picks = th.zoom_picks(pts, 2, 9, key="id")
+    assigned = th.attach_zoom(pts, picks, 9, key="id").groupBy("zoomlevel").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, th.zoom_counts(pts, picks, 9).collect())) == sorted(map(tuple, assigned.collect()))
+
+
+def test_key_of_several_columns(spark):
+    pts = fx.footprints(spark, SF_SMALL).selectExpr("split(id, '-')[0] AS a", "split(id, '-', 2)[1] AS b", "lon", "lat").dropDuplicates(["a", "b"])
+    got = th.assign_zoom(pts, 2, 8, key=["a", "b"])
+    assert got.count() == pts.count() and got.columns == ["a", "b", "zoomlevel"]
