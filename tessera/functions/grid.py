@@ -205,14 +205,6 @@ def cell_res(cell: str) -> Column:
     return F.expr(_res_sql(_name(cell)))
 
 
-def cell_row(cell: str) -> Column:
-    return F.expr(_row_sql(_name(cell)))
-
-
-def cell_col(cell: str) -> Column:
-    return F.expr(_col_sql(_name(cell)))
-
-
 def cell_lat(cell: str) -> Column:
     """Latitude of the cell centre (degrees, DOUBLE)."""
     return F.expr(cell_lat_any_sql(_name(cell)))

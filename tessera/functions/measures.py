@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.constants import DEG_TO_M, HEIGHT_NODATA
+from tessera.constants import DEG_TO_M
 from tessera.functions import dual as D
 from tessera.functions.grid import DEG2RAD
 
@@ -106,6 +106,19 @@ def _ring_terms(xy: np.ndarray, ox: float, oy: float) -> tuple[float, float, flo
     return float(cross.sum()), float(((x0 + x1) * cross).sum()), float(((y0 + y1) * cross).sum())
 
 
+def _add_line(xy: np.ndarray, acc: dict) -> None:
+    """Length and length-weighted midpoints of a line; its points count where it has no length."""
+    if len(xy) == 0:
+        return
+    acc["pts"].extend(xy)
+    d = np.hypot(*np.diff(xy, axis=0).T) if len(xy) > 1 else np.zeros(0)
+    acc["length"] += float(d.sum())
+    if len(d):
+        mid = (xy[:-1] + xy[1:]) / 2.0
+        acc["lx"] += float((d * mid[:, 0]).sum())
+        acc["ly"] += float((d * mid[:, 1]).sum())
+
+
 def _walk(r: _Reader, acc: dict) -> None:
     le = r.u8() == 1
     base, dims, has_srid = _type_and_dims(r.u32(le))
@@ -117,7 +130,7 @@ def _walk(r: _Reader, acc: dict) -> None:
             acc["pts"].append(xy[0])
     elif base == WKB_LINESTRING:
         xy = r.coords(r.u32(le), le, dims)
-        acc["pts"].extend(xy)
+        _add_line(xy, acc)
     elif base == WKB_POLYGON:
         nrings = r.u32(le)
         for i in range(nrings):
@@ -133,7 +146,7 @@ def _walk(r: _Reader, acc: dict) -> None:
             acc["area2"] += w * abs(a2)
             acc["sx"] += w * sgn * sx
             acc["sy"] += w * sgn * sy
-            acc["pts"].extend(xy[:-1] if len(xy) > 1 else xy)
+            _add_line(xy, acc)
     elif base in (WKB_MULTIPOINT, WKB_MULTILINESTRING, WKB_MULTIPOLYGON, WKB_COLLECTION):
         for _ in range(r.u32(le)):
             _walk(r, acc)
@@ -145,7 +158,7 @@ def measure_one(b: bytes | None) -> tuple[float, float, float] | None:
     """(lon, lat, area_deg2) of one WKB geometry, or None if unreadable/empty."""
     if b is None or len(b) < 5:
         return None
-    acc = {"area2": 0.0, "sx": 0.0, "sy": 0.0, "origin": None, "pts": []}
+    acc = {"area2": 0.0, "sx": 0.0, "sy": 0.0, "origin": None, "length": 0.0, "lx": 0.0, "ly": 0.0, "pts": []}
     try:
         r = _Reader(bytes(b))
         _walk(r, acc)
@@ -155,8 +168,11 @@ def measure_one(b: bytes | None) -> tuple[float, float, float] | None:
         ox, oy = acc["origin"]
         a = acc["area2"] / 2.0
         return ox + acc["sx"] / (6.0 * a), oy + acc["sy"] / (6.0 * a), a
+    if acc["length"] > 0.0:
+        # lines and shapes of no area: segments weigh by their length
+        return acc["lx"] / acc["length"], acc["ly"] / acc["length"], 0.0
     if acc["pts"]:
-        # Degenerate (zero area): the mean of the vertices.
+        # points and shapes of no length: the mean of the vertices
         p = np.asarray(acc["pts"], dtype=np.float64)
         return float(p[:, 0].mean()), float(p[:, 1].mean()), 0.0
     return None
@@ -186,10 +202,10 @@ def _f64_at(data: np.ndarray, pos: np.ndarray) -> np.ndarray:
     return out
 
 
-def _polygons_le(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, out) -> np.ndarray:
-    """Measure little-endian POLYGON rows (any number of rings) at once.
+def _polygons_le(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, multi: np.ndarray, out) -> np.ndarray:
+    """Measure little-endian POLYGON and MULTIPOLYGON rows at once.
 
-    Ring headers are walked one ring index at a time across all rows;
+    Headers are walked one part or ring at a time across all rows;
     vertices of all rings are then gathered into one (V, 2) block and the
     shoelace sums reduced per ring with ``bincount``. Returns a mask of
     rows measured here; the rest go to the per-geometry walk.
@@ -197,27 +213,49 @@ def _polygons_le(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, out) ->
     lon, lat, area = out
     k = len(starts)
     ends = starts + lens
-    nr = _u32(data, starts + 5)
-    ok = (nr >= 1) & (nr <= 1 << 20)
-    pos = starts + 9
+    ok = np.ones(k, dtype=bool)
+    parts = np.where(multi, _u32(data, starts + 5), 1)
+    pos = np.where(multi, starts + 9, starts)
+    rings = np.zeros(k, dtype=np.int64)
+    shell_next = np.zeros(k, dtype=bool)
     ring_row, ring_k, ring_start, ring_n = [], [], [], []
-    for ring in range(int(nr[ok].max()) if ok.any() else 0):
-        act = np.nonzero(ok & (nr > ring))[0]
+    while True:
+        # rows between two parts: the next polygon's header
+        act = np.nonzero(ok & (rings == 0) & (parts > 0))[0]
+        short = pos[act] + 9 > ends[act]
+        ok[act[short]] = False
+        act = act[~short]
+        other = (data[pos[act]] != 1) | (_u32(data, pos[act] + 1) != WKB_POLYGON) if len(act) else short[:0]
+        ok[act[other]] = False
+        act = act[~other]
+        if len(act):
+            rings[act] = _u32(data, pos[act] + 5)
+            parts[act] -= 1
+            pos[act] += 9
+            shell_next[act] = True
+        # rows within a part: the next ring
+        act = np.nonzero(ok & (rings > 0))[0]
         if not len(act):
-            break
+            if not (ok & (parts > 0)).any():
+                break
+            continue
         short = pos[act] + 4 > ends[act]
         ok[act[short]] = False
         act = act[~short]
+        if not len(act):
+            continue
         n = _u32(data, pos[act])
         nxt = pos[act] + 4 + 16 * n
         bad = nxt > ends[act]
         ok[act[bad]] = False
         act, n, nxt = act[~bad], n[~bad], nxt[~bad]
         ring_row.append(act)
-        ring_k.append(np.full(len(act), ring))
+        ring_k.append(np.where(shell_next[act], 0, 1))
         ring_start.append(pos[act] + 4)
         ring_n.append(n)
         pos[act] = nxt
+        rings[act] -= 1
+        shell_next[act] = False
     ok &= pos == ends
     if not ring_row:
         return np.zeros(k, dtype=bool)
@@ -234,12 +272,11 @@ def _polygons_le(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, out) ->
     first = np.repeat(np.cumsum(rn) - rn, rn)
     voff = np.repeat(rs, rn) + 16 * (np.arange(len(v_ring)) - first)
     xy = np.stack([_f64_at(data, voff), _f64_at(data, voff + 8)], axis=1)
-    # origin: first vertex of each row's shell
-    shell = rk == 0
+    # origin: first vertex of each row's first ring
     ox = np.zeros(k)
     oy = np.zeros(k)
-    ox[rr[shell]] = xy[first[np.searchsorted(v_ring, np.nonzero(shell)[0])], 0]
-    oy[rr[shell]] = xy[first[np.searchsorted(v_ring, np.nonzero(shell)[0])], 1]
+    at = (np.cumsum(rn) - rn)[::-1]  # reversed, so that the first ring is written last
+    ox[rr[::-1]], oy[rr[::-1]] = xy[at, 0], xy[at, 1]
     x = xy[:, 0] - ox[rr[v_ring]]
     y = xy[:, 1] - oy[rr[v_ring]]
     same = v_ring[:-1] == v_ring[1:]
@@ -282,19 +319,20 @@ def measure_arrays(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     starts = offsets[:-1].astype(np.int64)
     lens = (offsets[1:] - offsets[:-1]).astype(np.int64)
 
-    # Vectorised path: little-endian plain POLYGON (type 3), any rings.
+    # Vectorised path: little-endian plain POLYGON and MULTIPOLYGON, any rings.
     cand = np.nonzero(valid & (lens >= 13))[0]
     if len(cand):
         s = starts[cand]
-        is_poly = (data[s] == 1) & (_u32(data, s + 1) == WKB_POLYGON)
+        kind = _u32(data, s + 1)
+        is_poly = (data[s] == 1) & ((kind == WKB_POLYGON) | (kind == WKB_MULTIPOLYGON))
         rows = cand[is_poly]
         if len(rows):
             sub = (np.full(len(rows), np.nan), np.full(len(rows), np.nan), np.full(len(rows), np.nan))
-            done = _polygons_le(data, starts[rows], lens[rows], sub)
+            done = _polygons_le(data, starts[rows], lens[rows], kind[is_poly] == WKB_MULTIPOLYGON, sub)
             hit = rows[done]
             lon[hit], lat[hit], area[hit] = sub[0][done], sub[1][done], sub[2][done]
             ok[hit] = True
-    # Everything else (multi-part, big-endian, points, degenerate): walk.
+    # Everything else (big-endian, points, lines, zero area): walk.
     slow = np.nonzero(valid & ~ok)[0]
     for i in slow:
         m = measure_one(data[starts[i] : starts[i] + lens[i]].tobytes())
@@ -359,17 +397,6 @@ def footprint_m2(area_deg2, lat):
     return area_deg2 * (DEG_TO_M * DEG_TO_M) * D.cos(lat * DEG2RAD)
 
 
-def valid_height(h: Column | str) -> Column:
-    """Height with the -999 sentinel (and NaN) turned into NULL."""
-    c = (F.col(h) if isinstance(h, str) else h).cast("double")
-    return F.when(c.isNull() | F.isnan(c) | (c == F.lit(HEIGHT_NODATA)), F.lit(None).cast("double")).otherwise(c)
-
-
-def volume_m3(m2: Column, h: Column) -> Column:
-    """Footprint times valid height; NULL when the height is missing."""
-    return m2 * h
-
-
 def geometry_type_sql(w: str) -> str:
     """Geometry type name read from the WKB header (no parsing), SQL text.
 

@@ -76,6 +76,17 @@ def continent_totals(idx: DataFrame) -> DataFrame:
     )
 
 
+def own_cells(df: DataFrame, cell: str = "h3_index") -> DataFrame:
+    """``df``; raises at run time on ids of another grid.
+
+    This grid's ids leave bits 59-62 clear, published H3 cells set one of them: a
+    join of the two would match nothing without a word.
+    """
+    foreign = F.shiftright(F.col(cell), 59).bitwiseAND(F.lit(15)) != 0
+    message = F.concat(F.lit("not a cell of this grid: "), F.lower(F.hex(cell)))
+    return df.withColumn(cell, F.when(foreign, F.raise_error(message).cast("long")).otherwise(F.col(cell)))
+
+
 def per_capita(idx: DataFrame, pop: DataFrame, min_pop: float = 10000, n: int = 20) -> DataFrame:
     """Buildings per person on cells with more than ``min_pop`` people.
 
@@ -83,7 +94,7 @@ def per_capita(idx: DataFrame, pop: DataFrame, min_pop: float = 10000, n: int =
     (pushed below the join) and AQE picks broadcast or sort-merge from the
     runtime size, so no side is broadcast on faith.
     """
-    p = pop.where(F.col("pop_2025") > min_pop)
+    p = own_cells(pop.where(F.col("pop_2025") > min_pop))
     j = idx.select("h3_index", "building_count").join(p, "h3_index")
     ratio = F.try_divide(F.col("building_count").cast("float"), F.nullif(F.col("pop_2025"), F.lit(0.0))).try_cast(
         "decimal(6,3)"

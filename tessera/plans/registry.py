@@ -426,6 +426,83 @@ def geometry_types(spark, sf):
     return va.geometry_types(fx.buildings(spark, sf))
 
 
+def _multipolygons(spark, sf):
+    """Buildings of some regions as multipolygons: of one part, and of two equal ones."""
+    one, two = "concat(unhex('010600000001000000'), geometry)", "concat(unhex('010600000002000000'), geometry, geometry)"
+    g = f"CASE WHEN region IN ('NATION_1', 'NATION_2') THEN {one} WHEN region = 'NATION_4' THEN {two} ELSE geometry END"
+    return fx.buildings(spark, sf).withColumn("geometry", F.expr(g))
+
+
+@register(
+    "wkb_measures_multipolygon",
+    lambda: S.with_(
+        S.cte_base(),
+        "SELECT id, lon, lat, area_deg2 * CASE WHEN region = 'NATION_4' THEN 2 ELSE 1 END AS area_deg2, "
+        "CAST(area_deg2 * CASE WHEN region = 'NATION_4' THEN 2 ELSE 1 END * 12392142400.0e0 * cos(lat * (pi() / 180)) AS FLOAT) AS footprint_m2 FROM fp",
+    ),
+)
+def wkb_measures_multipolygon(spark, sf):
+    """Measures of single and multiple polygons; the area rule is written out in the SQL."""
+    m = with_measures(_multipolygons(spark, sf))
+    return m.select(
+        "id", "lon", "lat", "area_deg2", footprint_m2(F.col("area_deg2"), F.col("lat")).cast("float").alias("footprint_m2")
+    )
+
+
+@register(
+    "geometry_types_mixed",
+    lambda: S.with_(
+        S.cte_base(),
+        "SELECT CASE WHEN region IN ('NATION_1', 'NATION_2', 'NATION_4') THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS geometry_type, "
+        "count(*) AS n FROM fp GROUP BY 1",
+    ),
+)
+def geometry_types_mixed(spark, sf):
+    """More than one geometry type."""
+    return va.geometry_types(_multipolygons(spark, sf))
+
+
+@register(
+    "index_v1_points_res5",
+    lambda: S.index_query(
+        [5],
+        f"SELECT lower(hex(h3_index)) AS h3_index, '0101000000' AS header, 21 AS n_bytes, CAST({S.lat_sql(5)} AS FLOAT) AS lat, "
+        f"CAST({S.lon_sql(5)} AS FLOAT) AS lon FROM idx",
+    ),
+)
+def index_v1_points_res5(spark, sf):
+    """The v1 layout with its point geometry, read back from the WKB."""
+    v1 = qx.to_v1(_idx(spark, sf, 5))
+    header, size = F.lower(F.hex(F.substring("geometry", 1, 5))).alias("header"), F.octet_length("geometry").alias("n_bytes")
+    m = with_measures(v1.select("h3_index", "geometry"))
+    return m.select("h3_index", header, size, F.col("lat").cast("float").alias("lat"), F.col("lon").cast("float").alias("lon"))
+
+
+def _written_out_sql():
+    """The metrics written out by hand, apart from the engine's formula code."""
+    area = S.lit(grid.SPECS[5].area_km2)
+    return S.with_(
+        [
+            f"fp AS ({S.footprints_sql()})",
+            "m AS (SELECT *, area_deg2 * 12392142400.0e0 * cos(lat * (pi() / 180)) AS m2, CASE WHEN height > 0 THEN height END AS hv FROM fp)",
+            f"c AS (SELECT {grid.cell_sql('lat', 'lon', 5)} AS h3_index, m2, hv FROM m)",
+        ],
+        f"SELECT h3_index, CAST(count(*) AS INT) AS building_count, CAST(count(*) / {area} AS FLOAT) AS building_density, "
+        f"CAST(sum(m2) AS FLOAT) AS total_footprint_m2, CAST(sum(m2) / ({area} * 1000000) AS FLOAT) AS coverage_ratio, "
+        "CAST(avg(hv) AS FLOAT) AS avg_height_m, CAST(max(hv) AS FLOAT) AS max_height_m, "
+        "CAST(coalesce(sum(m2 * hv), 0) AS FLOAT) AS total_volume_m3, CAST(avg(m2) AS FLOAT) AS avg_footprint_m2, "
+        "CAST(round(stddev_pop(hv), 2) AS FLOAT) AS height_std_m FROM c GROUP BY h3_index",
+    )
+
+
+@register("index_metrics_written_out", _written_out_sql)
+def index_metrics_written_out(spark, sf):
+    """F2a-F2h against formulas that share no code with the engine's."""
+    idx = _idx(spark, sf, 5)
+    std = F.round(F.col("height_std_m").cast("double"), 2).cast("float").alias("height_std_m")
+    return idx.select("h3_index", "building_count", "building_density", "total_footprint_m2", "coverage_ratio", "avg_height_m", "max_height_m", "total_volume_m3", "avg_footprint_m2", std)
+
+
 @register("index_from_wkb", lambda: S.index_query())
 def index_from_wkb(spark, sf):
     """T2 from geometry: WKB -> measures -> cells -> index, all resolutions."""

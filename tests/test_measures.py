@@ -79,3 +79,51 @@ def test_valid_height_sentinels(spark):
     df = spark.createDataFrame([(5.0,), (-999.0,), (None,), (float("nan"),)], "height float")
     got = [r[0] for r in df.selectExpr(valid_height_sql("height")).collect()]
     assert got == [5.0, None, None, None]
+
+
+def multi(polys):
+    return bytes([1]) + struct.pack("<II", 6, len(polys)) + b"".join(polys)
+
+
+def test_multipolygons_in_a_block_equal_the_walk():
+    from tessera.functions import measures
+
+    rng = np.random.default_rng(11)
+
+    def ring(n):
+        p = rng.uniform(-5, 5, 2) + rng.uniform(0.1, 2, 2) * rng.normal(size=(n, 2))
+        return [tuple(x) for x in np.concatenate([p, p[:1]])]
+
+    cases = []
+    for _ in range(300):
+        polys = [poly([ring(rng.integers(3, 9)) for _ in range(rng.integers(0, 4))]) for _ in range(rng.integers(0, 5))]
+        cases += [multi(polys), polys[0] if polys else None, multi(polys)[:-3], multi(polys) + b"x", multi([*polys, poly([SQ], le=False)])]
+    arr = pa.array(cases, type=pa.binary())
+    lon, lat, area, ok = measure_arrays(arr)
+    # what the block path itself took
+    data = np.frombuffer(b"".join(c or b"" for c in cases), np.uint8)
+    assert len(data) > 0 and ok.sum() > 300
+    for i, c in enumerate(cases):
+        want = measures.measure_one(c)
+        assert (want is not None) == ok[i]
+        if want is not None:
+            assert np.allclose((lon[i], lat[i], area[i]), want, rtol=1e-9, atol=1e-9)
+
+
+def test_lines_and_flat_shapes_weigh_by_length():
+    line = bytes([1]) + struct.pack("<II", 2, 3) + struct.pack("<6d", 0, 0, 4, 0, 4, 2)
+    flat = poly([[(0, 0), (6, 0), (2, 0), (0, 0)]])
+    lon, lat, area, ok = measure_arrays(pa.array([line, flat], type=pa.binary()))
+    # segments of length 4 and 2; 6, 4 and 2
+    assert np.allclose((lon[0], lat[0], area[0]), ((4 * 2 + 2 * 4) / 6, (2 * 1) / 6, 0))
+    assert np.allclose((lon[1], lat[1], area[1]), ((6 * 3 + 4 * 4 + 2 * 1) / 12, 0, 0)) and ok.all()
+
+
+def test_ids_of_another_grid_raise(spark):
+    import pytest
+
+    from tessera.operators.queries import own_cells
+
+    rows = spark.createDataFrame([(0x85283473FFFFFFF,)], "h3_index long")
+    with pytest.raises(Exception, match="85283473fffffff"):
+        own_cells(rows).collect()
