@@ -1006,6 +1006,41 @@ def pyramid_validation_broken(spark, sf):
     return va.validate_pyramid(p.unionByName(p.where("zoomlevel = 5")), _fp(spark, sf).count(), DEFAULT_MAXZOOM)
 
 
+@register(
+    "pyramid_metadata",
+    lambda: S.thinning_query(
+        "SELECT unnest(['rows_written', 'crs', 'quadkey_zoom', 'sort_order', 'columns']) AS key, "
+        "unnest([CAST(count(*) AS VARCHAR), 'EPSG:4326', '14', 'zoomlevel,quadkey', "
+        "'geometry,height,id,quadkey,region,source,var,zoomlevel']) AS value FROM assign"
+    ),
+)
+def pyramid_metadata(spark, sf):
+    """The metadata document of a written pyramid, read back."""
+    from tessera.sources.writers import read_metadata
+
+    m = read_metadata(spark, f"{_built(spark, sf)}/_metadata.json")
+    rows = [(k, ",".join(sorted(m[k])) if k == "columns" else ",".join(m[k]) if k == "sort_order" else str(m[k]))
+            for k in ("rows_written", "crs", "quadkey_zoom", "sort_order", "columns")]
+    return spark.createDataFrame(rows, "key string, value string")
+
+
+@register(
+    "one_file_as_source",
+    lambda: S.with_(
+        S.cte_base(),
+        "SELECT tile_id, id, CAST(height AS FLOAT) AS height FROM fp WHERE tile_id || '/' = (SELECT min(tile_id || '/') FROM fp)",
+    ),
+)
+def one_file_as_source(spark, sf):
+    """A path that is one file instead of a folder."""
+    from tessera.sources.readers import list_tiles, read_footprints
+
+    root = _scratch(spark, "tiles")
+    b = fx.buildings(spark, sf).drop("half", "geometry")
+    b.repartition("tile_id").write.partitionBy("tile_id").parquet(root)
+    return read_footprints(spark, list_tiles(spark, root).first()["path"], ["id", "height"]).select("tile_id", "id", "height")
+
+
 @register("pyramid_zoom_rows", lambda: S.pyramid_rows_sql(where="a.zoomlevel = 9", cols="quadkey, id, geom_bytes"))
 def pyramid_zoom_rows(spark, sf):
     """One zoom of a written pyramid, read from its folder alone."""
