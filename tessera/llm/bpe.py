@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tessera.llm.common import ranges, slices, texts_of
+from tessera.llm.common import ranges, slices, texts_of, tidy
 from tessera.llm.units import UnitCoder
 
 #: Pre-token pattern of byte-level BPE (fixed value of the tokenizer's format).
@@ -156,7 +156,7 @@ def encode(docs: DataFrame, tokenizer_json: str, text: str = "text", ids: str =
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], [*keep, ids])
 
     schema = StructType([*narrow.schema.fields[:-1], StructField(ids, ArrayType(IntegerType()))])
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(tidy(run), schema)
 
 
 def decode(rows: DataFrame, tokenizer_json: str, ids: str = "ids", text: str = "decoded", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -180,4 +180,4 @@ def decode(rows: DataFrame, tokenizer_json: str, ids: str = "ids", text: str = "
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], out], [*keep, text])
 
     schema = StructType([*narrow.schema.fields[:-1], StructField(text, StringType())])
-    return narrow.mapInArrow(run, schema)
+    return narrow.mapInArrow(tidy(run), schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -35,7 +37,7 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of ``text``
     (one row at least), which bounds what a task holds at a time."""
     for batch in batches:
@@ -61,13 +63,43 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
+def release() -> None:
+    """Give memory that is free again back to the system: a worker lives on
+    between tasks and counts towards its executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: bool = False):
+    """``run``, with :func:`release` at the end of each task; unless ``keep``,
+    what an earlier operator has kept in the worker goes first."""
+
+    def to_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            _kept().pop("value", None)
+            _kept().pop("key", None)
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return to_end
+
+
+def _kept() -> dict:
+    return sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+
+
 def worker_value(key: str, make: Callable[[], object]):
     """A value that a Python worker keeps from task to task, one at a time.
 
     Functions travel to the workers by value, so a module's own globals start
     afresh in every task; a module of the worker's process does not.
     """
-    own = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    own = _kept()
     if own.get("key") != key:
         own["value"] = None
         own["value"], own["key"] = make(), key

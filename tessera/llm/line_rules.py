@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, texts_of
+from tessera.llm.common import slices, texts_of, tidy
 
 #: Fixed values of the base rules.
 SYMBOLS, LEAST_WORDS, WINDOW, REPEAT_PERCENT = b"#*$%&|<>", 20, 8, 30
@@ -177,7 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_i
             made = [line_features(*(p[:CHAIN] for p in _lines(t.encode("utf-8", "replace")))).astype("<f4").tobytes() for t in texts_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(made, pa.binary())], ["label", "features"])
 
-    found = rows.mapInArrow(run, "label long, features binary").toArrow()
+    found = rows.mapInArrow(tidy(run), "label long, features binary").toArrow()
     chains = [(y, np.frombuffer(b, "<f4").reshape(-1, FEATURES).astype(np.float64)) for y, b in zip(found.column("label").to_pylist(), found.column("features").to_pylist()) if b]
     # in a fixed order, so that a rerun learns the same weights
     return fit(sorted(chains, key=lambda c: (c[0], c[1].tobytes())))
@@ -217,4 +217,4 @@ def line_rules(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", tex
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.bool_(), pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], ["doc_id", *names])
 
-    return narrow.mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double")
+    return narrow.mapInArrow(tidy(run), "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double")

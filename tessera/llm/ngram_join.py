@@ -26,11 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, stored, texts_of
+from tessera.llm.common import release, slices, stored, texts_of, tidy
 from tessera.llm.components import connected_components
 
 #: Sets and tokens of a chunk, the unit in which tokens travel.
-CHUNK_SETS, CHUNK_TOKENS = 65_000, 1_000_000
+CHUNK_SETS, CHUNK_TOKENS = 65_000, 500_000
 U = np.uint64
 
 
@@ -162,6 +162,7 @@ def _meet(group: pa.Table) -> pa.Table:
                 rows.append((keys[j], None, pack(unpack(docs[j])[on]), pack(np.diff(flat[a:b][on], prepend=U(0))), pack(times[a:b][on].astype(U))))
     cols = list(zip(*rows)) if rows else [()] * 5
     kinds = (pa.int64(), pa.list_(pa.binary()), pa.binary(), pa.binary(), pa.binary())
+    release()
     return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], ["key", "info", "docs", "tokens", "counts"])
 
 
@@ -190,6 +191,7 @@ def _gather(num: int, den: int):
             new = new and n > 0 and den * (b - a) >= num * n
             rows.append(((chunk << 16) + i, None if null else doc, n, b - a, info[4][16 * s : 16 * s + 16], pack(t[a:b]) if new else None, pack(c[a:b]) if new else None))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        release()
         return pa.table([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["row", "id", "n", "shared", "digest", "tokens", "counts"])
 
     return run
@@ -203,7 +205,7 @@ def shared_tokens(source: DataFrame, read: Reader, num: int, den: int) -> DataFr
     kept only of sets that may have a partner: at least ``num / den`` of theirs are shared.
     """
     buckets = max(8, 2 * source.rdd.getNumPartitions())
-    dealt = source.mapInArrow(_deal(read, buckets), "key long, chunk long, info array<binary>, docs binary, tokens binary")
+    dealt = source.mapInArrow(tidy(_deal(read, buckets)), "key long, chunk long, info array<binary>, docs binary, tokens binary")
     met = dealt.groupBy("key").applyInArrow(_meet, "key long, info array<binary>, docs binary, tokens binary, counts binary")
     rows = met.groupBy("key").applyInArrow(_gather(num, den), "row long, id long, n long, shared long, digest binary, tokens binary, counts binary")
     return stored(rows, "shared-tokens")
@@ -271,7 +273,7 @@ def near_duplicates(
     left = stored(hopeful.join(first, "row", "left_semi").select("row", "n", "tokens"), "classes")
     again = shared_tokens(left, stored_sets, num, den).where("tokens is not null")
     again = again.select(F.col("id").alias("row"), "n", "shared", "tokens", "counts")
-    sets = again.mapInArrow(_prefixes(num, den), "row long, n long, shared long, tokens binary, first array<long>, second binary, third binary")
+    sets = again.mapInArrow(tidy(_prefixes(num, den)), "row long, n long, shared long, tokens binary, first array<long>, second binary, third binary")
     sets = stored(sets, "prefixes")
     links = _links(sets, num, den, stars)
 
@@ -325,7 +327,7 @@ def _links(sets: DataFrame, num: int, den: int, stars: int) -> DataFrame:
         whole = pairs
         for side in ("a", "b"):
             whole = whole.join(sets.select(F.col("row").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("n", "tokens", "second", "third"))), side)
-        found = stored(whole.mapInArrow(_verified(num, den), "a long, b long"), f"links-{turn}")
+        found = stored(whole.mapInArrow(tidy(_verified(num, den)), "a long, b long"), f"links-{turn}")
         for side in ("a", "b"):
             c = component.select(F.col("row").alias(side), F.col("component").alias(f"{side}_c"))
             found = found.join(c, side, "left").withColumn(f"{side}_c", F.coalesce(f"{side}_c", side))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ranges, slices, texts_of, worker_value
+from tessera.llm.common import ranges, slices, texts_of, tidy, worker_value
 from tessera.llm.units import SPACE, UnitCoder
 
 #: Plain units to a text that the library encodes.
@@ -117,20 +117,22 @@ class Packer:
         for piece in sorted(self.rests, key=lambda p: -len(p[2])):
             doc, start, ids, total = piece
             while len(ids):
-                if (s := int(np.argmin(np.where(room >= len(ids), cost, np.inf)))) or room[0] >= len(ids):
-                    put((doc, start, ids, total), s)
+                fits = room >= len(ids)
+                if fits.any():
+                    put((doc, start, ids, total), np.argmin(np.where(fits, cost, np.inf)))
                     break
-                s = int(np.argmax(room))
+                # it fits nowhere whole: as much of it as the emptiest sequence takes
+                s = np.argmax(room)
                 if not (n := int(room[s])):
                     left.append((doc, start, ids, total))
                     break
                 put((doc, start, ids[:n], total), s)
                 start, ids = start + n, ids[n:]
-        assert not room.any() or not left
         self.rests, self.held = left, sum(len(p[2]) for p in left)
         self.next += k
 
     def finish(self) -> None:
+        """Pack all that is left; the last ids go to sequences of powers of two."""
         if k := self.held // self.capacity:
             self._pack(k)
         n = self.held
@@ -194,7 +196,7 @@ def pack_documents(
         yield packer.rows()
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, SCHEMA)
+    return narrow.mapInArrow(tidy(run, keep=True), SCHEMA)
 
 
 def ids_crc32(ids: str = "ids") -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, stored, texts_of
+from tessera.llm.common import slices, stored, texts_of, tidy
 
 STATISTICS = (
     "words", "word_length", "word_length_spread", "upper", "digits", "symbols", "stops", "distinct_words", "top_word",
@@ -75,7 +75,7 @@ def with_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             stats = [statistics(t) for t in texts_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(stats, pa.list_(pa.float64()))], ["doc_id", "stats"])
 
-    return narrow.mapInArrow(run, "doc_id long, stats array<double>")
+    return narrow.mapInArrow(tidy(run), "doc_id long, stats array<double>")
 
 
 @dataclass
@@ -114,7 +114,7 @@ def fit(rows: DataFrame, pool: float = 0.2, diagonal: float = 0.05) -> Discrimin
     class's, ``diagonal`` that of the diagonal in the result."""
     k = len(STATISTICS)
     # as many partial rows as partitions and places; what is collected has a fixed size
-    sums = rows.mapInArrow(_sums, "label long, place long, value double").groupBy("label", "place").agg(F.sum("value").alias("value"))
+    sums = rows.mapInArrow(tidy(_sums), "label long, place long, value double").groupBy("label", "place").agg(F.sum("value").alias("value"))
     total = np.zeros((2, 1 + k + k * k))
     for r in sums.collect():
         total[r["label"], r["place"]] = r["value"]
@@ -153,7 +153,7 @@ def score(stats: DataFrame, model: Discriminant | None, constant: float = 0.5) -
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, "score"])
 
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stats.schema.fields)
-    return stats.mapInArrow(run, f"{names}, score double")
+    return stats.mapInArrow(tidy(run), f"{names}, score double")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
@@ -185,4 +185,4 @@ def accepted(docs: DataFrame, model: Discriminant | None, threshold: float = 0.7
             odds = model.log_odds(np.array([statistics(t) for t in texts_of(batch, text)]))
             yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

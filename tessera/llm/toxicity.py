@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, texts_of
+from tessera.llm.common import slices, texts_of, tidy
 
 #: Hash space of words, and after it that of their beginnings; most labelled rows to learn from, most terms with a weight.
 WORDS, MAX_FIT_ROWS, MAX_TERMS = 1 << 19, 20_000, 8_000
@@ -132,7 +132,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_i
     one = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).cast("long").alias("label"))
     one = one.where(keep).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(one), "doc_id")
-    found = rows.mapInArrow(_features, "label long, terms binary, counts binary").toArrow()
+    found = rows.mapInArrow(tidy(_features), "label long, terms binary, counts binary").toArrow()
     read = lambda c: [np.frombuffer(b, "<i4") for b in found.column(c).to_pylist()]
     return fit(list(zip(found.column("label").to_pylist(), read("terms"), read("counts"))))
 
@@ -159,4 +159,4 @@ def severity(docs: DataFrame, model: Ordinal | None, doc_id: str = "doc_id", tex
             cols = [batch.column("doc_id"), pa.array(above[:, 0]), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "score", "expected_severity", "grade"])
 
-    return narrow.mapInArrow(run, "doc_id long, score double, expected_severity double, grade int")
+    return narrow.mapInArrow(tidy(run), "doc_id long, score double, expected_severity double, grade int")
