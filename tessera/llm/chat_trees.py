@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import stored, tidy
 
 OPEN, MID, CLOSE = "[TURN ", "]", "</s>\n"
 SPAN = "array<struct<start:int,end:int>>"
@@ -46,19 +46,30 @@ def branches(messages: DataFrame, best: int | None = None) -> DataFrame:
     there = own.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     state = own.join(there, ["tree", "parent"], "left")
     state = state.select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(1).alias("steps"), F.col("score").alias("total"))
-    pointers = []
     # a tree of n messages has at most n on a path; what still points upward then, points into a cycle
     most = own.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    state = stored(state, "pointers-0")
-    while not state.where("up is not null").isEmpty() and (1 << len(pointers)) <= most:
-        pointers.append(state.where("up is not null").select("tree", "node", "up"))
-        above = state.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("plus"))
-        state = state.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("plus", F.lit(0.0))).alias("total")
+    live = stored(state, "pointers-0")
+    ended = [live.where("up is null")]
+    pointers: list[DataFrame] = []
+    live = live.where("up is not null")
+    while (1 << len(pointers)) <= most and not live.isEmpty():
+        pointers.append(live.select("tree", "node", "up"))
+        # a message that has reached its root is looked up by others, but not joined again
+        above = live
+        for part in ended:
+            above = above.unionByName(part)
+        above = above.select("tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.col("total").alias("plus"))
+        moved = live.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), (F.col("total") + F.col("plus")).alias("total")
         )
-        state = stored(state, f"pointers-{len(pointers)}")
+        moved = stored(moved, f"pointers-{len(pointers)}")
+        ended.append(moved.where("up is null"))
+        live = moved.where("up is not null")
+    state = ended[0]
+    for part in ended[1:]:
+        state = state.unionByName(part)
     parents = own.select("tree", F.col("parent").alias("node")).distinct()
-    leaves = state.where("up is null").join(parents, ["tree", "node"], "left_anti")
+    leaves = state.join(parents, ["tree", "node"], "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc("total"), F.desc("steps"), "node")
     leaves = leaves.withColumn("rank", F.row_number().over(order))
     if best is not None:
@@ -118,7 +129,7 @@ def digests(rows: DataFrame, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("key"), *cols], ["key", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     kind = narrow.schema["key"].dataType.simpleString()
-    out = narrow.mapInArrow(run, f"key {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    out = narrow.mapInArrow(tidy(run), f"key {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
     return out.withColumnRenamed("key", key)
 
 
