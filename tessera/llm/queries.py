@@ -138,7 +138,28 @@ def op4_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_trees.digests(chat_trees.conversations(rows.unionByName(more)), "conv_id")
 
 
-@register("op5_ngram_join")
+@register(
+    "op5_ngram_join",
+    r"""
+    WITH RECURSIVE split AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+      FROM documents),
+    shingles AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+      FROM split),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    links AS (
+      SELECT a.doc_id AS x, b.doc_id AS y
+      FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+      JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= 80 * (m.n + n.n - count(*))),
+    reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+    SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.y, d.doc_id)) AS component_id
+    FROM split d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+    LEFT JOIN (SELECT x, min(y) AS y FROM reach GROUP BY x) r ON r.x = d.doc_id
+    """,
+)
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of near copies of every document."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
