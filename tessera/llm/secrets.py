@@ -19,13 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stored
+
 #: Base kinds in order, with pattern and least length (of group 2 for assign).
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
-#: Runs of encoding characters with a digit, tried from their first character only.
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
+#: Runs of encoding characters of some length with a digit, tried from their first character only.
+RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{%d})[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
 #: Encodings, narrowest first: pattern and alphabet in ascending order of value.
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ENCODINGS = (
@@ -42,29 +44,48 @@ ENCODINGS = (
 #: Steps of the histogram to a power of ten, and its powers of ten.
 STEPS, POWERS = 64, 40
 SPAN = "array<struct<start:int,end:int>>"
+#: Matches whose lengths add up at a time.
+BLOCK = 256
 
 
 def _spans(text: Column, pattern: str, accept: Column | None = None) -> Column:
     """(start, end) in code points of the leftmost non-overlapping matches;
-    ``accept``: an array of booleans, one for each match."""
+    ``accept``: an array of booleans, one for each match.
+
+    Lengths of gaps and matches add up in blocks: first over a block's sum, then
+    within it, so a text of very many matches costs little more for each.
+    """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     lens = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(F.length(g).alias("gap"), F.length(h).alias("hit")))
-    placed = F.aggregate(
-        lens,
-        F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")),
+    blocks = _bound(lens, lambda x: F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(x) / BLOCK) - 1).cast("int")), lambda i: F.slice(x, i * BLOCK + 1, F.lit(BLOCK))))
+    total = lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x["gap"] + x["hit"])
+    ints = "array<int>"
+    offsets = lambda bs: F.aggregate(
+        bs, F.struct(F.lit(0).alias("at"), F.array().cast(ints).alias("out")),
+        lambda acc, block: F.struct((acc["at"] + total(block)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"],
+    )
+    within = lambda block, offset: F.aggregate(
+        block,
+        F.struct(offset.alias("at"), F.array().cast(SPAN).alias("out")),
         lambda acc, x: F.struct(
             (acc["at"] + x["gap"] + x["hit"]).alias("at"),
             F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["hit"]).alias("end")))).alias("out"),
         ),
         lambda acc: acc["out"],
     )
+    placed = _bound(blocks, lambda bs: F.flatten(F.zip_with(bs, offsets(bs), within)))
     if accept is not None:
         both = F.filter(F.zip_with(placed, accept, lambda s, ok: F.struct(s["start"].alias("start"), s["end"].alias("end"), ok.alias("ok"))), lambda x: x["ok"])
         placed = F.transform(both, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     return F.when(text.rlike(pattern), placed).otherwise(F.array().cast(SPAN))
 
 
+def _bound(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def _tail(z: Column) -> Column:
     """P(|normal| > |z|): a rational approximation of erfc, error below 2e-7."""
     x = F.least(F.abs(z) / F.lit(2.0**0.5), F.lit(25.0))
@@ -83,9 +104,6 @@ def _alphabet(run: Column) -> Column:
 def _battery(run: Column) -> Column:
     """struct(n, bits, p) of one run: length without padding, bits of its
     encoding, and the combined p-value of randomness."""
-    # each value is bound once by a one-element transform, so nothing is computed twice
-    bound = lambda value, f: F.transform(F.array(value), f)[0]
-
     def tested(x: Column) -> Column:
         size = F.length(x["letters"])
         n = F.size(x["v"])
@@ -101,7 +119,7 @@ def _battery(run: Column) -> Column:
             ),
         )
         bins = F.greatest(F.lit(2), F.least(size, F.floor(n / 5).cast("int")))
-        return bound(F.struct(fold.alias("f"), n.alias("n"), size.alias("size"), bins.alias("bins"), x["v"].alias("v")), measured)
+        return _bound(F.struct(fold.alias("f"), n.alias("n"), size.alias("size"), bins.alias("bins"), x["v"].alias("v")), measured)
 
     def measured(x: Column) -> Column:
         f, n, size, bins = x["f"], x["n"].cast("double"), x["size"].cast("double"), x["bins"]
@@ -128,16 +146,17 @@ def _battery(run: Column) -> Column:
     bare = F.regexp_replace(run, "[=]+", "")
     letters = lambda s: F.struct(s.alias("s"), _alphabet(s).alias("letters"))
     values = lambda y: F.struct(y["letters"].alias("letters"), F.transform(F.filter(F.split(y["s"], ""), lambda c: c != ""), lambda c: (F.instr(y["letters"], c) - 1).cast("double")).alias("v"))
-    return bound(bare, lambda s: bound(letters(s), lambda y: bound(values(y), tested)))
+    return _bound(bare, lambda s: _bound(letters(s), lambda y: _bound(values(y), tested)))
 
 
 def candidates(text: Column, min_length: int = 16) -> Column:
     """array of (start, end, n, bits, p) of the runs of ``min_length`` or more."""
-    runs = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
-    where = _spans(text, RUN)
+    pattern = RUN % min_length
+    runs = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    where = _spans(text, pattern)
     both = F.filter(F.zip_with(runs, where, lambda r, s: F.struct(r.alias("run"), s["start"].alias("start"), s["end"].alias("end"))), lambda x: F.length(F.regexp_replace(x["run"], "[=]+", "")) >= min_length)
     tested = F.transform(both, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _battery(x["run"]).alias("t")))
-    return F.when(text.rlike(RUN), tested).otherwise(F.array().cast("array<struct<start:int,end:int,t:struct<n:int,bits:double,p:double>>>"))
+    return F.when(text.rlike(pattern), tested).otherwise(F.array().cast("array<struct<start:int,end:int,t:struct<n:int,bits:double,p:double>>>"))
 
 
 def _text(text: str) -> Column:
@@ -146,17 +165,19 @@ def _text(text: str) -> Column:
 
 def rejection_step(docs: DataFrame, text: str = "text", level: float = 0.05, min_length: int = 16) -> tuple[int, float]:
     """The histogram step from which on randomness is rejected, and the mean
-    weight: the weighted Benjamini-Hochberg procedure over all runs."""
-    runs = docs.select(F.explode(candidates(_text(text), min_length)).alias("c")).select("c.t.n", "c.t.p")
-    # weights enter as p * mean / weight; a first pass over lengths gives the mean
-    counts = runs.groupBy("n", _step(F.col("p")).alias("raw")).agg(F.count("*").alias("k"))
-    total = counts.agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.sqrt("n")).alias("w"))
-    row = total.first()
+    weight: the weighted Benjamini-Hochberg procedure over all runs.
+
+    The texts are read once, for the number of runs by length and step of
+    their p-value; p-values count as the upper edge of their step.
+    """
+    runs = docs.select(F.explode(candidates(_text(text), min_length)).alias("c"))
+    counts = stored(runs.groupBy("c.t.n", _step(F.col("c.t.p")).alias("step")).agg(F.count("*").alias("k")), "p-values")
+    row = counts.agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.sqrt("n")).alias("w")).first()
     if not row["k"]:
         return STEPS * POWERS + 1, 1.0
     mean = row["w"] / row["k"]
-    steps = runs.select(_step(F.col("p") * mean / F.sqrt("n")).alias("step")).groupBy("step").agg(F.count("*").alias("k"))
     # at most STEPS * POWERS + 1 rows
+    steps = counts.groupBy(_weighted(F.col("step"), F.col("n"), mean).alias("step")).agg(F.sum("k").alias("k"))
     above = F.sum("k").over(Window.orderBy(F.desc("step")))
     ok = steps.withColumn("above", above).where(F.pow(F.lit(10.0), -F.col("step") / STEPS) * row["k"] <= level * F.col("above"))
     first = ok.agg(F.min("step")).first()[0]
@@ -168,6 +189,12 @@ def _step(p: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(STEPS * POWERS), F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * STEPS))).cast("int")
 
 
+def _weighted(step: Column, n: Column, mean: float) -> Column:
+    """The step of a p-value at the upper edge of ``step``, divided by the
+    weight of a run of length n: sqrt(n), one in the mean."""
+    return _step(F.pow(F.lit(10.0), -step / STEPS) * mean / F.sqrt(n))
+
+
 def with_spans(docs: DataFrame, text: str = "text", out: str = "spans", level: float = 0.05, min_bits: float = 64.0, min_length: int = 16) -> DataFrame:
     """``docs`` and a column ``out``: array of (start, kind, end), kinds numbered
     as in KINDS, in ascending order; code points, end exclusive.
@@ -189,7 +216,7 @@ def with_spans(docs: DataFrame, text: str = "text", out: str = "spans", level: f
     rows = rows.withColumn("__base", F.concat(kind(0), kind(1), kind(2)))
     random = F.filter(
         names["random"],
-        lambda c: (c["t"]["bits"] >= min_bits) & (_step(c["t"]["p"] * mean / F.sqrt(c["t"]["n"])) < step)
+        lambda c: (c["t"]["bits"] >= min_bits) & (_weighted(_step(c["t"]["p"]), c["t"]["n"], mean) < step)
         & ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
     )
     added = F.transform(random, lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")))
