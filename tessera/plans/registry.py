@@ -241,6 +241,32 @@ def per_capita_res5(spark, sf):
     return qx.per_capita(idx, fx.population(idx), 10000, 20)
 
 
+SUPPLIER_POINT = ("((s_suppkey * 7919) % 5600) / 16.0e0 - 175", "((s_suppkey * 104729) % 1920) / 16.0e0 - 55")
+
+
+@register(
+    "per_capita_of_suppliers",
+    lambda: S.index_query(
+        [5],
+        f"SELECT b.h3_index, CAST({S.lat_sql(5, 'b.h3_index')} AS FLOAT) AS lat, CAST({S.lon_sql(5, 'b.h3_index')} AS FLOAT) AS lng, "
+        "b.building_count, p.pop_2025, TRY_CAST(CAST(b.building_count AS FLOAT) / NULLIF(p.pop_2025, 0) AS DECIMAL(6,3)) "
+        "AS buildings_per_person FROM idx5 b JOIN pop p ON b.h3_index = p.h3_index WHERE p.pop_2025 > 1000 "
+        "ORDER BY buildings_per_person DESC NULLS LAST, b.h3_index LIMIT 20",
+        name="idx5",
+        extra=[
+            f"places AS (SELECT s_suppkey, {SUPPLIER_POINT[0]} AS lon, {SUPPLIER_POINT[1]} AS lat FROM supplier)",
+            f"pop AS (SELECT {grid.cell_sql('lat', 'lon', 5)} AS h3_index, CAST(sum(s_suppkey * 50) AS DOUBLE) AS pop_2025 FROM places GROUP BY 1)",
+        ],
+    ),
+)
+def per_capita_of_suppliers(spark, sf):
+    """The population is a table of its own, from other input than the index."""
+    at = spark.read.parquet(f"{sf}/supplier.parquet").selectExpr("s_suppkey", f"{SUPPLIER_POINT[0]} AS lon", f"{SUPPLIER_POINT[1]} AS lat")
+    cells = grid.with_cells(at, [5]).withColumnRenamed("cell_5", "h3_index")
+    pop = cells.groupBy("h3_index").agg(F.sum(F.col("s_suppkey") * 50).cast("double").alias("pop_2025"))
+    return qx.per_capita(_idx(spark, sf, 5), pop, 1000, 20)
+
+
 @register(
     "hex_export_bbox_res5",
     lambda: S.index_query(
