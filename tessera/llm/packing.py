@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ranges, slices, texts_of, tidy, worker_value
 from tessera.llm.units import SPACE, UnitCoder
 
-#: Plain units to a text that the library encodes.
-LINES = 200
+#: Plain units to a text that the library encodes, and units that a worker keeps from task to task.
+LINES, KEPT_UNITS = 200, 700_000
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, `offset` long, cost double, ids binary"
 
 
@@ -185,7 +185,7 @@ def pack_documents(
         coder = None
         packer = Packer(capacity, window, linear, quadratic, TaskContext.get().partitionId() << 40)
         for batch in slices(batches, "text"):
-            coder = coder or worker_value(f"library {key}", lambda: UnitCoder(library_encoder(content.value)))
+            coder = coder or worker_value(f"library {key}", lambda: UnitCoder(library_encoder(content.value), KEPT_UNITS))
             ids, lens = coder(texts_of(batch, "text"))
             end = np.array([end_id], np.int32)
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), np.cumsum(lens) - lens, np.cumsum(lens)):

@@ -42,8 +42,8 @@ class _Index(dict):
 class UnitCoder:
     """Encodes texts through ``encode(units) -> (flat ids, ids per unit)``."""
 
-    def __init__(self, encode: Encoder) -> None:
-        self.encode, self.unit, self.cut = encode, re.compile(UNIT), re.compile(CUT)
+    def __init__(self, encode: Encoder, max_units: int = MAX_UNITS) -> None:
+        self.encode, self.unit, self.cut, self.max_units = encode, re.compile(UNIT), re.compile(CUT), max_units
         self._reset()
 
     def _reset(self) -> None:
@@ -70,7 +70,7 @@ class UnitCoder:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the number of ids of each."""
-        if len(self.index) > MAX_UNITS:
+        if len(self.index) > self.max_units:
             self._reset()
         number, parts, counts = self.index.__getitem__, [np.empty(0, np.int64)], []
         for text in texts:
