@@ -40,7 +40,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 ids."""
-    return packed_pieces(packing.pack_documents(docs, tokenizer_path()))
+    return packed_pieces(packing.pack_documents(docs, tokenizer_path(), kept_units=150_000))
 
 
 STAGES = [

@@ -67,7 +67,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -79,7 +79,7 @@ def shingle_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[Row]
     parts; fewer words than a shingle has count as one shingle."""
     hashes = _Words()
     with np.errstate(over="ignore"):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
                 w = np.array(list(map(hashes.__getitem__, text.encode("utf-8", "replace").lower().split())), U)
                 k = min(words, len(w))

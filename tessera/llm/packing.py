@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import ranges, slices, texts_of, tidy, worker_value
-from tessera.llm.units import SPACE, UnitCoder
+from tessera.llm.units import MAX_UNITS, SPACE, UnitCoder
 
-#: Plain units to a text that the library encodes, and units that a worker keeps from task to task.
-LINES, KEPT_UNITS = 200, 700_000
+#: Plain units to a text that the library encodes.
+LINES = 200
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, `offset` long, cost double, ids binary"
 
 
@@ -168,6 +168,7 @@ def pack_documents(
     window: int = 256,
     linear: float = 1.0,
     quadratic: float = 1.0 / 2048,
+    kept_units: int = MAX_UNITS,
 ) -> DataFrame:
     """Pieces of all documents, packed into sequences of ``capacity`` ids.
 
@@ -175,7 +176,8 @@ def pack_documents(
     ids (binary, little-endian unsigned 32-bit). A document is the ids of its
     text and ``end_id``; a null or empty text gives the single piece
     ``end_id``. A null doc_id stays null and repeated rows are packed each on
-    its own. Equal lengths keep the order of their rows. Other columns of
+    its own. ``kept_units`` is what a worker keeps of encoded units (about 250
+    bytes each): more of them take less time. Equal lengths keep the order of their rows. Other columns of
     ``docs`` are not read. An empty table gives no rows.
     """
     source = open(tokenizer_json, encoding="utf-8").read()
@@ -185,7 +187,7 @@ def pack_documents(
         coder = None
         packer = Packer(capacity, window, linear, quadratic, TaskContext.get().partitionId() << 40)
         for batch in slices(batches, "text"):
-            coder = coder or worker_value(f"library {key}", lambda: UnitCoder(library_encoder(content.value), KEPT_UNITS))
+            coder = coder or worker_value(f"library {key} {kept_units}", lambda: UnitCoder(library_encoder(content.value), kept_units))
             ids, lens = coder(texts_of(batch, "text"))
             end = np.array([end_id], np.int32)
             for doc, a, b in zip(batch.column("doc_id").to_pylist(), np.cumsum(lens) - lens, np.cumsum(lens)):

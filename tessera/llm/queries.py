@@ -113,7 +113,7 @@ def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, packed into sequences of 2048 ids."""
-    return packed_pieces(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
+    return packed_pieces(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), kept_units=700_000))
 
 
 @register(
