@@ -1,7 +1,7 @@
 """Secret scan with a randomness test battery, in DataFrame functions only.
 
 Base kinds: assignments to a secret's name, access keys, long hex runs. The
-method adds ``random``: runs of encoding characters with a digit in them. Of each
+method adds ``random``: runs of encoding characters, with digits or without. Of each
 such run the narrowest encoding that holds all its characters gives an
 alphabet; a chi-squared test of uniformity over it, a runs test about its
 middle and a lag-1 serial correlation test ask if the run could be random
@@ -26,8 +26,8 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
-#: Runs of encoding characters of some length with a digit, tried from their first character only.
-RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{%d})[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
+#: Runs of encoding characters of some length, tried from their first character only.
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+"
 #: Encodings, narrowest first: pattern and alphabet in ascending order of value.
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ENCODINGS = (

@@ -233,6 +233,20 @@ def test_random_runs_and_the_plain_battery(spark):
     assert out[300] == [(4, 52)] and not out[301] and not out[302] and not out[303]
 
 
+def test_runs_without_digits_are_tested(spark):
+    r = random.Random(11)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(r.choice(a) for _ in range(n)) for a, n in ((upper + "234567", 16), (upper + upper.lower(), 24), (upper + upper.lower() + "+/", 40)) for _ in range(200)]
+    keys = [k for k in keys if not re.search("[0-9]", k)][:300]
+    rows = [(i, f"key {k} end") for i, k in enumerate(keys)] + [(1000 + i, "no " + "abcd" * 8 + " end") for i in range(20)] + [(2000, "=" * 40 + " " + "-" * 40)]
+    out = {x["doc_id"]: [(s["start"], s["end"]) for s in x["spans"] if s["kind"] == 3] for x in secrets.with_spans(documents(spark, rows)).collect()}
+    found = [out[i] == [(4, 4 + len(k))] for i, k in enumerate(keys)]
+    assert np.mean(found) >= 0.9
+    assert not any(out[i] for i in out if i >= 1000)
+    tested = spark.createDataFrame(rows, "doc_id long, text string").select(F.sum(F.size(secrets.candidates(F.col("text"))))).first()[0]
+    assert tested == len(keys) + 20 + 1  # padding alone is no run
+
+
 def plain_battery(run):
     bare = run.replace("=", "")
     letters = next(a for p, a in secrets.ENCODINGS if not p or re.match(p, bare))
