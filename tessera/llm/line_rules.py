@@ -167,10 +167,12 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_i
     """The field of at most ``max_rows`` labelled texts that ``keep`` (over
     doc_id) lets in, half of each label where there are as many: those with the
     smallest hash of their id. Their ids, at most ``max_rows``, are broadcast;
-    of a text at most CHAIN lines come to the driver, for learning only."""
+    of rows that repeat an id the least text counts, once. Of a text at most
+    CHAIN lines come to the driver, for learning only."""
     one = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.min(label).cast("long").alias("label")).where(keep)
     pick = [one.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows // 2) for y in (0, 1)]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(pick[0].unionByName(pick[1])), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

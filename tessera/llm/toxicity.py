@@ -128,10 +128,12 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 300, ridge
 def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_FIT_ROWS) -> Ordinal | None:
     """Fit on at most ``max_rows`` labelled rows that ``keep`` (over doc_id)
     lets in: those with the smallest hash of their id, so the pick does
-    not depend on order. Their ids, at most ``max_rows``, are broadcast."""
+    not depend on order. Their ids, at most ``max_rows``, are broadcast; of
+    rows that repeat an id the least text counts, once."""
     one = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).cast("long").alias("label"))
     one = one.where(keep).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(one), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     found = rows.mapInArrow(tidy(_features), "label long, terms binary, counts binary").toArrow()
     read = lambda c: [np.frombuffer(b, "<i4") for b in found.column(c).to_pylist()]
     return fit(list(zip(found.column("label").to_pylist(), read("terms"), read("counts"))))

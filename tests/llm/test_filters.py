@@ -133,6 +133,20 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.learn(docs, labels.limit(0), F.lit(True)) is None
 
 
+@pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (line_rules, "quality")])
+def test_a_repeated_id_is_learnt_from_once(spark, monkeypatch, module, label):
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda rows: seen.append(rows))
+    docs = documents(spark, [(1, f"{PROSE} {i}") for i in range(50)] + [(2, "vile scum"), (3, None), (3, "vile dirt"), (4, "one more")]).repartition(5)
+    labels = labels_of(spark, [(1, 0, 0), (2, 1, 1), (3, 1, 1), (4, 0, 0)])
+    module.learn(docs, labels, F.lit(True), max_rows=4)
+    assert sorted(r[0] for r in seen[0]) == [0, 0, 1, 1]
+    both = [module.learn(docs.repartition(n), labels, F.lit(True), label=label) for n in (1, 7)]
+    assert both == [None, None] and len(seen) == 3
+    key = lambda rows: sorted((r[0], *(x.tobytes() for x in r[1:])) for r in rows)
+    assert key(seen[0]) == key(seen[1]) == key(seen[2])
+
+
 # line rules
 
 
