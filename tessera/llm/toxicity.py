@@ -87,9 +87,12 @@ def _grades(toxic: np.ndarray, rows: np.ndarray, terms: np.ndarray, x: np.ndarra
     return grade, z
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 300, ridge: float = 1e-4) -> Ordinal | None:
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 300, ridge: float = 1e-4, max_terms: int | None = MAX_TERMS) -> Ordinal | None:
     """The model of (toxic, terms, counts) rows, by gradient steps (Adam) on
-    the mean log-likelihood; None unless toxic and other rows are there."""
+    the mean log-likelihood; None unless toxic and other rows are there.
+
+    Of the terms that two rows or more hold, the ``max_terms`` with the
+    strongest association get a weight; None gives all of them one."""
     toxic = np.array([r[0] for r in rows], np.float64)
     if not rows or toxic.min() == toxic.max():
         return None
@@ -99,7 +102,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 300, ridge
     x = 1 + np.log(np.concatenate([r[2] for r in rows]))
     grade, z = _grades(toxic, row, term, x, SPACE)
     seen = np.flatnonzero(np.bincount(term, minlength=SPACE) > 1)
-    picked = np.sort(seen[np.argsort(-np.abs(z[seen]), kind="stable")[:MAX_TERMS]])
+    picked = np.sort(seen[np.argsort(-np.abs(z[seen]), kind="stable")[:max_terms]])
     at = np.minimum(np.searchsorted(picked, term), max(0, len(picked) - 1))
     on = picked[at] == term if len(picked) else np.zeros(len(term), bool)
     row, at, x = row[on], at[on], x[on]
@@ -125,7 +128,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], rounds: int = 300, ridge
     return Ordinal(picked, p[: len(picked)], theta)
 
 
-def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_FIT_ROWS) -> Ordinal | None:
+def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_FIT_ROWS, max_terms: int | None = MAX_TERMS) -> Ordinal | None:
     """Fit on at most ``max_rows`` labelled rows that ``keep`` (over doc_id)
     lets in: those with the smallest hash of their id, so the pick does
     not depend on order. Their ids, at most ``max_rows``, are broadcast; of
@@ -136,7 +139,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_i
     rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     found = rows.mapInArrow(tidy(_features), "label long, terms binary, counts binary").toArrow()
     read = lambda c: [np.frombuffer(b, "<i4") for b in found.column(c).to_pylist()]
-    return fit(list(zip(found.column("label").to_pylist(), read("terms"), read("counts"))))
+    return fit(list(zip(found.column("label").to_pylist(), read("terms"), read("counts"))), max_terms=max_terms)
 
 
 def severity(docs: DataFrame, model: Ordinal | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -110,6 +110,15 @@ def test_ordinal_gradient_finds_ordered_grades():
     assert toxicity.fit([]) is None and toxicity.fit([(1, np.array([1]), np.array([1]))]) is None
 
 
+def test_the_number_of_terms_is_a_parameter():
+    rng = np.random.default_rng(3)
+    rows = [(i % 2, np.unique(rng.integers(0, 300, 20)), None) for i in range(200)]
+    rows = [(y, t, np.ones(len(t), np.int64)) for y, t, _ in rows] + [(1, np.array([900]), np.array([3]))]
+    twice = np.flatnonzero(np.bincount(np.concatenate([t for _, t, _ in rows])) > 1)
+    assert (toxicity.fit(rows, rounds=5, max_terms=None).terms == twice).all()
+    assert len(toxicity.fit(rows, rounds=5, max_terms=7).terms) == 7
+
+
 def test_toxicity_held_out(spark):
     out = queries.QUERIES["op1_toxicity"](spark, "/root/testdata/sf0.1")
     rows = out.withColumnRenamed("toxic", "found").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").collect()
@@ -136,7 +145,7 @@ def test_toxicity_odd_rows(spark):
 @pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (line_rules, "quality")])
 def test_a_repeated_id_is_learnt_from_once(spark, monkeypatch, module, label):
     seen = []
-    monkeypatch.setattr(module, "fit", lambda rows: seen.append(rows))
+    monkeypatch.setattr(module, "fit", lambda rows, **_: seen.append(rows))
     docs = documents(spark, [(1, f"{PROSE} {i}") for i in range(50)] + [(2, "vile scum"), (3, None), (3, "vile dirt"), (4, "one more")]).repartition(5)
     labels = labels_of(spark, [(1, 0, 0), (2, 1, 1), (3, 1, 1), (4, 0, 0)])
     module.learn(docs, labels, F.lit(True), max_rows=4)
