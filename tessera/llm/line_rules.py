@@ -1,7 +1,7 @@
 """Quality rules over lines: a linear-chain CRF marks content and boilerplate.
 
 The base rules count repeated words, lines and symbols and fail texts with
-fixed limits. For the rest, every line with a word gets features, and Viterbi
+fixed limits. In all texts every line with a word gets features, and Viterbi
 decoding of a linear-chain conditional random field with two labels marks it as
 content or boilerplate; the share of words in content lines decides.
 
@@ -190,7 +190,8 @@ def line_rules(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", tex
     base_failed, kept, content_share) of every row.
 
     kept is false where the base rules fail, else true if content lines have
-    at least ``least_share`` of the words (all without a field). A null text is
+    at least ``least_share`` of the words (all without a field). The lines of
+    texts that the base rules fail are marked too, for their share. A null text is
     empty: it has no words, so the base rules fail it, and its share is 0.
     Repeated rows get the same each; other columns are not read; an empty
     table gives no rows.
@@ -205,7 +206,7 @@ def line_rules(docs: DataFrame, field: Field | None, doc_id: str = "doc_id", tex
         repeats = repeated_words(np.array(list(map(numbers.__getitem__, words)), np.uint64))
         failed = n < LEAST_WORDS or 100 * repeats > REPEAT_PERCENT * n
         share = 1.0 if n else 0.0
-        if field and n and not failed:
+        if field and n:
             label = field.viterbi(line_features(lines, by_line))
             share = sum(len(w) for w, y in zip(by_line, label) if y) / n
         space = sum(raw.count(b) for b in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"))

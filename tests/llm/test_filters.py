@@ -207,6 +207,17 @@ def test_line_field_learns_by_likelihood():
     assert line_rules.fit(chains[:40]) is None
 
 
+def test_failed_texts_have_their_own_share(spark):
+    emit = np.zeros((2, line_rules.FEATURES))
+    emit[1, 0], emit[0, 2] = 1, 5  # lines of three words or fewer are boilerplate
+    rows = [(1, "one two\nthree four five six\nseven"), (2, "one two"), (3, PROSE), (4, (PROSE + "\n") * 3 + "a b c"), (5, None)]
+    out = {r["doc_id"]: r for r in line_rules.line_rules(documents(spark, rows), line_rules.Field(emit, np.zeros((2, 2)))).collect()}
+    n = len(words(PROSE))
+    want = {1: 4 / 7, 2: 0.0, 3: 1.0, 4: 3 * n / (3 * n + 3), 5: 0.0}
+    assert {i: r["content_share"] for i, r in out.items()} == pytest.approx(want)
+    assert {i for i, r in out.items() if r["base_failed"]} == {1, 2, 4, 5} and {i for i, r in out.items() if r["kept"]} == {3}
+
+
 def test_line_rules_query(spark):
     rows = queries.QUERIES["op7_line_rules"](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
