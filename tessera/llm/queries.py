@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat_trees, exact_dedup, line_rules, ngram_join, packing, quality, secrets, toxicity, url_lists
+from tessera.llm import bpe, chat_trees, exact_dedup, fingerprints, line_rules, merkle, ngram_join, packing, quality, secrets, spelling, toxicity, url_lists
 from tessera.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,6 +217,103 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+#: crc32 of a list of byte values: its table, then one step per byte.
+CRC_SQL = "crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS t)"
+
+
+def crc32_sql(data: str) -> str:
+    return f"xor(list_reduce(list_concat([4294967295], {data}), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)"
+
+
+DECIMAL_SQL = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))"
+#: Both trees level by level, then each row's way up: siblings collected, the digest folded.
+OP11_SQL = rf"""
+    WITH RECURSIVE {CRC_SQL},
+    docs AS (
+      SELECT *, coalesce('=' || source, '') AS g, {crc32_sql(DECIMAL_SQL)} % 5 = 0 AS tampered,
+             coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+             || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+      FROM documents, crc),
+    leaves AS (
+      SELECT doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+             CASE WHEN tampered THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS now,
+             row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n
+      FROM docs),
+    tree AS (
+      SELECT 0 AS lvl, g, pos, n, h FROM leaves
+      UNION ALL
+      SELECT lvl + 1, g, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM tree WHERE n > 1 GROUP BY lvl, g, pos // 16),
+    subroots AS (SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+    top AS (
+      SELECT 0 AS lvl, pos, n, h FROM subroots
+      UNION ALL
+      SELECT lvl + 1, pos // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 16),
+    runs AS (SELECT lvl, g, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM tree WHERE n > 1 GROUP BY ALL),
+    top_runs AS (SELECT lvl, pos // 16 AS run, list(h ORDER BY pos) AS hs FROM top WHERE n > 1 GROUP BY ALL),
+    low_walk AS (
+      SELECT doc_id, g, 0 AS lvl, pos, n, now AS h, '' AS proof FROM leaves
+      UNION ALL
+      SELECT doc_id, w.g, w.lvl + 1, pos // 16, (n + 15) // 16,
+             sha256(array_to_string(hs[:pos % 16], '') || h || array_to_string(hs[pos % 16 + 2:], '')),
+             proof || array_to_string(hs[:pos % 16], '') || array_to_string(hs[pos % 16 + 2:], '')
+      FROM low_walk w JOIN runs r ON r.g = w.g AND r.lvl = w.lvl AND r.run = w.pos // 16 WHERE n > 1),
+    top_walk AS (
+      SELECT doc_id, 0 AS lvl, s.pos, s.n, w.h, proof FROM low_walk w JOIN subroots s ON s.g = w.g WHERE w.n = 1
+      UNION ALL
+      SELECT doc_id, w.lvl + 1, pos // 16, (n + 15) // 16,
+             sha256(array_to_string(hs[:pos % 16], '') || h || array_to_string(hs[pos % 16 + 2:], '')),
+             proof || array_to_string(hs[:pos % 16], '') || array_to_string(hs[pos % 16 + 2:], '')
+      FROM top_walk w JOIN top_runs r ON r.lvl = w.lvl AND r.run = w.pos // 16 WHERE n > 1)
+    SELECT l.doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = t.h AS verified
+    FROM leaves l JOIN subroots s ON s.g = l.g JOIN top_walk w ON w.doc_id = l.doc_id AND w.n = 1 JOIN top t ON t.n = 1
+"""
+
+
+@register("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof in the manifest, and whether a tampered one still gives the root."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.tamper_check(table(spark, sf_dir, "documents"), tampered, lower)
+
+
+@register("op12_fingerprints")
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against its edited text's and the next document's."""
+    return fingerprints.edits_compared(table(spark, sf_dir, "documents"))
+
+
+UTF8_SQL = "flatten(list_transform(string_split(r, ''), lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [192 + CAST(ord(x) AS BIGINT) // 64, 128 + CAST(ord(x) AS BIGINT) % 64] END))"
+OP13_SQL = rf"""
+    WITH RECURSIVE {CRC_SQL},
+    runs AS (
+      SELECT doc_id, r, count(*) AS c
+      FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents)
+      GROUP BY doc_id, r),
+    hashed AS (SELECT r, c, length(r) AS l, {crc32_sql(f"list_concat({DECIMAL_SQL}, [58], {UTF8_SQL})")} AS h FROM runs, crc),
+    cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % l) || substr(r, h % l + 2) ELSE r END AS word, c FROM hashed),
+    words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+    skips AS (SELECT DISTINCT word, n, substr(word, 1, i) AS a, substr(word, i + 2) AS b FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+    near AS (
+      SELECT x.word, y.word AS other, y.n AS m FROM skips x JOIN skips y ON x.a = y.a AND x.b = y.b AND x.word <> y.word AND length(x.word) = length(y.word)
+      UNION SELECT s.word, w.word, w.n FROM skips s JOIN words w ON w.word = s.a || s.b
+      UNION SELECT w.word, s.word, s.n FROM skips s JOIN words w ON w.word = s.a || s.b),
+    sorted AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, encode(other)) AS k, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+    forms AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.m >= 2 * w.n THEN b.other END AS form, CASE WHEN b.m >= 2 * w.n THEN b.m END AS form_n
+              FROM words w LEFT JOIN sorted b ON b.word = w.word AND b.k = 1),
+    walk AS (SELECT word, coalesce(form, word) AS spot FROM forms UNION SELECT k.word, f.form FROM walk k JOIN forms f ON f.word = k.spot AND f.form IS NOT NULL)
+    SELECT f.word, f.form, k.spot AS root, f.n, f.n_near, f.form_n
+    FROM forms f JOIN walk k ON k.word = f.word JOIN forms e ON e.word = k.spot AND e.form IS NULL
+"""
+
+
+@register("op13_spelling_variants", OP13_SQL)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the common spelling that it is a variant of."""
+    return spelling.spelling_forms(spelling.word_counts(table(spark, sf_dir, "documents"), damage=97))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -73,4 +73,4 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
 def test_stages_are_as_agreed():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "ngram_join", "secrets", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()} == set(range(1, 14))
