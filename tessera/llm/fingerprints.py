@@ -16,11 +16,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, stored, texts_of, tidy
+from tessera.llm.common import slices, texts_of, tidy
 
 U = np.uint64
 FRACTION, WORDS = 1 / 8, 5
@@ -118,9 +117,8 @@ RESULT = pa.schema([
     ("near_edited", pa.float64()), ("near_next", pa.float64()), ("edited_contained", pa.float64()),
 ])
 RESULT_DDL = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, edited_contained double"
-#: A row of a result, a partition's first row, or its last one, which waits for its successor.
-DONE, FIRST, LAST = range(3)
-STEP = pa.schema([("kind", pa.int32()), ("part", pa.int32()), ("text", pa.string()), *RESULT])
+#: Stands for a null id, which comes first.
+NO_ID = -(2**63)
 
 
 def _compared(doc: int | None, text: str, own: np.ndarray, after: str, after_own: np.ndarray, sketch: Sketcher) -> tuple:
@@ -132,6 +130,12 @@ def _compared(doc: int | None, text: str, own: np.ndarray, after: str, after_own
     return doc, len(text), sha, written(own), written(new), likeness(own, new), likeness(own, after_own), containment(new, own)
 
 
+def _range_starts(ids: DataFrame, ranges: int) -> np.ndarray:
+    """The first id of each of about as many ranges of equally many rows: one number for each range."""
+    ranged = ids.repartitionByRange(ranges, "id").select(F.spark_partition_id().alias("part"), "id")
+    return np.array(sorted(r["least"] for r in ranged.groupBy("part").agg(F.min("id").alias("least")).collect()), np.int64)
+
+
 def edits_compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fraction: float = FRACTION, words: int = WORDS) -> DataFrame:
     """One row per row of ``docs``: its fingerprint and that of an edited text, whose
     last floor(n_chars / 2) code points are the first as many of the next row's text.
@@ -139,50 +143,43 @@ def edits_compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Columns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and
     near_next (likeness to the edited text and to the next one), edited_contained (share of the
     edited text's shingles that the text has). Rows follow each other by doc_id, null
-    first, then by the text's hash; after the last comes the first, and a single row is
+    first, then by the text; after the last comes the first, and a single row is
     its own successor. Null counts as empty. Other columns are not read.
 
-    Texts are dealt to ranges once and sorted there; a task walks through its range holding
-    two texts. Only the last row of a range waits: it meets the next range's first one in a join
-    of two rows per partition.
+    The starts of the id ranges come from the ids alone, one per range. Texts are shuffled once, to
+    their range; rows that start a range also go, behind its own rows, to the range before. So each task
+    walks through sorted ranges holding two texts, and no row waits for another task. Rows that
+    share an id lie in one range.
     """
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    narrow = narrow.withColumn("tie", F.xxhash64("text"))
-    order = [F.col("doc_id"), F.col("tie"), F.col("text")]
-    ranged = narrow.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
+    narrow = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.col(doc_id).isNotNull().alias("known"), F.col(text).alias("text"))
+    spark = docs.sparkSession
+    ranges = max(docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    starts = _range_starts(narrow.select("id"), ranges)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            part = np.searchsorted(starts, ids, "right") - 1
+            first = np.flatnonzero(starts[part] == ids)
+            for rows, to, after in ((np.arange(len(ids)), part, False), (first, (part[first] - 1) % len(starts), True)):
+                if len(rows):
+                    dealt = batch.take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(np.full(len(rows), after)), *dealt.columns], ["part", "after", *dealt.schema.names])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, part, before = Sketcher(fraction, words), TaskContext.get().partitionId(), None
-        empty = (None,) * len(RESULT)
+        sketch, before = Sketcher(fraction, words), None
         for batch in slices(batches, "text"):
             rows = []
-            for doc, now in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text")):
+            for i, known, after, now in zip(*(batch.column(c).to_pylist() for c in ("id", "known", "after")), texts_of(batch, "text")):
+                if after and before is None:
+                    continue  # one more row that ties with the next range's first
                 own = sketch(now)
-                if before is None:
-                    rows.append((FIRST, part, now, *empty))
-                else:
-                    rows.append((DONE, part, None, *_compared(*before, now, own, sketch)))
-                before = doc, now, own
-            yield _batch(rows, STEP)
-        if before is not None:
-            yield _batch([(LAST, part, before[1], before[0], *empty[1:])], STEP)
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = Sketcher(fraction, words)
-        for batch in batches:
-            cols = (batch.column(c).to_pylist() for c in ("doc_id", "text", "after"))
-            rows = [_compared(i, t, sketch(t), a, sketch(a), sketch) for i, t, a in zip(*cols)]
+                if before is not None:
+                    rows.append(_compared(*before, now, own, sketch))
+                before = None if after else (i if known else None, now, own)
             if rows:
                 yield _batch(rows, RESULT)
 
-    steps = stored(ranged.select("doc_id", "text").mapInArrow(tidy(walk), f"kind int, part int, text string, {RESULT_DDL}"), "edits")
-    firsts = steps.where(f"kind = {FIRST}").select("part", F.col("text").alias("after"))
-    # one number per partition that has rows
-    numbers = firsts.select("part")
-    along = Window.orderBy("part")
-    wrapped = F.min("part").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    follows = numbers.select("part", F.coalesce(F.lead("part").over(along), wrapped).alias("next"))
-    waiting = steps.where(f"kind = {LAST}").select("part", "doc_id", "text").join(follows, "part")
-    pairs = waiting.select("doc_id", "text", F.col("next").alias("part")).join(firsts, "part").select("doc_id", "text", "after")
-    ends = pairs.mapInArrow(tidy(close), RESULT_DDL)
-    return steps.where(f"kind = {DONE}").select(*RESULT.names).unionByName(ends)
+    dealt = narrow.mapInArrow(tidy(deal), "part int, after boolean, id long, known boolean, text string")
+    ranged = dealt.repartitionById(max(1, len(starts)), "part").sortWithinPartitions("part", "after", "id", "known", "text")
+    return ranged.mapInArrow(tidy(walk), RESULT_DDL)

@@ -79,7 +79,7 @@ def test_written_fingerprints_are_read_back():
 
 
 def plain(rows):
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     sketch, out = fp.Sketcher(), Counter()
     for (i, t), (_, after) in zip(ordered, ordered[1:] + ordered[:1]):
         half = len(t) // 2
@@ -93,13 +93,13 @@ def plain(rows):
 @pytest.mark.parametrize("shuffles", ["1", "7", "200"])
 def test_edits_against_a_plain_version(spark, shuffles):
     r = random.Random(9)
-    rows = [(i * 3, prose(r, r.choice([0, 1, 3, 30, 300]))) for i in range(120)] + [(1, None), (500, "é🙂" * 41), (501, PROSE), (502, PROSE), (None, "none")]
+    rows = [(i * 3, prose(r, r.choice([0, 1, 3, 30, 300]))) for i in range(120)] + [(1, None), (500, "é🙂" * 41), (501, PROSE), (502, PROSE), (None, "none"), (None, "other"), (-(2**63), "least"), (501, "tie")]
     r.shuffle(rows)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", shuffles)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        docs = documents(spark, rows).withColumns({"kind": F.lit(1), "part": F.lit(2), "tie": F.lit(3), "fingerprint": F.lit("x"), "after": F.lit("y")})
+        docs = documents(spark, rows).withColumns({"id": F.lit(1), "part": F.lit(2), "known": F.lit(3), "fingerprint": F.lit("x"), "after": F.lit("y")})
         out = fp.edits_compared(docs.repartition(4))
         assert out.columns == fp.RESULT.names
         assert Counter(map(tuple, out.collect())) == plain([(i, t or "") for i, t in rows])
