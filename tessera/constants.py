@@ -40,6 +40,20 @@ INDEX_COLUMNS = (
     "volume_density_m3_per_km2",
     "avg_footprint_m2",
 )
+# What the index columns hold, for its metadata: type and text.
+INDEX_COLUMN_TEXTS = {
+    "h3_index": ["BIGINT", "cell id"],
+    "building_count": ["INT", "buildings whose centroid lies in the cell"],
+    "building_density": ["FLOAT", "buildings per km2"],
+    "total_footprint_m2": ["FLOAT", "sum of footprint areas, m2"],
+    "coverage_ratio": ["FLOAT", "share of the cell's area under footprints"],
+    "avg_height_m": ["FLOAT", "mean height of buildings with a height, m"],
+    "max_height_m": ["FLOAT", "largest height, m"],
+    "height_std_m": ["FLOAT", "population standard deviation of heights, m"],
+    "total_volume_m3": ["FLOAT", "sum of footprint times height, m3"],
+    "volume_density_m3_per_km2": ["FLOAT", "volume per km2 of cell"],
+    "avg_footprint_m2": ["FLOAT", "mean footprint area, m2"],
+}
 # Pyramid columns carried from the source, in output order.
 PYRAMID_COLUMNS = ("source", "id", "height", "var", "region", "geometry")
 # What the pyramid's columns hold, for its metadata.

@@ -199,21 +199,18 @@ def partials(
 FILE_KEY = ("file_path", "file_size", "file_time")
 
 
-def file_partials(scan: DataFrame, resolutions=DEFAULT_RESOLUTIONS, todo: str | None = None) -> DataFrame:
-    """Partial rows of source files, with the count of rejected rows.
-
-    ``scan`` has FILE_KEY, geometry and height; ``todo`` may name a column
-    with the resolutions wanted of the row's file. Rows whose geometry cannot be
-    measured have no cell: they make one row for each file and resolution with a
-    NULL h3_index, whose building_count is the number rejected. So one pass over
-    the geometry gives both the sums and the counts.
-    """
-    m = with_measures(scan)
-    keep = [*FILE_KEY, *([todo] if todo else []), "lat", "lon"]
+def building_measures(scan: DataFrame, keep=()) -> DataFrame:
+    """Per source row: FILE_KEY, ``keep``, lat, lon, ok, fp_m2, h. ``ok`` is false where the
+    geometry cannot be measured."""
     ok = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in ("lat", "lon", "area_deg2"))
-    x = with_building_metrics(m.withColumn("ok", F.expr(ok)), keep=[*keep, "ok"])
+    x = with_building_metrics(with_measures(scan).withColumn("ok", F.expr(ok)), keep=[*FILE_KEY, *keep, "lat", "lon", "ok"])
+    return x.drop("vol")
+
+
+def sum_partials(measures: DataFrame, resolutions=DEFAULT_RESOLUTIONS, todo: str | None = None) -> DataFrame:
+    """Partial rows of :func:`building_measures`, see :func:`file_partials`."""
     resolutions = list(resolutions)
-    x = with_cells(x, resolutions, prefix="__cell_")
+    x = with_cells(measures.selectExpr("*", "fp_m2 * h AS vol"), resolutions, prefix="__cell_")
     ids = ", ".join(f"named_struct('h3_res', {r}, 'h3_index', CASE WHEN ok THEN __cell_{r} END)" for r in resolutions)
     wanted = f"array({ids})" if todo is None else f"filter(array({ids}), c -> array_contains({todo}, c.h3_res))"
     cells = x.selectExpr(*FILE_KEY, f"inline({wanted})", "fp_m2", "CASE WHEN ok THEN h END AS h", "CASE WHEN ok THEN vol END AS vol")
@@ -232,6 +229,18 @@ def file_partials(scan: DataFrame, resolutions=DEFAULT_RESOLUTIONS, todo: str |
     )
 
 
+def file_partials(scan: DataFrame, resolutions=DEFAULT_RESOLUTIONS, todo: str | None = None) -> DataFrame:
+    """Partial rows of source files, with the count of rejected rows.
+
+    ``scan`` has FILE_KEY, geometry and height; ``todo`` may name a column
+    with the resolutions wanted of the row's file. Rows whose geometry cannot be
+    measured have no cell: they make one row for each file and resolution with a
+    NULL h3_index, whose building_count is the number rejected. So one pass over
+    the geometry gives both the sums and the counts.
+    """
+    return sum_partials(building_measures(scan, [todo] if todo else []), resolutions, todo)
+
+
 FILE_PARTIALS_SCHEMA = (
     "h3_res int, file_path string, file_size long, file_time timestamp, h3_index long, building_count long, "
     "total_footprint_m2 double, height_sum double, height_sq_sum double, max_height_m double, "
@@ -248,23 +257,24 @@ def with_file_key(scan: DataFrame) -> DataFrame:
     })
 
 
+#: Sums of a cell, as partial and merged rows hold them.
+SUM_COLUMNS = ("building_count", "total_footprint_m2", "height_sum", "height_sq_sum", "max_height_m", "total_volume_m3", "height_count")
+
+
+def merge_sums(part: DataFrame, keys=("h3_index",)) -> DataFrame:
+    """Partial rows of one cell added up; the result merges again with others."""
+    return part.groupBy(*keys).agg(*[F.expr(f"{'max' if c == 'max_height_m' else 'sum'}({c}) AS {c}") for c in SUM_COLUMNS])
+
+
+def index_of_sums(sums: DataFrame, compat_std: bool = False) -> DataFrame:
+    """Final index rows of merged sums, one row per cell."""
+    names = dict(zip(("building_count", "total_footprint_m2", "height_sum", "height_count", "height_sq_sum", "max_height_m", "total_volume_m3"), ("n", "fp", "hsum", "hn", "hsq", "hmax", "vol")))
+    return _finish(sums.selectExpr("h3_index", *(f"{c} AS {n}" for c, n in names.items())), compat_std)
+
+
 def merge_partials(part: DataFrame, compat_std: bool = False) -> DataFrame:
     """Merge partial rows of any disjoint split of the buildings into final index rows."""
-    agg = part.groupBy("h3_index").agg(
-        *[
-            F.expr(e)
-            for e in (
-                "sum(building_count) AS n",
-                "sum(total_footprint_m2) AS fp",
-                "sum(height_sum) AS hsum",
-                "sum(height_count) AS hn",
-                "sum(height_sq_sum) AS hsq",
-                "max(max_height_m) AS hmax",
-                "sum(total_volume_m3) AS vol",
-            )
-        ]
-    )
-    return _finish(agg, compat_std)
+    return index_of_sums(merge_sums(part), compat_std)
 
 
 def cell_counts(idx: DataFrame, exact: bool = True) -> DataFrame:
