@@ -46,7 +46,7 @@ INDEX_COLUMN_TEXTS = {
     "building_count": ["INT", "buildings whose centroid lies in the cell"],
     "building_density": ["FLOAT", "buildings per km2"],
     "total_footprint_m2": ["FLOAT", "sum of footprint areas, m2"],
-    "coverage_ratio": ["FLOAT", "share of the cell's area under footprints"],
+    "coverage_ratio": ["FLOAT", "share of the cell area under footprints"],
     "avg_height_m": ["FLOAT", "mean height of buildings with a height, m"],
     "max_height_m": ["FLOAT", "largest height, m"],
     "height_std_m": ["FLOAT", "population standard deviation of heights, m"],

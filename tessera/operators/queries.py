@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.grid import cell_area_km2, cell_lat_any_sql, cell_lon_any_sql, cell_to_hex
 from tessera.functions.tiles import bbox, continent_col
+from tessera.functions.zones import box_key_ranges, in_box_ranges
 
 
 def with_centre(idx: DataFrame, lat: str = "lat", lng: str = "lng", as_float: bool = True) -> DataFrame:
@@ -135,3 +136,15 @@ def to_v1(idx: DataFrame, with_geometry: bool = True) -> DataFrame:
             1, point_wkb(F.expr(cell_lon_any_sql("h3_index")), F.expr(cell_lat_any_sql("h3_index"))).alias("geometry")
         )
     return idx.select(*cols)
+
+
+def box(idx: DataFrame, res: int, lat0: float, lat1: float, lon0: float, lon1: float) -> DataFrame:
+    """Cells of ``res`` whose centre lies in the box, of an index written by ``write_index_by_key``.
+
+    A short list of key ranges goes to the scan and prunes row groups on both
+    axes; the centres decide. A box with ``lon0`` > ``lon1`` goes over the antimeridian.
+    """
+    near = in_box_ranges(idx.where(F.col("h3_res") == res), box_key_ranges(res, lat0, lat1, lon0, lon1))
+    lat, lon = cell_lat_any_sql("h3_index"), cell_lon_any_sql("h3_index")
+    inside = f"{lon} BETWEEN {lon0} AND {lon1}" if lon0 <= lon1 else f"({lon} >= {lon0} OR {lon} <= {lon1})"
+    return near.where(f"{lat} BETWEEN {lat0} AND {lat1} AND {inside}")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.constants import DEFAULT_MAXZOOM, DEFAULT_MINZOOM, DEFAULT_RESOLUTIONS, INDEX_COLUMNS, PYRAMID_ROW_GROUP
+from tessera.constants import DEFAULT_MAXZOOM, DEFAULT_MINZOOM, DEFAULT_RESOLUTIONS, INDEX_COLUMN_TEXTS, INDEX_COLUMNS, PYRAMID_ROW_GROUP
 from tessera.functions import grid
 from tessera.functions.measures import footprint_m2, geometry_type, with_measures
 from tessera.functions.tiles import in_quad, quadkey, snap_cell
@@ -782,6 +782,100 @@ def late_file_of_done_tile(spark, sf):
     return read_index(spark, out).select("h3_res", *INDEX_COLUMNS)
 
 
+@register(
+    "files_leave_the_source",
+    lambda: S.with_(
+        [*S.cte_base(), "stay AS (SELECT * FROM bmv WHERE NOT (half = 1 AND lon < 0))", *S.cte_index("idx", [3, 5], src="stay")],
+        "SELECT h3_res, " + ", ".join(INDEX_COLUMNS) + " FROM idx",
+    ),
+)
+def files_leave_the_source(spark, sf):
+    """After a run one folder of files vanishes and another is renamed; the next run counts what is left."""
+    from tessera.plans.index_job import run_index_job
+    from tessera.sources.readers import read_index
+    from tessera.sources.writers import _fs_path
+
+    root, work, out = _scratch(spark, "tiles"), _scratch(spark, "job"), _scratch(spark, "index")
+    for folder, where in (("a", "half = 0"), ("b", "half = 1 AND lon < 0"), ("c", "half = 1 AND lon >= 0")):
+        _write_tiles(spark, sf, f"{root}/{folder}", where)
+    run_index_job(spark, root, work, out, [3, 5])
+    fs, gone = _fs_path(spark, f"{root}/b")
+    fs.delete(gone, True)
+    fs.rename(_fs_path(spark, f"{root}/c")[1], _fs_path(spark, f"{root}/d")[1])
+    run_index_job(spark, root, work, out, [3, 5])
+    return read_index(spark, out).select("h3_res", *INDEX_COLUMNS)
+
+
+@register(
+    "overlapping_tiles_dedup",
+    lambda: S.with_(
+        [
+            S.cte_base()[0].replace("fp AS", "raw AS", 1),
+            "fp AS (SELECT * REPLACE (CASE WHEN (half = 1 OR lon < 0) AND height <> -999 THEN 7.5 ELSE height END AS height) FROM raw)",
+            *S.cte_base()[1:],
+            *S.cte_index("idx", [3, 5]),
+        ],
+        "SELECT h3_res, " + ", ".join(INDEX_COLUMNS) + " FROM idx",
+    ),
+)
+def overlapping_tiles_dedup(spark, sf):
+    """a second delivery repeats buildings of the first with another height and comes before it in
+    path order, so it takes them over; each building counts once."""
+    from tessera.plans.index_job import run_index_job
+    from tessera.sources.readers import read_index
+
+    root, work, out = _scratch(spark, "tiles"), _scratch(spark, "job"), _scratch(spark, "index")
+    height = F.expr("CAST(CASE WHEN height <> -999 THEN 7.5 ELSE height END AS FLOAT)")
+    for folder, where in (("z", "half = 0 OR lon < 0"), ("a", "half = 1 OR lon < 0")):
+        b = fx.buildings(spark, sf).drop("half").where(where)
+        b = b.withColumn("height", height) if folder == "a" else b
+        b.repartitionByRange("tile_id", "id").write.partitionBy("tile_id").parquet(f"{root}/{folder}")
+        run_index_job(spark, root, work, out, [3, 5], dedup_by="id")
+    return read_index(spark, out).select("h3_res", *INDEX_COLUMNS)
+
+
+def _metadata_sql():
+    texts = ", ".join(f"('column', '{c}', '{t}', '{x}')" for c, (t, x) in INDEX_COLUMN_TEXTS.items())
+    return S.index_query(
+        [3, 5],
+        f"SELECT * FROM (VALUES {texts}) AS v(item, name, type, value) UNION ALL "
+        "SELECT 'cells', CAST(h3_res AS VARCHAR), 'BIGINT', CAST(count(*) AS VARCHAR) FROM idx GROUP BY h3_res",
+    )
+
+
+@register("index_metadata", _metadata_sql)
+def index_metadata(spark, sf):
+    """Columns with their texts and cells per resolution, read back from the document a job wrote."""
+    from tessera.plans.index_job import run_index_job
+    from tessera.sources.writers import read_metadata
+
+    root, out = _scratch(spark, "tiles"), _scratch(spark, "index")
+    _write_tiles(spark, sf, root)
+    run_index_job(spark, root, _scratch(spark, "job"), out, [3, 5])
+    meta = read_metadata(spark, f"{out}/_metadata.json")
+    rows = [("column", c, t, x) for c, (t, x) in meta["columns"].items()]
+    rows += [("cells", r, "BIGINT", str(n)) for r, n in meta["cells_per_resolution"].items()]
+    return spark.createDataFrame(rows, "item string, name string, type string, value string")
+
+
+@register(
+    "stored_box_by_key",
+    lambda: S.index_query(
+        [7],
+        "SELECT h3_index, building_count, total_footprint_m2 FROM idx "
+        f"WHERE {S.lat_sql(7)} BETWEEN -20 AND 40 AND {S.lon_sql(7)} BETWEEN -100 AND -20",
+    ),
+)
+def stored_box_by_key(spark, sf):
+    """A box read from an index sorted by the space-filling key; key ranges reach the scan."""
+    from tessera.sources.readers import read_index
+    from tessera.sources.writers import write_index_by_key
+
+    out = _scratch(spark, "index")
+    write_index_by_key(ix.build_index(_fp(spark, sf), [5, 7]), out)
+    return qx.box(read_index(spark, out), 7, -20, 40, -100, -20).select("h3_index", "building_count", "total_footprint_m2")
+
+
 # buildings without a usable geometry, by region: missing, cut short, no polygon at all
 BAD_REGIONS = {"NATION_3": "CAST(NULL AS BINARY)", "NATION_7": "substring(geometry, 1, 11)", "NATION_11": "unhex('0103000000FFFFFFFF')"}
 BAD_SQL = "region IN (" + ", ".join(f"'{r}'" for r in BAD_REGIONS) + ")"

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.constants import COMPRESSION, INDEX_COLUMNS, INDEX_ROW_GROUP, LARGE_ZOOM_ROWS, PYRAMID_ROW_GROUP
+from tessera.functions.zones import cell_key
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -98,6 +99,19 @@ def write_index(idx: DataFrame, path: str, files_per_res: int | None = None) ->
     )
 
 
+def write_index_by_key(idx: DataFrame, path: str, row_group: int = INDEX_ROW_GROUP // 8) -> None:
+    """Index rows under ``h3_res=N/`` with their ``cell_key``, sorted by it.
+
+    Near cells lie near each other on both axes, so the key ranges of a box
+    (:func:`tessera.operators.queries.box`) leave out row groups east and west of it too;
+    sorted by id, all cells of the box's latitudes would be read.
+    """
+    df = idx.select("h3_res", *INDEX_COLUMNS, cell_key("h3_index").alias("cell_key"))
+    df = df.repartitionByRange("h3_res", "cell_key").sortWithinPartitions("h3_res", "cell_key", "h3_index")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+    writer.option("parquet.block.row.count.limit", row_group).partitionBy("h3_res").parquet(path)
+
+
 def write_pyramid(df: DataFrame, path: str) -> int:
     """Pyramid rows under ``zoomlevel=z/``, sorted by quadkey, ZSTD; returns
     the rows written, observed during the write.

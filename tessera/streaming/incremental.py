@@ -56,9 +56,14 @@ def start_partials_stream(
 
 
 def read_stream_partials(spark: SparkSession, partials_path: str) -> DataFrame:
-    """Partial rows of every committed batch, each file version once."""
-    part = spark.read.schema(FILE_PARTIALS_SCHEMA).option("recursiveFileLookup", "true").parquet(partials_path)
-    return part.dropDuplicates([*FILE_KEY, "h3_res", "h3_index"])
+    """Partial rows of every committed batch, each file version once.
+
+    A file version lies in one batch of a stream; of several streams that read it, the
+    first named one counts. Only the versions' names are compared, not the rows.
+    """
+    part = spark.read.schema(f"{FILE_PARTIALS_SCHEMA}, query string, batch long").parquet(partials_path)
+    chosen = part.groupBy(*FILE_KEY).agg(F.min(F.struct("query", "batch")).alias("v")).select(*FILE_KEY, "v.query", "v.batch")
+    return part.join(chosen, [*FILE_KEY, "query", "batch"], "left_semi").drop("query", "batch")
 
 
 def merge_stream_partials(spark: SparkSession, partials_path: str) -> DataFrame:

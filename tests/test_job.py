@@ -129,3 +129,118 @@ def test_empty_tile_and_bad_geometry(spark, tmpdir_path):
     assert led["broken"]["status"] == "done" and led["broken"]["rejected"] == 1
     got = read_index(spark, out).agg({"building_count": "sum"}).collect()[0][0]
     assert got == one.count()
+
+
+def _direct(spark, where, resolutions=(5,)):
+    return ix.build_index(fx.footprints(spark, SF_SMALL).where(where), list(resolutions))
+
+
+def _write_to(spark, path, where):
+    fx.buildings(spark, SF_SMALL).drop("half").where(where).repartitionByRange("tile_id", "id").write.mode("append").partitionBy("tile_id").parquet(path)
+
+
+def test_an_append_only_source_keeps_files_that_leave(spark, tmpdir_path):
+    import shutil
+
+    import pytest
+
+    src, work, out = f"{tmpdir_path}/src", f"{tmpdir_path}/work", f"{tmpdir_path}/out"
+    _write_to(spark, f"{src}/a", "half = 0")
+    _write_to(spark, f"{src}/b", "half = 1")
+    run_index_job(spark, src, work, out, resolutions=[5], append_only=True)
+    shutil.move(f"{src}/b", f"{tmpdir_path}/away")
+    assert run_index_job(spark, src, work, out, resolutions=[5], append_only=True)["tiles_withdrawn"] == 0
+    _close(read_index(spark, out).select("h3_res", *_direct(spark, "true").columns[1:]), _direct(spark, "true"))
+    meta = run_index_job(spark, src, work, out, resolutions=[5])
+    assert meta["tiles_withdrawn"] > 0
+    _close(read_index(spark, out).select("h3_res", *_direct(spark, "true").columns[1:]), _direct(spark, "half = 0"))
+    shutil.move(f"{tmpdir_path}/away", f"{src}/b")  # the same versions come back
+    run_index_job(spark, src, work, out, resolutions=[5])
+    _close(read_index(spark, out).select("h3_res", *_direct(spark, "true").columns[1:]), _direct(spark, "true"))
+    shutil.move(src, f"{tmpdir_path}/all")
+    import os
+
+    os.mkdir(src)
+    with pytest.raises(ValueError, match="no files"):
+        run_index_job(spark, src, work, out, resolutions=[5])
+    run_index_job(spark, src, work, out, resolutions=[5], allow_empty=True)
+    assert read_index(spark, out).count() == 0 if any(f.endswith(".parquet") for _, _, fs in os.walk(out) for f in fs) else True
+
+
+def test_a_second_run_reads_and_writes_the_zones_it_touches_only(spark, tmpdir_path):
+    from tessera.sources import levels as lv
+
+    src, work, out = f"{tmpdir_path}/src", f"{tmpdir_path}/work", f"{tmpdir_path}/out"
+    box = "lon > 100"
+    _write_to(spark, src, f"NOT ({box})")
+    run_index_job(spark, src, work, out, resolutions=[5])
+    before = {r["zone"]: r["run"] for r in lv.read_catalog(spark, f"{work}/catalog", read_ledger(spark, f"{work}/ledger").select("seq", "run").distinct()).collect()}
+    _write_to(spark, src, box)
+    run_index_job(spark, src, work, out, resolutions=[5])
+    ledger = read_ledger(spark, f"{work}/ledger")
+    catalog = lv.read_catalog(spark, f"{work}/catalog", ledger.select("seq", "run").distinct())
+    after = {r["zone"]: r["run"] for r in catalog.collect()}
+    touched = sorted(z for z, run in after.items() if before.get(z) != run)
+    assert 0 < len(touched) < len(after) / 3
+    base = lv.read_base(spark, f"{work}/base", catalog, {5: touched})
+    plan = base._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "EqualTo(h3_res,5)" in plan and ("In(zone" in plan or "EqualTo(zone" in plan) and str(touched[0]) in plan
+    rows = spark.read.parquet(f"{work}/base").groupBy("run").count().collect()
+    assert len(rows) == 2 and min(r["count"] for r in rows) < max(r["count"] for r in rows) / 2
+    direct = _direct(spark, "true")
+    _close(read_index(spark, out).select(*direct.columns), direct)
+
+
+def test_a_run_that_dies_before_the_ledger_leaves_no_trace(spark, tmpdir_path, monkeypatch):
+    import pytest
+
+    from tessera.plans import index_job as ij
+    from tessera.sources import levels as lv
+
+    src, work, out = f"{tmpdir_path}/src", f"{tmpdir_path}/work", f"{tmpdir_path}/out"
+    direct = _direct(spark, "true")
+    _write_to(spark, src, "half = 0")
+    run_index_job(spark, src, work, out, resolutions=[5])
+    _write_to(spark, src, "half = 1")
+
+    def die(*a, **k):
+        raise RuntimeError("lost")
+
+    append = lv.append_catalog
+    for broken in ("append_catalog", "publish_zones", "after_catalog"):
+        with monkeypatch.context() as m:
+            if broken == "after_catalog":
+                # the catalog names the run, the ledger does not
+                m.setattr(lv, "append_catalog", lambda *a: (append(*a), die()))
+            else:
+                m.setattr(lv, broken, die)
+            if broken != "publish_zones":
+                with pytest.raises(RuntimeError):
+                    run_index_job(spark, src, work, out, resolutions=[5])
+                _close(read_index(spark, out).select(*direct.columns), _direct(spark, "half = 0"))
+    with monkeypatch.context() as m:
+        m.setattr(lv, "publish_zones", die)
+        with pytest.raises(RuntimeError):
+            run_index_job(spark, src, work, out, resolutions=[5])
+    assert ij.run_index_job(spark, src, work, out, resolutions=[5])["tiles_processed"] == 0
+    _close(read_index(spark, out).select(*direct.columns), direct)
+
+
+def test_an_owner_that_leaves_hands_its_buildings_on(spark, tmpdir_path):
+    import shutil
+
+    import pytest
+
+    src, work, out = f"{tmpdir_path}/src", f"{tmpdir_path}/work", f"{tmpdir_path}/out"
+    _write_to(spark, f"{src}/b", "half = 0 OR lon < 0")
+    run_index_job(spark, src, work, out, resolutions=[3, 5], dedup_by="id")
+    _write_to(spark, f"{src}/a", "half = 1 OR lon < 0")
+    _write_to(spark, f"{src}/c", "lat > 0")
+    run_index_job(spark, src, work, out, resolutions=[3, 5], dedup_by="id")
+    direct = _direct(spark, "true", (3, 5))
+    _close(read_index(spark, out).select(*direct.columns), direct)
+    shutil.move(f"{src}/a", f"{tmpdir_path}/away")
+    run_index_job(spark, src, work, out, resolutions=[3, 5], dedup_by="id")
+    _close(read_index(spark, out).select(*direct.columns), _direct(spark, "half = 0 OR lon < 0 OR lat > 0", (3, 5)))
+    with pytest.raises(ValueError, match="made with"):
+        run_index_job(spark, src, work, out, resolutions=[3, 5])
