@@ -37,6 +37,18 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names that start with ``names`` and that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of ``text``
     (one row at least), which bounds what a task holds at a time."""

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import release, slices, stored, texts_of, tidy
+from tessera.llm.common import release, slices, stored, texts_of, tidy, unused
 from tessera.llm.components import connected_components
 
 #: Sets and tokens of a chunk, the unit in which tokens travel.
@@ -303,22 +303,26 @@ def _links(sets: DataFrame, num: int, den: int, stars: int) -> DataFrame:
         now = stored(now.join(state.select("token"), "token", "left_semi"), f"open-{turn}")
         if now.isEmpty():
             break
-        by = now.groupBy("token", "component").agg(F.count("*").alias("size"), F.min(F.struct(F.expr("(n - rest) / n").alias("own"), "row", "n", "rest")).alias("best"))
+        # at the first token that a pair shares, no more than the rest of either set can be shared
+        fit = F.expr(f"{den + num} * least(rest, o_rest) >= {num} * (n + o_n)")
+        own = F.struct(F.expr("(n - rest) / n").alias("own"), "row", "n", "rest")
         if turn < stars:
-            # the pivot: at first the set with the fewest tokens of its own, then such a set outside the largest component
-            rank = F.struct(*([F.lit(0)] if turn == 0 else [F.col("largest")]), "best.own", "best.row").alias("rank")
-            top = by.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top"))
-            by = by.join(top, "token").withColumn("largest", F.expr("component = top.component").cast("int"))
-            pivot = by.groupBy("token").agg(F.min(F.struct(rank, "component", "best")).alias("p"))
+            if turn == 0:
+                # the pivot: the set with the fewest tokens of its own
+                pivot = now.groupBy("token").agg(F.min(F.struct(own.alias("best"), "component")).alias("p"))
+            else:
+                # such a set outside the largest component; the join is stored, so a token of very many components is split there
+                by = now.groupBy("token", "component").agg(F.count("*").alias("size"), F.min(own).alias("best"))
+                top = by.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top"))
+                by = stored(by.join(top, "token").select("token", "component", "best", F.expr("component = top.component").alias("largest")), f"pivots-{turn}")
+                pivot = by.groupBy("token").agg(F.min(F.struct("largest", "best", "component")).alias("p"))
             pairs = now.join(pivot, "token").where("component <> p.component")
             pairs = pairs.select("row", "n", "rest", F.col("p.best.row").alias("o_row"), F.col("p.best.n").alias("o_n"), F.col("p.best.rest").alias("o_rest"))
         else:
-            top = by.groupBy("token").agg(F.max(F.struct("size", "component")).alias("top"))
-            outside = now.join(top, "token").where("component <> top.component").select("token", "row", "n", "rest", "component")
-            other = now.select("token", *(F.col(c).alias(f"o_{c}") for c in ("row", "n", "rest", "component")))
-            pairs = outside.join(other, "token").where("component <> o_component")
-        # at the first token that a pair shares, no more than the rest of either set can be shared
-        fit = F.expr(f"{den + num} * least(rest, o_rest) >= {num} * (n + o_n)")
+            by = now.groupBy("token", "component").count()
+            top = by.groupBy("token").agg(F.max(F.struct("count", "component")).alias("top"))
+            state = now.join(top, "token").withColumn("outside", F.expr("component <> top.component")).drop("top")
+            pairs = _banded(stored(state, "outside"), num, den)
         pairs = pairs.where(fit).select(F.least("row", "o_row").alias("a"), F.greatest("row", "o_row").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -339,9 +343,35 @@ def _links(sets: DataFrame, num: int, den: int, stars: int) -> DataFrame:
     return component
 
 
+#: Sizes of a band differ by a fiftieth.
+BAND = 1.02
+
+
+def _banded(state: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of a token's sets of different components, one of them outside the token's largest component,
+    of which the sizes allow the threshold.
+
+    A set of n tokens, ``rest`` of which can still be shared, fits smaller sets of num/den * n tokens
+    or more, up to ``most``. It asks the bands of sizes between, the smaller sets lie in one
+    band each. So sets that a shared passage brings together, but whose sizes rule a link out, never
+    meet: pages of one template, each too long for its passage, ask no band that holds any.
+    """
+    band = lambda n: F.floor(F.log(n) / F.log(F.lit(BAND))).cast("int")
+    most = F.floor((F.lit(den + num) * F.col("rest") - num * F.col("n")) / num)
+    least = F.ceil(F.lit(num) * F.col("n") / den)
+    asks = state.where(most >= least).select("token", "row", "n", "rest", "component", "outside", F.explode(F.sequence(band(least), band(F.least("n", most)))).alias("band"))
+    held = state.select("token", band(F.col("n")).alias("band"), *(F.col(c).alias(f"o_{c}") for c in ("row", "n", "rest", "component", "outside")))
+    out = None
+    for x, y in ((asks.where("outside"), held), (asks.where("NOT outside"), held.where("o_outside"))):
+        met = x.join(y, ["token", "band"]).where("component <> o_component AND o_n <= n")
+        out = met if out is None else out.unionByName(met)
+    return out.select("row", "n", "rest", "o_row", "o_n", "o_rest")
+
+
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with the first id of their component, with all
     their columns. Rows that share an id stay if one of them does."""
     found = near_duplicates(docs, doc_id, text, **options)
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["__id"]), "left_semi")
+    (own,) = unused(docs, "id")
+    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept[own]), "left_semi")
