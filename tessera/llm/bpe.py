@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tessera.llm.common import ranges, slices, texts_of, tidy
+from tessera.llm.common import ranges, slices, texts_of, tidy, unused
 from tessera.llm.units import UnitCoder
 
 #: Pre-token pattern of byte-level BPE (fixed value of the tokenizer's format).
@@ -145,13 +145,14 @@ def encode(docs: DataFrame, tokenizer_json: str, text: str = "text", ids: str =
     string of a special token in a text becomes its id, as in the library.
     """
     content = _broadcast(docs, tokenizer_json)
-    narrow = docs.select(*keep, F.col(text).alias("__text"))
+    (own,) = unused(docs, "text")
+    narrow = docs.select(*keep, F.col(text).alias(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, own):
             coder = coder or UnitCoder(Bpe(content.value))
-            flat, lens = coder(texts_of(batch, "__text"))
+            flat, lens = coder(texts_of(batch, own))
             out = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], [*keep, ids])
 
@@ -163,7 +164,7 @@ def decode(rows: DataFrame, tokenizer_json: str, ids: str = "ids", text: str = "
     """The columns ``keep`` and the text of the ids. Null ids read as none; an
     id outside the vocabulary adds nothing; no rows give no rows."""
     content = _broadcast(rows, tokenizer_json)
-    narrow = rows.select(*keep, F.filter(F.coalesce(F.col(ids), F.array().cast("array<int>")), lambda i: i.isNotNull()).alias("__ids"))
+    narrow = rows.select(*keep, F.filter(F.coalesce(F.col(ids), F.array().cast("array<int>")), lambda i: i.isNotNull()).alias(unused(rows, "ids")[0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = None

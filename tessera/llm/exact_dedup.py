@@ -1,10 +1,12 @@
 """Exact duplicates by deterministic block naming.
 
 Each normalised text is cut into blocks of fixed size. The distinct blocks,
-compared byte by byte in one aggregation and sorted, get integer names;
-then the names of adjacent blocks are paired and the distinct pairs named in
+compared byte by byte in one aggregation and sorted by hash, get integer names;
+then the names of adjacent blocks are paired and the distinct pairs sorted and named in
 turn, until one name is left of each document. Two documents have the
-same (level, name) exactly if their texts are the same.
+same (level, name) exactly if their texts are the same. A name is the rank
+in sorted order, whatever the partitions: key ranges are sorted
+apart, and the counts of the ranges before are added.
 
 Text is shuffled once, by the aggregation that names the blocks; it combines
 copies on the map side, so a text that a third of all rows share leaves each
@@ -21,7 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WS, stored
+from tessera.llm.common import WS, stored, unused
+from tessera.llm.ordering import numbered, ranked
 
 BLOCK = 4096
 
@@ -42,10 +45,10 @@ def _blocks(size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(F.col("__bytes"), i * size + 1, F.lit(size)))
 
 
-def _names(keys: DataFrame) -> DataFrame:
-    """Distinct rows of ``keys``, sorted, and an integer name for each."""
-    distinct = keys.distinct()
-    return distinct.sortWithinPartitions(*keys.columns).withColumn("name", F.monotonically_increasing_id())
+def ranks(distinct: DataFrame, *order: str) -> DataFrame:
+    """Distinct rows with ``name``, their rank from 0 along ``order``."""
+    sorted_ = numbered(distinct, *order, name="__number", tag="names")
+    return ranked(sorted_.withColumn("__all", F.lit(0)), "__all", "__number").withColumnRenamed("pos", "name").drop("__all", "n")
 
 
 def exact_groups(
@@ -65,10 +68,11 @@ def exact_groups(
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.encode(normalised(text), "utf-8").alias("__bytes"))
     for salt in itertools.count(0, 2):
         split = base.select(F.explode(_blocks(block)).alias("block"))
-        named = _names(split.select(hashed(salt, F.col("block")).alias("h"), "block"))
-        names = stored(named.select("h", "name"), "block-names")
-        if names.groupBy("h").count().where("count > 1").isEmpty():
+        blocks = split.select(hashed(salt, F.col("block")).alias("h"), "block").distinct()
+        hashes = stored(blocks.select("h"), "blocks")
+        if hashes.groupBy("h").count().where("count > 1").isEmpty():
             break
+    names = stored(ranks(hashes, "h"), "block-names")
     rows = base.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.unhex(F.sha2("__bytes", 256)).alias("sha"),
         F.transform(_blocks(block), lambda b: hashed(salt, b)).alias("hs"),
@@ -87,7 +91,7 @@ def exact_groups(
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("right"),
         )
         at = stored(at, f"pairs-{level}")
-        pairs = stored(_names(at.select("left", "right")), f"pair-names-{level}")
+        pairs = stored(ranks(at.select("left", "right").distinct(), "left", "right"), f"pair-names-{level}")
         at = at.join(pairs, ["left", "right"]).select("row", F.expr("(n + 1) div 2").cast("int").alias("n"), "pos", "name")
         ended.append(at.where("n = 1").select("row", F.lit(level).alias("level"), "name"))
         at = at.where("n > 1")
@@ -105,9 +109,12 @@ def exact_groups(
 
 
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one of each group."""
-    kept = exact_groups(docs, doc_id, text, **options).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    marked = docs.withColumn("__own_sha", F.sha2(F.encode(normalised(text), "utf-8"), 256))
-    joined = marked.join(kept, marked["__own_sha"].eqNullSafe(kept["__sha"]) & marked[doc_id].cast("long").eqNullSafe(kept["__id"]))
-    again = Window.partitionBy("__sha", "__id").orderBy(F.lit(0))
-    return joined.withColumn("__n", F.row_number().over(again)).where("__n = 1").select(*docs.columns)
+    """The rows of ``docs`` that stay, with all their columns: one of each group.
+    Of several rows with that id and text, the first by the other columns' JSON, then by the text."""
+    id_, sha, own, n = unused(docs, "id", "sha", "own_sha", "n")
+    kept = exact_groups(docs, doc_id, text, **options).where("kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha))
+    marked = docs.withColumn(own, F.sha2(F.encode(normalised(text), "utf-8"), 256))
+    joined = marked.join(kept, marked[own].eqNullSafe(kept[sha]) & marked[doc_id].cast("long").eqNullSafe(kept[id_]))
+    others = [marked[c] for c in docs.columns if c != text]
+    again = Window.partitionBy(sha, id_).orderBy(F.to_json(F.struct(*others)), marked[text])
+    return joined.withColumn(n, F.row_number().over(again)).where(F.col(n) == 1).select(*(marked[c] for c in docs.columns))

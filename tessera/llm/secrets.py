@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import stored, unused
 
 #: Base kinds in order, with pattern and least length (of group 2 for assign).
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -207,20 +207,21 @@ def with_spans(docs: DataFrame, text: str = "text", out: str = "spans", level: f
     step, mean = rejection_step(docs, text, level, min_length)
     t = _text(text)
     long_enough = F.transform(F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2)), lambda g: F.length(g) >= 8)
-    names = {k: f"__{k}" for k in KINDS}
+    *columns, base = unused(docs, *KINDS, "base")
+    names = dict(zip(KINDS, columns))
     rows = docs.withColumns({
         names["assign"]: _spans(t, ASSIGN, long_enough), names["access"]: _spans(t, ACCESS), names["hex"]: _spans(t, HEX),
         names["random"]: candidates(t, min_length),
     })
     kind = lambda i: F.transform(names[KINDS[i]], lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end")))
-    rows = rows.withColumn("__base", F.concat(kind(0), kind(1), kind(2)))
+    rows = rows.withColumn(base, F.concat(kind(0), kind(1), kind(2)))
     random = F.filter(
         names["random"],
         lambda c: (c["t"]["bits"] >= min_bits) & (_weighted(_step(c["t"]["p"]), c["t"]["n"], mean) < step)
-        & ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
+        & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
     )
     added = F.transform(random, lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")))
-    return rows.withColumn(out, F.array_sort(F.concat("__base", added))).drop("__base", *names.values())
+    return rows.withColumn(out, F.array_sort(F.concat(base, added))).drop(base, *columns)
 
 
 def joined(spans: Column) -> Column:
@@ -232,10 +233,11 @@ def joined(spans: Column) -> Column:
 def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mark``, spans that
     overlap or touch by one. Null text stays null."""
-    rows = with_spans(docs, text, "__spans", **options)
+    (spans,) = unused(docs, "spans")
+    rows = with_spans(docs, text, spans, **options)
     t = F.col(text)
     cut = F.aggregate(
-        "__spans",
+        spans,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, s: F.struct(
             F.greatest(a["at"], s["end"]).alias("at"),
@@ -244,4 +246,4 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **opti
         ),
         lambda a: F.concat(a["out"], F.substring(t, a["at"] + 1, F.length(t))),
     )
-    return rows.withColumn(text, F.when(F.size("__spans") > 0, cut).otherwise(t)).drop("__spans")
+    return rows.withColumn(text, F.when(F.size(spans) > 0, cut).otherwise(t)).drop(spans)

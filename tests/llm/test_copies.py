@@ -9,7 +9,7 @@ import pytest
 from helpers import PROSE, documents, odd_rows
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, ngram_join
+from tessera.llm import exact_dedup, ngram_join, secrets
 from tessera.llm.components import connected_components
 
 
@@ -71,6 +71,39 @@ def test_exact_empty(spark):
     assert exact_dedup.without_copies(documents(spark, [])).count() == 0
 
 
+def test_names_are_ranks_whatever_the_partitions(spark):
+    words = [("".join(random.Random(i).choices("abc", k=6)),) for i in range(300)]
+    want = {w: i for i, w in enumerate(sorted({w for w, in words}))}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for shuffles, parts in (("3", 1), ("17", 5)):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+            rows = spark.createDataFrame(words, "left string").repartition(parts).distinct()
+            assert {r["left"]: r["name"] for r in exact_dedup.ranks(rows, "left").collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_columns_called_like_helpers_stay(spark):
+    rows = [(1, PROSE), (1, PROSE), (2, PROSE), (3, "password = hunter2hunter2 " + PROSE), (None, "x")]
+    names = ("id", "id_", "sha", "own_sha", "n", "spans", "base", "assign", "random", "__id", "__n", "__base", "__spans", "__sha", "__own_sha", "number", "__all")
+    docs = documents(spark, rows).drop("row", "level", "name", "ids", "score", "spans", "token", "chunk", "key", "stats", "label", "text2")
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in names})
+    whole = docs.count()
+    for out, n in ((exact_dedup.without_copies(docs), 3), (ngram_join.one_of_each(docs), 3), (secrets.redacted(docs), whole)):
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) == n and all(r[c] == (None if r["doc_id"] is None else f"{c} of {r['doc_id']}") for r in got for c in names)
+
+
+def test_of_repeated_ids_the_first_by_the_other_columns_stays(spark):
+    docs = spark.createDataFrame([(1, "a b", 9), (1, "a  b", 3), (1, "a\tb", 5), (2, "a b", 1)], "doc_id long, text string, extra int")
+    for parts in (1, 4):
+        assert [tuple(r) for r in exact_dedup.without_copies(docs.repartition(parts)).collect()] == [(1, "a  b", 3)]
+
+
 def shingles(text, k=5):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
     return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
@@ -110,6 +143,32 @@ def edited(r, words, edits):
     return " ".join(words)
 
 
+def test_bands_hold_every_pair_that_fits_and_none_of_a_template(spark):
+    r = random.Random(11)
+    rows = []
+    for token in range(4):
+        for _ in range(60):
+            n = r.choice([5, 6, 10, r.randint(5, 60), r.randint(100, 140), 2000])
+            rows.append((token, len(rows), n, r.randint((4 * n + 4) // 5, n), r.randint(0, 30), None))
+    rows = [(t, i, n, rest, c, c != 0) for t, i, n, rest, c, _ in rows]
+    out = ngram_join._banded(spark.createDataFrame(rows, "token long, row long, n long, rest long, component long, outside boolean"), 80, 100)
+    fits = lambda n, a, m, b: 180 * min(a, b) >= 80 * (n + m)
+    got = {(min(x["row"], x["o_row"]), max(x["row"], x["o_row"])) for x in out.collect() if fits(x["n"], x["rest"], x["o_n"], x["o_rest"])}
+    want = {(p[1], q[1]) for p in rows for q in rows if p[1] < q[1] and p[0] == q[0] and p[4] != q[4] and fits(p[2], p[3], q[2], q[3])}
+    assert got == want and len(want) > 100
+    template = spark.range(3000).selectExpr("7L AS token", "id AS row", "240L AS n", "200L AS rest", "id AS component", "id > 0 AS outside")
+    smaller = spark.range(1).selectExpr("7L AS token", "9999L AS row", "200L AS n", "200L AS rest", "9999L AS component", "true AS outside")
+    assert ngram_join._banded(template, 80, 100).isEmpty()
+    assert ngram_join._banded(template.unionByName(smaller), 80, 100).count() == 3000
+
+
+def test_pages_of_one_template(spark):
+    passage = " ".join(f"shared{i}" for i in range(60))
+    r = random.Random(12)
+    rows = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(r.choice([4, 9, 12, 14, 16])))) for i in range(150)]
+    check_near(spark, rows)
+
+
 @pytest.mark.parametrize("seed,stars", [(1, 2), (2, 0), (3, 1)])
 def test_near_copies_against_all_pairs(spark, seed, stars):
     r = random.Random(seed)
