@@ -11,21 +11,27 @@ Plan::
     points (materialised once, numbered in key order)
         -> candidates: the first 4 * (maxzoom - 1 - minzoom) + 1 points of
            each base cell, a limit that Spark applies per task before it shuffles
-    per zoom: candidates --left_anti--> picks of earlier zooms
-        -> partial min(key) per snap cell (map-side; a hot cell costs one
-           row per task, never one task for the whole cell)
-        -> shuffle of the partial mins -> final min -> write picks(z)
+    per tier of four zooms: candidates of the tier --left_anti--> picks of earlier tiers
+        -> regions of 8 x 8 snap cells of the tier's first zoom, each with a border
+           of two such cells -> one shuffle and sort by region -> all zooms of the tier,
+           region after region; picks in the region proper are written
 
 A snap cell of zoom z meets at most four of each earlier zoom, so at most
 4 * (z - minzoom) of its points are taken before its turn, and its pick is
-one of its first 4 * (z - minzoom) + 1 points. All cell borders lie on
-multiples of the spacing of maxzoom: a base cell of that spacing lies whole in
+one of its first 4 * (z - minzoom) + 1 points. All cell borders of zooms up to z lie on
+multiples of the spacing of z + 1: a base cell of that spacing lies whole in
 one snap cell of each zoom, and the first points of a snap cell are among the
-first points of its base cells. So the passes read a number of points bounded by
+first points of its base cells. So a tier reads a number of points bounded by
 the area covered, however dense the points are.
 
-Every pass writes its picks to the shared checkpoint folder, which cuts
-lineage and lets a rerun resume after the last finished zoom. How picks are
+Whether a point is picked at zoom z follows from the points of its snap cell, and
+whether one of those is taken from the points of its cell a zoom before. Over a tier that
+reaches less than twice the spacing of the tier's first zoom, so the border holds all
+that the region's picks depend on. A region with its border is 12 x 12 cells of 16 x 16 base cells:
+at most 36,864 base cells, each of bounded candidates.
+
+Every tier writes its picks to the shared checkpoint folder, which cuts
+lineage and lets a rerun resume after the last finished tier. How picks are
 joined is left to the optimizer, by their size at run time.
 """
 
@@ -35,6 +41,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +52,13 @@ from tessera.sources.writers import checkpointed
 
 Key = str | Sequence[str]
 
+#: Zooms solved at a time.
+TIER = 4
+#: Side of a region and width of its border, in snap cells of the tier's first zoom. The side is a power of two.
+SIDE_BITS, BORDER = 3, 2
+#: Index of points without a coordinate, and the bound on indices that make regions.
+NOWHERE, FAR = -(1 << 41), 1 << 40
+
 
 def key_columns(key: Key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -68,6 +82,47 @@ def _candidates(pts: DataFrame, minzoom: int, maxzoom: int, lon: str, lat: str)
     return pts.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")
 
 
+def _tier_picks(pts: DataFrame, first: int, end: int, lon: str, lat: str) -> DataFrame:
+    """Picks ``(__sk, zoomlevel)`` of the zooms [first, end) among ``pts``, none of which is taken yet."""
+    cells = {}
+    for z in range(first, end):
+        x, y = snap_cell(lon, lat, z)
+        cells |= {f"x{z}": F.coalesce(x, F.lit(NOWHERE)), f"y{z}": F.coalesce(y, F.lit(NOWHERE))}
+    rows = pts.select("__sk", *(c.alias(n) for n, c in cells.items()))
+    near = {"rx": f"least(greatest(x{first}, {-FAR}), {FAR})", "ry": f"least(greatest(y{first}, {-FAR}), {FAR})"}
+    home = " AND ".join(f"shiftright({v}, {SIDE_BITS}) = {r}" for r, v in near.items())
+    for r, v in near.items():
+        rows = rows.withColumn(r, F.expr(f"explode(sequence(shiftright({v} - {BORDER}, {SIDE_BITS}), shiftright({v} + {BORDER}, {SIDE_BITS})))"))
+    rows = rows.withColumn("home", F.expr(home))
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        """Picks of whole regions, each in order of __sk."""
+        left, out = rows, []
+        for z in range(first, end):
+            later = left.duplicated(["rx", "ry", f"x{z}", f"y{z}"])
+            out.append(left.loc[~later & left["home"], ["__sk"]].assign(zoomlevel=z))
+            left = left[later]
+        return pd.concat(out)
+
+    def by_region(batches):
+        held: list[pd.DataFrame] = []  # of the one region that may go on in the next batch
+        for batch in batches:
+            if batch.empty:
+                continue
+            region = batch["rx"].iat[-1], batch["ry"].iat[-1]
+            last = (batch["rx"] == region[0]) & (batch["ry"] == region[1])
+            goes_on = held and (held[0]["rx"].iat[0], held[0]["ry"].iat[0]) == region
+            if not last.all() or (held and not goes_on):
+                yield solve(pd.concat([*held, batch[~last]]))
+                held = []
+            held.append(batch[last])
+        if held:
+            yield solve(pd.concat(held))
+
+    ordered = rows.repartition("rx", "ry").sortWithinPartitions("rx", "ry", "__sk")
+    return ordered.mapInPandas(by_region, "__sk long, zoomlevel int")
+
+
 def zoom_picks(
     points: DataFrame,
     minzoom: int = DEFAULT_MINZOOM,
@@ -101,11 +156,11 @@ def zoom_picks(
         return pts.select(*keys, F.lit(None).cast("int").alias("zoomlevel")).limit(0)
     left = checkpointed(_candidates(pts.select("__sk", lon, lat), minzoom, maxzoom, lon, lat), f"{work}/candidates")
     done: DataFrame | None = None
-    for z in range(minzoom, maxzoom):
-        rem = left if done is None else left.join(done.select("__sk"), "__sk", "left_anti")
-        sx, sy = snap_cell(lon, lat, z)
-        picks = rem.groupBy(sx.alias("sx"), sy.alias("sy")).agg(F.min("__sk").alias("__sk"))
-        picks = checkpointed(picks.select("__sk", F.lit(z).alias("zoomlevel")), f"{work}/picks-{z}")
+    for first in range(minzoom, maxzoom, TIER):
+        end = min(first + TIER, maxzoom)
+        rem = left if end == maxzoom else _candidates(left, minzoom, end, lon, lat)
+        rem = rem if done is None else rem.join(done.select("__sk"), "__sk", "left_anti")
+        picks = checkpointed(_tier_picks(rem, first, end, lon, lat), f"{work}/picks-{first}-{end}")
         done = picks if done is None else done.unionByName(picks)
     return pts.select("__sk", *keys).join(done, "__sk").select(*keys, "zoomlevel")
 

@@ -74,6 +74,33 @@ def test_candidates_lose_no_pick_on_dense_points(spark, seed):
     assert kept < len(points)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_regions_give_the_picks_of_the_whole(spark, seed):
+    """Three tiers, clusters across region borders, points on cell borders."""
+    r = random.Random(seed)
+    step = 360.0 / 2**8
+    edge = lambda: step * 8 * r.randrange(-4, 4) + r.choice([0.0, step / 2, -step / 2, r.gauss(0, step), r.gauss(0, step / 50)])
+    points = [(i, edge() if i % 3 else r.uniform(-180, 180), edge() if i % 3 else r.uniform(-90, 90)) for i in range(6000)]
+    keys = list(range(len(points)))
+    r.shuffle(keys)
+    points = [(k, *p[1:]) for k, p in zip(keys, points)]
+    df = spark.createDataFrame(points, "id long, lon double, lat double")
+    for minzoom, maxzoom in ((2, 12), (7, 9)):
+        got = {x["id"]: x["zoomlevel"] for x in th.zoom_picks(df, minzoom, maxzoom, key="id").collect()}
+        assert got == plain(points, minzoom, maxzoom)
+
+
+def test_points_without_a_place_share_a_cell(spark):
+    rows = [(1, 5.0, 5.0), (2, None, None), (3, None, None), (4, 1e18, 5.0), (5, 5.0, 5.0)]
+    df = spark.createDataFrame(rows, "id long, lon double, lat double")
+    got = {x["id"]: x["zoomlevel"] for x in th.zoom_picks(df, 2, 9, key="id").collect()}
+    assert got == {1: 2, 2: 2, 4: 2, 3: 3, 5: 3}
+
+
+def test_no_points_give_no_picks(spark):
+    assert th.zoom_picks(spark.createDataFrame([], "id long, lon double, lat double"), 2, 9, key="id").count() == 0
+
+
 def test_counts_without_a_join(spark):
     pts = fx.footprints(spark, SF_SMALL).select("id", "lon", "lat")
     picks = th.zoom_picks(pts, 2, 9, key="id")
