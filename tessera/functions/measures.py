@@ -52,6 +52,10 @@ GEOMETRY_TYPE_NAMES = {
 # ---------------------------------------------------------------------------
 
 
+class CutShort(ValueError):
+    """Fewer bytes than the geometry announces."""
+
+
 class _Reader:
     __slots__ = ("b", "pos", "end")
 
@@ -60,14 +64,14 @@ class _Reader:
 
     def u8(self) -> int:
         if self.pos + 1 > self.end:
-            raise ValueError("truncated")
+            raise CutShort
         v = self.b[self.pos]
         self.pos += 1
         return v
 
     def u32(self, le: bool) -> int:
         if self.pos + 4 > self.end:
-            raise ValueError("truncated")
+            raise CutShort
         v = int.from_bytes(self.b[self.pos : self.pos + 4], "little" if le else "big")
         self.pos += 4
         return v
@@ -75,7 +79,7 @@ class _Reader:
     def coords(self, n: int, le: bool, dims: int) -> np.ndarray:
         nbytes = 8 * dims * n
         if self.pos + nbytes > self.end:
-            raise ValueError("truncated")
+            raise CutShort
         a = np.frombuffer(self.b, dtype="<f8" if le else ">f8", count=dims * n, offset=self.pos)
         self.pos += nbytes
         return a.reshape(n, dims)[:, :2].astype(np.float64)
@@ -178,6 +182,23 @@ def measure_one(b: bytes | None) -> tuple[float, float, float] | None:
     return None
 
 
+def reason_of(b: bytes | None) -> str | None:
+    """Why a geometry cannot be measured, see :func:`reject_reason`."""
+    if not b:
+        return "missing"
+    acc = {"area2": 0.0, "sx": 0.0, "sy": 0.0, "origin": None, "length": 0.0, "lx": 0.0, "ly": 0.0, "pts": []}
+    try:
+        _walk(_Reader(bytes(b)), acc)
+    except CutShort:
+        return "cut_short"
+    except (ValueError, IndexError, struct.error):
+        return "unknown_type"
+    if not acc["pts"]:
+        return "no_vertices"
+    m = measure_one(b)
+    return "not_finite" if m is None or np.isnan(m).any() else None
+
+
 # ---------------------------------------------------------------------------
 # batch path
 # ---------------------------------------------------------------------------
@@ -355,6 +376,20 @@ def _measure_batch(geom: pa.Array) -> pa.Array:
 measure_wkb = F.arrow_udf(_measure_batch, MEASURE_TYPE)
 
 
+def _reason_batch(geom: pa.Array) -> pa.Array:
+    return pa.array([reason_of(b) for b in geom.to_pylist()], pa.string())
+
+
+_reason_wkb = F.arrow_udf(_reason_batch, T.StringType())
+
+
+def reject_reason(geometry: str) -> Column:
+    """Reason code of a geometry that cannot be measured, null for one that can: ``missing`` (null or
+    no bytes), ``cut_short``, ``unknown_type``, ``no_vertices``, ``not_finite``. Walks one row at a
+    time, so it is for rows that are rejected already."""
+    return _reason_wkb(F.col(geometry))
+
+
 def _point_batch(lon: pa.Array, lat: pa.Array) -> pa.Array:
     """Little-endian WKB POINTs (21 bytes each) for whole columns."""
     x = lon.to_numpy(zero_copy_only=False).astype(np.float64)

@@ -930,6 +930,64 @@ def job_counts_with_bad_rows(spark, sf):
     return led.agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"))
 
 
+# one region for each reason that a geometry is rejected for
+REASON_REGIONS = {
+    "NATION_3": ("missing", "CAST(NULL AS BINARY)"),
+    "NATION_8": ("cut_short", "substring(geometry, 1, 11)"),
+    "NATION_12": ("no_vertices", "unhex('010300000000000000')"),
+    "NATION_18": ("not_finite", f"unhex('01030000000100000004000000{'000000000000F87F' * 8}')"),
+    "NATION_21": ("unknown_type", "unhex('0163000000')"),
+}
+REASON_SQL = "CASE region " + " ".join(f"WHEN '{r}' THEN '{why}'" for r, (why, _) in REASON_REGIONS.items()) + " END"
+
+
+def _rejecting_job(spark, sf):
+    """(source, work folder, output, buildings): a job has run over tiles with a row rejected for every reason."""
+    from tessera.plans.index_job import run_index_job
+
+    root, work, out = _scratch(spark, "tiles"), _scratch(spark, "job"), _scratch(spark, "index")
+    cases = " ".join(f"WHEN region = '{r}' THEN {e}" for r, (_, e) in REASON_REGIONS.items())
+    b = fx.buildings(spark, sf).drop("half")
+    bad = b.withColumn("geometry", F.expr(f"CASE {cases} ELSE geometry END"))
+    bad.repartitionByRange("tile_id", "id").write.partitionBy("tile_id").parquet(root)
+    run_index_job(spark, root, work, out, [5])
+    return root, work, out, b
+
+
+@register(
+    "rejects_by_reason",
+    lambda: S.with_(
+        S.cte_base(), f"SELECT tile_id, {REASON_SQL} AS reason, count(*) AS n FROM fp WHERE {REASON_SQL} IS NOT NULL GROUP BY ALL"
+    ),
+)
+def rejects_by_reason(spark, sf):
+    """V4: the rows that a job set aside, by tile and reason."""
+    from tessera.plans.replay import open_rejects
+
+    _, work, _, _ = _rejecting_job(spark, sf)
+    return open_rejects(spark, work).groupBy("tile_id", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "index_with_replayed_rows",
+    lambda: S.with_(
+        [*S.cte_base(), f"good AS (SELECT * FROM bmv WHERE coalesce({REASON_SQL}, 'cut_short') = 'cut_short')", *S.cte_index("idx", [5], src="good")],
+        "SELECT * FROM idx",
+    ),
+)
+def index_with_replayed_rows(spark, sf):
+    """V4: repaired rows of one reason are replayed and the job runs again."""
+    from tessera.plans.index_job import run_index_job
+    from tessera.plans.replay import replay
+    from tessera.sources.readers import read_index
+
+    root, work, out, b = _rejecting_job(spark, sf)
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(root).select("id", "_metadata.file_path", "_metadata.row_index")
+    replay(spark, root, work, rows.join(b.where(f"{REASON_SQL} = 'cut_short'").select("id", "geometry"), "id"))
+    run_index_job(spark, root, work, out, [5])
+    return read_index(spark, out).select("h3_res", *INDEX_COLUMNS)
+
+
 @register(
     "source_tiles_with_empty",
     lambda: S.with_(

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tessera.constants import DEFAULT_RESOLUTIONS
 from tessera.operators.index import FILE_KEY, FILE_PARTIALS_SCHEMA, file_partials, merge_partials, with_file_key
-from tessera.sources.writers import read_metadata
+from tessera.sources.rejects import rejected_rows
+from tessera.sources.writers import materialize, read_metadata
 
 
 def start_partials_stream(
@@ -32,23 +33,28 @@ def start_partials_stream(
     resolutions=DEFAULT_RESOLUTIONS,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    rejects_path: str | None = None,
 ):
-    """Start the stream; returns the StreamingQuery."""
+    """Start the stream; returns the StreamingQuery.
+
+    With ``rejects_path`` the rows that cannot be measured are written there with their reasons, again a
+    folder per stream and batch, which takes a second pass over the batch's geometry.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = with_file_key(reader.parquet(source).select("geometry", "height", "_metadata")).drop("_metadata")
+    stream = with_file_key(reader.parquet(source).select("geometry", "height", "_metadata"))
+    stream = stream.withColumn("row_index", F.col("_metadata.row_index")).drop("_metadata")
     res = list(resolutions)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # the id that Spark writes when a checkpoint is made
         query = read_metadata(spark, f"{checkpoint}/metadata")["id"]
-        (
-            file_partials(batch, res)
-            .write.mode("overwrite")
-            .option("compression", "zstd")
-            .parquet(f"{partials_path}/query={query}/batch={batch_id}")
-        )
+        folder = f"query={query}/batch={batch_id}"
+        if rejects_path:
+            # first, so that a batch whose partials are there has its rejects too
+            materialize(rejected_rows(batch), f"{rejects_path}/{folder}")
+        materialize(file_partials(batch, res), f"{partials_path}/{folder}")
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -75,3 +81,10 @@ def stream_rejects(spark: SparkSession, partials_path: str) -> DataFrame:
     """Rows set aside per file because their geometry could not be measured."""
     bad = read_stream_partials(spark, partials_path).where("h3_index IS NULL")
     return bad.groupBy("file_path").agg(F.max("building_count").alias("rejected"))
+
+
+def read_stream_rejects(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """``(FILE_KEY, row_index, reason)`` of every batch, each row once whatever streams have read it."""
+    columns = [*FILE_KEY, "row_index", "reason"]
+    rows = spark.read.schema("file_path string, file_size long, file_time timestamp, row_index long, reason string, query string, batch long").parquet(rejects_path)
+    return rows.select(columns).distinct()
