@@ -28,7 +28,7 @@ from tessera.constants import (
 from tessera.functions.measures import with_measures
 from tessera.functions.tiles import with_quadkey
 from tessera.operators.thinning import Key, attach_zoom, fingerprint, key_columns, scratch_dir, zoom_picks
-from tessera.sources.geoparquet import write_geoparquet
+from tessera.sources.geoparquet import current_files, write_geoparquet
 from tessera.sources.readers import with_row_identity
 from tessera.sources.writers import checkpointed, write_metadata
 
@@ -143,8 +143,10 @@ def read_pyramid_attributes(spark, root: str) -> DataFrame:
     """The pyramid without its geometry, by Spark's own Parquet reader: folders are
     pruned by zoom, row groups by quadkey.
 
-    Only ``*.parquet`` files: Spark would otherwise take ``_metadata.json``
-    for a Parquet summary file.
+    Only files of the manifest, or ``*.parquet`` where there is none: Spark would otherwise
+    take ``_metadata.json`` for a Parquet summary file.
     """
     schema = "quadkey string, source string, id string, height float, var float, region string, zoomlevel int"
-    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(root)
+    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
+    files = current_files(spark, root)
+    return reader.option("basePath", root).parquet(*files) if files else reader.parquet(root)

@@ -2,10 +2,9 @@
 
 Spark's own Parquet writer cannot emit the GEOMETRY logical type, so this is
 a Python Data Source with an Arrow writer. Each task writes its rows with
-PyArrow under a name of its attempt and, when done, renames its files to names
-that only its partition gives, so a repeated attempt replaces them. All of that
-happens in a staging folder next to the output; the job commit removes the
-old output and renames the folder, one call each. The geometry column is tagged
+PyArrow to their folder, under names of its attempt. The job commit puts a manifest of
+the committed files in place, which the readers here follow, and then deletes
+all other files; nothing is renamed or moved as a folder. The geometry column is tagged
 with the ``geoarrow.wkb`` extension type, which PyArrow maps to Parquet's
 GEOMETRY type, and the GeoParquet ``geo`` key with the CRS is written into the
 file footer.
@@ -94,6 +93,36 @@ def _fs(path: str):
 @dataclass
 class _Commit(WriterCommitMessage):
     rows: int = 0
+    files: tuple[str, ...] = ()
+
+
+MANIFEST = "_manifest.json"
+
+
+def _read_manifest(fs, root: str) -> dict | None:
+    from pyarrow import fs as pafs
+
+    if fs.get_file_info(f"{root}/{MANIFEST}").type != pafs.FileType.File:
+        return None
+    with fs.open_input_stream(f"{root}/{MANIFEST}") as f:
+        return json.loads(f.read())
+
+
+def _put_manifest(fs, root: str, files: list[str], rows: int) -> None:
+    """One file put in place as a whole, by a rename or a store's copy of one object."""
+    part = f"{root}/_manifest-{uuid.uuid4().hex}"
+    with fs.open_output_stream(part) as f:
+        f.write(json.dumps({"rows": rows, "files": files}).encode())
+    fs.move(part, f"{root}/{MANIFEST}")
+
+
+def _parquet_under(fs, root: str) -> list[str]:
+    """Parquet files under ``root``, by their paths in it."""
+    from pyarrow import fs as pafs
+
+    found = fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True))
+    files = [i.path[len(root) + 1 :] for i in found if i.type == pafs.FileType.File and i.base_name.endswith(".parquet")]
+    return sorted(f for f in files if not f.startswith("_") and "/_" not in f)
 
 
 class _Part:
@@ -132,8 +161,6 @@ class GeoParquetWriter(DataSourceArrowWriter):
         self.level = int(options.get("compression_level", 3))
         self.geometry_types = json.loads(options.get("geometry_types", "[]"))
         self.job = options.get("job_id") or uuid.uuid4().hex
-        root, _, name = self.path.rpartition("/")
-        self.staging = f"{root}/.{name}-{self.job}"
 
     def _schema(self, schema: pa.Schema) -> pa.Schema:
         fields = []
@@ -171,7 +198,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
         _register_wkb_type()
         ctx = TaskContext.get()
         part, attempt = (ctx.partitionId(), ctx.taskAttemptId()) if ctx else (0, 0)
-        fs, base = _fs(self.staging)
+        fs, base = _fs(self.path)
         parts: dict = {}
         rows = 0
         for batch in iterator:
@@ -180,49 +207,58 @@ class GeoParquetWriter(DataSourceArrowWriter):
             rows += batch.num_rows
             for k, table in self._tables(batch):
                 if k not in parts:
-                    folder = f"{base}/{self.partition_by}={k}" if self.partition_by else base
-                    fs.create_dir(folder, recursive=True)
-                    name = f"{folder}/.part-{part:05d}-{attempt}"
-                    final = f"{folder}/part-{part:05d}-{self.job}.parquet"
-                    parts[k] = _Part(fs, name, table.schema, self.row_group_size, self.level), name, final
+                    folder = f"{self.partition_by}={k}/" if self.partition_by else ""
+                    fs.create_dir(f"{base}/{folder}", recursive=True)
+                    name = f"{folder}part-{part:05d}-{attempt}-{self.job}.parquet"
+                    parts[k] = _Part(fs, f"{base}/{name}", table.schema, self.row_group_size, self.level), name
                 parts[k][0].add(table)
-        for p, name, final in parts.values():
+        for p, _ in parts.values():
             p.close()
-            fs.move(name, final)
-        return _Commit(rows=rows)
+        return _Commit(rows=rows, files=tuple(name for _, name in parts.values()))
 
     def commit(self, messages) -> None:
-        from pyarrow import fs as pafs
-
-        fs, staging = _fs(self.staging)
-        _, base = _fs(self.path)
-        fs.create_dir(staging, recursive=True)
-        with fs.open_output_stream(f"{staging}/_SUCCESS"):
+        """The new files count from the moment their manifest is in place; then all others go."""
+        fs, base = _fs(self.path)
+        fs.create_dir(base, recursive=True)
+        files = sorted(f for m in messages if m for f in m.files)
+        _put_manifest(fs, base, files, sum(m.rows for m in messages if m))
+        self.clear(fs, base, set(files))
+        with fs.open_output_stream(f"{base}/_SUCCESS"):
             pass
-        with fs.open_output_stream(f"{staging}/_rows") as out:
-            out.write(str(sum(m.rows for m in messages if m)).encode())
-        if fs.get_file_info(base).type != pafs.FileType.NotFound:
-            fs.delete_dir(base)
-        fs.move(staging, base)
+
+    def clear(self, fs, base: str, keep: set[str]) -> None:
+        for f in _parquet_under(fs, base):
+            if f not in keep:
+                fs.delete_file(f"{base}/{f}")
 
     def abort(self, messages) -> None:
-        fs, staging = _fs(self.staging)
-        fs.delete_dir_contents(staging, missing_dir_ok=True)
+        fs, base = _fs(self.path)
+        for f in _parquet_under(fs, base):
+            if f.endswith(f"-{self.job}.parquet"):
+                fs.delete_file(f"{base}/{f}")
 
 
 def _list_parquet(path: str) -> list[str]:
-    """Parquet files under ``path`` (file metadata only), sorted."""
+    """Files of the output that ``path`` is or, one level up, belongs to, sorted: those of its manifest;
+    without one, the Parquet files under ``path``. ``path`` may be one file."""
     from pyarrow import fs as pafs
 
     fs, base = _fs(path)
-    info = fs.get_file_info(base)
-    if info.type == pafs.FileType.File:
+    base = base.rstrip("/")
+    if fs.get_file_info(base).type == pafs.FileType.File:
         return [base]
-    sel = pafs.FileSelector(base, recursive=True)
-    return sorted(
-        i.path for i in fs.get_file_info(sel)
-        if i.type == pafs.FileType.File and i.base_name.endswith(".parquet") and "/_" not in i.path[len(base):]
-    )
+    for root in (base, base.rpartition("/")[0]):
+        found = _read_manifest(fs, root)
+        if found is not None:
+            return sorted(f for f in (f"{root}/{f}" for f in found["files"]) if f.startswith(f"{base}/"))
+    return [f"{base}/{f}" for f in _parquet_under(fs, base)]
+
+
+def current_files(spark: SparkSession, path: str) -> list[str] | None:
+    """Paths of the files that the manifest of the output at ``path`` names; None where there is no manifest."""
+    path = qualified(spark, path).rstrip("/")
+    found = _read_manifest(*_fs(path))
+    return None if found is None else [f"{path}/{f}" for f in found["files"]]
 
 
 def _hive_keys(base: str, file: str) -> dict[str, str]:
@@ -326,10 +362,20 @@ def register(spark: SparkSession) -> None:
 def write_geoparquet(df: DataFrame, path: str, partition_by: str | None = None, row_group_size: int = 131072,
                      geometry: str = "geometry", geometry_types=("Polygon", "MultiPolygon")) -> int:
     """Write ``df`` (already partitioned/sorted as wanted) as GeoParquet;
-    returns the rows written."""
+    returns the rows written.
+
+    Files go straight to their folders under names of their own, and no file is renamed. Readers
+    of this module see the old output as a whole until the new manifest is in place and the new one from then on,
+    wherever a run dies; the next run clears what is left over. One run at a time may write to a path.
+    """
     spark = df.sparkSession
     register(spark)
-    path = qualified(spark, path)
+    path = qualified(spark, path).rstrip("/")
+    fs, base = _fs(path)
+    if _read_manifest(fs, base) is None:
+        # what is there until the commit, if anything
+        fs.create_dir(base, recursive=True)
+        _put_manifest(fs, base, _parquet_under(fs, base), 0)
     w = (
         df.write.format("geoparquet")
         .mode("overwrite")
@@ -341,9 +387,7 @@ def write_geoparquet(df: DataFrame, path: str, partition_by: str | None = None,
     if partition_by:
         w = w.option("partition_by", partition_by)
     w.save(path)
-    fs, base = _fs(path)
-    with fs.open_input_stream(f"{base}/_rows") as done:
-        return int(done.read())
+    return _read_manifest(fs, base)["rows"]
 
 
 def geo_footer(spark: SparkSession, path: str) -> DataFrame:
@@ -353,13 +397,8 @@ def geo_footer(spark: SparkSession, path: str) -> DataFrame:
     Files are listed by Spark and footers read inside tasks (mapInArrow),
     so the driver never opens a data file.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path")
-    )
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    files = listing.load(current_files(spark, path) or path).select("path")
 
     def read_footers(batches):
         import pyarrow.parquet as pq

@@ -2,6 +2,7 @@ import json
 import os
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -157,3 +158,39 @@ def test_index_v1_geoparquet(spark, tmpdir_path):
     back = read_geoparquet(spark, out)
     assert back.count() == idx.count()
     assert {r[0] for r in back.select("h3_res").distinct().collect()} == {3, 5}
+
+
+def test_a_commit_that_dies_leaves_one_whole_output(spark, tmpdir_path):
+    import pyarrow as pa
+
+    from tessera.sources.geoparquet import GeoParquetWriter, _list_parquet, geo_footer, read_geoparquet, write_geoparquet
+
+    path = f"{tmpdir_path}/out"
+    old = spark.range(20).selectExpr("id", "id % 3 AS k", "unhex('0101') AS geometry")
+    assert write_geoparquet(old, path, partition_by="k") == 20
+    ids = lambda p=path: sorted(r["id"] for r in read_geoparquet(spark, p).select("id").collect())
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(100, 130), pa.int64()), "k": pa.array([1] * 30, pa.int64()), "geometry": pa.array([b"\x01"] * 30)})
+    writer = GeoParquetWriter({"path": path, "partition_by": "k"}, True)
+    done, lost = writer.write(iter([batch])), GeoParquetWriter({"path": path, "partition_by": "k"}, True).write(iter([batch]))
+    assert lost.files != done.files
+    # dies before the manifest: the old output, files of the new one beside it
+    assert ids() == list(range(20)) and ids(f"{path}/k=1") == list(range(1, 20, 3))
+    assert geo_footer(spark, path).agg({"num_rows": "sum"}).first()[0] == 20
+
+    # dies after the manifest: the new output, files of the old one beside it
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    writer.clear = dies
+    with pytest.raises(RuntimeError):
+        writer.commit([done, None])
+    assert ids() == list(range(100, 130)) and geo_footer(spark, path).agg({"num_rows": "sum"}).first()[0] == 30
+    assert ids(f"{path}/k=1") == list(range(100, 130))
+    # an aborted run takes its own files along only
+    GeoParquetWriter({"path": path, "partition_by": "k", "job_id": "gone"}, True).abort([])
+    assert ids() == list(range(100, 130))
+    # the next run clears what is left over
+    assert write_geoparquet(old.limit(5), path, partition_by="k") == 5
+    assert ids() == list(range(5))
+    there = [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    assert sorted(there) == _list_parquet(path)
