@@ -55,7 +55,7 @@ PAGES_SQL = r"""
     keys AS (
       SELECT 'host' AS kind, host AS key, min(page_id) AS first FROM links WHERE host <> '' GROUP BY host
       UNION ALL
-      SELECT 'domain', regexp_replace(host, '^[^.]*[.]', ''), min(page_id) FROM links WHERE host LIKE '%.%.%.%' GROUP BY 2
+      SELECT 'domain', regexp_replace(host, '^[^.]*[.]', ''), min(page_id) FROM links WHERE host LIKE '%.%.%' GROUP BY 2
       UNION ALL
       SELECT 'url', host || CASE WHEN path = '' THEN '/' ELSE path END, min(page_id) FROM links WHERE host <> '' GROUP BY 2),
     days AS (
@@ -94,7 +94,7 @@ def list_entries(links: DataFrame) -> DataFrame:
     host, url = F.col("host"), F.col("url")
     first = F.min("page_id").alias("first")
     hosts = links.where("host <> ''").groupBy(F.lit("host").alias("kind"), host.alias("key")).agg(first)
-    above = links.where("host like '%.%.%.%'").groupBy(F.lit("domain").alias("kind"), F.regexp_replace(host, "^[^.]*[.]", "").alias("key")).agg(first)
+    above = links.where("host like '%.%.%'").groupBy(F.lit("domain").alias("kind"), F.regexp_replace(host, "^[^.]*[.]", "").alias("key")).agg(first)
     urls = links.where("host <> ''").groupBy(F.lit("url").alias("kind"), url_lists.url_key(url).alias("key")).agg(first)
     at = F.expr("array(first * 37 % 600, first * 37 % 600 + 20 + first % 90, first * 37 % 600 + 150 + first % 300)")
     dated = hosts.unionByName(above).unionByName(urls).select("kind", "key", F.posexplode(at).alias("i", "at")).where("i < 2 or at < 730")

@@ -68,14 +68,18 @@ def evaluated(captures: DataFrame, lists: DataFrame, capture_id: str = "page_id"
 
     A null or malformed URL has no host and matches nothing, as a null day does;
     repeated captures get a row each; other columns are not read. No captures
-    give no rows, and without entries nothing is blocked.
+    give no rows, and without entries nothing is blocked. Rows are numbered in the
+    order in which they are read, so ``captures`` has to come from files, not from a shuffle
+    that a lost executor could repeat in another order.
     """
     link = F.col("__url")
     rows = captures.select(F.col(capture_id).alias("__id"), F.col(url).alias("__url"), F.col(day).cast("date").alias("__day"))
     rows = rows.select(F.monotonically_increasing_id().alias("__row"), "__id", "__day", "__url", host_of(link).alias("__host"))
-    of = lambda kind, key: F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+    of = lambda kind, key: F.struct(F.lit(kind).cast("string").alias("kind"), key.alias("key"))
     keys = F.concat(F.array(of("url", url_key(link)), of("host", F.col("__host"))), F.transform(domains_of(F.col("__host")), lambda d: of("domain", d)))
-    asked = rows.select("__row", "__id", "__day", F.explode(F.when(F.col("__host") != "", keys).otherwise(F.array(of("url", F.lit(None).cast("string"))))).alias("k"))
+    # matches nothing, as its kind is null; the row's number keeps rows without a host apart in the shuffle
+    nowhere = of(None, F.col("__row").cast("string"))
+    asked = rows.select("__row", "__id", "__day", F.explode(F.when(F.col("__host") != "", keys).otherwise(F.array(nowhere))).alias("k"))
     asked = asked.select("__row", "__id", "__day", F.col("k.kind").alias("kind"), F.col("k.key").alias("key"))
     found = asked.join(lists, ["kind", "key"], "left")
     spell = F.get(F.filter("spells", lambda s: (s["since"] <= F.col("__day")) & (F.col("__day") < s["until"])), F.lit(0))

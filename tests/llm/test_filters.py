@@ -416,3 +416,18 @@ def test_evaluated_against_a_plain_version(spark):
 
 def test_odd_rows_have_prose():
     assert len(words(PROSE)) > 20
+
+
+def test_the_domain_above_every_host_is_listed(spark):
+    rows = [(1, "http://a.example.com/x", "a.example.com"), (2, "http://b.c.example.com/", "b.c.example.com"), (3, "http://example.org/", "example.org"), (4, "none", "")]
+    entries = queries.list_entries(spark.createDataFrame(rows, "page_id long, url string, host string"))
+    assert {r["key"] for r in entries.where("kind = 'domain'").collect()} == {"example.com", "c.example.com"}
+
+
+def test_captures_without_a_host_get_a_row_each(spark):
+    rows = [(i, u, "2024-05-05") for i, u in enumerate([None, "", "x", "http:///p", "http://a.b.c/"])]
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetched_on string")
+    entries = [("domain", "b.c", "2024-01-01", True), ("url", "0", "2024-01-01", True)]
+    lists = url_lists.intervals(spark.createDataFrame(entries, "kind string, key string, day string, added boolean").withColumn("day", F.to_date("day")))
+    got = {r["page_id"]: r["n_active"] for r in url_lists.evaluated(captures, lists).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1}
