@@ -21,6 +21,7 @@ from tessera.constants import (
     COMPRESSION,
     DEFAULT_MAXZOOM,
     DEFAULT_MINZOOM,
+    LARGE_ZOOM_ROWS,
     PYRAMID_COLUMN_TEXTS,
     PYRAMID_COLUMNS,
     PYRAMID_ROW_GROUP,
@@ -83,9 +84,12 @@ def build_pyramid(
     key: Key | None = None,
     geometry: str = "geometry",
     workdir: str | None = None,
+    max_file_rows: int = LARGE_ZOOM_ROWS // 12,
 ) -> dict:
     """Write the pyramid and its metadata; returns the metadata dict.
 
+    No file holds more than ``max_file_rows``: there are as many ranges as that takes, or
+    more, and a range that has come out larger goes on in another file.
     Raises if the rows written are not as many as the source's, as when a
     ``key`` repeats.
     """
@@ -96,7 +100,9 @@ def build_pyramid(
     workdir = _work(src, keys, geometry, workdir)
     zoomed = zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir)
     # the ranges come from the narrow table; rows then go straight to theirs
-    ranged = zoomed.repartitionByRange("zoomlevel", "quadkey").withColumn("__range", F.spark_partition_id())
+    needed = -(-spark.read.parquet(f"{workdir}/measured").count() // max_file_rows)  # footer metadata only
+    by = ("zoomlevel", "quadkey") if needed <= int(spark.conf.get("spark.sql.shuffle.partitions")) else (needed, "zoomlevel", "quadkey")
+    ranged = zoomed.repartitionByRange(*by).withColumn("__range", F.spark_partition_id())
     ranged = checkpointed(ranged, f"{workdir}/ranged-{minzoom}-{maxzoom}")
     parts = (ranged.agg(F.max("__range")).first()[0] or 0) + 1
     columns = [c for c in PYRAMID_COLUMNS if c in src.columns and c != geometry]
@@ -104,7 +110,7 @@ def build_pyramid(
     frame = frame.repartitionById(parts, "__range").sortWithinPartitions("zoomlevel", "quadkey")
     written = write_geoparquet(
         frame.select("zoomlevel", "quadkey", *columns, geometry), output, partition_by="zoomlevel",
-        row_group_size=PYRAMID_ROW_GROUP, geometry=geometry,
+        row_group_size=PYRAMID_ROW_GROUP, geometry=geometry, max_rows_per_file=max_file_rows,
     )
     rows = ranged.count()  # footer metadata only
     if written != rows:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.constants import DEFAULT_MAXZOOM, DEFAULT_MINZOOM, DEFAULT_RESOLUTIONS, INDEX_COLUMN_TEXTS, INDEX_COLUMNS, PYRAMID_ROW_GROUP
@@ -1295,6 +1295,24 @@ def geoparquet_footer(spark, sf):
     )
 
 
+@register(
+    "pyramid_files_per_zoom",
+    lambda: S.thinning_query("SELECT zoomlevel, count(*) AS rows, TRUE AS files_fit, TRUE AS files_apart FROM assign GROUP BY zoomlevel"),
+)
+def pyramid_files_per_zoom(spark, sf):
+    """Rows of each zoom; no file is larger than asked, and files of a zoom hold quadkeys apart from each other."""
+    from tessera.operators.pyramid import build_pyramid, read_pyramid_attributes
+
+    out, most = _scratch(spark, "pyramid"), 2_000
+    build_pyramid(fx.buildings(spark, sf).drop("tile_id", "half"), out, key="id", max_file_rows=most)
+    rows = read_pyramid_attributes(spark, out).select("zoomlevel", "quadkey", F.col("_metadata.file_path").alias("file"))
+    files = rows.groupBy("zoomlevel", "file").agg(F.count(F.lit(1)).alias("n"), F.min("quadkey").alias("low"), F.max("quadkey").alias("high"))
+    before = F.max("high").over(Window.partitionBy("zoomlevel").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(before <= F.col("low"), F.lit(True))  # rows of one quadkey may fill several files
+    files = files.withColumn("apart", apart)
+    return files.groupBy("zoomlevel").agg(F.sum("n").alias("rows"), (F.max("n") <= most).alias("files_fit"), F.every("apart").alias("files_apart"))
+
+
 @register(
     "per_capita_from_files",
     lambda: S.index_query(

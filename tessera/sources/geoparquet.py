@@ -131,12 +131,13 @@ class _Part:
     def __init__(self, fs, name: str, schema: pa.Schema, size: int, level: int):
         import pyarrow.parquet as pq
 
-        self.schema, self.size, self.held, self.rows = schema, size, [], 0
+        self.schema, self.size, self.held, self.rows, self.total = schema, size, [], 0, 0
         self.writer = pq.ParquetWriter(fs.open_output_stream(name), schema, compression="zstd", compression_level=level)
 
     def add(self, table: pa.Table) -> None:
         self.held.append(table)
         self.rows += table.num_rows
+        self.total += table.num_rows
         while self.rows >= self.size:
             whole = pa.concat_tables(self.held)
             self.writer.write_table(whole.slice(0, self.size), row_group_size=self.size)
@@ -159,6 +160,7 @@ class GeoParquetWriter(DataSourceArrowWriter):
         self.partition_by = options.get("partition_by")
         self.row_group_size = int(options.get("row_group_size", 131072))
         self.level = int(options.get("compression_level", 3))
+        self.most = int(options.get("max_rows_per_file", 0)) or None
         self.geometry_types = json.loads(options.get("geometry_types", "[]"))
         self.job = options.get("job_id") or uuid.uuid4().hex
 
@@ -200,21 +202,27 @@ class GeoParquetWriter(DataSourceArrowWriter):
         part, attempt = (ctx.partitionId(), ctx.taskAttemptId()) if ctx else (0, 0)
         fs, base = _fs(self.path)
         parts: dict = {}
+        files: list[str] = []
         rows = 0
         for batch in iterator:
             if batch.num_rows == 0:
                 continue
             rows += batch.num_rows
             for k, table in self._tables(batch):
-                if k not in parts:
-                    folder = f"{self.partition_by}={k}/" if self.partition_by else ""
-                    fs.create_dir(f"{base}/{folder}", recursive=True)
-                    name = f"{folder}part-{part:05d}-{attempt}-{self.job}.parquet"
-                    parts[k] = _Part(fs, f"{base}/{name}", table.schema, self.row_group_size, self.level), name
-                parts[k][0].add(table)
-        for p, _ in parts.values():
+                while table.num_rows:
+                    if k not in parts:
+                        folder = f"{self.partition_by}={k}/" if self.partition_by else ""
+                        fs.create_dir(f"{base}/{folder}", recursive=True)
+                        files.append(f"{folder}part-{part:05d}-{attempt}-{len(files):04d}-{self.job}.parquet")
+                        parts[k] = _Part(fs, f"{base}/{files[-1]}", table.schema, self.row_group_size, self.level)
+                    head = table.slice(0, self.most - parts[k].total) if self.most else table
+                    parts[k].add(head)
+                    table = table.slice(head.num_rows)
+                    if parts[k].total == self.most:
+                        parts.pop(k).close()
+        for p in parts.values():
             p.close()
-        return _Commit(rows=rows, files=tuple(name for _, name in parts.values()))
+        return _Commit(rows=rows, files=tuple(files))
 
     def commit(self, messages) -> None:
         """The new files count from the moment their manifest is in place; then all others go."""
@@ -360,9 +368,10 @@ def register(spark: SparkSession) -> None:
 
 
 def write_geoparquet(df: DataFrame, path: str, partition_by: str | None = None, row_group_size: int = 131072,
-                     geometry: str = "geometry", geometry_types=("Polygon", "MultiPolygon")) -> int:
+                     geometry: str = "geometry", geometry_types=("Polygon", "MultiPolygon"),
+                     max_rows_per_file: int | None = None) -> int:
     """Write ``df`` (already partitioned/sorted as wanted) as GeoParquet;
-    returns the rows written.
+    returns the rows written. A task goes on in another file where one has ``max_rows_per_file``.
 
     Files go straight to their folders under names of their own, and no file is renamed. Readers
     of this module see the old output as a whole until the new manifest is in place and the new one from then on,
@@ -381,6 +390,7 @@ def write_geoparquet(df: DataFrame, path: str, partition_by: str | None = None,
         .mode("overwrite")
         .option("geometry_column", geometry)
         .option("row_group_size", row_group_size)
+        .option("max_rows_per_file", max_rows_per_file or 0)
         .option("geometry_types", json.dumps(list(geometry_types)))
         .option("job_id", uuid.uuid4().hex)
     )

@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 
@@ -194,3 +195,13 @@ def test_a_commit_that_dies_leaves_one_whole_output(spark, tmpdir_path):
     assert ids() == list(range(5))
     there = [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
     assert sorted(there) == _list_parquet(path)
+
+
+def test_a_task_goes_on_in_another_file(spark, tmpdir_path):
+    from tessera.sources.geoparquet import read_geoparquet, write_geoparquet
+
+    df = spark.range(0, 25, 1, 1).selectExpr("id", "id % 2 AS k", "unhex('0101') AS geometry")
+    assert write_geoparquet(df, f"{tmpdir_path}/out", partition_by="k", max_rows_per_file=5) == 25
+    files = {f: pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmpdir_path}/out/k=*/*.parquet")}
+    assert sorted(files.values()) == [2, 3, 5, 5, 5, 5]
+    assert sorted(r["id"] for r in read_geoparquet(spark, f"{tmpdir_path}/out").collect()) == list(range(25))
