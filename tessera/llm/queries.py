@@ -182,7 +182,7 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_secrets")
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document."""
-    rows = secrets.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    rows = secrets.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     base = F.filter("spans", lambda s: s["kind"] < 3)
     count = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
     return rows.select(

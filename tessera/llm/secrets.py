@@ -5,17 +5,28 @@ method adds ``random``: runs of encoding characters, with digits or without. Of
 such run the narrowest encoding that holds all its characters gives an
 alphabet; a chi-squared test of uniformity over it, a runs test about its
 middle and a lag-1 serial correlation test ask if the run could be random
-in it. The smallest of the three p-values, times three, is the run's.
-
-Over all runs of the corpus, a Benjamini-Hochberg procedure with weights that
-grow with length rejects randomness: long runs carry more evidence, so more of the
-allowed error is theirs. Runs that are rejected (words, counters, paths) are no
-secrets; of the others those with ``min_bits`` bits or more are reported. The
-procedure needs only a histogram of p-values of a fixed size.
+in it. The smallest of the three p-values, times three, is the run's. Runs with
+less than ``min_random`` are patterns (counters, repeats) and no secrets.
+
+These tests alone let words pass, as they have little power on runs of 16 to 20
+letters. So a report is a rejection of another hypothesis: that the run is
+made like the text's own words. The frequencies of adjacent letters in all shorter words of
+the corpus (a table of 40 x 40, case folded) give a run's chance as text; divided
+by its chance in its encoding, which is a p-value by Markov's inequality, times the number of
+encodings. Over all runs of the corpus, a Benjamini-Hochberg procedure with
+weights that grow with length picks the reported: long runs carry more evidence, so more of
+the allowed error is theirs. ``level`` bounds the share of text among the reported, as far as
+adjacent letters describe it. The procedure needs only a histogram of p-values of a fixed size.
+
+A random letter brings about one bit of evidence, so runs under ``min_length`` are not
+tested; those of fewer than ``min_bits`` bits, as of 16 digits, are not reported. A corpus without words has
+nothing to tell runs from, and none is reported.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +52,10 @@ ENCODINGS = (
     ("^[0-9A-Za-z_-]+$", LOWER.upper() + LOWER + DIGITS + "-_"),
     ("", LOWER.upper() + LOWER + DIGITS + "+/-_"),
 )
+#: Letters of the text's table, case folded, and the shares of its parts: adjacent letters, single letters, evenly.
+FOLDED = LOWER + DIGITS + "+/-_"
+SHARES = (0.8, 0.15, 0.05)
+WORD = "[A-Za-z0-9+/_-]+"
 #: Steps of the histogram to a power of ten, and its powers of ten.
 STEPS, POWERS = 64, 40
 SPAN = "array<struct<start:int,end:int>>"
@@ -149,29 +164,79 @@ def _battery(run: Column) -> Column:
     return _bound(bare, lambda s: _bound(letters(s), lambda y: _bound(values(y), tested)))
 
 
-def candidates(text: Column, min_length: int = 16) -> Column:
-    """array of (start, end, n, bits, p) of the runs of ``min_length`` or more."""
+def text_table(docs: DataFrame, text: str = "text", min_length: int = 16) -> list[float]:
+    """Bits of each letter after each other (row by row, in the order of FOLDED) in the
+    words of all texts that are shorter than ``min_length``; a last row for first letters.
+
+    Words are counted before their letters are paired; at most 40 x 40 rows come to the driver.
+    """
+    words = docs.select(F.explode(F.regexp_extract_all(_text(text), F.lit(WORD), F.lit(0))).alias("w"))
+    words = words.where((F.length("w") > 1) & (F.length("w") < min_length)).groupBy(F.lower("w").alias("w")).agg(F.count("*").alias("k"))
+    pairs = words.select("k", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("pair"))
+    counts = {r["pair"]: r["k"] for r in pairs.groupBy("pair").agg(F.sum("k").alias("k")).collect()}
+    size = len(FOLDED)
+    second = {b: sum(counts.get(a + b, 0) for a in FOLDED) for b in FOLDED}
+    total = sum(second.values())
+    single = {b: (second[b] + 1) / (total + size) for b in FOLDED}
+    out = []
+    for a in FOLDED:
+        row = sum(counts.get(a + b, 0) for b in FOLDED)
+        for b in FOLDED:
+            after = (counts.get(a + b, 0) + size * single[b]) / (row + size)
+            out.append(-math.log2(SHARES[0] * after + SHARES[1] * single[b] + SHARES[2] / size))
+    return out + [-math.log2((1 - SHARES[2]) * single[b] + SHARES[2] / size) for b in FOLDED]
+
+
+def _text_p(run: Column, table: list[float]) -> Column:
+    """p-value of the run as text: its chance by ``table`` over its chance in its encoding."""
+    bits = F.expr("array(" + ",".join(f"{x:.4f}D" for x in table) + ")")
+    size = len(FOLDED)
+
+    def tested(x: Column) -> Column:
+        codes = F.transform(F.filter(F.split(F.lower(x["s"]), ""), lambda c: c != ""), lambda c: F.instr(F.lit(FOLDED), c) - 1)
+        # both cases of a letter fold to one, which is then twice as likely in the encoding
+        both = (F.instr(x["letters"], "a") > 0) & (F.instr(x["letters"], "A") > 0)
+        even = F.log2(F.length(x["letters"]).cast("double"))
+        sums = F.aggregate(
+            codes, F.struct(F.lit(size).alias("last"), F.lit(0.0).alias("text"), F.lit(0.0).alias("even")),
+            lambda a, c: F.struct(
+                c.alias("last"), (a["text"] + F.get(bits, a["last"] * size + c)).alias("text"),
+                (a["even"] + even - F.when(both & (c < len(LOWER)), 1.0).otherwise(0.0)).alias("even"),
+            ),
+        )
+        return _bound(sums, lambda y: F.least(F.lit(1.0), F.greatest(F.lit(1e-300), len(ENCODINGS) * F.pow(F.lit(2.0), y["even"] - y["text"]))))
+
+    bare = F.regexp_replace(run, "[=]+", "")
+    return _bound(bare, lambda s: _bound(F.struct(s.alias("s"), _alphabet(s).alias("letters")), tested))
+
+
+def candidates(text: Column, table: list[float], min_length: int = 16) -> Column:
+    """array of (start, end, t: (n, bits, p), q) of the runs of ``min_length`` or more: p
+    of randomness, q of text."""
     pattern = RUN % min_length
     runs = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     where = _spans(text, pattern)
     both = F.filter(F.zip_with(runs, where, lambda r, s: F.struct(r.alias("run"), s["start"].alias("start"), s["end"].alias("end"))), lambda x: F.length(F.regexp_replace(x["run"], "[=]+", "")) >= min_length)
-    tested = F.transform(both, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _battery(x["run"]).alias("t")))
-    return F.when(text.rlike(pattern), tested).otherwise(F.array().cast("array<struct<start:int,end:int,t:struct<n:int,bits:double,p:double>>>"))
+    tested = F.transform(both, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _battery(x["run"]).alias("t"), _text_p(x["run"], table).alias("q")))
+    return F.when(text.rlike(pattern), tested).otherwise(F.array().cast("array<struct<start:int,end:int,t:struct<n:int,bits:double,p:double>,q:double>>"))
 
 
 def _text(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
-def rejection_step(docs: DataFrame, text: str = "text", level: float = 0.05, min_length: int = 16) -> tuple[int, float]:
-    """The histogram step from which on randomness is rejected, and the mean
-    weight: the weighted Benjamini-Hochberg procedure over all runs.
+def _evidence(run: Column, min_random: float) -> Column:
+    """The p-value that a report has to reject: that of text, 1 for patterns."""
+    return F.when(run["t"]["p"] < min_random, 1.0).otherwise(run["q"])
+
 
-    The texts are read once, for the number of runs by length and step of
-    their p-value; p-values count as the upper edge of their step.
+def rejection_step(scanned: DataFrame, runs: str = "runs", level: float = 0.05, min_random: float = 0.001) -> tuple[int, float]:
+    """The histogram step from which on runs are reported, and the mean
+    weight: the weighted Benjamini-Hochberg procedure over the candidates in ``runs`` of
+    all rows. p-values count as the upper edge of their step.
     """
-    runs = docs.select(F.explode(candidates(_text(text), min_length)).alias("c"))
-    counts = stored(runs.groupBy("c.t.n", _step(F.col("c.t.p")).alias("step")).agg(F.count("*").alias("k")), "p-values")
+    rows = scanned.select(F.explode(runs).alias("c"))
+    counts = stored(rows.groupBy("c.t.n", _step(_evidence(F.col("c"), min_random)).alias("step")).agg(F.count("*").alias("k")), "p-values")
     row = counts.agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.sqrt("n")).alias("w")).first()
     if not row["k"]:
         return STEPS * POWERS + 1, 1.0
@@ -195,29 +260,34 @@ def _weighted(step: Column, n: Column, mean: float) -> Column:
     return _step(F.pow(F.lit(10.0), -step / STEPS) * mean / F.sqrt(n))
 
 
-def with_spans(docs: DataFrame, text: str = "text", out: str = "spans", level: float = 0.05, min_bits: float = 64.0, min_length: int = 16) -> DataFrame:
+def with_spans(
+    docs: DataFrame, text: str = "text", out: str = "spans", level: float = 0.05, min_bits: float = 64.0, min_length: int = 16,
+    min_random: float = 0.001, keep_text: bool = True,
+) -> DataFrame:
     """``docs`` and a column ``out``: array of (start, kind, end), kinds numbered
     as in KINDS, in ascending order; code points, end exclusive.
 
-    Null text reads as empty and has no spans. Whole texts are scanned.
-    Random runs that overlap a base span are left out. Repeated rows have the
+    Null text reads as empty and has no spans. Whole texts are scanned, once for the words' letters and
+    once for all spans; the rows and what was found in them are stored, without the texts
+    unless ``keep_text``. Random runs that overlap a base span are left out. Repeated rows have the
     same spans each; an empty table gives no rows. Columns of ``docs`` stay as they are, but a
     column that is called ``out`` is replaced.
     """
-    step, mean = rejection_step(docs, text, level, min_length)
     t = _text(text)
     long_enough = F.transform(F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(2)), lambda g: F.length(g) >= 8)
     *columns, base = unused(docs, *KINDS, "base")
     names = dict(zip(KINDS, columns))
     rows = docs.withColumns({
         names["assign"]: _spans(t, ASSIGN, long_enough), names["access"]: _spans(t, ACCESS), names["hex"]: _spans(t, HEX),
-        names["random"]: candidates(t, min_length),
+        names["random"]: candidates(t, text_table(docs, text, min_length), min_length),
     })
+    rows = stored(rows if keep_text else rows.drop(text), "scanned")
+    step, mean = rejection_step(rows, names["random"], level, min_random)
     kind = lambda i: F.transform(names[KINDS[i]], lambda s: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end")))
     rows = rows.withColumn(base, F.concat(kind(0), kind(1), kind(2)))
     random = F.filter(
         names["random"],
-        lambda c: (c["t"]["bits"] >= min_bits) & (_weighted(_step(c["t"]["p"]), c["t"]["n"], mean) < step)
+        lambda c: (c["t"]["bits"] >= min_bits) & (_weighted(_step(_evidence(c, min_random)), c["t"]["n"], mean) >= step)
         & ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
     )
     added = F.transform(random, lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("kind"), s["end"].alias("end")))

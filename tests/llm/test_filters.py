@@ -277,7 +277,8 @@ def test_runs_without_digits_are_tested(spark):
     found = [out[i] == [(4, 4 + len(k))] for i, k in enumerate(keys)]
     assert np.mean(found) >= 0.9
     assert not any(out[i] for i in out if i >= 1000)
-    tested = spark.createDataFrame(rows, "doc_id long, text string").select(F.sum(F.size(secrets.candidates(F.col("text"))))).first()[0]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tested = docs.select(F.sum(F.size(secrets.candidates(F.col("text"), secrets.text_table(docs))))).first()[0]
     assert tested == len(keys) + 20 + 1  # padding alone is no run
 
 
@@ -318,11 +319,48 @@ def test_battery_matches_the_plain_one(spark):
         assert row["t"]["n"] == n and row["t"]["p"] == pytest.approx(p, abs=2e-6), row["run"]
 
 
+def plain_text_table(texts, min_length=16):
+    letters, n = secrets.FOLDED, len(secrets.FOLDED)
+    c = np.zeros((n, n))
+    for t in texts:
+        for w in re.findall("[A-Za-z0-9+/_-]+", t or ""):
+            if len(w) < min_length:
+                for a, b in zip(w.lower(), w.lower()[1:]):
+                    c[letters.index(a), letters.index(b)] += 1
+    one = (c.sum(axis=0) + 1) / (c.sum() + n)
+    two = (c + n * one) / (c.sum(axis=1, keepdims=True) + n)
+    return -np.log2(0.8 * two + 0.15 * one + 0.05 / n), -np.log2(0.95 * one + 0.05 / n)
+
+
+def plain_text_p(run, tables):
+    bare = run.replace("=", "")
+    own = next(a for p, a in secrets.ENCODINGS if not p or re.match(p, bare))
+    v = [secrets.FOLDED.index(c) for c in bare.lower()]
+    text = tables[1][v[0]] + sum(tables[0][a, b] for a, b in zip(v, v[1:]))
+    even = sum(np.log2(len(own)) - (x < 26 and "a" in own and "A" in own) for x in v)
+    return min(1.0, len(secrets.ENCODINGS) * 2.0 ** (even - text))
+
+
+def test_text_p_matches_the_plain_one(spark):
+    texts = [PROSE, "Déjà vu x-y a/b_c 42", None, "", "A" * 40, "ab" * 7 + " " + "Ab1 " * 50]
+    docs = documents(spark, list(enumerate(texts)))
+    table, tables = secrets.text_table(docs), plain_text_table(texts)
+    assert np.allclose(table, np.concatenate([tables[0].ravel(), tables[1]]))
+    runs = ["thequickbrownfoxjumps", "XQZJKVXQZJKVXQZJKV", "aB3+/zZ09_-xyzQW12==", "0123456789" * 2, "deadbeefdeadbeef1"]
+    for r in spark.createDataFrame([(x,) for x in runs], "run string").select("run", secrets._text_p(F.col("run"), table).alias("q")).collect():
+        assert np.log2(r["q"]) == pytest.approx(np.log2(plain_text_p(r["run"], tables)), abs=0.01)
+
+
 def test_rejection_step_is_benjamini_hochberg(spark):
     r = random.Random(9)
-    texts = [(i, "".join(r.choice("0123456789abcdef") for _ in range(31)) if i % 3 else "a1b2" * r.randint(4, 9)) for i in range(90)]
-    step, mean = secrets.rejection_step(documents(spark, texts))
-    runs = [plain_battery(t) for _, t in texts if re.search("[0-9]", t)]
+    syllables = PROSE.split()
+    rows = [(i, "".join(r.choice("0123456789abcdefghjkmnpqrstvwxyz") for _ in range(r.randint(16, 31))) if i % 3 else "".join(r.choice(syllables) for _ in range(9))) for i in range(90)]
+    rows += [(100 + i, PROSE) for i in range(30)] + [(200, "ab12" * 12)]
+    docs = documents(spark, rows)
+    scanned = docs.select(secrets.candidates(F.col("text"), secrets.text_table(docs)).alias("runs"))
+    step, mean = secrets.rejection_step(scanned)
+    tables = plain_text_table([t for _, t in rows])
+    runs = [(n, 1.0 if p < 0.001 else plain_text_p(t, tables)) for i, t in rows if " " not in t for n, p in [plain_battery(t)]]
     m, w = len(runs), np.mean([n**0.5 for n, _ in runs])
     assert mean == pytest.approx(w)
     at = lambda p: min(secrets.STEPS * secrets.POWERS, max(0, int(np.floor(-np.log10(max(p, 1e-300)) * secrets.STEPS))))
@@ -331,6 +369,23 @@ def test_rejection_step_is_benjamini_hochberg(spark):
     assert abs(step - want) <= 1
 
 
+def test_planted_keys_are_found_and_words_are_not(spark):
+    """Keys of 20 to 40 characters of each alphabet among the words of the corpus."""
+    r = random.Random(12)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = (upper, upper.lower(), upper + upper.lower(), upper + "234567", upper + upper.lower() + "0123456789", upper + upper.lower() + "0123456789+/")
+    keys = [(a, "".join(r.choice(a) for _ in range(r.randint(20, 40)))) for a in alphabets for _ in range(60)]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    planted = spark.createDataFrame([(-1 - i, f"the key {k} of the house") for i, (_, k) in enumerate(keys)], "doc_id long, text string")
+    out = secrets.with_spans(docs.unionByName(planted)).select("doc_id", "text", F.filter("spans", lambda s: s["kind"] == 3).alias("found")).collect()
+    got = {x["doc_id"]: [(s["start"], s["end"]) for s in x["found"]] for x in out}
+    for a in alphabets:
+        own = [got[-1 - i] == [(8, 8 + len(k))] for i, (b, k) in enumerate(keys) if a == b]
+        assert np.mean(own) >= 0.9
+    others = [x["text"][s["start"] : s["end"]] for x in out if x["doc_id"] >= 0 for s in x["found"]]
+    assert len(others) <= 3, others
+
+
 def test_many_matches_in_one_text(spark):
     text = " ".join(f"{i:032x} password=abcdefgh{i}" for i in range(2_000))
     (r,) = secrets.with_spans(documents(spark, [(1, text)])).collect()
