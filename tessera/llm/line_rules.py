@@ -5,9 +5,12 @@ fixed limits. In all texts every line with a word gets features, and Viterbi
 decoding of a linear-chain conditional random field with two labels marks it as
 content or boilerplate; the share of words in content lines decides.
 
-The field is learnt by maximum likelihood. No line of the corpus is labelled, so
-the lines of a text marked as good count as content and those of one marked
-as bad as boilerplate; the transition weights carry the runs that this gives.
+Only texts are labelled, so the labels of training lines are hidden. At first the lines of
+good texts count as content and those of bad ones as boilerplate, and line weights
+alone are learnt. Then, in turns, every training line gets the label that its own features ask for, where
+leaving its text's label costs ``trust``, and the weights are learnt anew. So a line of a good text that
+looks like those of bad texts becomes boilerplate and prose in a bad text content. The last
+turn learns the whole field by maximum likelihood, so its transitions know where labels change.
 """
 
 from __future__ import annotations
@@ -20,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import slices, texts_of, tidy
+from tessera.llm.common import slices, stored, texts_of, tidy
 
 #: Fixed values of the base rules.
 SYMBOLS, LEAST_WORDS, WINDOW, REPEAT_PERCENT = b"#*$%&|<>", 20, 8, 30
-#: Most labelled texts to learn from, and most lines of each in a training chain.
-MAX_FIT_ROWS, CHAIN = 4_000, 200
+#: Most labelled texts to learn from, most training chains, and lines of a chain: longer texts give several.
+MAX_FIT_ROWS, MAX_FIT_CHAINS, CHAIN = 4_000, 8_000, 64
 FEATURES = 14
 
 
@@ -112,23 +115,25 @@ class Field:
         return label
 
 
-def fit(chains: list[tuple[int, np.ndarray]], rounds: int = 150, ridge: float = 1e-3) -> Field | None:
-    """Maximum likelihood by gradient steps (Adam); every line of a chain has
-    the chain's label. None unless both labels are there."""
-    if len({y for y, _ in chains}) < 2:
-        return None
-    chains = sorted(chains, key=lambda c: -len(c[1]))
-    longest, k = len(chains[0][1]), len(chains)
+def likeliest(chains: list[np.ndarray], labels: list[np.ndarray], weight: np.ndarray, start: Field | None = None, rounds: int = 150, ridge: float = 1e-3) -> Field:
+    """The field of maximum likelihood for chains with a label for each line, by gradient
+    steps (Adam) from ``start``. ``weight``: of a line of each chain."""
+    order = sorted(range(len(chains)), key=lambda i: -len(chains[i]))
+    longest, k = len(chains[order[0]]), len(chains)
     x = np.zeros((k, longest, FEATURES))
+    want = np.zeros((k, longest, 2))
     on = np.zeros((k, longest), bool)
-    for i, (_, rows) in enumerate(chains):
-        x[i, : len(rows)], on[i, : len(rows)] = rows, True
-    y = np.array([c[0] for c in chains])
-    # both labels weigh the same, whatever their numbers of lines
-    weight = np.where(y == 1, 0.5 / on[y == 1].sum(), 0.5 / on[y == 0].sum())
-    p = np.zeros(2 * FEATURES + 4)
+    for i, j in enumerate(order):
+        n = len(chains[j])
+        x[i, :n], on[i, :n] = chains[j], True
+        want[i, np.arange(n), labels[j]] = 1
+    weight = weight[order]
+    g_want = np.einsum("ktl,ktf,k->lf", want, x, weight)
+    m_want = np.einsum("kta,ktb,k->ab", want[:, :-1], want[:, 1:], weight)
+    p = np.concatenate([start.emit.ravel(), start.move.ravel()]) if start else np.zeros(2 * FEATURES + 4)
     m, v = np.zeros_like(p), np.zeros_like(p)
     live = on.sum(axis=0)  # chains are in descending length, so the first ones are alive
+    last = on.sum(axis=1) - 1
     for t in range(1, rounds + 1):
         emit, move = p[: 2 * FEATURES].reshape(2, FEATURES), p[2 * FEATURES :].reshape(2, 2)
         s = x @ emit.T
@@ -141,34 +146,59 @@ def fit(chains: list[tuple[int, np.ndarray]], rounds: int = 150, ridge: float =
             a = live[j + 1]
             nxt = back[:a, j + 1] + s[:a, j + 1]
             back[:a, j] = np.logaddexp(move[:, 0] + nxt[:, :1], move[:, 1] + nxt[:, 1:])
-        last = on.sum(axis=1) - 1
         z = np.logaddexp(*ahead[np.arange(k), last].T)
-        own = np.exp(ahead + back - z[:, None, None]) * on[:, :, None]
-        want = np.zeros_like(own)
-        want[:, :, 1], want[:, :, 0] = on * (y == 1)[:, None], on * (y == 0)[:, None]
-        g_emit = np.einsum("ktl,ktf,k->lf", own - want, x, weight)
+        own = np.exp(np.minimum(ahead + back - z[:, None, None], 0)) * on[:, :, None]
+        g_emit = np.einsum("ktl,ktf,k->lf", own, x, weight) - g_want
         pair = ahead[:, :-1, :, None] + move + (s + back)[:, 1:, None, :] - z[:, None, None, None]
         pair = np.exp(np.minimum(pair, 0)) * on[:, 1:, None, None]
-        g_move = np.einsum("ktab,k->ab", pair, weight)
-        for label in (0, 1):
-            g_move[label, label] -= (on[:, 1:].sum(axis=1) * weight)[y == label].sum()
+        g_move = np.einsum("ktab,k->ab", pair, weight) - m_want
         g = np.concatenate([g_emit.ravel(), g_move.ravel()]) + ridge * p
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return Field(p[: 2 * FEATURES].reshape(2, FEATURES), p[2 * FEATURES :].reshape(2, 2))
 
 
+def line_weights(x: np.ndarray, label: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 12) -> Field:
+    """The likeliest field without transitions, where lines are independent: Newton's steps of a logistic regression."""
+    b = np.zeros(FEATURES)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-(x @ b)))
+        slope = x.T @ (weight * (p - label)) + ridge / 2 * b
+        b = b - np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + ridge / 2 * np.eye(FEATURES), slope)
+    return Field(np.array([-b / 2, b / 2]), np.zeros((2, 2)))
+
+
+def fit(chains: list[tuple[int, np.ndarray]], sweeps: int = 4, trust: float = 1.0) -> Field | None:
+    """The field of chains of which only the text's label is known: hidden line labels and
+    line weights in turns, ``sweeps`` times, then all weights. None unless both labels are there."""
+    if len({y for y, _ in chains}) < 2:
+        return None
+    y, x = np.array([c[0] for c in chains]), [c[1] for c in chains]
+    sizes = np.array([len(rows) for rows in x])
+    # both labels weigh the same, whatever their numbers of lines
+    weight = np.where(y == 1, 0.5 / sizes[y == 1].sum(), 0.5 / sizes[y == 0].sum())
+    lines, text, each = np.concatenate(x), np.repeat(y, sizes), np.repeat(weight, sizes)
+    label = text
+    field = line_weights(lines, label, each)
+    for _ in range(sweeps):
+        # by the line alone: transitions would draw each line to its text's label again
+        label = (lines @ (field.emit[1] - field.emit[0]) + np.where(text == 1, trust, -trust) >= 0).astype(np.int64)
+        field = line_weights(lines, label, each)
+    return likeliest(x, np.split(label, np.cumsum(sizes)[:-1]), weight, field, rounds=75)
+
+
 def _lines(raw: bytes) -> tuple[list[bytes], list[list[bytes]]]:
     both = [(x, w) for x in raw.split(b"\n") if (w := x.split())]
     return [x for x, _ in both], [w for _, w in both]
 
 
-def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_FIT_ROWS) -> Field | None:
+def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = MAX_FIT_ROWS, max_chains: int = MAX_FIT_CHAINS) -> Field | None:
     """The field of at most ``max_rows`` labelled texts that ``keep`` (over
     doc_id) lets in, half of each label where there are as many: those with the
     smallest hash of their id. Their ids, at most ``max_rows``, are broadcast;
-    of rows that repeat an id the least text counts, once. Of a text at most
-    CHAIN lines come to the driver, for learning only."""
+    of rows that repeat an id the least text counts, once. Whole texts give chains of
+    CHAIN lines; at most ``max_chains`` of them, half of each label, come to the driver, again by
+    smallest hash, for learning only."""
     one = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.min(label).cast("long").alias("label")).where(keep)
     pick = [one.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows // 2) for y in (0, 1)]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(pick[0].unionByName(pick[1])), "doc_id")
@@ -176,11 +206,17 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, doc_id: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            made = [line_features(*(p[:CHAIN] for p in _lines(t.encode("utf-8", "replace")))).astype("<f4").tobytes() for t in texts_of(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(made, pa.binary())], ["label", "features"])
-
-    found = rows.mapInArrow(tidy(run), "label long, features binary").toArrow()
-    chains = [(y, np.frombuffer(b, "<f4").reshape(-1, FEATURES).astype(np.float64)) for y, b in zip(found.column("label").to_pylist(), found.column("features").to_pylist()) if b]
+            for i, y, t in zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(), texts_of(batch, "text")):
+                x = line_features(*_lines(t.encode("utf-8", "replace"))).astype("<f4")
+                cuts = range(0, len(x), CHAIN)
+                made = [x[a : a + CHAIN].tobytes() for a in cuts]
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(([i] * len(made), [y] * len(made), list(cuts), made), kinds)], ["doc_id", "label", "line", "features"])
+
+    made = stored(rows.mapInArrow(tidy(run), "doc_id long, label long, line long, features binary"), "chains")
+    halves = [made.where(F.col("label") == y).orderBy(F.xxhash64("doc_id", "line"), "doc_id", "line").limit(max_chains // 2) for y in (0, 1)]
+    found = halves[0].unionByName(halves[1]).select("label", "features").toArrow()
+    chains = [(y, np.frombuffer(b, "<f4").reshape(-1, FEATURES).astype(np.float64)) for y, b in zip(found.column("label").to_pylist(), found.column("features").to_pylist())]
     # in a fixed order, so that a rerun learns the same weights
     return fit(sorted(chains, key=lambda c: (c[0], c[1].tobytes())))
 

@@ -201,12 +201,53 @@ def test_viterbi_is_the_best_of_all_labellings():
 def test_line_field_learns_by_likelihood():
     rng = np.random.default_rng(6)
     chains = [(y, rng.normal(1.5 * y, 1, (rng.integers(1, 9), line_rules.FEATURES))) for y in (0, 1) for _ in range(40)]
-    field = line_rules.fit(chains)
+    field = line_rules.likeliest([x for _, x in chains], [np.full(len(x), y) for y, x in chains], np.full(len(chains), 0.5 / 180))
     right = [np.mean(field.viterbi(x) == y) for y, x in chains]
     assert np.mean(right) > 0.95 and field.move[0, 0] + field.move[1, 1] > field.move[0, 1] + field.move[1, 0]
     assert line_rules.fit(chains[:40]) is None
 
 
+def test_mixed_texts_have_mixed_lines():
+    """Texts learnt by their label alone: prose between a head and a foot of boilerplate is told line by line."""
+    r = random.Random(13)
+    vocabulary = PROSE.split()
+    prose = lambda: " ".join(r.choice(vocabulary) for _ in range(r.randint(8, 20))).capitalize() + "."
+    junk = lambda: r.choice([" | ".join(r.choice(vocabulary) for _ in range(5)), "### $$$ " + r.choice(vocabulary).upper() + " %%%", " ".join(r.choice(vocabulary).upper() + "!!" for _ in range(5))])
+
+    def text(mixed, good):
+        head, body, foot = [r.randint(2, 6) for _ in range(3)]
+        kinds = [0] * head + [1] * body + [0] * foot if mixed else [good] * (head + body)
+        return kinds, [(prose() if k else junk()).encode() for k in kinds]
+
+    features = lambda lines: line_rules.line_features(lines, [x.split() for x in lines])
+    learnt = [(good, text(i % 5 == 0, good)[1]) for i in range(400) for good in (i % 2,)]
+    field = line_rules.fit([(good, features(lines)) for good, lines in learnt])
+    right = [np.mean(field.viterbi(features(lines)) == kinds) for kinds, lines in (text(True, 0) for _ in range(100))]
+    assert np.mean(right) >= 0.9
+
+
+def test_likeliest_field_has_no_slope():
+    """The gradient of the likelihood, by differences of the plain sum over all labellings."""
+    rng = np.random.default_rng(14)
+    chains = [rng.normal(size=(n, line_rules.FEATURES)) for n in (1, 2, 4, 3)]
+    labels = [rng.integers(0, 2, len(c)) for c in chains]
+    weight = rng.uniform(0.1, 0.3, len(chains))
+
+    def loss(p, ridge=0.05):
+        field = line_rules.Field(p[: 2 * line_rules.FEATURES].reshape(2, -1), p[2 * line_rules.FEATURES :].reshape(2, 2))
+        out = ridge / 2 * (p @ p)
+        for x, y, w in zip(chains, labels, weight):
+            s = x @ field.emit.T
+            value = lambda y: sum(s[t, y[t]] for t in range(len(x))) + sum(field.move[a, b] for a, b in zip(y, y[1:]))  # noqa: E731, B023
+            out += w * (np.logaddexp.reduce([value(z) for z in itertools.product((0, 1), repeat=len(x))]) - value(y))
+        return out
+
+    field = line_rules.likeliest(chains, labels, weight, rounds=3000, ridge=0.05)
+    p = np.concatenate([field.emit.ravel(), field.move.ravel()])
+    slope = [(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(len(p)) * 1e-5]
+    assert np.abs(slope).max() < 1e-3
+
+
 def test_failed_texts_have_their_own_share(spark):
     emit = np.zeros((2, line_rules.FEATURES))
     emit[1, 0], emit[0, 2] = 1, 5  # lines of three words or fewer are boilerplate
