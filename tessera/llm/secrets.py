@@ -168,12 +168,12 @@ def text_table(docs: DataFrame, text: str = "text", min_length: int = 16) -> lis
     """Bits of each letter after each other (row by row, in the order of FOLDED) in the
     words of all texts that are shorter than ``min_length``; a last row for first letters.
 
-    Words are counted before their letters are paired; at most 40 x 40 rows come to the driver.
+    Pairs are counted where the texts are read: at most 40 x 40 rows leave a task, and as many come to the driver.
     """
     words = docs.select(F.explode(F.regexp_extract_all(_text(text), F.lit(WORD), F.lit(0))).alias("w"))
-    words = words.where((F.length("w") > 1) & (F.length("w") < min_length)).groupBy(F.lower("w").alias("w")).agg(F.count("*").alias("k"))
-    pairs = words.select("k", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring("w", i, F.lit(2)))).alias("pair"))
-    counts = {r["pair"]: r["k"] for r in pairs.groupBy("pair").agg(F.sum("k").alias("k")).collect()}
+    words = words.where((F.length("w") > 1) & (F.length("w") < min_length)).select(F.lower("w").alias("w"))
+    pairs = words.select("w", F.explode(F.sequence(F.lit(1), F.length("w") - 1)).alias("i")).groupBy(F.substring("w", F.col("i"), F.lit(2)).alias("pair"))
+    counts = {r["pair"]: r["k"] for r in pairs.agg(F.count("*").alias("k")).collect()}
     size = len(FOLDED)
     second = {b: sum(counts.get(a + b, 0) for a in FOLDED) for b in FOLDED}
     total = sum(second.values())
