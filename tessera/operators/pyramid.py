@@ -30,7 +30,7 @@ from tessera.functions.measures import with_measures
 from tessera.functions.tiles import with_quadkey
 from tessera.operators.thinning import Key, attach_zoom, fingerprint, key_columns, scratch_dir, zoom_picks
 from tessera.sources.geoparquet import current_files, write_geoparquet
-from tessera.sources.readers import with_row_identity
+from tessera.sources.readers import scanned_files, with_row_identity
 from tessera.sources.writers import checkpointed, write_metadata
 
 #: Row identity of a file scan, unique whatever the ids are.
@@ -38,10 +38,16 @@ ROW_IDENTITY = ("file_path", "row_index")
 
 
 def _work(src: DataFrame, keys: list[str], geometry: str, workdir: str | None) -> str:
-    """A folder for this source: a given ``workdir`` gets one for each content."""
+    """A folder for this source: a given ``workdir`` gets one for each content.
+
+    A plain file scan is known by its files (path, size, time, rows), without reading them; for any
+    other frame keys and geometries are hashed.
+    """
     if workdir is None:
         return scratch_dir(src.sparkSession, "pyramid")
-    return f"{workdir}/{'-'.join(keys)}-{fingerprint(src, [*keys, geometry])}"
+    files = scanned_files(src)
+    of = fingerprint(src, [*keys, geometry]) if files is None else f"files-{fingerprint(files, files.columns)}"
+    return f"{workdir}/{'-'.join([*keys, geometry])}-{of}"
 
 
 def zoomed_keys(src: DataFrame, minzoom: int, maxzoom: int, key: Key, geometry: str, workdir: str) -> DataFrame:
@@ -68,10 +74,9 @@ def pyramid_frame(
     must be a scan of files; a ``key`` must be unique. A given ``workdir`` lets a
     rerun over the same rows resume.
     """
-    if key is None:
-        src, key = with_row_identity(src), ROW_IDENTITY
-    keys = key_columns(key)
-    workdir = _work(src, keys, geometry, workdir)
+    keys = key_columns(ROW_IDENTITY if key is None else key)
+    scan, src = src, with_row_identity(src) if key is None else src
+    workdir = _work(scan if workdir and scanned_files(scan) is not None else src, keys, geometry, workdir)
     out = src.join(zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir), keys)
     return out.select("zoomlevel", "quadkey", *src.columns)
 
@@ -94,10 +99,9 @@ def build_pyramid(
     ``key`` repeats.
     """
     spark = src.sparkSession
-    if key is None:
-        src, key = with_row_identity(src), ROW_IDENTITY
-    keys = key_columns(key)
-    workdir = _work(src, keys, geometry, workdir)
+    keys = key_columns(ROW_IDENTITY if key is None else key)
+    scan, src = src, with_row_identity(src) if key is None else src
+    workdir = _work(scan if workdir and scanned_files(scan) is not None else src, keys, geometry, workdir)
     zoomed = zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir)
     # the ranges come from the narrow table; rows then go straight to theirs
     needed = -(-spark.read.parquet(f"{workdir}/measured").count() // max_file_rows)  # footer metadata only

@@ -86,6 +86,30 @@ def with_row_identity(df: DataFrame) -> DataFrame:
     )
 
 
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is a file scan with no more than some of its columns picked."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() == "Project":
+        picked = plan.projectList()
+        if any(picked.apply(i).getClass().getSimpleName() != "AttributeReference" for i in range(picked.size())):
+            return False
+        plan = plan.child()
+    return plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation"
+
+
+def scanned_files(df: DataFrame) -> DataFrame | None:
+    """``(file_path, file_size, file_time, rows)`` of the files that a plain file scan
+    reads, or None where ``df`` is anything else.
+
+    No column is read: row counts come from the footers. Files without rows are left out.
+    """
+    if not _plain_scan(df):
+        return None
+    meta = {"file_path": "file_path", "file_size": "file_size", "file_time": "file_modification_time"}
+    files = df.select(*(F.col(f"_metadata.{m}").alias(n) for n, m in meta.items()))
+    return files.groupBy(*meta).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def read_index(spark: SparkSession, root: str, layout: str = "hive") -> DataFrame:
     """Index written by :func:`write_index` (``h3_res=N/``) or a foreign
     ``**/data.parquet`` layout whose resolution is in the folder name."""

@@ -41,6 +41,33 @@ def test_partials_rewrite_of_a_run_is_idempotent(spark, tmpdir_path):
     assert back.where("run = 'a'").count() == back.where("run = 'b'").count() == part.count()
 
 
+def test_a_resumed_pyramid_reads_no_geometry_to_know_its_source(spark, tmpdir_path):
+    from tessera.operators.pyramid import _work
+    from tessera.sources.readers import scanned_files
+
+    root, work = f"{tmpdir_path}/tiles", f"{tmpdir_path}/work"
+    fx.buildings(spark, SF_SMALL).drop("tile_id", "half").repartition(3, "id").write.parquet(root)
+    scan = spark.read.parquet(root)
+    plan = scanned_files(scan)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "geometry" not in plan
+    assert scanned_files(scan.select("id", "geometry")).agg(F.sum("rows")).first()[0] == scan.count()
+    # changed rows are no plain scan: their content is hashed
+    for other in (scan.where("height > 3"), scan.withColumn("geometry", F.reverse("geometry")), scan.select(F.upper("id").alias("id"), "geometry"), fx.footprints(spark, SF_SMALL)):
+        assert scanned_files(other) is None
+    first = sorted(pyramid_frame(scan, 2, 6, workdir=work).select("zoomlevel", "id").collect())
+    folders = sorted(os.listdir(work))
+    stamps = {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{work}/**/*.parquet", recursive=True)}
+    assert len(folders) == 1 and "files-" in folders[0]
+    again = spark.read.parquet(root)
+    assert sorted(pyramid_frame(again, 2, 6, workdir=work).select("zoomlevel", "id").collect()) == first
+    assert {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{work}/**/*.parquet", recursive=True)} == stamps
+    # a file that comes is another source
+    scan.limit(5).withColumn("id", F.concat(F.lit("new-"), "id")).write.mode("append").parquet(root)
+    more = spark.read.parquet(root)
+    assert _work(more, ["id"], "geometry", work) != _work(scan, ["id"], "geometry", work)
+    assert pyramid_frame(more, 2, 6, workdir=work).count() == len(first) + 5
+
+
 def test_index_of_other_resolutions_stays(spark, tmpdir_path):
     idx = ix.build_index(fx.footprints(spark, SF_SMALL), [3, 5])
     out = f"{tmpdir_path}/index"
