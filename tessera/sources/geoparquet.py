@@ -66,13 +66,21 @@ def _register_wkb_type() -> None:
 
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with its scheme, as Spark's own readers would take it. A file
-    system of one machine is refused on a cluster."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    full = fs.makeQualified(hpath).toString()
-    if full.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{full} lies on one machine only")
-    return full
+    system of one machine is refused on a cluster, but for the folders that the
+    cluster itself names as shared: the checkpoint folder and the warehouse."""
+
+    def full(path: str) -> str:
+        hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hpath).toString()
+
+    out = full(path)
+    if out.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        named = (spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir(), spark.conf.get("spark.sql.warehouse.dir", None))
+        # one spelling: file:/a, file:///a
+        shared = [_fs(full(p))[1].rstrip("/") for p in named if p and full(p).startswith("file:")]
+        if not any(f"{_fs(out)[1]}/".startswith(f"{root}/") for root in shared):
+            raise ValueError(f"{out} lies on one machine only")
+    return out
 
 
 def _fs(path: str):

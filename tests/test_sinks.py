@@ -11,7 +11,7 @@ from tessera.operators import index as ix
 from tessera.operators.pyramid import build_pyramid, pyramid_frame, read_pyramid, read_pyramid_attributes
 from tessera.operators.validate import validate_pyramid
 from tessera.sources import fixtures as fx
-from tessera.sources.geoparquet import geo_footer, read_geoparquet, write_geoparquet
+from tessera.sources.geoparquet import geo_footer, qualified, read_geoparquet, write_geoparquet
 from tessera.sources.readers import read_index
 from tessera.sources.writers import read_metadata, write_index, write_partials, write_pyramid
 
@@ -232,3 +232,13 @@ def test_a_task_goes_on_in_another_file(spark, tmpdir_path):
     files = {f: pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmpdir_path}/out/k=*/*.parquet")}
     assert sorted(files.values()) == [2, 3, 5, 5, 5, 5]
     assert sorted(r["id"] for r in read_geoparquet(spark, f"{tmpdir_path}/out").collect()) == list(range(25))
+
+
+def test_shared_folders_of_a_cluster_are_taken(spark, tmpdir_path, monkeypatch):
+    root = spark.conf.get("spark.checkpoint.dir")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    assert qualified(spark, f"{root}/pyramid-1").endswith("/pyramid-1")
+    assert qualified(spark, f"file://{root}/pyramid-1").startswith("file:")
+    for alone in (f"{tmpdir_path}/pyramid", f"{root}-other/pyramid", f"{root}/../pyramid"):
+        with pytest.raises(ValueError, match="one machine"):
+            qualified(spark, alone)
