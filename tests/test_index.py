@@ -69,3 +69,12 @@ def test_split_without_heights_keeps_max(spark):
     )
     merged = ix.merge_partials(ix.partials(df, [5])).collect()[0]
     assert merged["max_height_m"] == 7.0 and merged["building_count"] == 2
+
+
+def test_rows_go_together_by_place_before_they_are_exploded(spark):
+    fp = fx.footprints(spark, SF_SMALL)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan(ix.build_index(fp)) and "RebalancePartitions" in plan(ix.partials(fp))
+    assert "RebalancePartitions" not in plan(ix.build_index(fp, [3, 8]))  # one fine resolution: partial sums shrink as they are
+    rows = fp.select("lat", "lon")
+    assert _rows(ix.near_together(rows, [7, 8], "lat", "lon")) == _rows(rows)

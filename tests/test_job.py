@@ -244,3 +244,10 @@ def test_an_owner_that_leaves_hands_its_buildings_on(spark, tmpdir_path):
     _close(read_index(spark, out).select(*direct.columns), _direct(spark, "half = 0 OR lon < 0 OR lat > 0", (3, 5)))
     with pytest.raises(ValueError, match="made with"):
         run_index_job(spark, src, work, out, resolutions=[3, 5])
+
+
+def test_pending_files_are_a_stored_list(spark, tmpdir_path):
+    src, work = f"{tmpdir_path}/src", f"{tmpdir_path}/work"
+    _write_tiles(spark, src)
+    n = run_index_job(spark, src, work, f"{tmpdir_path}/out", resolutions=[3])["tiles_processed"]
+    assert spark.read.parquet(f"{work}/stages/*/todo").count() == n > 0
