@@ -112,3 +112,34 @@ def test_key_of_several_columns(spark):
     pts = fx.footprints(spark, SF_SMALL).selectExpr("split(id, '-')[0] AS a", "split(id, '-', 2)[1] AS b", "lon", "lat").dropDuplicates(["a", "b"])
     got = th.assign_zoom(pts, 2, 8, key=["a", "b"])
     assert got.count() == pts.count() and got.columns == ["a", "b", "zoomlevel"]
+
+
+def test_a_region_is_not_held_whole():
+    """Picks come out batch after batch, whatever the size of a region, and are those of the whole."""
+    import pandas as pd
+
+    r = random.Random(7)
+    points = [(i, r.uniform(0, 2), r.uniform(0, 2)) for i in range(600)]
+    rows = []
+    for i, lon, lat in points:
+        cells = {f"{c}{z}": math.floor(v / (360.0 / 2**z) + 0.5) for z in range(10, 14) for c, v in (("x", lon), ("y", lat))}
+        small = {c: cells[c] ^ (cells[coarser] << 1) for c, coarser in th._finer(10, 14)}
+        rows.append({"__sk": i, **cells, **small, "rx": 0, "ry": 0, "home": True})
+    read = []
+    batches = (read.append(i) or pd.DataFrame(rows[i : i + 40]) for i in range(0, 600, 40))
+    picks = th._region_picks(10, 14)(batches)
+    got = [next(picks)]
+    assert read == [0]
+    got = {k: z for f in [*got, *picks] for k, z in zip(f["__sk"], f["zoomlevel"])}
+    assert got == plain(points, 10, 14)
+
+
+def test_rows_of_a_tier_are_few_and_small(spark, tmpdir_path):
+    """No stage of all candidates is written, and each tier has a limit of its own."""
+    r = random.Random(8)
+    points = [(i, r.uniform(-9, 9), r.uniform(-4, 4)) for i in range(3000)]
+    df = spark.createDataFrame(points, "id long, lon double, lat double")
+    got = {x["id"]: x["zoomlevel"] for x in th.zoom_picks(df, 2, 8, key="id", workdir=tmpdir_path).collect()}
+    assert got == plain(points, 2, 8)
+    (work,) = os.listdir(tmpdir_path)
+    assert set(os.listdir(f"{tmpdir_path}/{work}")) == {"points", "picks-2-6", "picks-6-8"}
