@@ -85,14 +85,24 @@ def quadkey(lon: str, lat: str, z: int) -> Column:
     return F.expr(quadkey_spark_sql(lon, lat, z))
 
 
-def with_quadkey(df: DataFrame, lon: str, lat: str, z: int, name: str = "quadkey") -> DataFrame:
-    """Add the quadkey column; tile x/y are materialised first so the bit
+def with_quadkey_code(df: DataFrame, lon: str, lat: str, z: int, name: str = "quadkey_code") -> DataFrame:
+    """Add the quadkey as a number, in the same order; tile x/y are materialised first so the bit
     interleave refers to two plain columns."""
     x, y = tile_xy(D.Sql(lon), D.Sql(lat), z)
     t = df.selectExpr("*", f"CAST({x.t} AS BIGINT) AS __qk_x", f"CAST({y.t} AS BIGINT) AS __qk_y")
     code = f"({_spread_sql('__qk_y')} * 2 + {_spread_sql('__qk_x')})"
-    expr = f"lpad(conv(CAST({code} AS STRING), 10, 4), {z}, '0')" if z else "''"
-    return t.selectExpr("*", f"{expr} AS {name}").drop("__qk_x", "__qk_y")
+    return t.selectExpr("*", f"{code} AS {name}").drop("__qk_x", "__qk_y")
+
+
+def quadkey_of_code(code: str, z: int) -> Column:
+    """Quadkey string of its number."""
+    return F.expr(f"lpad(conv(CAST({code} AS STRING), 10, 4), {z}, '0')" if z else "''")
+
+
+def with_quadkey(df: DataFrame, lon: str, lat: str, z: int, name: str = "quadkey") -> DataFrame:
+    """Add the quadkey column."""
+    t = with_quadkey_code(df, lon, lat, z, "__qk")
+    return t.withColumn(name, quadkey_of_code("__qk", z)).drop("__qk")
 
 
 def quadkey_sql(lon: str, lat: str, z: int) -> str:

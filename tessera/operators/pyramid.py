@@ -2,7 +2,7 @@
 
 Phases (each a Spark job, each restartable from its committed output):
 
-A. measures: ``(key, lon, lat, quadkey)`` of every row, materialised once;
+A. measures: ``(key, lon, lat, quadkey)`` of every row, the quadkey as a number, materialised once;
    the only pass that sends geometry to Python;
 B. thinning: picks per zoom (:mod:`tessera.operators.thinning`);
 C. layout: the narrow table gets its zooms (everything unpicked is maxzoom)
@@ -27,14 +27,15 @@ from tessera.constants import (
     PYRAMID_ROW_GROUP,
 )
 from tessera.functions.measures import with_measures
-from tessera.functions.tiles import with_quadkey
+from tessera.functions.tiles import quadkey_of_code, with_quadkey_code
 from tessera.operators.thinning import Key, attach_zoom, fingerprint, key_columns, scratch_dir, zoom_picks
-from tessera.sources.geoparquet import current_files, write_geoparquet
+from tessera.sources.geoparquet import current_files, qualified, write_geoparquet
 from tessera.sources.readers import scanned_files, with_row_identity
 from tessera.sources.writers import checkpointed, write_metadata
 
 #: Row identity of a file scan, unique whatever the ids are.
 ROW_IDENTITY = ("file_path", "row_index")
+QUADKEY_CODE = "__quadkey_code"
 
 
 def _work(src: DataFrame, keys: list[str], geometry: str, workdir: str | None) -> str:
@@ -51,13 +52,13 @@ def _work(src: DataFrame, keys: list[str], geometry: str, workdir: str | None) -
 
 
 def zoomed_keys(src: DataFrame, minzoom: int, maxzoom: int, key: Key, geometry: str, workdir: str) -> DataFrame:
-    """``(key, quadkey, zoomlevel)`` of every row of ``src``."""
+    """``(key, quadkey_code, zoomlevel)`` of every row of ``src``; the quadkey is a number as long as rows are shuffled."""
     keys = key_columns(key)
     m = with_measures(src.select(*keys, geometry), geometry)
-    m = with_quadkey(m, "lon", "lat", maxzoom).select(*keys, "lon", "lat", "quadkey")
-    m = checkpointed(m, f"{workdir}/measured")
-    picks = zoom_picks(m, minzoom, maxzoom, keys, workdir=f"{workdir}/thinning")
-    return attach_zoom(m.select(*keys, "quadkey"), picks, maxzoom, keys)
+    m = with_quadkey_code(m, "lon", "lat", maxzoom, QUADKEY_CODE).select(*keys, "lon", "lat", QUADKEY_CODE)
+    m = checkpointed(m, f"{workdir}/measured-{maxzoom}")
+    picks = zoom_picks(m, minzoom, maxzoom, keys, workdir=f"{workdir}/thinning", one_input=True)
+    return attach_zoom(m.select(*keys, QUADKEY_CODE), picks, maxzoom, keys)
 
 
 def pyramid_frame(
@@ -78,7 +79,7 @@ def pyramid_frame(
     scan, src = src, with_row_identity(src) if key is None else src
     workdir = _work(scan if workdir and scanned_files(scan) is not None else src, keys, geometry, workdir)
     out = src.join(zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir), keys)
-    return out.select("zoomlevel", "quadkey", *src.columns)
+    return out.select("zoomlevel", quadkey_of_code(QUADKEY_CODE, maxzoom).alias("quadkey"), *src.columns)
 
 
 def build_pyramid(
@@ -104,14 +105,15 @@ def build_pyramid(
     workdir = _work(scan if workdir and scanned_files(scan) is not None else src, keys, geometry, workdir)
     zoomed = zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir)
     # the ranges come from the narrow table; rows then go straight to theirs
-    needed = -(-spark.read.parquet(f"{workdir}/measured").count() // max_file_rows)  # footer metadata only
-    by = ("zoomlevel", "quadkey") if needed <= int(spark.conf.get("spark.sql.shuffle.partitions")) else (needed, "zoomlevel", "quadkey")
+    needed = -(-spark.read.parquet(f"{workdir}/measured-{maxzoom}").count() // max_file_rows)  # footer metadata only
+    by = ("zoomlevel", QUADKEY_CODE) if needed <= int(spark.conf.get("spark.sql.shuffle.partitions")) else (needed, "zoomlevel", QUADKEY_CODE)
     ranged = zoomed.repartitionByRange(*by).withColumn("__range", F.spark_partition_id())
-    ranged = checkpointed(ranged, f"{workdir}/ranged-{minzoom}-{maxzoom}")
+    ranged = checkpointed(ranged, f"{workdir}/ranges-{minzoom}-{maxzoom}")
     parts = (ranged.agg(F.max("__range")).first()[0] or 0) + 1
     columns = [c for c in PYRAMID_COLUMNS if c in src.columns and c != geometry]
     frame = src.select(*dict.fromkeys([*keys, *columns, geometry])).join(ranged, keys)
-    frame = frame.repartitionById(parts, "__range").sortWithinPartitions("zoomlevel", "quadkey")
+    frame = frame.repartitionById(parts, "__range").sortWithinPartitions("zoomlevel", QUADKEY_CODE)
+    frame = frame.withColumn("quadkey", quadkey_of_code(QUADKEY_CODE, maxzoom))
     written = write_geoparquet(
         frame.select("zoomlevel", "quadkey", *columns, geometry), output, partition_by="zoomlevel",
         row_group_size=PYRAMID_ROW_GROUP, geometry=geometry, max_rows_per_file=max_file_rows,
@@ -159,4 +161,4 @@ def read_pyramid_attributes(spark, root: str) -> DataFrame:
     schema = "quadkey string, source string, id string, height float, var float, region string, zoomlevel int"
     reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet")
     files = current_files(spark, root)
-    return reader.option("basePath", root).parquet(*files) if files else reader.parquet(root)
+    return reader.option("basePath", qualified(spark, root)).parquet(*files) if files else reader.parquet(root)

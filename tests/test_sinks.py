@@ -242,3 +242,12 @@ def test_shared_folders_of_a_cluster_are_taken(spark, tmpdir_path, monkeypatch):
     for alone in (f"{tmpdir_path}/pyramid", f"{root}-other/pyramid", f"{root}/../pyramid"):
         with pytest.raises(ValueError, match="one machine"):
             qualified(spark, alone)
+
+
+def test_quadkeys_travel_as_numbers(spark, tmpdir_path):
+    from tessera.operators.pyramid import zoomed_keys
+
+    b = fx.buildings(spark, SF_SMALL).drop("tile_id", "half")
+    z = zoomed_keys(b, 2, 8, "id", "geometry", tmpdir_path)
+    assert dict(z.dtypes) == {"id": "string", "__quadkey_code": "bigint", "zoomlevel": "int"}
+    assert spark.read.parquet(f"{tmpdir_path}/measured-8").dtypes[-1] == ("__quadkey_code", "bigint")
