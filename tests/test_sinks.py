@@ -244,6 +244,16 @@ def test_shared_folders_of_a_cluster_are_taken(spark, tmpdir_path, monkeypatch):
             qualified(spark, alone)
 
 
+def test_a_pyramid_is_read_once_for_its_checks(spark, tmpdir_path):
+    b = fx.buildings(spark, SF_SMALL).drop("tile_id", "half")
+    out = f"{tmpdir_path}/b"
+    b.withColumn("zoomlevel", F.lit(3)).write.parquet(out)
+    plan = validate_pyramid(spark.read.parquet(out), 1, 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    checks = {r["check_name"]: (r["value"], r["ok"]) for r in validate_pyramid(spark.read.parquet(out).limit(0), 0, 8).collect()}
+    assert checks == {"total_rows": (0, True), "unknown_zoom_rows": (0, True)}
+
+
 def test_quadkeys_travel_as_numbers(spark, tmpdir_path):
     from tessera.operators.pyramid import zoomed_keys
 
