@@ -65,13 +65,19 @@ def _register_wkb_type() -> None:
 
 
 def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with its scheme, as Spark's own readers would take it. A file
-    system of one machine is refused on a cluster, but for the folders that the
+    """``path`` with its scheme, as Spark's own readers would take it; a view of other file systems, which
+    only Hadoop knows, gives the path behind it. A file system of one machine is refused on a cluster, but for the folders that the
     cluster itself names as shared: the checkpoint folder and the warehouse."""
 
     def full(path: str) -> str:
         hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hpath).toString()
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        hpath, below = fs.makeQualified(hpath), ""
+        if hpath.toString().startswith("viewfs:"):
+            while hpath.getParent() is not None and not fs.exists(hpath):
+                hpath, below = hpath.getParent(), f"/{hpath.getName()}{below}"
+            hpath = fs.resolvePath(hpath)
+        return f"{hpath.toString()}{below}"
 
     out = full(path)
     if out.startswith("file:") and not spark.sparkContext.master.startswith("local"):

@@ -261,3 +261,17 @@ def test_quadkeys_travel_as_numbers(spark, tmpdir_path):
     z = zoomed_keys(b, 2, 8, "id", "geometry", tmpdir_path)
     assert dict(z.dtypes) == {"id": "string", "__quadkey_code": "bigint", "zoomlevel": "int"}
     assert spark.read.parquet(f"{tmpdir_path}/measured-8").dtypes[-1] == ("__quadkey_code", "bigint")
+
+
+def test_a_pyramid_by_a_path_that_hadoop_alone_knows(spark, tmpdir_path):
+    """The checkpoint folder may be a mount of ``viewfs``: tasks get the path behind it."""
+    os.makedirs(f"{tmpdir_path}/behind")
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tessera.link./kept", f"file://{tmpdir_path}/behind")
+    b = fx.buildings(spark, SF_SMALL).drop("tile_id", "half")
+    out = "viewfs://tessera/kept/pyramid"
+    n = build_pyramid(b, out, 2, 8, key="id")["rows_written"]
+    assert n == b.count() == read_pyramid(spark, out).count() == read_pyramid_attributes(spark, out).count()
+    assert read_metadata(spark, f"{out}/_metadata.json")["rows_written"] == n
+    assert geo_footer(spark, out).agg(F.sum("num_rows")).first()[0] == n
+    assert read_pyramid(spark, out, zoom=5).count() == read_pyramid(spark, out).where("zoomlevel = 5").count() > 0
+    assert qualified(spark, out) == f"file:{tmpdir_path}/behind/pyramid"
