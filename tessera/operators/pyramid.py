@@ -5,10 +5,10 @@ Phases (each a Spark job, each restartable from its committed output):
 A. measures: ``(key, lon, lat, quadkey)`` of every row, the quadkey as a number, materialised once;
    the only pass that sends geometry to Python;
 B. thinning: picks per zoom (:mod:`tessera.operators.thinning`);
-C. layout: the narrow table gets its zooms (everything unpicked is maxzoom)
-   and joins the source rows on the key; rows go to the range of
-   (zoomlevel, quadkey) that the narrow table alone has fixed, sorted, written
-   as GeoParquet under ``zoomlevel=z/``;
+C. layout: source rows go to the range of their quadkey, whose borders the narrow
+   table has fixed, and find their picks there; unpicked rows are maxzoom and stay, picked ones, which are
+   few, go on to the range of their (zoomlevel, quadkey). So geometry is shuffled once. Rows are
+   sorted and written as GeoParquet under ``zoomlevel=z/``;
 D. metadata JSON from counts observed during the write.
 """
 
@@ -36,6 +36,8 @@ from tessera.sources.writers import checkpointed, write_metadata
 #: Row identity of a file scan, unique whatever the ids are.
 ROW_IDENTITY = ("file_path", "row_index")
 QUADKEY_CODE = "__quadkey_code"
+#: Rows of a range, which one task sorts and writes; smaller ones, of a row group or more, where cores would idle.
+RANGE_ROWS = 2_000_000
 
 
 def _work(src: DataFrame, keys: list[str], geometry: str, workdir: str | None) -> str:
@@ -51,16 +53,61 @@ def _work(src: DataFrame, keys: list[str], geometry: str, workdir: str | None) -
     return f"{workdir}/{'-'.join([*keys, geometry])}-{of}"
 
 
+def _measured(src: DataFrame, maxzoom: int, keys: list[str], geometry: str, workdir: str) -> DataFrame:
+    """``(key, lon, lat, quadkey_code)`` of every row of ``src``, stored."""
+    m = with_measures(src.select(*keys, geometry), geometry)
+    m = with_quadkey_code(m, "lon", "lat", maxzoom, QUADKEY_CODE).select(*keys, "lon", "lat", QUADKEY_CODE)
+    return checkpointed(m, f"{workdir}/measured-{maxzoom}")
+
+
 def zoomed_keys(src: DataFrame, minzoom: int, maxzoom: int, key: Key, geometry: str, workdir: str) -> DataFrame:
     """``(key, quadkey_code, zoomlevel)`` of every row of ``src``; the quadkey is a number as long as rows are shuffled."""
     keys = key_columns(key)
-    m = with_measures(src.select(*keys, geometry), geometry)
-    m = with_quadkey_code(m, "lon", "lat", maxzoom, QUADKEY_CODE).select(*keys, "lon", "lat", QUADKEY_CODE)
-    m = checkpointed(m, f"{workdir}/measured-{maxzoom}")
+    m = _measured(src, maxzoom, keys, geometry, workdir)
     picks = zoom_picks(m, minzoom, maxzoom, keys, workdir=f"{workdir}/thinning", one_input=True)
     return attach_zoom(m.select(*keys, QUADKEY_CODE), picks, maxzoom, keys)
 
 
+def _borders(rows: DataFrame, by: str, n: int) -> list[int]:
+    """Values of ``by`` that part ``rows`` into ranges of a bounded number of rows; nulls come before all."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(-(-n // RANGE_ROWS), min(cores, -(-n // PYRAMID_ROW_GROUP)))
+    if parts < 2:
+        return []
+    at = [i / parts for i in range(1, parts)]
+    return sorted(set(rows.agg(F.percentile_approx(F.expr(by), at, 100 * parts)).first()[0] or []))
+
+
+def _range_sql(value: str, borders: list[int], first: int = 0) -> str:
+    """Number of the range that ``value`` lies in, by halving."""
+    if not borders:
+        return str(first)
+    mid = len(borders) // 2
+    below, above = _range_sql(value, borders[:mid], first), _range_sql(value, borders[mid + 1 :], first + mid + 1)
+    return f"CASE WHEN {value} >= {borders[mid]} THEN {above} ELSE {below} END"
+
+
+def _laid_out(src: DataFrame, minzoom: int, maxzoom: int, keys: list[str], geometry: str, workdir: str) -> tuple[DataFrame, int]:
+    """Rows of ``src`` with ``zoomlevel`` and QUADKEY_CODE, by ranges of both and sorted, and how many there are."""
+    m = _measured(src, maxzoom, keys, geometry, workdir)
+    picks = zoom_picks(m, minzoom, maxzoom, keys, workdir=f"{workdir}/thinning", one_input=True, keep=(QUADKEY_CODE,), check_key=True)
+    picks = checkpointed(picks, f"{workdir}/picked-{minzoom}-{maxzoom}")
+    rows, at = m.count(), f"(CAST(zoomlevel AS BIGINT) * {1 << 2 * maxzoom} + {QUADKEY_CODE})"  # footer metadata only
+    places, zooms = _borders(m, QUADKEY_CODE, rows), _borders(picks, at, picks.count())
+    place = F.expr(_range_sql(QUADKEY_CODE, places)).alias("__range")
+    # keys are not null, as has been checked; said here, the plans of both halves are alike up to the geometry's
+    # shuffle, which then runs once
+    whole = with_quadkey_code(with_measures(src.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)), geometry), "lon", "lat", maxzoom, QUADKEY_CODE)
+    whole = whole.select(*src.columns, QUADKEY_CODE, place).repartitionById(len(places) + 1, "__range")
+    found = picks.select(*keys, "zoomlevel", place).repartitionById(len(places) + 1, "__range")
+    # a range's picks are fewer than its rows, and are bounded with them
+    placed = whole.join(found.hint("shuffle_hash"), ["__range", *keys], "left").drop("__range")
+    placed = placed.withColumn("zoomlevel", F.coalesce("zoomlevel", F.lit(maxzoom)))
+    picked = placed.where(F.col("zoomlevel") < maxzoom).withColumn("__range", F.expr(_range_sql(at, zooms)))
+    picked = picked.repartitionById(len(zooms) + 1, "__range").drop("__range")
+    return placed.where(F.col("zoomlevel") >= maxzoom).unionByName(picked).sortWithinPartitions("zoomlevel", QUADKEY_CODE), rows
+
+
 def pyramid_frame(
     src: DataFrame,
     minzoom: int = DEFAULT_MINZOOM,
@@ -94,33 +141,23 @@ def build_pyramid(
 ) -> dict:
     """Write the pyramid and its metadata; returns the metadata dict.
 
-    No file holds more than ``max_file_rows``: there are as many ranges as that takes, or
-    more, and a range that has come out larger goes on in another file.
-    Raises if the rows written are not as many as the source's, as when a
-    ``key`` repeats.
+    No file holds more than ``max_file_rows``: a range with more rows goes on in another
+    file. Raises where a ``key`` repeats or is null, before anything is
+    written, and if the rows written are not as many as the source's.
     """
     spark = src.sparkSession
     keys = key_columns(ROW_IDENTITY if key is None else key)
     scan, src = src, with_row_identity(src) if key is None else src
     workdir = _work(scan if workdir and scanned_files(scan) is not None else src, keys, geometry, workdir)
-    zoomed = zoomed_keys(src, minzoom, maxzoom, keys, geometry, workdir)
-    # the ranges come from the narrow table; rows then go straight to theirs
-    needed = -(-spark.read.parquet(f"{workdir}/measured-{maxzoom}").count() // max_file_rows)  # footer metadata only
-    by = ("zoomlevel", QUADKEY_CODE) if needed <= int(spark.conf.get("spark.sql.shuffle.partitions")) else (needed, "zoomlevel", QUADKEY_CODE)
-    ranged = zoomed.repartitionByRange(*by).withColumn("__range", F.spark_partition_id())
-    ranged = checkpointed(ranged, f"{workdir}/ranges-{minzoom}-{maxzoom}")
-    parts = (ranged.agg(F.max("__range")).first()[0] or 0) + 1
     columns = [c for c in PYRAMID_COLUMNS if c in src.columns and c != geometry]
-    frame = src.select(*dict.fromkeys([*keys, *columns, geometry])).join(ranged, keys)
-    frame = frame.repartitionById(parts, "__range").sortWithinPartitions("zoomlevel", QUADKEY_CODE)
+    frame, rows = _laid_out(src.select(*dict.fromkeys([*keys, *columns, geometry])), minzoom, maxzoom, keys, geometry, workdir)
     frame = frame.withColumn("quadkey", quadkey_of_code(QUADKEY_CODE, maxzoom))
     written = write_geoparquet(
         frame.select("zoomlevel", "quadkey", *columns, geometry), output, partition_by="zoomlevel",
         row_group_size=PYRAMID_ROW_GROUP, geometry=geometry, max_rows_per_file=max_file_rows,
     )
-    rows = ranged.count()  # footer metadata only
     if written != rows:
-        raise ValueError(f"{written} rows written of {rows}: the key repeats")
+        raise ValueError(f"{written} rows written of {rows}: the source has changed")
     meta = {
         "type": "pyramid_geoparquet",
         "algorithm": "spatial_thinning",

@@ -275,3 +275,46 @@ def test_a_pyramid_by_a_path_that_hadoop_alone_knows(spark, tmpdir_path):
     assert geo_footer(spark, out).agg(F.sum("num_rows")).first()[0] == n
     assert read_pyramid(spark, out, zoom=5).count() == read_pyramid(spark, out).where("zoomlevel = 5").count() > 0
     assert qualified(spark, out) == f"file:{tmpdir_path}/behind/pyramid"
+
+
+def _quarter(spark):
+    """Buildings, some without a geometry."""
+    b = fx.buildings(spark, SF_SMALL).drop("tile_id", "half")
+    return b.withColumn("geometry", F.expr("CASE WHEN source = 'AF' THEN NULL ELSE geometry END"))
+
+
+def test_ranges_of_a_pyramid_give_the_rows_of_the_whole(spark, tmpdir_path, monkeypatch):
+    from tessera.operators import pyramid as py
+
+    monkeypatch.setattr(py, "RANGE_ROWS", 400)
+    src, out = _quarter(spark), f"{tmpdir_path}/pyramid"
+    frame, rows = py._laid_out(src, 2, 9, ["id"], "geometry", f"{tmpdir_path}/work")
+    assert rows == len(frame.collect())
+    # both halves read one shuffle of the geometry
+    assert "ReusedExchange" in frame._jdf.queryExecution().executedPlan().toString()
+    assert build_pyramid(src, out, 2, 9, key="id")["rows_written"] == rows
+    columns = ["zoomlevel", "quadkey", "id", "geometry"]
+    want = pyramid_frame(src, 2, 9, key="id").select(*columns)
+    got = read_pyramid(spark, out).select(*columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    files = read_pyramid_attributes(spark, out).groupBy("zoomlevel", F.input_file_name().alias("f")).agg(F.min("quadkey").alias("low"), F.max("quadkey").alias("high"))
+    by_zoom = {}
+    for r in files.where("low IS NOT NULL").orderBy("zoomlevel", "low", "high").collect():
+        assert by_zoom.get(r["zoomlevel"], "") <= r["low"]
+        by_zoom[r["zoomlevel"]] = r["high"]
+    assert files.where("zoomlevel = 9").count() > 5
+
+
+def test_small_files_take_no_task_each(spark, tmpdir_path):
+    src, out = fx.buildings(spark, SF_SMALL).drop("tile_id", "half"), f"{tmpdir_path}/pyramid"
+    build_pyramid(src, out, key="id", max_file_rows=50)
+    files = [os.path.basename(f) for f in glob.glob(f"{out}/**/*.parquet", recursive=True)]
+    assert len(files) >= 100 and len({f.split("-")[1] for f in files}) < 10
+
+
+def test_a_null_key_raises_before_anything_is_written(spark, tmpdir_path):
+    src, out = _quarter(spark), f"{tmpdir_path}/pyramid"
+    src = src.withColumn("id", F.expr("CASE WHEN height > 14 THEN NULL ELSE id END"))
+    with pytest.raises(ValueError, match="key repeats or is null"):
+        build_pyramid(src, out, 2, 6, key="id")
+    assert not os.path.exists(out)
