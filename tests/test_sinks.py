@@ -318,3 +318,23 @@ def test_a_null_key_raises_before_anything_is_written(spark, tmpdir_path):
     with pytest.raises(ValueError, match="key repeats or is null"):
         build_pyramid(src, out, 2, 6, key="id")
     assert not os.path.exists(out)
+
+
+def test_rows_out_of_order_are_counted_over_batches_and_splits(spark, tmpdir_path):
+    from tessera.operators.validate import unsorted_rows
+
+    rows = spark.range(0, 30_000, 1, 1).selectExpr(
+        "CAST(id / 10000 AS INT) AS zoomlevel",
+        "CASE WHEN id IN (5, 10000, 20001) THEN NULL WHEN id IN (9999, 15000) THEN '000' ELSE lpad(id, 9, '0') END AS quadkey",
+    )
+    rows.write.option("parquet.block.row.count.limit", 4_000).parquet(f"{tmpdir_path}/rows")
+    for size in ("128m", "20k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            scan = spark.read.parquet(f"{tmpdir_path}/rows")
+            assert unsorted_rows(scan).first()["n"] == 4
+            assert unsorted_rows(scan.where("false")).first()["n"] == 0
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    plan = unsorted_rows(scan)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") > plan.index("Exchange hashpartitioning(file_path")
