@@ -69,3 +69,33 @@ def test_repaired_rows_come_back_once_and_leave_with_their_file(spark, tmpdir_pa
     run()
     assert index() == expected(whole.where(F.col("tile_id") != gone))
     good.unpersist()
+
+
+def test_replay_stores_what_it_uses_often_and_few_files(spark, tmpdir_path):
+    src, work, out = (f"{tmpdir_path}/{x}" for x in ("src", "work", "out"))
+    good = fx.buildings(spark, SF_SMALL).drop("half")
+    bad = good.withColumn("geometry", F.expr("CASE WHEN region < 'NATION_3' THEN NULL ELSE geometry END"))
+    bad.repartition("tile_id").write.partitionBy("tile_id").parquet(src)
+    run_index_job(spark, src, work, out, [5])
+    rejected = open_rejects(spark, work).count()
+    looked = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def repaired(geometry):
+        looked.add(1)
+        return geometry
+
+    rows = spark.read.option("recursiveFileLookup", "true").parquet(src).select("id", "_metadata.file_path", "_metadata.row_index")
+    fixed = rows.join(good.where("region < 'NATION_3'").select("id", "geometry"), "id").withColumn("geometry", repaired("geometry"))
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert replay(spark, src, work, fixed) == rejected > 100
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert looked.value == rejected
+    files = glob.glob(f"{work}/replays/**/*.parquet", recursive=True)
+    assert len(files) == len({os.path.dirname(f) for f in files}) > 5
+    assert open_rejects(spark, work).isEmpty()
