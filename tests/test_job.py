@@ -251,3 +251,23 @@ def test_pending_files_are_a_stored_list(spark, tmpdir_path):
     _write_tiles(spark, src)
     n = run_index_job(spark, src, work, f"{tmpdir_path}/out", resolutions=[3])["tiles_processed"]
     assert spark.read.parquet(f"{work}/stages/*/todo").count() == n > 0
+
+
+def test_owners_are_found_in_one_shuffle(spark):
+    from tessera.plans.index_job import _owned
+
+    rows = [  # key, file_no, row_index, were, present
+        ("stays", 1, 5, True, True), ("stays", 2, 0, True, True), ("earlier comes", 0, 9, False, True), ("earlier comes", 2, 1, True, True),
+        ("owner leaves", 0, 0, True, False), ("owner leaves", 3, 2, True, True), ("leaves", 0, 1, True, False), ("comes", 4, 4, False, True),
+        ("twice in a file", 4, 8, False, True), ("twice in a file", 4, 7, False, True),
+    ]
+    df = spark.createDataFrame(rows, "key string, file_no long, row_index long, were boolean, present boolean")
+    owned = _owned(df.selectExpr("*", "1D AS lat", "2D AS lon", "3D AS fp_m2", "CAST(file_no AS DOUBLE) AS h"))
+    got = {tuple(r) for r in owned.select("file_no", "row_index", "h", "moved", "old_file").collect()}
+    assert got == {(1, 5, 1.0, False, None), (0, 9, 0.0, True, 2), (3, 2, 3.0, True, 0), (None, None, None, True, 0), (4, 4, 4.0, True, None), (4, 7, 4.0, True, None)}
+    assert owned._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_tiles_in_ranges_are_the_same_buildings(spark):
+    got, want = (fx.buildings(spark, SF_SMALL, by_tile=b).drop("half") for b in (True, False))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
