@@ -93,7 +93,8 @@ def _laid_out(src: DataFrame, minzoom: int, maxzoom: int, keys: list[str], geome
     picks = zoom_picks(m, minzoom, maxzoom, keys, workdir=f"{workdir}/thinning", one_input=True, keep=(QUADKEY_CODE,), check_key=True)
     picks = checkpointed(picks, f"{workdir}/picked-{minzoom}-{maxzoom}")
     rows, at = m.count(), f"(CAST(zoomlevel AS BIGINT) * {1 << 2 * maxzoom} + {QUADKEY_CODE})"  # footer metadata only
-    places, zooms = _borders(m, QUADKEY_CODE, rows), _borders(picks, at, picks.count())
+    # one range has a border above all quadkeys: a constant would be no key of the join, which then would deal rows out anew
+    places, zooms = _borders(m, QUADKEY_CODE, rows) or [1 << 62], _borders(picks, at, picks.count())
     place = F.expr(_range_sql(QUADKEY_CODE, places)).alias("__range")
     # keys are not null, as has been checked; said here, the plans of both halves are alike up to the geometry's
     # shuffle, which then runs once
